@@ -319,8 +319,9 @@ def cell_hits(rows: DataFrame, asked: DataFrame, dim: int, cells: int) -> DataFr
         if best is not None:
             yield best.result(key_type)
 
-    met = left.unionByName(right).repartitionById(cells, "cell").sortWithinPartitions("cell", "side")
-    return met.mapInArrow(search, schema)
+    tasks = min(cells, 4 * TASKS_PER_SLOT * task_slots(spark))
+    met = left.unionByName(right).repartitionById(tasks, F.pmod("cell", F.lit(tasks)))
+    return met.sortWithinPartitions("cell", "side").mapInArrow(search, schema)
 
 
 def merge_hits(hits: DataFrame) -> DataFrame:
