@@ -121,14 +121,22 @@ def knn_pca(
 
 def fit_cells(
     corpus: DataFrame, n_cells: int | None = None, *, vector: str = "vector", metric: str = "cosine",
-    seed: int = 7, max_iter: int = 20,
+    seed: int = 7, max_iter: int = 20, rows_per_cell: int = 1000,
 ) -> np.ndarray:
-    """k-means centroids as a (cells x dimension) matrix; about sqrt(rows) cells by default."""
+    """k-means centroids as a (cells x dimension) matrix; about sqrt(rows) cells by default.
+
+    Centroids are fitted on about ``rows_per_cell`` vectors per cell, since every iteration compares
+    each training vector with each centroid. Search always covers all rows.
+    """
+    rows = corpus.where(F.col(vector).isNotNull()).count()
     if n_cells is None:
-        n_cells = int(min(MAX_CELLS, max(2, math.sqrt(corpus.count()))))
+        n_cells = int(min(MAX_CELLS, max(2, math.sqrt(rows))))
     if not 1 < n_cells <= MAX_CELLS:
         raise ValueError(f"n_cells must lie between 2 and {MAX_CELLS}")
     training = _training_vectors(corpus, vector, metric_name(metric))
+    share = n_cells * rows_per_cell / max(1, rows)
+    if share < 1:
+        training = training.sample(share, seed=seed)
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="features").fit(training)
     return np.array(model.clusterCenters())
 
