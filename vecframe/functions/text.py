@@ -42,6 +42,11 @@ def truncate_text(text: Column, limit: int = MAX_TEXT, look_back: int = LOOK_BAC
     return F.when(F.length(text) <= limit, text).otherwise(F.concat(shortened, F.lit(" …")))
 
 
+def strip_text(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, f"^{SPACES}|{SPACES}$", "")
+
+
 @F.arrow_udf(T.StringType())
 def _fold(texts: pa.Array) -> pa.Array:
     folded = []

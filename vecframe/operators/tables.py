@@ -176,6 +176,13 @@ def list_files(
     return files.unionByName(entry.select(F.lit(LOG_NAME).alias("name"), "vector_count", F.lit(True).alias("is_wal")))
 
 
+def fetch(table: DataFrame, keys: DataFrame, *, key: str = "key") -> DataFrame:
+    """Every asked key with ``found`` and the row's columns; a missing key gives nulls, not an error."""
+    asked = keys.select(key).distinct()
+    rows = table.join(travelling(asked), key, "left_semi").withColumn("found", F.lit(True))
+    return asked.join(rows, key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
+
+
 def collection_stats(collections: dict[str, DataFrame], *, vector: str = "vector") -> DataFrame:
     """One row per collection: count, dimension (null when empty) and bytes of the raw vectors."""
     parts = []
