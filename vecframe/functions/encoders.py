@@ -6,6 +6,7 @@ Python worker, and its output is mean-pooled over the real tokens and scaled to
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -36,8 +37,8 @@ def embed(df: DataFrame, text: str, encoder: Encoder, output: str = "vector") ->
 class HashEncoder:
     """Signed feature hashing of the tokens, at unit length.
 
-    The first 8 hex digits of a token's md5 pick the element, the ninth its sign. Tokens and hashes
-    stay in the JVM; Python only counts integers, a whole batch at a time.
+    The first four bytes of a token's md5 pick the element, the top bit of the fifth its sign. Each
+    distinct token of a batch is hashed once; the rest is integer counting over the whole batch.
     """
 
     def __init__(self, dimension: int = DIMENSION):
@@ -46,23 +47,20 @@ class HashEncoder:
     def column(self, text: Column) -> Column:
         dimension = self.dimension
 
-        def code(token: Column) -> Column:
-            digest = F.md5(token.cast("binary"))
-            slot = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(dimension))
-            positive = F.conv(F.substring(digest, 9, 1), 16, 10).cast("int") < 8
-            return (slot * 2 + F.when(positive, 1).otherwise(0)).cast("int")
-
         @F.arrow_udf(FLOATS)
-        def count(codes: pa.Array) -> pa.Array:
-            sizes = np.diff(codes.offsets.to_numpy())
-            flat = codes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            row = np.repeat(np.arange(len(codes)), sizes)
-            sums = np.bincount(
-                row * dimension + flat // 2, weights=flat % 2 * 2.0 - 1.0, minlength=len(codes) * dimension
-            ).reshape(len(codes), dimension)
+        def count(tokens: pa.Array) -> pa.Array:
+            coded = tokens.flatten().dictionary_encode()
+            digests = [hashlib.md5(token.encode()).digest() for token in coded.dictionary.to_pylist()]
+            slots = np.array([int.from_bytes(d[:4], "big") % dimension for d in digests], dtype=np.int64)
+            signs = np.array([1.0 if d[4] < 128 else -1.0 for d in digests])
+            at = coded.indices.to_numpy(zero_copy_only=False)
+            sums = np.zeros((len(tokens), dimension))
+            if len(at):
+                row = np.repeat(np.arange(len(tokens)), np.diff(tokens.offsets.to_numpy()))
+                sums = np.bincount(row * dimension + slots[at], weights=signs[at], minlength=sums.size).reshape(sums.shape)
             return _unit_lists(sums)
 
-        return count(F.transform(basic_tokens(F.coalesce(text, F.lit(""))), code))
+        return count(basic_tokens(F.coalesce(text, F.lit(""))))
 
 
 class PooledEncoder:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 SPACES = r"[\s\x1C-\x1F\x85\p{Z}]+"
 NOT_WORD_OR_SPACE = r"[^\p{L}\p{N}_\s\x1C-\x1F\x85\p{Z}]"
 ASCII_PUNCTUATION = r"!-/:-@\[-`{-~"
-CONTROLS = r"[\p{C}&&[^\t\n\r]]|�"
+DROPPED = r"[\p{Mn}\uFFFD[\p{C}&&[^\t\n\r]]]"
 TOKEN = rf"[{ASCII_PUNCTUATION}\p{{P}}]|[^ \t\n\r\p{{Zs}}{ASCII_PUNCTUATION}\p{{P}}]+"
 
 # Limits and special tokens of the text encoder, and of the stored plots.
@@ -48,25 +49,33 @@ def strip_text(text: Column) -> Column:
 
 
 @F.arrow_udf(T.StringType())
-def _fold(texts: pa.Array) -> pa.Array:
-    folded = []
-    for text in texts.to_pylist():
-        if text is not None:
-            parts = unicodedata.normalize("NFD", text.lower())
-            text = "".join(c for c in parts if unicodedata.category(c) != "Mn")
-        folded.append(text)
-    return pa.array(folded, type=pa.string())
+def _decompose(texts: pa.Array) -> pa.Array:
+    """Lower case in NFD, which Spark has no function for."""
+    parts = (text if text is None else unicodedata.normalize("NFD", text.lower()) for text in texts.to_pylist())
+    return pa.array(parts, type=pa.string())
 
 
 def fold_text(text: Column) -> Column:
-    """Lower case without accents. Only texts with a non-ASCII character leave the JVM for it."""
-    return F.coalesce(_fold(F.when(F.regexp_like(text, F.lit(r"[^\x00-\x7F]")), text)), F.lower(text))
+    """Lower case without accents and control characters.
+
+    Only texts with a non-ASCII character leave the JVM, to be decomposed.
+    """
+    parts = F.coalesce(_decompose(F.when(F.regexp_like(text, F.lit(r"[^\x00-\x7F]")), text)), F.lower(text))
+    return F.regexp_replace(parts, DROPPED, "")
 
 
 def basic_tokens(text: Column) -> Column:
-    """Words and single punctuation marks of the folded text, control characters dropped."""
-    clean = F.regexp_replace(fold_text(text), CONTROLS, "")
-    return F.regexp_extract_all(clean, F.lit(TOKEN), F.lit(0))
+    """Words and single punctuation marks of the folded text."""
+    return F.regexp_extract_all(fold_text(text), F.lit(TOKEN), F.lit(0))
+
+
+def count_tokens(df: DataFrame, text: str) -> DataFrame:
+    """How often each token occurs: ``token, n``, counted in part before the shuffle.
+
+    The outer explode keeps Spark from adding a filter on the token array, which would tokenise twice.
+    """
+    tokens = df.select(F.explode_outer(basic_tokens(F.col(text))).alias("token"))
+    return tokens.where(F.col("token").isNotNull()).groupBy("token").agg(F.count("*").alias("n"))
 
 
 def wordpiece_ids(text: Column, vocabulary: list[str]) -> Column:
@@ -84,18 +93,18 @@ def wordpiece_ids(text: Column, vocabulary: list[str]) -> Column:
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def pieces(words: pa.Array) -> pa.Array:
-        known: dict[str, list[int]] = {}
-        rows = []
-        for text_words in words:
-            row = [first]
-            for word in text_words.values or ():
-                word = word.as_py()
-                if word not in known:
-                    known[word] = _split_word(word, ids, unknown)
-                row += known[word]
-                if len(row) >= MAX_TOKENS:
-                    break
-            rows.append((row + [last])[:MAX_TOKENS])
+        coded = words.flatten().dictionary_encode()
+        parts = [_split_word(word, ids, unknown) for word in coded.dictionary.to_pylist()]
+        sizes = np.array([len(part) for part in parts], dtype=np.int64)
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        flat = pa.array(parts, type=pa.list_(pa.int32())).take(coded.indices).flatten().to_numpy(zero_copy_only=False)
+        # Where each text starts: in words, then in pieces.
+        starts = words.offsets.to_numpy() - words.offsets[0].as_py()
+        starts = np.concatenate([[0], np.cumsum(sizes[at])])[starts]
+        rows = [
+            np.concatenate([[first], flat[start : min(stop, start + MAX_TOKENS)], [last]])[:MAX_TOKENS]
+            for start, stop in zip(starts, starts[1:])
+        ]
         return pa.array(rows, type=pa.list_(pa.int32()))
 
     return pieces(basic_tokens(F.coalesce(text, F.lit(""))))

@@ -18,9 +18,9 @@ from pyspark.sql import types as T
 
 from vecframe.operators import knn
 from vecframe.operators.evaluate import recall_at_k
-from vecframe.operators.metrics import l2_normalize, metric_name
+from vecframe.operators.metrics import metric_name
 from vecframe.operators.topk import METRIC_CODES
-from vecframe.operators.vectors import nearest_cells, pair_goodness, project
+from vecframe.operators.vectors import l2_normalize, nearest_cells, pair_goodness, project
 from vecframe.session import task_slots
 
 EXACT_BELOW = 50_000
@@ -101,7 +101,7 @@ def knn_pca(
     )
     facts = knn.query_facts(asked)
     if facts["n"] == 0:
-        return knn.merge_hits(knn._no_hits(asked, corpus.select(F.col(key).alias("key"))))
+        return knn.merge_hits(knn._no_hits(asked, corpus.select(F.col(key).alias("key"))), 1)
     few = facts["n"] * top_k * candidate_multiplier * 64 <= broadcast_limit
     hint = F.broadcast if few else lambda df: df
     rows = corpus.select(F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("vec"))
@@ -113,7 +113,7 @@ def knn_pca(
     scored = scored.where(
         ~F.isnan("goodness") & (F.col("qfloor").isNull() | (F.col("goodness") >= F.col("qfloor")))
     )
-    return knn.merge_hits(scored.select("query_id", "key", "goodness", "qk", "qmetric"))
+    return knn.merge_hits(scored.select("query_id", "key", "goodness", "qk", "qmetric"), facts["k"])
 
 
 # --- inverted-file cells ------------------------------------------------------------------------
@@ -200,7 +200,7 @@ def knn_ivf(
     else:
         hits = _cell_grid_hits(rows, asked, facts, broadcast_limit)
     return knn._finish(
-        knn.merge_hits(hits), celled, asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit
+        knn.merge_hits(hits, facts["k"]), celled, asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit
     )
 
 
@@ -284,10 +284,13 @@ def tune_recall(
     if rows >= exact_below and rows > 0:
         truth = knn.knn_join(corpus, queries, **options).persist()
         measure = lambda hits: recall_at_k(hits, truth, top_k).first().recall or 0.0
+        # Components come in order of variance, so the widest fit holds all narrower ones.
+        widest = max(1, int(dim * max(share for share, _ in PCA_SETTINGS)))
+        components = fit_pca(corpus, widest, vector=vector, metric=metric)
         for share, multiplier in PCA_SETTINGS:
             reduced_dimensions = max(1, int(dim * share))
-            components = fit_pca(corpus, reduced_dimensions, vector=vector, metric=metric)
-            hits = knn_pca(corpus, queries, components, candidate_multiplier=multiplier, **options)
+            narrow = components[:, :reduced_dimensions]
+            hits = knn_pca(corpus, queries, narrow, candidate_multiplier=multiplier, **options)
             tried.append(
                 {
                     "method": "pca",

@@ -73,7 +73,7 @@ def knn_join(
         filter_on=filter_on,
     )
     facts = query_facts(asked)
-    rows = corpus.where(F.col(vector).isNotNull()).select(
+    rows = corpus.select(
         F.col(key).alias("key"),
         F.col(vector).cast("array<float>").alias("vec"),
         *[F.col(c).alias(f"f_{i}") for i, c in enumerate(filter_on or {})],
@@ -84,7 +84,7 @@ def knn_join(
         hits = scan_hits(rows, asked.toArrow(), facts["dim"])
     else:
         hits = _grid_hits(rows, asked, facts, broadcast_limit)
-    ranked = merge_hits(hits)
+    ranked = merge_hits(hits, facts["k"])
     return _finish(
         ranked, corpus, asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit
     )
@@ -230,6 +230,7 @@ def scan_hits(rows: DataFrame, asked: pa.Table, dim: int) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = None
         for batch in batches:
+            batch = with_vectors_only(batch)
             if best is None:
                 best = TopK(shipped.value, dim)
                 key_type = batch.column("key").type
@@ -252,6 +253,12 @@ def scan_hits(rows: DataFrame, asked: pa.Table, dim: int) -> DataFrame:
     return rows.coalesce(TASKS_PER_SLOT * task_slots(spark)).mapInArrow(search, schema)
 
 
+def with_vectors_only(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows without a vector are dropped here: a filter on a computed vector would compute it twice."""
+    vectors = batch.column("vec")
+    return batch.filter(vectors.is_valid()) if vectors.null_count else batch
+
+
 def _spark_type(spark: SparkSession, arrow_type: pa.DataType) -> T.DataType:
     from pyspark.sql.pandas.types import from_arrow_type
 
@@ -297,6 +304,7 @@ def cell_hits(rows: DataFrame, asked: DataFrame, dim: int, cells: int) -> DataFr
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held, best = None, [], None
         for batch in batches:
+            batch = with_vectors_only(batch)
             cell = batch.column("cell").to_numpy(zero_copy_only=False).astype(np.int64)
             side = batch.column("side").to_numpy(zero_copy_only=False)
             key_type = batch.column("key").type
@@ -324,22 +332,24 @@ def cell_hits(rows: DataFrame, asked: DataFrame, dim: int, cells: int) -> DataFr
     return met.sortWithinPartitions("cell", "side").mapInArrow(search, schema)
 
 
-def merge_hits(hits: DataFrame) -> DataFrame:
+def merge_hits(hits: DataFrame, k_max: int) -> DataFrame:
     """Best k per query over all tasks: ``query_id, rank, key, score``.
 
-    Each level keeps k rows per query before its shuffle as well as after it. With many tasks a
-    level of ``MERGE_FAN_IN`` groups per query comes first, so no task sorts a hit from every task.
+    The bound ``k_max`` on every query's k lets Spark drop rows before each shuffle as well as after
+    it. With many tasks a level of ``MERGE_FAN_IN`` groups per query comes first, so no task sorts a
+    hit from every task.
     """
     order = [F.col("goodness").desc(), F.col("key").asc()]
     if TASKS_PER_SLOT * task_slots(hits.sparkSession) > MERGE_FAN_IN:
         hits = hits.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(MERGE_FAN_IN)))
         partial = Window.partitionBy("query_id", "group").orderBy(*order)
-        hits = hits.withColumn("place", F.row_number().over(partial)).where("place <= qk").drop("place", "group")
+        hits = hits.withColumn("place", F.row_number().over(partial))
+        hits = hits.where((F.col("place") <= k_max) & (F.col("place") <= F.col("qk"))).drop("place", "group")
     by_query = Window.partitionBy("query_id").orderBy(*order)
     score = F.when(F.col("qmetric") == EUCLIDEAN, F.abs("goodness")).otherwise(F.col("goodness"))
     return (
         hits.withColumn("rank", F.row_number().over(by_query))
-        .where("rank <= qk")
+        .where((F.col("rank") <= k_max) & (F.col("rank") <= F.col("qk")))
         .select("query_id", "rank", "key", score.alias("score"))
     )
 

@@ -1,6 +1,6 @@
-"""Similarity metrics: names, validation, and pairwise scores as Spark expressions.
+"""Similarity metrics: their names, and the decisions about scores.
 
-Decisions kept in this one place:
+The scores themselves are in ``topk`` and ``vectors``. Decisions:
 
 * cosine is the raw value in [-1, 1]; a zero vector scores 0.0 against everything;
 * euclidean is a distance, so smaller ranks first, and it is bounded by ``max_distance``;
@@ -40,33 +40,3 @@ def metric_column(metric: Column) -> Column:
         resolved,
         F.raise_error(F.concat(F.lit("unknown metric: "), F.coalesce(metric, F.lit("NULL")))).cast("string"),
     )
-
-
-def _dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
-
-
-def norm(v: Column) -> Column:
-    return F.sqrt(_dot(v, v))
-
-
-def pair_score(a: Column, b: Column, metric: str) -> Column:
-    """Score of two vector columns of one row. Vectors of unequal length fail the job."""
-    metric = metric_name(metric)
-    if metric == "dot_product":
-        score = _dot(a, b)
-    elif metric == "euclidean":
-        gaps = F.zip_with(a, b, lambda x, y: x.cast("double") - y.cast("double"))
-        score = F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x * x))
-    else:
-        scale = norm(a) * norm(b)
-        score = F.when(scale == 0.0, F.lit(0.0)).otherwise(F.try_divide(_dot(a, b), scale))
-    mismatch = F.raise_error(F.lit("vectors differ in dimension")).cast("double")
-    return F.when(F.size(a) != F.size(b), mismatch).otherwise(score)
-
-
-def l2_normalize(v: Column) -> Column:
-    """Unit length, with the norm floored at 1e-9 so that a zero vector stays zero."""
-    length = F.greatest(norm(v), F.lit(NORM_FLOOR))
-    return F.transform(v, lambda x: (x.cast("double") / length).cast("float"))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecframe.operators.metrics import l2_normalize
-from vecframe.operators.topk import exact_goodness, to_matrix
+from vecframe.operators.metrics import NORM_FLOOR, metric_name
+from vecframe.operators.topk import METRIC_CODES, exact_goodness, to_matrix
 
 FLOATS = T.ArrayType(T.FloatType())
 
@@ -37,6 +37,22 @@ def coerce_vectors(df: DataFrame, vector: str = "vector") -> DataFrame:
     return df.withColumn(vector, F.coalesce(F.col(vector).cast(FLOATS), zero))
 
 
+@F.arrow_udf(FLOATS)
+def _to_unit(vectors: pa.Array) -> pa.Array:
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    sizes = np.diff(vectors.offsets.to_numpy())
+    row = np.repeat(np.arange(len(vectors)), sizes)
+    length = np.sqrt(np.bincount(row, weights=flat * flat, minlength=len(vectors)))
+    scaled = (flat / np.maximum(length, NORM_FLOOR)[row]).astype(np.float32)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), type=pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(scaled), mask=vectors.is_null() if vectors.null_count else None)
+
+
+def l2_normalize(column: Column) -> Column:
+    """Unit length, with the norm floored at 1e-9 so that a zero vector stays zero; null stays null."""
+    return _to_unit(column.cast(FLOATS))
+
+
 def normalize_vectors(df: DataFrame, vector: str = "vector") -> DataFrame:
     return df.withColumn(vector, l2_normalize(F.col(vector)))
 
@@ -94,7 +110,15 @@ def pair_goodness(a: Column, b: Column, metric_code: Column, dim: int) -> Column
             out[of_metric] = exact_goodness(left[of_metric], right[of_metric], int(code))
         return pa.array(out)
 
-    return score(a.cast(FLOATS), b.cast(FLOATS), metric_code)
+    # Declared so that a filter on the score does not compute it a second time.
+    return score.asNondeterministic()(a.cast(FLOATS), b.cast(FLOATS), metric_code)
+
+
+def pair_score(a: Column, b: Column, metric: str, dim: int) -> Column:
+    """Score of two vector columns of one row: a similarity, or the distance for euclidean."""
+    metric = metric_name(metric)
+    goodness = pair_goodness(a, b, F.lit(METRIC_CODES[metric]), dim)
+    return F.abs(goodness) if metric == "euclidean" else goodness
 
 
 def _unit(x: np.ndarray) -> np.ndarray:

@@ -75,7 +75,7 @@ FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id
 
 SIGN_HITS = """
 WITH signs AS (
-  SELECT vec_id, list_transform(embedding, x -> CASE WHEN x >= 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS v FROM embeddings
+  SELECT vec_id, [CASE WHEN x >= 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END FOR x IN embedding] AS v FROM embeddings
 ), hits AS (
   SELECT query_id, "key", row_number() OVER (PARTITION BY query_id ORDER BY score DESC, "key") AS rank FROM (
     SELECT q.vec_id AS query_id, e.vec_id AS "key", list_inner_product(q.v, e.v) AS score FROM signs q, signs e)
@@ -309,7 +309,7 @@ JOIN documents ON doc_id = "key" WHERE rank <= 10
 CORPUS = TEXTS.rstrip() + f""",
 {_embedded('c', 'corpus', 'id', 'plot')}
 SELECT id, title, year, genre, plot, 384 AS dimension,
-       round(list_sum(list_transform(v, (x, i) -> x * i)), 4) AS checksum
+       round(list_inner_product(v, range(1, 385)::DOUBLE[]), 4) AS checksum
 FROM corpus JOIN c_vectors USING (id)
 """
 
@@ -328,7 +328,7 @@ def _matrix(format: str) -> str:
     value = "embedding"
     if format in INTEGER_RANGES:
         shift, scale = INTEGER_RANGES[format]
-        value = f"list_transform(embedding, x -> floor((x::DOUBLE + {shift}) * {scale}))"
+        value = f"[floor((x::DOUBLE + {shift}) * {scale}) FOR x IN embedding]"
     return _elements("id", value, ROWS)
 
 
@@ -355,7 +355,7 @@ ORACLE: dict[str, str] = {
     "recall_at_k": RECALL,
     "ndcg_at_k": NDCG,
     "coerce_vectors": _elements(
-        "vec_id", "CASE WHEN label > 0 THEN embedding ELSE list_transform(embedding, x -> 0::FLOAT) END", "embeddings"
+        "vec_id", "CASE WHEN label > 0 THEN embedding ELSE [0::FLOAT FOR x IN embedding] END", "embeddings"
     ),
     "normalize_vectors": NORMALIZED,
     "vector_mean": VECTOR_MEAN,

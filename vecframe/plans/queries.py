@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecframe.functions.encoders import HashEncoder, embed
-from vecframe.functions.text import SPECIAL_TOKENS, basic_tokens, normalize_title, truncate_text, wordpiece_ids
+from vecframe.functions.text import SPECIAL_TOKENS, count_tokens, normalize_title, truncate_text, wordpiece_ids
 from vecframe.operators import ann, evaluate, knn, rerank, schema, tables, vectors
 from vecframe.plans import corpus as corpora
 from vecframe.plans.staging import stage_files
@@ -32,8 +32,12 @@ def rounded(hits: DataFrame) -> DataFrame:
 
 
 def elements(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """One row per vector element, so that a comparison covers every value."""
-    parts = df.select(key, F.posexplode(vector).alias("pos", "value"))
+    """One row per vector element, so that a comparison covers every value.
+
+    The outer form, since for the inner one Spark also filters on the size, and so computes a
+    vector made by a function twice.
+    """
+    parts = df.select(key, F.posexplode_outer(vector).alias("pos", "value"))
     return parts.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
@@ -358,7 +362,7 @@ def stream_merge(spark, folder):
 def documents_as_texts(spark, folder) -> DataFrame:
     d = table(spark, folder, "documents")
     return d.select(
-        F.col("text").alias("title"), (F.lit(1900) + F.col("n_chars") % 120).alias("year"),
+        F.col("text").alias("title"), (F.lit(1900) + F.col("n_chars") % 120).cast("int").alias("year"),
         F.col("source").alias("genre"), F.col("text").alias("plot"), F.col("lang").alias("origin"),
         F.col("doc_id").alias("position"),
     )
@@ -376,9 +380,7 @@ def labels_as_popularity(spark, folder) -> DataFrame:
 
 def _wanted(spark, folder) -> DataFrame:
     texts = documents_as_texts(spark, folder)
-    return corpora.corpus_filter(texts, title="title", year="year", text="plot", group="origin", groups=GROUPS).withColumn(
-        "year", F.col("year").cast("int")
-    )
+    return corpora.corpus_filter(texts, title="title", year="year", text="plot", group="origin", groups=GROUPS)
 
 
 def corpus_filter(spark, folder):
@@ -423,25 +425,27 @@ def truncated_texts(spark, folder):
 
 
 def token_counts(spark, folder):
-    tokens = table(spark, folder, "documents").select(F.explode(basic_tokens(F.col("text"))).alias("token"))
-    return tokens.groupBy("token").agg(F.count("*").alias("n"))
+    return count_tokens(table(spark, folder, "documents"), "text")
 
 
 def wordpieces(spark, folder):
     """Ids under a vocabulary of the commonest tokens and all single characters."""
-    d = table(spark, folder, "documents")
-    common = token_counts(spark, folder).orderBy(F.desc("n"), "token").limit(VOCABULARY)
-    words = [r.token for r in common.collect()]
-    letters = d.select(F.explode(F.array_distinct(F.split(F.concat_ws("", basic_tokens(F.col("text"))), ""))).alias("c"))
-    letters = sorted(r.c for r in letters.distinct().where("c != ''").collect())
+    path = shared_dir(spark, "tokens")
+    token_counts(spark, folder).write.parquet(path)
+    counts = spark.read.parquet(path)
+    words = [r.token for r in counts.orderBy(F.desc("n"), "token").limit(VOCABULARY).collect()]
+    letters = counts.select(F.explode(F.split("token", "")).alias("c")).where("c != ''").distinct()
+    letters = sorted(r.c for r in letters.collect())
     seen = dict.fromkeys([*SPECIAL_TOKENS, *letters, *["##" + c for c in letters], *words])
     ids = wordpiece_ids(F.col("text"), list(seen))
-    return d.select("doc_id", ids.alias("ids")).select("doc_id", F.size("ids").alias("n_ids"), F.array_join("ids", " ").alias("ids"))
+    rows = table(spark, folder, "documents").select("doc_id", ids.alias("ids"))
+    return rows.select("doc_id", F.size("ids").alias("n_ids"), F.array_join("ids", " ").alias("ids"))
 
 
 def embed_hash(spark, folder):
     d = embed(table(spark, folder, "documents").select("doc_id", "text"), "text", HashEncoder())
-    return elements(d, "doc_id", "vector").where("value != 0")
+    slots = d.select("doc_id", F.posexplode_outer("vector").alias("pos", "value")).where("value != 0")
+    return slots.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
 def text_search(spark, folder):
