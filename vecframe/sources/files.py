@@ -54,11 +54,15 @@ def file_listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def check_files(listing: DataFrame) -> DataFrame:
-    """The listing, refused when a file is empty or badly named."""
-    bad = listing.where("size = 0 or not name rlike '^[a-zA-Z0-9._-]+$'").limit(1).collect()
+    """The listing, refused when a file is badly named or nothing is in any file.
+
+    Spark lists no empty files.
+    """
+    bad = listing.where("not name rlike '^[a-zA-Z0-9._-]+$'").limit(1).collect()
     if bad:
         check_filename(bad[0]["name"])
-        raise ValueError(f"file {bad[0]['name']!r} is empty")
+    if listing.limit(1).isEmpty():
+        raise ValueError("the files are empty")
     return listing
 
 
