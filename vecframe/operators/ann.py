@@ -99,21 +99,21 @@ def knn_pca(
         queries, query_id=query_id, query_vector=query_vector, top_k=top_k, metric=metric,
         min_score=min_score, max_distance=max_distance, filter_on=None,
     )
-    facts = knn.query_facts(asked)
-    if facts["n"] == 0:
+    facts = knn.measure(asked, broadcast_limit)
+    if facts.n == 0:
         return knn.merge_hits(knn._no_hits(asked, corpus.select(F.col(key).alias("key"))), 1)
-    few = facts["n"] * top_k * candidate_multiplier * 64 <= broadcast_limit
+    few = facts.n * top_k * candidate_multiplier * 64 <= broadcast_limit
     hint = F.broadcast if few else lambda df: df
     rows = corpus.select(F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("vec"))
     pairs = rows.join(hint(candidates), "key")
-    if facts["bytes"] <= broadcast_limit:
+    if facts.bytes <= broadcast_limit:
         asked = F.broadcast(asked)
     pairs = pairs.join(asked, pairs["query_id"] == F.col("qid"))
-    scored = pairs.withColumn("goodness", pair_goodness(F.col("qvec"), F.col("vec"), F.col("qmetric"), facts["dim"]))
+    scored = pairs.withColumn("goodness", pair_goodness(F.col("qvec"), F.col("vec"), F.col("qmetric"), facts.dim))
     scored = scored.where(
         ~F.isnan("goodness") & (F.col("qfloor").isNull() | (F.col("goodness") >= F.col("qfloor")))
     )
-    return knn.merge_hits(scored.select("query_id", "key", "goodness", "qk", "qmetric"), facts["k"])
+    return knn.merge_hits(scored.select("query_id", "key", "goodness", "qk", "qmetric"), facts.k)
 
 
 # --- inverted-file cells ------------------------------------------------------------------------
@@ -187,24 +187,24 @@ def knn_ivf(
         min_score=min_score, max_distance=max_distance, filter_on=None,
         extra=[nearest_cells(F.col(query_vector), centroids, nprobe, metric == "cosine").alias("qcells")],
     )
-    facts = knn.query_facts(asked.drop("qcells"))
+    facts = knn.measure(asked, broadcast_limit)
     rows = celled.select("cell", F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("vec"))
-    if facts["n"] == 0:
+    if facts.n == 0:
         hits = knn._no_hits(asked, rows)
-    elif facts["bytes"] + 4 * nprobe * facts["n"] <= broadcast_limit:
-        table = asked.toArrow()
+    elif facts.rows is not None:
+        table = facts.rows
         if nprobe < len(centroids):
             probed = sorted(set(table.column("qcells").combine_chunks().flatten().to_pylist()))
             rows = rows.where(F.col("cell").isin(probed))
-        hits = knn.scan_hits(rows, table, facts["dim"])
+        hits = knn.scan_hits(rows, table, facts.dim)
     else:
         hits = _cell_grid_hits(rows, asked, facts, broadcast_limit)
     return knn._finish(
-        knn.merge_hits(hits, facts["k"]), celled, asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit
+        knn.merge_hits(hits, facts.k), celled, asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit
     )
 
 
-def _cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: dict[str, int], limit: int) -> DataFrame:
+def _cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: knn.Asked, limit: int) -> DataFrame:
     """Join on the cell, with each cell cut into its own grid.
 
     A cell that many queries probe is cut into grid rows, one that holds many vectors into grid
@@ -214,7 +214,7 @@ def _cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: dict[str, int], li
     probing = asked.withColumn("cell", F.explode("qcells")).drop("qcells")
     sizes = dict(rows.groupBy("cell").count().collect())
     loads = dict(probing.groupBy("cell").count().collect())
-    row_bytes = facts["bytes"] / facts["n"]
+    row_bytes = facts.bytes / facts.n
     cuts = {c: math.ceil(load * row_bytes / limit) for c, load in loads.items() if c in sizes}
     share = sum(sizes[c] * n for c, n in cuts.items()) / (knn.TASKS_PER_SLOT * task_slots(spark))
     layout, total = [], 0
@@ -235,7 +235,7 @@ def _cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: dict[str, int], li
     return knn.cell_hits(
         right.withColumn("cell", place(F.col("at"), column_of)).drop(*extra),
         left.withColumn("cell", place(row_of, F.col("at"))).drop(*extra),
-        facts["dim"],
+        facts.dim,
         total,
     )
 

@@ -18,9 +18,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,19 +74,19 @@ def knn_join(
         max_distance=max_distance,
         filter_on=filter_on,
     )
-    facts = query_facts(asked)
+    facts = measure(asked, broadcast_limit)
     rows = corpus.select(
         F.col(key).alias("key"),
         F.col(vector).cast("array<float>").alias("vec"),
         *[F.col(c).alias(f"f_{i}") for i, c in enumerate(filter_on or {})],
     )
-    if facts["n"] == 0:
+    if facts.n == 0:
         hits = _no_hits(asked, rows)
-    elif facts["bytes"] <= broadcast_limit:
-        hits = scan_hits(rows, asked.toArrow(), facts["dim"])
+    elif facts.rows is not None:
+        hits = scan_hits(rows, facts.rows, facts.dim)
     else:
         hits = _grid_hits(rows, asked, facts, broadcast_limit)
-    ranked = merge_hits(hits, facts["k"])
+    ranked = merge_hits(hits, facts.k)
     return _finish(
         ranked, corpus, asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit
     )
@@ -176,28 +178,50 @@ def query_table(
     )
 
 
-def query_facts(asked: DataFrame) -> dict[str, int]:
-    """Measured size of the query table; broken queries are refused before any work starts."""
-    row = asked.agg(
-        F.count("*").alias("n"),
-        F.count("qid").alias("ids"),
-        F.count("qvec").alias("vectors"),
-        F.min(F.size("qvec")).alias("low"),
-        F.max(F.size("qvec")).alias("high"),
-        F.min("qk").alias("k_low"),
-        F.max("qk").alias("k_high"),
-    ).first()
-    if row.n == 0:
-        return {"n": 0, "dim": 0, "k": 0, "bytes": 0}
-    if row.ids < row.n or row.vectors < row.n:
+@dataclass
+class Asked:
+    """Measured queries: how many, how wide, and their rows when those fit the limit."""
+
+    n: int
+    dim: int
+    k: int
+    bytes: int
+    rows: pa.Table | None = None
+
+
+def measure(asked: DataFrame, limit: int) -> Asked:
+    """Size up the query table, and fetch it if it fits; broken queries are refused.
+
+    The row count and one row decide whether it fits, so that queries that are costly to compute,
+    such as embedded texts, are computed once.
+    """
+    first = asked.select(F.size("qvec"), "qk").first()
+    if first is None:
+        return Asked(0, 0, 1, 0)
+    n = asked.count()
+    wide = lambda dim, k: n * (4 * max(dim or 0, 0) + 24 * k + 64)
+    if wide(*first) <= limit:
+        rows = asked.toArrow()
+        sizes = pc.list_value_length(rows.column("qvec"))
+        facts = (
+            len(rows.column("qid")) - rows.column("qid").null_count, len(sizes) - sizes.null_count,
+            pc.min(sizes).as_py(), pc.max(sizes).as_py(), pc.min(rows.column("qk")).as_py(), pc.max(rows.column("qk")).as_py(),
+        )
+    else:
+        rows = None
+        facts = asked.agg(
+            F.count("qid"), F.count("qvec"), F.min(F.size("qvec")), F.max(F.size("qvec")), F.min("qk"), F.max("qk")
+        ).first()
+    ids, vectors, low, high, k_low, k_high = facts
+    if ids < n or vectors < n:
         raise ValueError("every query needs an id and a vector")
-    if row.low != row.high:
-        raise ValueError(f"query vectors differ in dimension: {row.low} to {row.high}")
-    if row.low < 1:
+    if low != high:
+        raise ValueError(f"query vectors differ in dimension: {low} to {high}")
+    if low < 1:
         raise ValueError("the query vector must not be empty")
-    if row.k_low < 1:
+    if k_low < 1:
         raise ValueError("top_k must be at least 1")
-    return {"n": row.n, "dim": row.low, "k": row.k_high, "bytes": row.n * (4 * row.low + 24 * row.k_high + 64)}
+    return Asked(n, low, k_high, wide(low, k_high), rows if wide(low, k_high) <= limit else None)
 
 
 def _hit_schema(spark: SparkSession, asked: DataFrame, rows: DataFrame) -> T.StructType:
@@ -265,11 +289,11 @@ def _spark_type(spark: SparkSession, arrow_type: pa.DataType) -> T.DataType:
     return from_arrow_type(arrow_type)
 
 
-def _grid_hits(rows: DataFrame, asked: DataFrame, facts: dict[str, int], limit: int) -> DataFrame:
+def _grid_hits(rows: DataFrame, asked: DataFrame, facts: Asked, limit: int) -> DataFrame:
     repeated = asked.groupBy("qid").count().where("count > 1").limit(1).collect()
     if repeated:
         raise ValueError(f"query id {repeated[0].qid!r} occurs more than once")
-    grid_rows = math.ceil(facts["bytes"] / limit)
+    grid_rows = math.ceil(facts.bytes / limit)
     grid_columns = max(1, math.ceil(TASKS_PER_SLOT * task_slots(rows.sparkSession) / grid_rows))
     row_of = F.pmod(F.xxhash64("qid"), F.lit(grid_rows))
     column_of = F.pmod(F.xxhash64("key"), F.lit(grid_columns))
@@ -278,7 +302,7 @@ def _grid_hits(rows: DataFrame, asked: DataFrame, facts: dict[str, int], limit:
     return cell_hits(
         rows.withColumn("cell", (F.col("row") * grid_columns + column_of).cast("int")).drop("row"),
         asked.withColumn("cell", (row_of * grid_columns + F.col("column")).cast("int")).drop("column"),
-        facts["dim"],
+        facts.dim,
         grid_rows * grid_columns,
     )
 
@@ -364,7 +388,7 @@ def _finish(ranked, corpus, asked, facts, key, vector, metadata, with_vectors, k
         payload.append(F.col(vector).alias("vector"))
     if payload:
         # Keys and scores were ranked alone; the number of winners is known, so its size is too.
-        small = facts["n"] * facts["k"] * 64 <= limit
+        small = facts.n * facts.k * 64 <= limit
         winners = F.broadcast(ranked) if small else ranked
         ranked = corpus.select(F.col(key).alias("key"), *payload).join(winners, "key", "inner")
         first = ["query_id", "rank", "key", "score"]

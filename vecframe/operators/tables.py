@@ -26,15 +26,19 @@ def check_filename(name: str) -> str:
     return name
 
 
+def key_bytes(keys: DataFrame) -> int:
+    """Measured size of a table of keys as it would be held in memory."""
+    widths = [F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + 24 for c in keys.columns]
+    return keys.agg(F.sum(sum(widths[1:], widths[0])).alias("bytes")).first().bytes or 0
+
+
 def travelling(keys: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """``keys`` marked for broadcast if it measures at most ``limit`` bytes, else unmarked.
 
     Measured up front, because a join planned as a shuffle has already moved the large side by the
     time adaptive execution sees how small the other side is.
     """
-    widths = [F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + 24 for c in keys.columns]
-    total = keys.agg(F.sum(sum(widths[1:], widths[0])).alias("bytes")).first().bytes or 0
-    return F.broadcast(keys) if total <= limit else keys
+    return F.broadcast(keys) if key_bytes(keys) <= limit else keys
 
 
 def newest(rows: DataFrame, key: str = "key", seq: str = "seq") -> DataFrame:
@@ -69,11 +73,12 @@ def merge_on_read(
     keeps deleted keys as rows marked in ``op``, so that a late, older write cannot bring them back.
     """
     latest = newest(log, key, seq)
-    stamps = latest.select(key, F.col(seq).alias("_log_seq"))
-    same = base.select(key, seq).join(travelling(stamps), key)
-    beaten = same.where(F.col("_log_seq") <= F.col(seq)).select(key).distinct()
-    winners = latest.join(beaten, key, "left_anti")
-    kept = base.join(travelling(winners.select(key)), key, "left_anti")
+    stamps = travelling(latest.select(F.col(key).alias("_key"), F.col(seq).alias("_seq")))
+    same_key = F.col(key) == F.col("_key")
+    # One full scan of the base for the rows that stay, one of its keys for the rows that beat the log.
+    kept = base.join(stamps, same_key & (F.col("_seq") > F.col(seq)), "left_anti")
+    beaten = base.select(key, seq).join(stamps, same_key & (F.col("_seq") <= F.col(seq)), "left_semi")
+    winners = latest.join(beaten.select(key), key, "left_anti")
     if op is not None and not keep_deletes:
         winners = winners.where(F.col(op).isNull() | (F.col(op) != delete))
         if op not in base.columns:

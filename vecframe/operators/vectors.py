@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,6 +14,7 @@ from vecframe.operators.metrics import NORM_FLOOR, metric_name
 from vecframe.operators.topk import METRIC_CODES, exact_goodness, to_matrix
 
 FLOATS = T.ArrayType(T.FloatType())
+GROUPS_HELD = 10_000
 
 
 def _lists(matrix: np.ndarray, value_type: pa.DataType) -> pa.Array:
@@ -60,15 +63,58 @@ def normalize_vectors(df: DataFrame, vector: str = "vector") -> DataFrame:
 def vector_mean(df: DataFrame, by: list[str], vector: str = "vector") -> DataFrame:
     """Element-wise mean per group, as ``array<double>``.
 
-    Sums are combined per (group, element) before the shuffle, so a group of any size travels as
-    one row per element and task.
+    Tasks add up whole vectors, so what is shuffled is one vector sum per group and task, however
+    large a group is.
     """
-    parts = df.where(F.col(vector).isNotNull()).select(*by, F.posexplode(vector).alias("_pos", "_x"))
-    means = parts.groupBy(*by, "_pos").agg(F.avg(F.col("_x").cast("double")).alias("_mean"))
+    rows = df.where(F.col(vector).isNotNull()).select(*by, F.col(vector).cast(FLOATS).alias("_vector"))
+    fields = [rows.schema[c] for c in by]
+    schema = T.StructType([*fields, T.StructField("_sums", T.ArrayType(T.DoubleType())), T.StructField("_n", T.LongType())])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            held.append(_group_sums(pa.Table.from_batches([batch]), by, "_vector"))
+            # Joined once in a while, so that a task holds each group about once.
+            if sum(len(t) for t in held) > 2 * GROUPS_HELD:
+                held = [_join_sums(held, by)]
+                if len(held[0]) > GROUPS_HELD:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from _join_sums(held, by).to_batches()
+
+    sums = rows.mapInArrow(add_up, schema).select(*by, "_n", F.posexplode("_sums").alias("_pos", "_x"))
+    means = sums.groupBy(*by, "_pos").agg((F.sum("_x") / F.sum("_n")).alias("_mean"))
     packed = means.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_pos", "_mean"))).alias("_all"))
     return packed.select(*by, F.col("_all._mean").alias(vector))
 
 
+def _group_sums(rows: pa.Table, by: list[str], vector: str, counts: np.ndarray | None = None) -> pa.Table:
+    lists = rows.column(vector).combine_chunks()
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.chunk(0)
+    dim = len(lists[0])
+    if (np.diff(lists.offsets.to_numpy()) != dim).any():
+        raise ValueError("vectors differ in dimension")
+    x = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    groups = rows.select(by).to_pandas().groupby(by, dropna=False, sort=False).ngroup().to_numpy()
+    order = np.argsort(groups, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(groups[order]) != 0])
+    n = np.ones(len(groups), dtype=np.int64) if counts is None else counts
+    return pa.table(
+        [
+            *rows.select(by).take(pa.array(order[starts])).columns,
+            _lists(np.add.reduceat(x[order], starts, axis=0), pa.float64()),
+            pa.array(np.add.reduceat(n[order], starts)),
+        ],
+        names=[*by, "_sums", "_n"],
+    )
+
+
+def _join_sums(parts: list[pa.Table], by: list[str]) -> pa.Table:
+    whole = pa.concat_tables(parts)
+    return _group_sums(whole, by, "_sums", whole.column("_n").to_numpy())
+
+
 def project(column: Column, components: np.ndarray, unit: bool) -> Column:
     """Coordinates of each vector along ``components`` (dimension x reduced), optionally unit-scaled first."""
     dim = components.shape[0]

@@ -13,6 +13,8 @@ from vecframe.operators.knn import knn_join
 TOP_N = 5000
 MIN_TEXT = 200
 ID_FORMAT = "film-%05d"
+# The winners are sorted in one task and broadcast, about 100 bytes each.
+MAX_SELECTED = 500_000
 COLUMNS = ["id", "title", "year", "genre", "plot", "vector"]
 
 
@@ -44,17 +46,18 @@ def row_ids(df: DataFrame, order: list[Column], *, name: str = "id", id_format:
 
 
 def match_popularity(texts: DataFrame, popularity: DataFrame, *, position: str = "position") -> DataFrame:
-    """First text and most popular entry per (normalised title, year).
+    """First text and most popular entry per (normalised title, year), as keys, position and popularity.
 
-    ``texts`` has ``title, year`` and a ``position`` that orders it; ``popularity`` has ``title, year,
-    popularity`` and its own ``position`` for ties. Texts are thinned before the join: the join keeps
-    or drops all rows of a key alike, so the first row is the same, and copies never meet the join.
-    Both sides are then partitioned by the join keys already.
+    ``texts`` has ``title, year`` and a ``position`` that names and orders its rows; ``popularity`` has
+    ``title, year, popularity`` and its own ``position`` for ties. Texts are thinned before the join:
+    the join keeps or drops all rows of a key alike, so the first row is the same, and copies never
+    meet the join. Both sides are then partitioned by the join keys already.
     """
     keys = ["title_norm", "year"]
-    ranked = popularity.withColumn("title_norm", normalize_title(F.col("title")))
-    ranked = keep_first(ranked, keys, [F.desc("popularity"), F.asc(position)]).select(*keys, "popularity")
-    first = keep_first(texts.withColumn("title_norm", normalize_title(F.col("title"))), keys, [F.asc(position)])
+    title = normalize_title(F.col("title")).alias("title_norm")
+    ranked = popularity.select(title, "year", "popularity", position)
+    ranked = keep_first(ranked, keys, [F.desc("popularity"), F.asc(position)]).drop(position)
+    first = keep_first(texts.select(title, "year", position), keys, [F.asc(position)])
     return first.join(ranked, keys, "inner")
 
 
@@ -70,15 +73,18 @@ def build_corpus(
 ) -> DataFrame:
     """``id, title, year, genre, plot, vector`` of the n most popular texts.
 
-    ``texts`` has ``title, year, genre, plot``, the ``group`` column and a ``position``.
+    ``texts`` has ``title, year, genre, plot``, the ``group`` column and a unique ``position``. Matching
+    and ranking move titles and positions only; the texts are read again for the n winners.
     """
+    if n > MAX_SELECTED:
+        raise ValueError(f"n must be at most {MAX_SELECTED}")
     wanted = corpus_filter(texts, title="title", year="year", text="plot", group=group, groups=groups)
     wanted = wanted.withColumn("year", F.col("year").cast("int"))
     order = [F.desc("popularity"), F.asc(position)]
     best = row_ids(top_n(match_popularity(wanted, popularity, position=position), n, order), order)
-    final = best.select(
-        "id", strip_text(F.col("title")).alias("title"), "year", F.col("genre").cast("string").alias("genre"),
-        truncate_text(F.col("plot")).alias("plot"),
+    final = texts.join(F.broadcast(best.select("id", position)), position).select(
+        "id", strip_text(F.col("title")).alias("title"), F.col("year").cast("int").alias("year"),
+        F.col("genre").cast("string").alias("genre"), truncate_text(F.col("plot")).alias("plot"),
     )
     return final.withColumn("vector", encoder.column(F.col("plot")))
 
