@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from vecframe.functions.text import basic_tokens, wordpiece_ids
 from vecframe.operators.metrics import NORM_FLOOR
+from vecframe.session import spread
 
 FLOATS = T.ArrayType(T.FloatType())
 DIMENSION = 384
@@ -31,7 +32,7 @@ class Encoder(Protocol):
 
 
 def embed(df: DataFrame, text: str, encoder: Encoder, output: str = "vector") -> DataFrame:
-    return df.withColumn(output, encoder.column(F.col(text)))
+    return spread(df).withColumn(output, encoder.column(F.col(text)))
 
 
 class HashEncoder:

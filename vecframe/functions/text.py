@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecframe.session import spread
+
 # Character classes spelled out, since the engines' shorthands differ in scope.
 SPACES = r"[\s\x1C-\x1F\x85\p{Z}]+"
 NOT_WORD_OR_SPACE = r"[^\p{L}\p{N}_\s\x1C-\x1F\x85\p{Z}]"
@@ -74,7 +76,7 @@ def count_tokens(df: DataFrame, text: str) -> DataFrame:
 
     The outer explode keeps Spark from adding a filter on the token array, which would tokenise twice.
     """
-    tokens = df.select(F.explode_outer(basic_tokens(F.col(text))).alias("token"))
+    tokens = spread(df.select(text)).select(F.explode_outer(basic_tokens(F.col(text))).alias("token"))
     return tokens.where(F.col("token").isNotNull()).groupBy("token").agg(F.count("*").alias("n"))
 
 

@@ -105,10 +105,13 @@ def knn_pca(
     few = facts.n * top_k * candidate_multiplier * 64 <= broadcast_limit
     hint = F.broadcast if few else lambda df: df
     rows = corpus.select(F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("vec"))
-    pairs = rows.join(hint(candidates), "key")
-    if facts.bytes <= broadcast_limit:
-        asked = F.broadcast(asked)
-    pairs = pairs.join(asked, pairs["query_id"] == F.col("qid"))
+    if facts.rows is not None:
+        # The query vectors travel once per task; a candidate row brings the ids that ask for it, at
+        # most one per query.
+        asking = candidates.groupBy("key").agg(F.collect_list("query_id").alias("asking"))
+        hits = knn.scan_hits(rows.join(hint(asking), "key"), facts.rows, facts.dim)
+        return knn.merge_hits(hits, facts.k)
+    pairs = rows.join(hint(candidates), "key").join(asked, F.col("query_id") == F.col("qid"))
     scored = pairs.withColumn("goodness", pair_goodness(F.col("qvec"), F.col("vec"), F.col("qmetric"), facts.dim))
     scored = scored.where(
         ~F.isnan("goodness") & (F.col("qfloor").isNull() | (F.col("goodness") >= F.col("qfloor")))

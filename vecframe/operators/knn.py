@@ -23,9 +23,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from vecframe.operators.metrics import METRIC_ALIASES, metric_column, metric_name
 from vecframe.operators.topk import EUCLIDEAN, METRIC_CODES, TopK
@@ -224,11 +225,11 @@ def measure(asked: DataFrame, limit: int) -> Asked:
     return Asked(n, low, k_high, wide(low, k_high), rows if wide(low, k_high) <= limit else None)
 
 
-def _hit_schema(spark: SparkSession, asked: DataFrame, rows: DataFrame) -> T.StructType:
+def _hit_schema(id_type: T.DataType, key_type: T.DataType) -> T.StructType:
     return T.StructType(
         [
-            T.StructField("query_id", asked.schema["qid"].dataType),
-            T.StructField("key", rows.schema["key"].dataType),
+            T.StructField("query_id", id_type),
+            T.StructField("key", key_type),
             T.StructField("goodness", T.DoubleType()),
             T.StructField("qk", T.IntegerType()),
             T.StructField("qmetric", T.IntegerType()),
@@ -237,44 +238,39 @@ def _hit_schema(spark: SparkSession, asked: DataFrame, rows: DataFrame) -> T.Str
 
 
 def _no_hits(asked: DataFrame, rows: DataFrame) -> DataFrame:
-    spark = rows.sparkSession
-    return spark.createDataFrame([], _hit_schema(spark, asked, rows))
+    return rows.sparkSession.createDataFrame([], _hit_schema(asked.schema["qid"].dataType, rows.schema["key"].dataType))
 
 
 def scan_hits(rows: DataFrame, asked: pa.Table, dim: int) -> DataFrame:
     """Best rows per task, for queries small enough to travel to every task.
 
-    ``rows`` has ``key, vec, f_*`` and, when the queries carry ``qcells``, ``cell``.
+    ``rows`` has ``key, vec, f_*`` and, when the queries carry ``qcells``, ``cell``. With ``asking``,
+    the ids of the queries a row is a candidate for, only those pairs are scored.
     """
     spark = rows.sparkSession
     shipped = spark.sparkContext.broadcast(asked)
     filters = [c for c in rows.columns if c.startswith("f_")]
-    by_cell = "qcells" in asked.column_names
+    by_cell, by_pair = "qcells" in asked.column_names, "asking" in rows.columns
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = None
         for batch in batches:
             batch = with_vectors_only(batch)
+            keys, vectors = batch.column("key"), batch.column("vec")
             if best is None:
                 best = TopK(shipped.value, dim)
-                key_type = batch.column("key").type
+            if by_pair:
+                best.add_pairs(keys, vectors, batch.column("asking"))
+                continue
             cells = batch.column("cell").to_numpy(zero_copy_only=False) if by_cell else None
-            best.add(batch.column("key"), batch.column("vec"), {f: batch.column(f) for f in filters}, cells)
+            best.add(keys, vectors, {f: batch.column(f) for f in filters}, cells)
         if best is not None:
-            yield best.result(key_type)
+            yield best.result(keys.type)
 
-    id_type = _spark_type(spark, asked.schema.field("qid").type)
-    schema = T.StructType(
-        [
-            T.StructField("query_id", id_type),
-            T.StructField("key", rows.schema["key"].dataType),
-            T.StructField("goodness", T.DoubleType()),
-            T.StructField("qk", T.IntegerType()),
-            T.StructField("qmetric", T.IntegerType()),
-        ]
-    )
+    id_type = from_arrow_type(asked.schema.field("qid").type)
     # Fewer, longer tasks: the rows sent on to the merge are queries x k per task.
-    return rows.coalesce(TASKS_PER_SLOT * task_slots(spark)).mapInArrow(search, schema)
+    few = rows.coalesce(TASKS_PER_SLOT * task_slots(spark))
+    return few.mapInArrow(search, _hit_schema(id_type, rows.schema["key"].dataType))
 
 
 def with_vectors_only(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -283,12 +279,6 @@ def with_vectors_only(batch: pa.RecordBatch) -> pa.RecordBatch:
     return batch.filter(vectors.is_valid()) if vectors.null_count else batch
 
 
-def _spark_type(spark: SparkSession, arrow_type: pa.DataType) -> T.DataType:
-    from pyspark.sql.pandas.types import from_arrow_type
-
-    return from_arrow_type(arrow_type)
-
-
 def _grid_hits(rows: DataFrame, asked: DataFrame, facts: Asked, limit: int) -> DataFrame:
     repeated = asked.groupBy("qid").count().where("count > 1").limit(1).collect()
     if repeated:
@@ -314,7 +304,7 @@ def cell_hits(rows: DataFrame, asked: DataFrame, dim: int, cells: int) -> DataFr
     """
     spark = rows.sparkSession
     filters = [c for c in rows.columns if c.startswith("f_")]
-    schema = _hit_schema(spark, asked, rows)
+    schema = _hit_schema(asked.schema["qid"].dataType, rows.schema["key"].dataType)
     null = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
     left = asked.select(
         "cell", F.lit(0).alias("side"), "qid", null(rows, "key"), F.col("qvec").alias("vec"),

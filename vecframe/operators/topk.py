@@ -168,18 +168,34 @@ class TopK:
         if allowed is not None:
             hopeful &= allowed
         at_q, at_x = np.nonzero(hopeful)
+        self._score(qs[at_q], keys, x, at_x, metric)
+
+    def _score(self, q_rows, keys, x, x_rows, metric) -> None:
+        """Exact scores of aligned (query, row) pairs; those that can still rank are kept."""
         step = max(1, 4_000_000 // self.dim)
-        for at in range(0, len(at_q), step):
-            q_rows, x_rows = qs[at_q[at : at + step]], at_x[at : at + step]
+        for at in range(0, len(q_rows), step):
+            q_part, x_part = q_rows[at : at + step], x_rows[at : at + step]
             with np.errstate(over="ignore", invalid="ignore"):
-                good = exact_goodness(self.q[q_rows], x[x_rows], metric)
+                good = exact_goodness(self.q[q_part], x[x_part], metric)
                 # Scores equal to the k-th still compete: the key decides.
-                keep = (good >= self.floor[q_rows]) & (good >= self.kth[q_rows]) & ~np.isnan(good)
-            self.parts.append((q_rows[keep], good[keep], keys[x_rows[keep]]))
+                keep = (good >= self.floor[q_part]) & (good >= self.kth[q_part]) & ~np.isnan(good)
+            self.parts.append((q_part[keep], good[keep], keys[x_part[keep]]))
             self.buffered += int(keep.sum())
             if self.buffered > BUFFER_ROWS + 2 * self.kept:
                 self._compact()
 
+    def add_pairs(self, keys: pa.Array, vectors: pa.Array, asking: pa.Array) -> None:
+        """Rows that each name the ids of the queries to score them for."""
+        x = to_matrix(vectors, self.dim)
+        key_values = keys.to_numpy(zero_copy_only=False)
+        x_rows = np.repeat(np.arange(len(keys)), np.diff(asking.offsets.to_numpy()))
+        q_rows = pc.index_in(asking.flatten(), value_set=self.ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        for metric in (COSINE, DOT, EUCLIDEAN):
+            of_metric = self.metric[q_rows] == metric
+            self._score(q_rows[of_metric], key_values, x, x_rows[of_metric], metric)
+        if self.buffered > 2 * self.kept + 1000:
+            self._compact()
+
     def _compact(self) -> None:
         if not self.parts:
             return

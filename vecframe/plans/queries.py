@@ -12,7 +12,7 @@ from vecframe.functions.text import SPECIAL_TOKENS, count_tokens, normalize_titl
 from vecframe.operators import ann, evaluate, knn, rerank, schema, tables, vectors
 from vecframe.plans import corpus as corpora
 from vecframe.plans.staging import stage_files
-from vecframe.session import shared_dir
+from vecframe.session import shared_dir, spread
 from vecframe.sources.export import export
 from vecframe.sources.files import read_vectors
 from vecframe.streaming.apply import StreamedTable
@@ -438,7 +438,7 @@ def wordpieces(spark, folder):
     letters = sorted(r.c for r in letters.collect())
     seen = dict.fromkeys([*SPECIAL_TOKENS, *letters, *["##" + c for c in letters], *words])
     ids = wordpiece_ids(F.col("text"), list(seen))
-    rows = table(spark, folder, "documents").select("doc_id", ids.alias("ids"))
+    rows = spread(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", ids.alias("ids"))
     return rows.select("doc_id", F.size("ids").alias("n_ids"), F.array_join("ids", " ").alias("ids"))
 
 

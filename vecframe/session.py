@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+SMALL_SHARE = 16 * 1024 * 1024
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -27,3 +29,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 def task_slots(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small input over all task slots, for work that costs far more than moving the rows.
+
+    A small table is often one file split, hence one task. By Spark's own size estimate only inputs
+    below 16 MiB per slot are moved; anything larger is left where it is.
+    """
+    slots = task_slots(df.sparkSession)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(slots) if size < slots * SMALL_SHARE else df
