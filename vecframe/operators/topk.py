@@ -81,9 +81,16 @@ class TopK:
                 values = pc.unique(wanted.drop_null())
                 codes = pc.fill_null(pc.index_in(wanted, value_set=values), UNCONSTRAINED)
                 self.filters[name] = (values, codes.to_numpy(zero_copy_only=False).astype(np.int64))
+        if self.filters:
+            _, codes = next(iter(self.filters.values()))
+            self.unfiltered = np.flatnonzero(codes == UNCONSTRAINED)
+            filtered = np.flatnonzero(codes != UNCONSTRAINED)
+            self.wanting = _grouped(codes[filtered], filtered)
         self.probes = None
         if "qcells" in queries.column_names:
-            self.probes = _queries_by_cell(column("qcells"))
+            cells = column("qcells")
+            owner = np.repeat(np.arange(len(cells)), np.diff(cells.offsets.to_numpy()))
+            self.probes = _grouped(cells.flatten().to_numpy(zero_copy_only=False), owner)
         n = len(self.ids)
         self.kth = np.full(n, -np.inf)
         self.found = np.zeros(n, dtype=np.int64)
@@ -102,48 +109,64 @@ class TopK:
         for name, (values, _) in self.filters.items():
             found = pc.index_in(filters[name].cast(values.type), value_set=values)
             codes[name] = pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
-        if self.probes is None:
-            self._add_block(np.arange(len(self.ids)), key_values, x, codes)
+        if self.probes is not None:
+            self._add_groups(self.probes, cells, key_values, x, codes)
+        elif codes:
+            # Rows meet only the queries that want their value of the first filter.
+            name = next(iter(codes))
+            self._add_groups(self.wanting, codes[name], key_values, x, codes)
+            if len(self.unfiltered):
+                self._add_block(self.unfiltered, key_values, x, codes)
         else:
-            order = np.argsort(cells, kind="stable")
-            starts = np.flatnonzero(np.r_[True, np.diff(cells[order]) != 0])
-            for start, stop in zip(starts, np.r_[starts[1:], len(order)]):
-                rows = order[start:stop]
-                asking = self.probes.get(int(cells[rows[0]]))
-                if asking is not None:
-                    self._add_block(asking, key_values[rows], x[rows], {n: c[rows] for n, c in codes.items()})
+            self._add_block(np.arange(len(self.ids)), key_values, x, codes)
         # Sorting only once the buffer has doubled keeps its cost in proportion to the rows kept.
         if self.buffered > 2 * self.kept + 1000:
             self._compact()
 
+    def _add_groups(self, asking_by_group, groups, keys, x, codes) -> None:
+        """One block per group of rows that some queries ask for."""
+        order = np.argsort(groups, kind="stable")
+        starts = np.flatnonzero(np.r_[True, np.diff(groups[order]) != 0])
+        for start, stop in zip(starts, np.r_[starts[1:], len(order)]):
+            rows = order[start:stop]
+            asking = asking_by_group.get(int(groups[rows[0]]))
+            if asking is not None:
+                self._add_block(asking, keys[rows], x[rows], {name: c[rows] for name, c in codes.items()})
+
     def _add_block(self, asking, keys, x, codes) -> None:
         x_norm = _norms(x)
+        finite = x_norm[np.isfinite(x_norm)]
+        longest = finite.max() if len(finite) else 0.0
         for metric in (COSINE, DOT, EUCLIDEAN):
             of_metric = asking[self.metric[asking] == metric]
+            if not len(of_metric):
+                continue
+            right = x
+            if metric == COSINE:
+                out = np.zeros(x.shape)
+                with np.errstate(invalid="ignore"):
+                    right = np.divide(x, x_norm[:, None], out=out, where=x_norm[:, None] != 0).astype(np.float32)
             step = max(1, TILE_CELLS // len(x))
             for at in range(0, len(of_metric), step):
-                self._add_tile(of_metric[at : at + step], metric, keys, x, x_norm, codes)
+                self._add_tile(of_metric[at : at + step], metric, keys, x, right, x_norm, longest, codes)
 
-    def _bounds(self, qs, metric, x, x_norm):
+    def _bounds(self, qs, metric, right, x_norm, longest):
         """Scores in a monotone form, and how far from the true value each query's may be."""
         if metric == COSINE:
-            unit_x = np.divide(x, x_norm[:, None], out=np.zeros(x.shape), where=x_norm[:, None] != 0)
-            rough = self.unit_q[qs] @ unit_x.astype(np.float32).T
-            reach = np.ones(len(qs))
+            rough, reach = self.unit_q[qs] @ right.T, np.ones(len(qs))
         else:
-            rough = self.q[qs] @ x.T
-            finite = x_norm[np.isfinite(x_norm)]
-            top = finite.max() if len(finite) else 0.0
-            reach = self.q_norm[qs] * top
+            rough = self.q[qs] @ right.T
+            reach = self.q_norm[qs] * longest
             if metric == EUCLIDEAN:
                 half_q = self.q_norm[qs] ** 2 / 2
-                rough = rough - (x_norm**2 / 2).astype(np.float32)[None, :] - half_q.astype(np.float32)[:, None]
-                reach = reach + half_q + top**2 / 2
+                rough -= (x_norm**2 / 2).astype(np.float32)[None, :]
+                rough -= half_q.astype(np.float32)[:, None]
+                reach = reach + half_q + longest**2 / 2
         return rough, reach * (self.dim + 16) * 2.0**-22 + 1e-30
 
-    def _add_tile(self, qs, metric, keys, x, x_norm, codes) -> None:
+    def _add_tile(self, qs, metric, keys, x, right, x_norm, longest, codes) -> None:
         with np.errstate(over="ignore", invalid="ignore"):
-            rough, slack = self._bounds(qs, metric, x, x_norm)
+            rough, slack = self._bounds(qs, metric, right, x_norm, longest)
             bar = np.maximum(self.kth[qs], self.floor[qs])
             if metric == EUCLIDEAN:
                 bar = np.where(np.isneginf(bar), bar, -(bar**2) / 2)
@@ -237,9 +260,7 @@ def _one_array(column) -> pa.Array:
     return column
 
 
-def _queries_by_cell(cells: pa.Array) -> dict[int, np.ndarray]:
-    owner = np.repeat(np.arange(len(cells)), np.diff(cells.offsets.to_numpy()))
-    values = cells.flatten().to_numpy(zero_copy_only=False)
-    order = np.argsort(values, kind="stable")
-    found, starts = np.unique(values[order], return_index=True)
-    return dict(zip(found.tolist(), np.split(owner[order], starts[1:])))
+def _grouped(groups: np.ndarray, members: np.ndarray) -> dict[int, np.ndarray]:
+    order = np.argsort(groups, kind="stable")
+    found, starts = np.unique(groups[order], return_index=True)
+    return dict(zip(found.tolist(), np.split(members[order], starts[1:])))

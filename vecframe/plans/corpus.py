@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vecframe.functions.encoders import Encoder
 from vecframe.functions.text import normalize_title, strip_text, truncate_text
 from vecframe.operators.knn import knn_join
+from vecframe.session import spread
 
 # Shape of the sample corpus.
 TOP_N = 5000
@@ -57,7 +58,7 @@ def match_popularity(texts: DataFrame, popularity: DataFrame, *, position: str =
     title = normalize_title(F.col("title")).alias("title_norm")
     ranked = popularity.select(title, "year", "popularity", position)
     ranked = keep_first(ranked, keys, [F.desc("popularity"), F.asc(position)]).drop(position)
-    first = keep_first(texts.select(title, "year", position), keys, [F.asc(position)])
+    first = keep_first(spread(texts.select("title", "year", position)).select(title, "year", position), keys, [F.asc(position)])
     return first.join(ranked, keys, "inner")
 
 

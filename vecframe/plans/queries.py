@@ -369,7 +369,7 @@ def documents_as_texts(spark, folder) -> DataFrame:
 
 
 def labels_as_popularity(spark, folder) -> DataFrame:
-    d, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    d, labels = spread(table(spark, folder, "documents")), table(spark, folder, "labels")
     return d.join(labels, "doc_id").select(
         F.concat(F.lit('"'), "text", F.lit('!"')).alias("title"),
         (F.lit(1900) + F.col("n_chars") % 120).cast("int").alias("year"),

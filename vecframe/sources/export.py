@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST = "_manifest.json"
@@ -33,32 +33,34 @@ def export(
 ) -> dict:
     """Write ``df`` with float vectors as Parquet, and beside it the manifest that is returned.
 
-    ``df`` is read once and whatever is written later does not enter; for a table under a log pass
-    ``snapshot_at``. ``seq`` names the column whose maximum is recorded as the snapshot's high water.
+    ``df`` is read once, its facts are observed as it is written, and whatever is written later does
+    not enter; for a table under a log pass ``snapshot_at``. ``seq`` names the column whose maximum is recorded as the snapshot's high water.
     """
     spark = df.sparkSession
     started = int(time.time() * 1000)
-    df.withColumn(vector, F.col(vector).cast("array<float>")).write.mode("errorifexists").parquet(path)
-    written = spark.read.parquet(path)
     size = F.when(F.col(vector).isNotNull(), F.size(vector))
-    facts = written.agg(
+    seen = Observation()
+    rows = df.withColumn(vector, F.col(vector).cast("array<float>")).observe(
+        seen,
         F.min(size).alias("low"),
         F.max(size).alias("high"),
         (F.max(seq) if seq else F.lit(None).cast("long")).alias("high_water"),
-    ).first()
-    if facts.low != facts.high or (dimension is not None and facts.high not in (None, dimension)):
-        raise ValueError(f"exported vectors have {facts.low} to {facts.high} elements, expected {dimension or 'one length'}")
+    )
+    rows.write.mode("errorifexists").parquet(path)
+    facts = seen.get
+    if facts["low"] != facts["high"] or (dimension is not None and facts["high"] not in (None, dimension)):
+        raise ValueError(f"exported vectors have {facts['low']} to {facts['high']} elements, expected {dimension or 'one length'}")
     parts = [row.asDict() for row in part_listing(spark, path).orderBy("filename").collect()]
     manifest = {
         "vector_count": sum(p["rows"] for p in parts),
         "total_bytes": sum(p["bytes"] for p in parts),
         "parts": parts,
-        "snapshot_high_water_seq": facts.high_water,
-        "input_dim": facts.high,
+        "snapshot_high_water_seq": facts["high_water"],
+        "input_dim": facts["high"],
         "started_at_unix_ms": started,
         "completed_at_unix_ms": int(time.time() * 1000),
     }
     write_text(spark, f"{path}/{MANIFEST}", json.dumps(manifest, indent=2))
-    summary = f"# Export\n\n{manifest['vector_count']} vectors of dimension {facts.high} in {len(parts)} Parquet parts.\n"
+    summary = f"# Export\n\n{manifest['vector_count']} vectors of dimension {facts['high']} in {len(parts)} Parquet parts.\n"
     write_text(spark, f"{path}/{README}", summary)
     return manifest
