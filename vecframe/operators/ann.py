@@ -124,7 +124,7 @@ def knn_pca(
 
 def fit_cells(
     corpus: DataFrame, n_cells: int | None = None, *, vector: str = "vector", metric: str = "cosine",
-    seed: int = 7, max_iter: int = 20, rows_per_cell: int = 1000,
+    seed: int = 7, max_iter: int = 10, rows_per_cell: int = 256,
 ) -> np.ndarray:
     """k-means centroids as a (cells x dimension) matrix; about sqrt(rows) cells by default.
 
