@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from vecframe.functions.text import SPECIAL_TOKENS
 from vecframe.plans.corpus import TOP_N
-from vecframe.plans.queries import INTEGER_RANGES
+from vecframe.plans.queries import INTEGER_RANGES, VOCABULARY
 
 SIMILARITY = {
     "cosine": ("list_cosine_similarity", "DESC"),
@@ -269,6 +270,49 @@ SELECT token, count(*) AS n FROM (SELECT unnest({_tokens('text')}) AS token FROM
 """
 
 
+# Every character is a piece, so no word is unknown but the longest; the best piece at each place of
+# each distinct token is found first, and a recursion walks over them.
+WORDPIECES = f"""
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, unnest(list) AS token, generate_subscripts(list, 1) AS place
+  FROM (SELECT doc_id, {_tokens('text')} AS list FROM documents)
+), counts AS (
+  SELECT token, count(*) AS n FROM tokens GROUP BY token
+), letters AS (
+  SELECT DISTINCT unnest(string_split(token, '')) AS c FROM counts
+), pieces AS (
+  SELECT 0 AS part, i AS r, piece FROM (SELECT unnest({SPECIAL_TOKENS}) AS piece, unnest(range({len(SPECIAL_TOKENS)})) AS i)
+  UNION ALL SELECT 1, row_number() OVER (ORDER BY c), c FROM letters WHERE c <> ''
+  UNION ALL SELECT 2, row_number() OVER (ORDER BY c), '##' || c FROM letters WHERE c <> ''
+  UNION ALL SELECT * FROM (
+    SELECT 3, row_number() OVER (ORDER BY n DESC, token) AS r, token FROM counts) WHERE r <= {VOCABULARY}
+), vocabulary AS (
+  SELECT piece, CAST(row_number() OVER (ORDER BY part, r) - 1 AS INTEGER) AS id
+  FROM (SELECT *, row_number() OVER (PARTITION BY piece ORDER BY part, r) AS copy FROM pieces) WHERE copy = 1
+), best AS (
+  SELECT token, start, max(size) AS size, arg_max(id, size) AS id
+  FROM (
+    SELECT token, start, size, CASE WHEN start > 1 THEN '##' ELSE '' END || substr(token, start, size) AS piece
+    FROM counts, generate_series(1, length(token)) s(start), generate_series(1, length(token) - start + 1) l(size)
+    WHERE length(token) <= 100
+  ) JOIN vocabulary USING (piece) GROUP BY token, start
+), steps AS (
+  SELECT token, list(size ORDER BY start) AS sizes, list(id ORDER BY start) AS found FROM best GROUP BY token
+), walk AS (
+  SELECT token, 1::BIGINT AS start, sizes, found, []::INTEGER[] AS ids FROM steps
+  UNION ALL
+  SELECT token, start + sizes[start], sizes, found, list_append(ids, found[start]) FROM walk WHERE start <= len(sizes)
+), split AS (
+  SELECT token, ids FROM walk WHERE start = len(sizes) + 1
+  UNION ALL SELECT token, [1::INTEGER] FROM counts WHERE length(token) > 100
+), rows AS (
+  SELECT doc_id, (list_concat([2], coalesce(flatten(list(ids ORDER BY place) FILTER (ids IS NOT NULL)), []), [3]))[1:256] AS ids
+  FROM documents LEFT JOIN tokens USING (doc_id) LEFT JOIN split USING (token) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_ids, array_to_string(ids, ' ') AS ids FROM rows
+"""
+
+
 def _embedded(name: str, source: str, key: str, text: str) -> str:
     """Tables ``<name>_slots`` (key, slot, value) of non-zero elements and ``<name>_vectors`` (key, v)."""
     return f"""
@@ -351,6 +395,7 @@ ORACLE: dict[str, str] = {
     "knn_mixed": KNN_MIXED,
     "knn_with_payload": _knn(columns=", label, round(list_sum(embedding::DOUBLE[]), 6) AS vector_sum"),
     "knn_ivf": _knn(),
+    "knn_pca_full": _knn(),
     "fetch_keys": FETCH,
     "recall_at_k": RECALL,
     "ndcg_at_k": NDCG,
@@ -389,6 +434,7 @@ ORACLE: dict[str, str] = {
     "normalize_title": f"SELECT doc_id, {_normalized('text')} AS title_norm FROM documents",
     "truncate_text": f"SELECT doc_id, {_truncated('text')} AS plot FROM documents",
     "token_counts": TOKEN_COUNTS,
+    "wordpiece_ids": WORDPIECES,
     "embed_hash": EMBED,
     "text_search": TEXT_SEARCH,
     "corpus_build": CORPUS,

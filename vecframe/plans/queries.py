@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from vecframe.functions.text import SPECIAL_TOKENS, count_tokens, normalize_titl
 from vecframe.operators import ann, evaluate, knn, rerank, schema, tables, vectors
 from vecframe.plans import corpus as corpora
 from vecframe.plans.staging import stage_files
-from vecframe.session import shared_dir, spread
+from vecframe.session import pieces, shared_dir, spread
 from vecframe.sources.export import export
 from vecframe.sources.files import read_vectors
 from vecframe.streaming.apply import StreamedTable
@@ -118,6 +119,13 @@ def knn_pca(spark, folder):
     return rounded(ann.knn_pca(e, e, components, candidate_multiplier=10, **EMBEDDED))
 
 
+def knn_pca_full(spark, folder):
+    """As many components as dimensions: a rotation, which must equal exact search."""
+    e = table(spark, folder, "embeddings")
+    components = ann.fit_pca(e, 64, vector="embedding")
+    return rounded(ann.knn_pca(e, e, components, candidate_multiplier=2, **EMBEDDED))
+
+
 def knn_ivf(spark, folder):
     """All cells probed, which must equal exact search."""
     e = table(spark, folder, "embeddings")
@@ -345,11 +353,12 @@ def collection_stats(spark, folder):
 
 
 def stream_merge(spark, folder):
-    """Events as a stream of operations in several micro-batches, folded half way."""
+    """Events as a stream of operations in several micro-batches, then folded."""
     staged, target = shared_dir(spark, "ops"), shared_dir(spark, "streamed")
     ops = _log_ops(spark, folder)
-    ops.repartitionByRange(4, "seq").write.parquet(staged)
-    stream = spark.readStream.schema(ops.schema).option("maxFilesPerTrigger", 1).parquet(staged)
+    files = pieces(ops, least=4)
+    ops.repartitionByRange(files, "seq").write.parquet(staged)
+    stream = spark.readStream.schema(ops.schema).option("maxFilesPerTrigger", math.ceil(files / 4)).parquet(staged)
     streamed = StreamedTable(spark, target)
     streamed.start(stream).awaitTermination()
     streamed.fold()
@@ -545,6 +554,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_mixed": knn_mixed,
     "knn_with_payload": knn_with_payload,
     "knn_pca": knn_pca,
+    "knn_pca_full": knn_pca_full,
     "knn_ivf": knn_ivf,
     "tune_recall": tune_recall,
     "mmr": mmr,

@@ -11,13 +11,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vecframe.session import pieces
 from vecframe.sources.matrices import HEADED, ROW_PREFIXED
 
 
-def stage_files(df: DataFrame, folder: str, format: str, *, order: str, vector: str, files: int = 4) -> None:
+def stage_files(df: DataFrame, folder: str, format: str, *, order: str, vector: str) -> None:
     """Write ``df``, ordered by ``order``, as ``part-<n>.<format>`` files.
 
-    Arrow files hold all columns, the others the vectors alone. A file is written aside and then
+    Arrow files hold all columns, the others the vectors alone. A task holds its piece, about 64 MiB,
+    since some formats start with the number of rows. A file is written aside and then
     moved, so a task that runs twice leaves one whole file.
     """
 
@@ -34,7 +36,7 @@ def stage_files(df: DataFrame, folder: str, format: str, *, order: str, vector:
             system.move(aside, f"{inner}/{name}.{format}")
         yield pa.RecordBatch.from_arrays([pa.array([sum(b.num_rows for b in batches)])], names=["rows"])
 
-    ordered = df.repartitionByRange(files, order).sortWithinPartitions(order)
+    ordered = df.repartitionByRange(pieces(df, least=4), order).sortWithinPartitions(order)
     ordered.mapInArrow(save, "rows long").agg(F.sum("rows")).collect()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -31,12 +32,21 @@ def task_slots(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate, made without running anything."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def pieces(df: DataFrame, least: int, piece_bytes: int = 64 * 1024 * 1024) -> int:
+    """How many partitions of about ``piece_bytes`` the rows make, ``least`` or more."""
+    return max(least, math.ceil(estimated_bytes(df) / piece_bytes))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A small input over all task slots, for work that costs far more than moving the rows.
 
-    A small table is often one file split, hence one task. By Spark's own size estimate only inputs
-    below 16 MiB per slot are moved; anything larger is left where it is.
+    A small table is often one file split, hence one task. By Spark's estimate only inputs below
+    16 MiB per slot are moved; anything larger is left where it is.
     """
     slots = task_slots(df.sparkSession)
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(slots) if size < slots * SMALL_SHARE else df
+    return df.repartition(slots) if estimated_bytes(df) < slots * SMALL_SHARE else df
