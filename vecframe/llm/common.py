@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from vecframe.session import shared_dir
 
 BROADCAST_BYTES = 32 * 1024 * 1024
-SPACES = r"[\x20\x09-\x0D]+"
+#: Edges, 16 bytes each, that one task may join at once.
+FEW_EDGES = 500_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -85,16 +86,20 @@ def text_chunks(column: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, np
         row = end
 
 
-def components(edges: DataFrame, purpose: str) -> DataFrame:
+def components(edges: DataFrame, purpose: str, few_edges: int = FEW_EDGES) -> DataFrame:
     """Connected components of edges (a, b) of longs: rows (node, root), root the smallest node.
 
     Alternating large-star and small-star rounds; each round is written to the shared folder. Ends
-    when a round changes nothing. Minima are combined per task, so a node with very many edges is
-    one row per task in the shuffle. Nodes without an edge do not appear; no edges, no rows.
+    when a round changes nothing, or when the edges left are so few that one task joins them at once
+    (the roots are the same). Minima are combined per task, so a node with very many edges is one row
+    per task in the shuffle. Nodes without an edge do not appear; no edges, no rows.
     """
     state = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), purpose)
     mark = _mark(state)
     while mark[0]:
+        if mark[0] <= few_edges:
+            state = state.coalesce(1).mapInArrow(_join_edges, "u long, v long")
+            break
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -108,6 +113,26 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     return nodes.unionByName(nodes.select(F.col("root").alias("node"), "root").distinct())
 
 
+def _join_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find: rows (u, v) with v the smallest node of the component of u."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
+            root.setdefault(u, u)
+            root.setdefault(v, v)
+            a, b = find(u), find(v)
+            root[max(a, b)] = min(a, b)
+    joined = [(x, find(x)) for x in root]
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    yield batch_of(schema, [x for x, r in joined if x != r], [r for x, r in joined if x != r])
+
+
 def _mark(state: DataFrame) -> tuple[int, int]:
     row = state.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v") % 1_000_000_007).alias("s")).first()
     return row.n, row.s or 0
