@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -58,8 +58,14 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     return levels.withColumn("at", level).select("source_no", "source", "source_size", "documents", F.least(F.coalesce(F.col("at") * F.col("weight"), F.col("bound")), F.col("bound")).alias("target"))
 
 
+def row_marks(key: Column, source: Column, text: Column, seed: int = SEED) -> list[Column]:
+    """128 bits of hash of a document, by which the order of rounding and its draws are chosen."""
+    whole = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(F.lit(seed), key, source, whole).alias("mark"), F.xxhash64(F.lit(seed + 1), key, source, whole).alias("draw")]
+
+
 def mix_sources(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = SEED) -> DataFrame:
-    """One row (key, size, source_size, target, taken, copies, tail_words) per document.
+    """One row (key, size, source_size, target, taken, copies, tail_words, mark, draw) per document.
 
     ``size`` is the number of words. Each source gets a target (see ``source_targets``), so each of
     its documents should come target / source_size times. The whole part of that is given; the
@@ -68,13 +74,13 @@ def mix_sources(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sou
     source, of which a last copy takes only the first ``tail_words`` words. So a source takes its
     target to within half a word. ``taken`` is copies x size + tail_words, at most ``most`` x size.
 
-    Decisions are hashes of key, text and seed: reruns and other partitionings agree. Rows with equal keys are documents
+    Decisions come from hashes of key, source, text and seed (``row_marks``, returned with them): reruns and other partitionings agree. Rows with equal keys are documents
     of their own (which of two equal rows gets the copy has no meaning). A null source is one
     source, a null text has size 0 and takes no words; empty texts have a whole number of copies by
     their hash. An empty table gives no rows. Other columns are not read.
     """
     rows = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    hashed = rows.withColumn("mark", F.xxhash64(F.lit(seed), "id", "text")).withColumn("draw", F.xxhash64(F.lit(seed + 1), "id", "text"))
+    hashed = rows.select("*", *row_marks(F.col("id"), F.col("source"), F.col("text"), seed))
     sized = stored(count_words(hashed, "text", "size"), "mix-sizes")
     sources = stored(source_targets(sized, weights, most), "mix-sources")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -104,7 +110,7 @@ def mix_sources(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sou
         out = out.unionByName(df)
     tail = F.when(F.col("part") < 1, F.round(F.col("part") * F.col("size"))).otherwise(0).cast("long")
     out = out.withColumn("copies", F.col("copies") + (F.col("part") == 1).cast("long")).withColumn("tail_words", tail)
-    return out.select(F.col("id").alias(key), "size", "source_size", "target", (F.col("copies") * F.col("size") + F.col("tail_words")).alias("taken"), "copies", "tail_words", "mark")
+    return out.select(F.col("id").alias(key), "size", "source_size", "target", (F.col("copies") * F.col("size") + F.col("tail_words")).alias("taken"), "copies", "tail_words", "mark", "draw")
 
 
 def _round(rows: DataFrame, blocks: int) -> DataFrame:

@@ -17,7 +17,9 @@ ORDER = 5
 #: A character is its code point modulo CLASSES - 1, plus 1; 0 stands before the text.
 BITS = 12
 CLASSES = 1 << BITS
-QUANTILE = 0.995
+#: A document is kept up to MARGIN times the perplexity that a share QUANTILE of trusted texts of its language stay below.
+QUANTILE = 0.99
+MARGIN = 1.5
 #: Rows of the model in one shard. A shard is sent to every task; each shard is one more function over the documents.
 SHARD_ROWS = 4_000_000
 GRAMS_HELD = 4_000_000
@@ -224,11 +226,11 @@ def held_out(key: Column) -> Column:
     return F.crc32(key.cast("string")) % 5 == 0
 
 
-def quality_filter(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", trusted: str = "quality", quantile: float = QUANTILE) -> DataFrame:
-    """One row (key, lang, chars, perplexity, threshold, kept) per document.
+def quality_filter(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", trusted: str = "quality", quantile: float = QUANTILE, margin: float = MARGIN, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row (key, lang, chars, perplexity, threshold, kept, and the columns to ``carry``) per document.
 
     The model is trained on all documents whose label ``trusted`` is 1, but for a fifth of them (crc32
-    of the key mod 5 is 0). ``threshold`` is the given quantile of perplexity over that fifth, per
+    of the key mod 5 is 0). ``threshold`` is ``margin`` times the given quantile of perplexity over that fifth, per
     language; a language without any takes the quantile over all. A document is kept if its
     perplexity is not above it; without any trusted document all are kept. Perplexity is per
     character, with ``PRIOR_CHARS`` characters at the mean rate of the language added.
@@ -238,7 +240,7 @@ def quality_filter(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", t
     are rows of their own; of several labels of a key the highest holds. An empty table gives no rows. Other columns
     are not read.
     """
-    rows = docs.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"), *[F.col(c).alias(f"carried_{c}") for c in carry])
     good = stored(labels.where(F.col(trusted) == 1).select(F.col(key).alias("trusted_id")).distinct(), "quality-trusted")
     marked = rows.join(small_side(good, 8), rows.id == F.col("trusted_id"), "left")
     model = fit_model(count_grams(marked.where(F.col("trusted_id").isNotNull() & ~held_out(F.col("id")))))
@@ -249,9 +251,9 @@ def quality_filter(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", t
     total = F.col("logp") + PRIOR_CHARS * F.coalesce("rate", F.lit(rate).cast("double"), F.col("logp") / F.col("chars"))
     rated = scored.join(rates, scored.lang.eqNullSafe(F.col("of")), "left").withColumn("perplexity", F.when(F.col("chars") > 0, F.exp(-total / (F.col("chars") + PRIOR_CHARS)))).drop("of")
     judged = rated.where("judge and chars > 0")
-    at = F.percentile_approx("perplexity", quantile, 10_000)
+    at = margin * F.percentile_approx("perplexity", quantile, 10_000)
     limits = small_side(stored(judged.groupBy("lang").agg(at.alias("limit")).withColumnRenamed("lang", "of"), "quality-limits"), 64)
     limit = judged.agg(at.alias("t")).first().t
     out = rated.join(limits, rated.lang.eqNullSafe(F.col("of")), "left").withColumn("threshold", F.coalesce("limit", F.lit(limit).cast("double")))
     kept = (F.col("chars") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
-    return out.select(F.col("id").alias(key), "lang", "chars", "perplexity", "threshold", kept.alias("kept"))
+    return out.select(F.col("id").alias(key), "lang", "chars", "perplexity", "threshold", kept.alias("kept"), *[F.col(f"carried_{c}").alias(c) for c in carry])

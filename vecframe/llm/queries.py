@@ -14,6 +14,7 @@ from vecframe.llm.ngram_join import ngram_join
 from vecframe.llm.quality import quality_filter
 from vecframe.llm.secrets import RULES, joined_spans, scan_documents
 from vecframe.llm.token_shards import write_shards
+from vecframe.llm.toxicity import toxicity
 
 #: The rank file of a public byte-level tokenizer; it is read, never copied.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -27,6 +28,10 @@ def op2_near_vectors(spark, folder):
     return near_vectors(table(spark, folder, "embeddings"))
 
 
+def op3_toxicity(spark, folder):
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_line_dedup(spark, folder):
     return line_dedup(table(spark, folder, "documents"))
 
@@ -36,7 +41,7 @@ def op5_token_shards(spark, folder):
 
 
 def op6_mix_sources(spark, folder):
-    return mix_sources(table(spark, folder, "documents")).drop("mark")
+    return mix_sources(table(spark, folder, "documents")).drop("mark", "draw")
 
 
 def op7_secrets(spark, folder):
@@ -61,6 +66,7 @@ def op10_quality(spark, folder):
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_near_vectors": op2_near_vectors,
+    "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_shards": op5_token_shards,
     "op6_mix_sources": op6_mix_sources,

@@ -41,10 +41,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers_of(max(1 << 21, 1 << (n - 1).bit_length()))
 
 
-def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end (bytes) and text number of each word: runs of bytes other than space and 09 to 0D."""
+def word_spans(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end (bytes) and text number of each word: runs of bytes other than those ``between``, by default space and 09 to 0D."""
     n = len(data)
-    solid = ~SPACE[data]
+    solid = ~between[data]
     new = np.zeros(n + 1, bool)
     new[bounds] = True
     begins = solid.copy()
