@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import batch_of, stored, text_chunks
+from vecframe.llm.common import stored, text_chunks
 from vecframe.llm.shingles import PLACES, mix, span_hashes, word_spans
 
 WINDOW = 13
@@ -20,7 +20,6 @@ LEAST_WORDS = 5
 #: Words of benchmark text in one block. A block is sent to every task; each block is one more function over the documents.
 BLOCK_WORDS = 1_000_000
 FILTER_BITS = 20
-ROW_SCHEMA = "id long, text string, items array<long>, starts array<int>, ends array<int>"
 
 
 def seed_masks(window: int, misses: int) -> list[tuple[int, ...]]:
@@ -97,8 +96,8 @@ def build_index(texts: list[str], window: int, similarity: float) -> list[SeedIn
     return out
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = WINDOW, similarity: float = SIMILARITY) -> DataFrame:
-    """One row (key, contaminated, n_items, items, starts, ends) per document.
+def find_leaks(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = WINDOW, similarity: float = SIMILARITY, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row (key, contaminated, n_items, items, starts, ends, and the columns to ``carry``) per document.
 
     A document holds an item if a window of ``window`` words of the item (the whole item, if shorter)
     meets as many words of the document of which a share of ``similarity`` or more are equal, place
@@ -115,21 +114,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", te
     """
     items = stored(benchmark.select(F.col(item_key).alias("item"), F.lower(F.coalesce(F.col(item_text), F.lit(""))).alias("text")).withColumn("words", F.size(F.split("text", r"[\x20\x09-\x0D]+"))), "leak-items")
     total = items.agg(F.sum("words")).first()[0] or 0
+    none = F.array()
     rows = docs.select(
-        F.col(key).cast("long").alias("id"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"), F.array().cast("array<long>").alias("items"), F.array().cast("array<int>").alias("starts"), F.array().cast("array<int>").alias("ends")
+        F.col(key).alias("id"),
+        *[F.col(c).alias(f"carried_{c}") for c in carry],
+        F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"),
+        none.cast("array<long>").alias("items"),
+        none.cast("array<int>").alias("starts"),
+        none.cast("array<int>").alias("ends"),
     )
     blocks = math.ceil(total / BLOCK_WORDS)
     for block in range(blocks):
         held = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).select("item", "text").orderBy("item", "text").toArrow()
         index = build_index(held["text"].to_pylist(), window, similarity)
         shared = docs.sparkSession.sparkContext.broadcast((index, held["item"].to_pylist()))
-        rows = rows.mapInArrow(_scan(shared, last=block == blocks - 1), ROW_SCHEMA)
-    return rows.select(F.col("id").alias(key), (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"), "items", "starts", "ends")
+        rows = rows.mapInArrow(_scan(shared, last=block == blocks - 1), rows.schema)
+    return rows.select(F.col("id").alias(key), (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"), "items", "starts", "ends", *[F.col(f"carried_{c}").alias(c) for c in carry])
 
 
 def _scan(shared, last: bool):
-    schema = pa.schema([("id", pa.int64()), ("text", pa.string()), ("items", pa.list_(pa.int64())), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indexes, keys = shared.value
         for batch in batches:
@@ -140,8 +143,10 @@ def _scan(shared, last: bool):
                     items[i] = sorted({*items[i], *(keys[k] for k in found)}, key=lambda k: (k is not None, k))
                     joined = _joined(spans + list(zip(starts[i], ends[i], strict=True)))
                     starts[i], ends[i] = [a for a, _ in joined], [b for _, b in joined]
-                texts = pa.nulls(part.num_rows, pa.string()) if last else part.column("text")
-                yield batch_of(schema, part.column("id"), texts, items, starts, ends)
+                new = {"items": pa.array(items, pa.list_(pa.int64())), "starts": pa.array(starts, pa.list_(pa.int32())), "ends": pa.array(ends, pa.list_(pa.int32()))}
+                if last:
+                    new["text"] = pa.array([""] * part.num_rows, pa.string())
+                yield pa.RecordBatch.from_arrays([new.get(n, part.column(n)) for n in part.schema.names], names=part.schema.names)
 
     return scan
 

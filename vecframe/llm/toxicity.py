@@ -16,16 +16,19 @@ WINDOW = 32
 STRIDE = 16
 #: Labelled rows of each class, by hash of their key, that the network is trained on at most.
 TRAIN_ROWS = 1500
-BITS = 14
+BITS = 18
 GRAM = 4
 EMBED = 8
 HIDDEN = 8
-STEPS = 150
-ROUNDS = 4
+STEPS = 120
+ROUNDS = 3
 BATCH = 144
 RATE = 0.01
 SEED = 3
+#: Words and grams that fewer training texts have are unknown, so that no text can be learned by heart from them.
+LEAST_TEXTS = 5
 #: Words are runs of letters and digits, taken bytewise; bytes from 0x80 on belong to letters.
+EMBEDDED = ("word", "gram")
 OTHER = np.ones(256, bool)
 OTHER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 
@@ -72,7 +75,7 @@ class Network:
     def __init__(self, seed: int = SEED):
         rng = np.random.default_rng(seed)
         draw = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(np.float32)
-        self.p = {"word": draw(1 << BITS, EMBED, scale=0.1), "gram": draw(1 << BITS, EMBED, scale=0.3), "query": draw(2 * HIDDEN, scale=0.3), "out": draw(2 * HIDDEN, scale=0.3), "bias": np.zeros(1, np.float32)}
+        self.p = {"word": draw(1 << BITS, EMBED, scale=0.1), "gram": draw(1 << BITS, EMBED, scale=0.1), "query": draw(2 * HIDDEN, scale=0.3), "out": draw(2 * HIDDEN, scale=0.3), "bias": np.zeros(1, np.float32)}
         for d in "fb":
             self.p |= {f"x{d}": draw(2 * EMBED, 3 * HIDDEN, scale=0.4), f"h{d}": draw(HIDDEN, 3 * HIDDEN, scale=0.3), f"c{d}": np.zeros(3 * HIDDEN, np.float32)}
         self.scale, self.shift = 1.0, 0.0
@@ -112,8 +115,9 @@ class Network:
             tape |= {"states": states, "weight": weight, "pooled": pooled, "x": x}
         return pooled @ self.p["out"] + self.p["bias"][0]
 
-    def backward(self, tape: dict, at: np.ndarray, there: np.ndarray, grad: np.ndarray, words, grams, counts, keep) -> dict[str, np.ndarray]:
-        g = {k: np.zeros_like(v) for k, v in self.p.items()}
+    def backward(self, tape: dict, at: np.ndarray, there: np.ndarray, grad: np.ndarray, words, grams, counts, keep) -> dict:
+        """Gradients by name; those of the embeddings are (rows, gradients of these rows)."""
+        g = {k: np.zeros_like(v) for k, v in self.p.items() if k not in EMBEDDED}
         states, weight, pooled, x = (tape[k] for k in ("states", "weight", "pooled", "x"))
         g["out"], g["bias"][0] = pooled.T @ grad, grad.sum()
         dpool = grad[:, None] * self.p["out"]
@@ -139,8 +143,8 @@ class Network:
             g[f"c{d}"] = dgates.sum(axis=0)
             g[f"x{d}"] = x.T @ dgates
             dx += dgates @ self.p[f"x{d}"].T
-        np.add.at(g["word"], words, dx[:-1, :EMBED] * keep[:, None])
-        np.add.at(g["gram"], grams, np.repeat(dx[:-1, EMBED:] / np.sqrt(counts)[:, None], counts, axis=0))
+        g["word"] = _rows_summed(words, dx[:-1, :EMBED] * keep[:, None])
+        g["gram"] = _rows_summed(grams, np.repeat(dx[:-1, EMBED:] / np.sqrt(counts)[:, None], counts, axis=0))
         return g
 
     def window_logits(self, words: Words, picked: np.ndarray | None = None, most: int = 4096) -> np.ndarray:
@@ -160,6 +164,12 @@ class Network:
         return _sigmoid(self.scale * best.astype(np.float64) + self.shift)
 
 
+def _rows_summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(rows, kind="stable")
+    found, first = np.unique(rows[order], return_index=True)
+    return found, np.add.reduceat(values[order], first, axis=0) if len(found) else values[:0]
+
+
 def _places(words: Words, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of shape (steps, windows) and which of them there are."""
     step = np.arange(max(1, int(words.length[picked].max(initial=0))))[:, None]
@@ -178,7 +188,11 @@ def train(texts: list[str], toxic: np.ndarray, odds: float, seed: int = SEED) ->
     words = Words(*text_buffers(pa.array(texts, pa.string())))
     owner = np.repeat(np.arange(len(texts)), words.windows)
     first = np.cumsum(words.windows) - words.windows
-    best = _telling_windows(words, toxic, owner, first)
+    known, told, odds_of = _telling_windows(words, toxic, owner, first)
+    for k in EMBEDDED:
+        net.p[k][~known[k]] = 0
+    net.p["gram"][:, 0] += 0.5 * odds_of
+    best = told
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
     yes, no = np.flatnonzero(toxic), np.flatnonzero(~toxic)
     step = 0
@@ -198,29 +212,38 @@ def train(texts: list[str], toxic: np.ndarray, odds: float, seed: int = SEED) ->
             logits = net.forward(net.inputs(word, gram, counts, keep), local, there, tape)
             grads = net.backward(tape, local, there, ((_sigmoid(logits) - target) / len(target)).astype(np.float32), word, gram, counts, keep)
             for k, g in grads.items():
-                m, v = moments[k]
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                net.p[k] -= (RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-                if k in ("word", "gram"):
-                    net.p[k] *= np.float32(1 - 1e-4)
+                rows = slice(None)
+                if k in EMBEDDED:
+                    learned = known[k][g[0]]
+                    rows, g = g[0][learned], g[1][learned]
+                m, v = (moment[rows] for moment in moments[k])
+                m, v = m + 0.1 * (g - m), v + 0.01 * (g * g - v)
+                moments[k][0][rows], moments[k][1][rows] = m, v
+                net.p[k][rows] -= (RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
         logits = net.window_logits(words)
-        order = np.lexsort((logits, owner))
-        best = order[first + words.windows - 1]
-    net.scale, net.shift = _logistic(logits[best].astype(np.float64), toxic, odds)
+        best = np.lexsort((logits, owner))[first + words.windows - 1]
+        # A toxic text of which nothing looks toxic yet keeps the window its grams told of.
+        highest = best
+        best = np.where(toxic & (logits[best] < 0), told, best)
+    net.scale, net.shift = _logistic(logits[highest].astype(np.float64), toxic, odds)
     return net
 
 
-def _telling_windows(words: Words, toxic: np.ndarray, owner: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """For each text the window with the highest sum of the log-odds of its words' most telling character grams."""
-    inverse, _, gram, counts = words.distinct()
+def _telling_windows(words: Words, toxic: np.ndarray, owner: np.ndarray, first: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Which word and gram buckets enough texts have; for each text the window with the highest sum of the log-odds of its
+    words' most telling character grams; and these log-odds by bucket."""
+    inverse, word, gram, counts = words.distinct()
     text = np.repeat(np.arange(len(words.counts)), words.counts)
     seen = np.unique(np.stack([np.repeat(text, counts[inverse]), _grams_of(gram, counts, inverse)]), axis=1)
-    odds = [np.log((np.bincount(seen[1][toxic[seen[0]] == side], minlength=1 << BITS) + 0.5) / (np.sum(toxic == side) + 1)) for side in (True, False)]
-    telling = np.maximum.reduceat((odds[0] - odds[1])[gram], np.cumsum(counts) - counts) if len(counts) else np.zeros(0)
-    value = np.append(np.cumsum(np.append(0, np.maximum(telling - 2, 0)[inverse])), 0)
-    sums = value[words.begin + np.maximum(words.length, 0)] - value[words.begin]
-    return np.lexsort((sums, owner))[first + words.windows - 1]
+    texts_with = [np.bincount(seen[1][toxic[seen[0]] == side], minlength=1 << BITS) for side in (True, False)]
+    odds = np.log((texts_with[0] + 0.5) / (toxic.sum() + 1)) - np.log((texts_with[1] + 0.5) / ((~toxic).sum() + 1))
+    with_word = np.bincount(np.unique(np.stack([text, word[inverse]]), axis=1)[1], minlength=1 << BITS)
+    known = {"word": with_word >= LEAST_TEXTS, "gram": texts_with[0] + texts_with[1] >= LEAST_TEXTS}
+    odds = np.where(known["gram"], np.clip(odds, -2, 6), 0).astype(np.float32)
+    telling = np.maximum.reduceat(odds[gram], np.cumsum(counts) - counts) if len(counts) else np.zeros(0)
+    value = np.append(0, np.cumsum(np.maximum(telling - 1, 0)[inverse]))
+    sums = value[words.begin + words.length] - value[words.begin]
+    return known, np.lexsort((sums, owner))[first + words.windows - 1], odds
 
 
 def _grams_of(gram: np.ndarray, counts: np.ndarray, inverse: np.ndarray) -> np.ndarray:
