@@ -82,7 +82,7 @@ def test_cells_cut_into_blocks_give_the_same(spark, texts, monkeypatch):
     least = least_matches(0.8, 1e-8, [32, 64, 96, 128])
     # Executors keep their own BLOCK, so blocks are set here by hand: every class alone in a block.
     drafts = components(near._survivors(classes, least, "t"), "t")
-    found = near._verified(items, classes, drafts, shingler, least, 0.8, "t")
+    found = near._verified(items, classes, drafts, shingler, 8, least, 0.8, "t")
     assert found.groupBy("rep").agg(F.sum("links")).count() > 0
     assert sorted(ngram_join(rows).collect()) == whole
 

@@ -183,13 +183,13 @@ def test_gradients():
     rng = np.random.default_rng(0)
     net = toxicity.Network(1)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    words, grams, counts = np.array([5, 9, 5]), np.array([1, 2, 3, 4, 1]), np.array([2, 1, 2])
-    keep = np.array([1.0, 0.0, 1.0])
+    words, grams = np.array([5, 9, 5]), [(np.array([1, 2, 3, 4, 1]), np.array([2, 1, 2])), (np.array([7, 8, 4]), np.array([1, 1, 1]))]
+    keep = np.repeat(np.array([[1.0, 1, 1], [0, 1, 1], [1, 1, 0]]), toxicity.EMBED, axis=1)
     at, there = np.array([[0, 1], [2, 0], [1, 3]]), np.array([[True, True], [True, True], [True, False]])
-    loss = lambda: float(net.forward(net.inputs(words, grams, counts, keep).astype(np.float64), at, there) @ np.array([1.0, -2.0]))
+    loss = lambda: float(net.forward(net.inputs(words, grams, keep).astype(np.float64), at, there) @ np.array([1.0, -2.0]))
     tape = {}
-    net.forward(net.inputs(words, grams, counts, keep).astype(np.float64), at, there, tape)
-    grads = net.backward(tape, at, there, np.array([1.0, -2.0]), words, grams, counts, keep)
+    net.forward(net.inputs(words, grams, keep).astype(np.float64), at, there, tape)
+    grads = net.backward(tape, at, there, np.array([1.0, -2.0]), words, grams, keep)
     for name, value in net.p.items():
         places = [(5, 2), (9, 1)] if name == "word" else [(1, 3), (4, 0)] if name == "gram" else [tuple(rng.integers(0, n) for n in value.shape) for _ in range(3)]
         for place in places:

@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import content_keys, stored
+from vecframe.llm.common import BROADCAST_BYTES, content_keys, small_side, stored
 from vecframe.llm.near import similar_classes
 from vecframe.llm.shingles import char_shingles
 
@@ -15,13 +15,13 @@ CHARACTERS = 7
 THRESHOLD = 0.8
 ROUNDS = 4
 TOLERANCE = 1e-8
-ENDS = "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$"
+SPACES = " \t\n\v\f\r"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """Rows (id, d1, d2, line_no, c1, c2, text): lines by number, without white space at the ends, with the keys of document and line."""
     split = docs.select("id", "d1", "d2", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
-    line = F.regexp_replace("raw", ENDS, "")
+    line = F.btrim("raw", F.lit(SPACES))
     return split.select("id", "d1", "d2", "line_no", *content_keys(line), line.alias("text"))
 
 
@@ -46,11 +46,13 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", char
     # Only groups of more than one line matter from here on.
     sizes = classes.groupBy("root").agg(F.sum("copies").alias("members"))
     groups = stored(classes.join(sizes.where("members > 1"), "root").select("c1", "c2", "root"), "line-dedup-groups")
-    grouped = stored(lines.select("id", "d1", "d2", "line_no", "c1", "c2").join(groups, ["c1", "c2"]).select("id", "d1", "d2", "line_no", "root"), "line-dedup-lines")
+    grouped = stored(lines.select("id", "d1", "d2", "line_no", "c1", "c2").join(small_side(groups, 40), ["c1", "c2"]).select("id", "d1", "d2", "line_no", "root"), "line-dedup-lines")
     place = F.struct("id", "d1", "d2", "line_no")
     firsts = grouped.groupBy("root").agg(F.min(place).alias("first"))
     drops = grouped.join(firsts, "root").where(~place.eqNullSafe(F.col("first"))).groupBy("d1", "d2").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
-    marked = read.join(stored(drops, "line-dedup-dropped"), ["d1", "d2"], "left").withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
+    drops = stored(drops, "line-dedup-dropped")
+    size = drops.agg(F.sum(F.size("dropped") * 4 + 64)).first()[0] or 0
+    marked = read.join(F.broadcast(drops) if size <= BROADCAST_BYTES else drops, ["d1", "d2"], "left").withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
     parts = F.split("text", "\n", -1)
     kept = F.when(F.size("dropped") == 0, F.col("text")).otherwise(F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("dropped", i)), "\n"))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts))

@@ -30,6 +30,7 @@ from vecframe.llm.shingles import least_matches, signatures
 BLOCK = 1024
 BLOCK_BYTES = 24 * 1024 * 1024
 STEPS = 4
+SMALL_CELL = 8
 
 Shingler = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -44,7 +45,7 @@ def similar_classes(items: DataFrame, shingler: Shingler, *, rounds: int, thresh
     wide = 16 * (rounds // 4)
     least = least_matches(threshold, tolerance, [4 * wide * (i + 1) // STEPS for i in range(STEPS)])
     drafts = components(_survivors(classes, least, purpose), f"{purpose}-drafts")
-    found = stored(_verified(items, classes, drafts, shingler, least, threshold, purpose), f"{purpose}-verified")
+    found = stored(_verified(items, classes, drafts, shingler, rounds, least, threshold, purpose), f"{purpose}-verified")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), f"{purpose}-links")
     known = links.join(roots, links.rep == roots.node, "left").select("rep", "links", F.coalesce("root", "rep").alias("root"))
@@ -91,8 +92,12 @@ def _survivors(classes: DataFrame, least: list[int], purpose: str) -> DataFrame:
         for rows, bounds in whole_runs(batches, "cell"):
             rep, side, mixed = (rows.column(c).to_numpy() for c in ("rep", "side", "mixed"))
             values = _values(rows.column("sig"), len(sig))
-            edges = []
+            pairs = bounds[:-1][np.diff(bounds) == 2]
+            together = _pairs_alike(values, pairs, least)
+            edges = [np.stack([rep[together + 1], rep[together]])]
             for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+                if end - start <= 2:
+                    continue
                 forest = Forest(end - start)
                 for i in range(start, end - 1):
                     near = _alike(values, i, _partners(i, end, side, mixed), least)
@@ -141,65 +146,72 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(schema, np.full(len(held), held_key), held, (place + np.arange(len(held))) // BLOCK)
 
 
-def _verified(items, classes, drafts, shingler, least, threshold, purpose) -> DataFrame:
+def _verified(items, classes, drafts, shingler, rounds, least, threshold, purpose) -> DataFrame:
     """Rows (rep, links, root) of each verifying cell; ``root`` is the smallest class its links reach there."""
-    sig = [c for c in classes.columns if c[0] == "s"]
-    drafted = stored(drafts.join(classes, drafts.node == classes.rep).select("rep", F.col("root").alias("draft"), "c1", "c2", "copies", "n", F.array(*sig).alias("sig")), f"{purpose}-drafted")
+    drafted = stored(drafts.join(classes, drafts.node == classes.rep).select("rep", F.col("root").alias("draft"), "c1", "c2", "copies", "n"), f"{purpose}-drafted")
     blocks = drafted.groupBy("draft").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
-    wanted = drafted.select("rep", "c1", "c2")
-    texts = items.select("c1", "c2", "text").join(small_side(wanted, 40), ["c1", "c2"]).select("rep", "text")
-
-    def collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
-        seen: set[int] = set()
-        for batch in batches:
-            fresh = [i for i, r in enumerate(batch.column("rep").to_pylist()) if not (r in seen or seen.add(r))]
-            part = batch.take(pa.array(fresh, pa.int64()))
-            for row, data, bounds in text_chunks(part.column("text")):
-                hashes, counts = shingler(data, bounds)
-                sets = [np.unique(x).tobytes() for x in np.split(hashes, np.cumsum(counts)[:-1])]
-                yield batch_of(schema, part.column("rep").slice(row, len(sets)), sets)
-
-    sets = texts.mapInArrow(collect_sets, "rep long, shingles binary")
+    wanted = stored(drafted.join(blocks, "draft").drop("n"), f"{purpose}-wanted")
+    texts = items.select("c1", "c2", "text").join(small_side(wanted, 56), ["c1", "c2"]).select("rep", "draft", "copies", "blocks", "text")
     cells = (
-        sets.join(drafted.drop("c1", "c2", "n").join(blocks, "draft"), "rep")
+        texts.mapInArrow(_once_per_task, texts.schema)
         .withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select(F.xxhash64("draft", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), (F.col("block") > F.col("other")).cast("int").alias("side"), (F.col("block") != F.col("other")).alias("mixed"), "rep", "copies", "sig", "shingles")
+        .select(F.xxhash64("draft", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), (F.col("block") > F.col("other")).cast("int").alias("side"), (F.col("block") != F.col("other")).alias("mixed"), "rep", "copies", "text")
     )
     schema = pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, bounds in whole_runs(batches, "cell"):
+            rep = rows.column("rep").to_numpy()
+            # A class's text can come from several tasks.
+            first = np.flatnonzero(np.concatenate(([True], (rep[1:] != rep[:-1]) | (rows.column("cell").to_numpy()[1:] != rows.column("cell").to_numpy()[:-1]))))
+            bounds, rows = np.searchsorted(first, bounds), rows.take(pa.array(first))
+            hashes, counts = zip(*[shingler(data, ends) for _, data, ends in text_chunks(rows.column("text").combine_chunks())], strict=True)
+            hashes, counts = np.concatenate(hashes), np.concatenate(counts)
+            offsets = np.concatenate(([0], np.cumsum(counts)))
+            values = signatures(hashes, counts, rounds).view(np.uint16)
+            rep, side, mixed, copies = (rows.column(c).to_numpy() for c in ("rep", "side", "mixed", "copies"))
+            links, root = np.zeros(len(rep), np.int64), rep.copy()
             for start, end in zip(bounds[:-1], bounds[1:], strict=True):
-                yield _verify_cell(rows.slice(start, end - start), len(sig), least, threshold, schema)
+                cell = slice(start, end)
+                sets = [hashes[a:b] for a, b in zip(offsets[start:end], offsets[start + 1 : end + 1], strict=True)]
+                links[cell], label = _verify_cell(sets, values[cell], side[cell], mixed[cell], copies[cell], least, threshold)
+                root[cell] = rep[start + label]
+            yield batch_of(schema, rep, links, root)
 
     return cells.repartition("cell").sortWithinPartitions("cell", "rep").mapInArrow(verify, "rep long, links long, root long")
 
 
-def _verify_cell(rows: pa.Table, wide: int, least: list[int], threshold: float, schema: pa.Schema) -> pa.RecordBatch:
-    rep = rows.column("rep").to_numpy()
-    rows = rows.take(pa.array(np.flatnonzero(np.concatenate(([True], rep[1:] != rep[:-1])))))  # a set can come from several tasks
-    rep, side, mixed, copies = (rows.column(c).to_numpy() for c in ("rep", "side", "mixed", "copies"))
-    values = _values(rows.column("sig"), wide)
-    sets = [np.frombuffer(x.as_py(), np.uint64) for x in rows.column("shingles")]
-    sizes = np.array([len(s) for s in sets])
-    offsets = np.concatenate(([0], np.cumsum(sizes)))
-    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    mark = np.zeros(int(ids.max()) + 1 if len(ids) else 0, bool)
-    links, forest = np.zeros(len(rep), np.int64), Forest(len(rep))
-    for i in range(len(rep) - 1):
-        near = _alike(values, i, _partners(i, len(rep), side, mixed), least)
-        if len(near):
-            own = ids[offsets[i] : offsets[i + 1]]
-            mark[own] = True
-            shared = np.array([np.count_nonzero(mark[ids[offsets[j] : offsets[j + 1]]]) for j in near])
-            mark[own] = False
-            near = near[shared >= threshold * (sizes[i] + sizes[near] - shared) - 1e-9]
-            links[i] += copies[near].sum()
-            links[near] += copies[i]
-            forest.join(i, near)
-    return batch_of(schema, rep, links, rep[forest.label])
+def _once_per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: set[int] = set()
+    for batch in batches:
+        yield batch.take(pa.array([i for i, r in enumerate(batch.column("rep").to_pylist()) if not (r in seen or seen.add(r))], pa.int64()))
+
+
+def _verify_cell(sets, values, side, mixed, copies, least, threshold) -> tuple[np.ndarray, np.ndarray]:
+    """How many rows each member links to, and the labels of the components of these links."""
+    n = len(sets)
+    links, forest = np.zeros(n, np.int64), Forest(n)
+    near = [_alike(values, i, _partners(i, n, side, mixed), least) for i in range(n - 1)]
+    used = {int(x) for i, others in enumerate(near) if len(others) for x in (i, *others)}
+    unique = {i: np.unique(sets[i]) for i in used}
+    for i, others in enumerate(near):
+        if len(others):
+            shared = np.array([len(np.intersect1d(unique[i], unique[j], assume_unique=True)) for j in others.tolist()]) if n <= SMALL_CELL else _shared(unique, i, others)
+            sizes = np.array([len(unique[j]) for j in others.tolist()])
+            others = others[shared >= threshold * (len(unique[i]) + sizes - shared) - 1e-9]
+            links[i] += copies[others].sum()
+            links[others] += copies[i]
+            forest.join(i, others)
+    return links, forest.label
+
+
+def _shared(unique: dict[int, np.ndarray], i: int, others: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of set i with each of the others, looked up together."""
+    own = unique[i]
+    both = np.concatenate([unique[j] for j in others.tolist()])
+    at = np.minimum(np.searchsorted(own, both), len(own) - 1)
+    return np.add.reduceat(own[at] == both, np.cumsum([0, *(len(unique[j]) for j in others.tolist()[:-1])]), dtype=np.int64)
 
 
 class Forest:
@@ -224,6 +236,16 @@ def _partners(i: int, end: int, side: np.ndarray, mixed: np.ndarray) -> np.ndarr
     return later[side[i + 1 : end] != side[i]] if mixed[i] else later
 
 
+def _pairs_alike(values: np.ndarray, first: np.ndarray, least: list[int]) -> np.ndarray:
+    """Of pairs of rows (i, i + 1) those that no step of the comparison has dropped."""
+    step = values.shape[1] // len(least)
+    equal = np.zeros(len(first), np.int64)
+    for s, need in enumerate(least):
+        equal += np.count_nonzero(values[first, s * step : (s + 1) * step] == values[first + 1, s * step : (s + 1) * step], axis=1)
+        first, equal = first[equal >= need], equal[equal >= need]
+    return first
+
+
 def _alike(values: np.ndarray, i: int, others: np.ndarray, least: list[int]) -> np.ndarray:
     """Those of ``others`` that no step of the comparison has dropped."""
     step = values.shape[1] // len(least)

@@ -17,13 +17,18 @@ STRIDE = 16
 #: Labelled rows of each class, by hash of their key, that the network is trained on at most.
 TRAIN_ROWS = 1500
 BITS = 18
-GRAM = 4
+#: Lengths of character grams, a word's bounds included.
+GRAMS = (4, 7)
 EMBED = 8
+WIDTH = EMBED * (1 + len(GRAMS))
 HIDDEN = 8
 STEPS = 120
 ROUNDS = 3
 BATCH = 144
 RATE = 0.01
+#: Chance that a part of a word's input (the word, its shorter or its longer grams) is seen in training.
+KEEP = 0.8
+DECAY = 0.0005
 SEED = 3
 #: Words and grams that fewer training texts have are unknown, so that no text can be learned by heart from them.
 LEAST_TEXTS = 5
@@ -47,8 +52,9 @@ class Words:
         self.begin = np.repeat(firsts, self.windows) + place
         self.length = np.minimum(np.repeat(self.counts, self.windows) - place, WINDOW)
 
-    def distinct(self, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of the words ``used``: number of each in the list of distinct ones, and of these the word bucket and the buckets and counts of their character grams."""
+    def distinct(self, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Of the words ``used``: number of each in the list of distinct ones, and of these the word bucket and, for each
+        length of grams, the buckets and counts of their character grams."""
         picked = np.arange(len(self.hashes)) if used is None else used
         hashes, first, inverse = np.unique(self.hashes[picked], return_index=True, return_inverse=True)
         starts, sizes = self.starts[picked[first]], (self.ends - self.starts)[picked[first]]
@@ -57,8 +63,8 @@ class Words:
         within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         letters[np.repeat(marked + 1, sizes) + within] = self.data[np.repeat(starts, sizes) + within]
         letters[marked], letters[marked + sizes + 1] = 300, 301  # the word's bounds
-        grams, counts = shingle(letters, sizes + 2, GRAM)
-        return inverse, _bucket(hashes), _bucket(grams), counts
+        grams = [shingle(letters, sizes + 2, n) for n in GRAMS]
+        return inverse, _bucket(hashes), [(_bucket(found + np.uint64(n)), counts) for n, (found, counts) in zip(GRAMS, grams, strict=True)]
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
@@ -77,15 +83,18 @@ class Network:
         draw = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(np.float32)
         self.p = {"word": draw(1 << BITS, EMBED, scale=0.1), "gram": draw(1 << BITS, EMBED, scale=0.1), "query": draw(2 * HIDDEN, scale=0.3), "out": draw(2 * HIDDEN, scale=0.3), "bias": np.zeros(1, np.float32)}
         for d in "fb":
-            self.p |= {f"x{d}": draw(2 * EMBED, 3 * HIDDEN, scale=0.4), f"h{d}": draw(HIDDEN, 3 * HIDDEN, scale=0.3), f"c{d}": np.zeros(3 * HIDDEN, np.float32)}
+            self.p |= {f"x{d}": draw(WIDTH, 3 * HIDDEN, scale=0.4), f"h{d}": draw(HIDDEN, 3 * HIDDEN, scale=0.3), f"c{d}": np.zeros(3 * HIDDEN, np.float32)}
         self.scale, self.shift = 1.0, 0.0
 
-    def inputs(self, words: np.ndarray, grams: np.ndarray, counts: np.ndarray, keep: np.ndarray | None = None) -> np.ndarray:
+    def inputs(self, words: np.ndarray, grams: list[tuple[np.ndarray, np.ndarray]], keep: np.ndarray | None = None) -> np.ndarray:
         """One input row per distinct word, and a row of zeros for places after a window's end."""
-        x = np.zeros((len(words) + 1, 2 * EMBED), np.float32)
+        x = np.zeros((len(words) + 1, WIDTH), np.float32)
         if len(words):
-            x[:-1, :EMBED] = self.p["word"][words] if keep is None else self.p["word"][words] * keep[:, None]
-            x[:-1, EMBED:] = np.add.reduceat(self.p["gram"][grams], np.cumsum(counts) - counts, axis=0) / np.sqrt(counts)[:, None]
+            x[:-1, :EMBED] = self.p["word"][words]
+            for i, (buckets, counts) in enumerate(grams, 1):
+                x[:-1, i * EMBED : (i + 1) * EMBED] = np.add.reduceat(self.p["gram"][buckets], np.cumsum(counts) - counts, axis=0) / np.sqrt(counts)[:, None]
+            if keep is not None:
+                x[:-1] *= keep
         return x
 
     def forward(self, x: np.ndarray, at: np.ndarray, there: np.ndarray, tape: dict | None = None) -> np.ndarray:
@@ -115,7 +124,7 @@ class Network:
             tape |= {"states": states, "weight": weight, "pooled": pooled, "x": x}
         return pooled @ self.p["out"] + self.p["bias"][0]
 
-    def backward(self, tape: dict, at: np.ndarray, there: np.ndarray, grad: np.ndarray, words, grams, counts, keep) -> dict:
+    def backward(self, tape: dict, at: np.ndarray, there: np.ndarray, grad: np.ndarray, words, grams, keep) -> dict:
         """Gradients by name; those of the embeddings are (rows, gradients of these rows)."""
         g = {k: np.zeros_like(v) for k, v in self.p.items() if k not in EMBEDDED}
         states, weight, pooled, x = (tape[k] for k in ("states", "weight", "pooled", "x"))
@@ -143,14 +152,16 @@ class Network:
             g[f"c{d}"] = dgates.sum(axis=0)
             g[f"x{d}"] = x.T @ dgates
             dx += dgates @ self.p[f"x{d}"].T
-        g["word"] = _rows_summed(words, dx[:-1, :EMBED] * keep[:, None])
-        g["gram"] = _rows_summed(grams, np.repeat(dx[:-1, EMBED:] / np.sqrt(counts)[:, None], counts, axis=0))
+        dx = dx[:-1] * keep
+        g["word"] = _rows_summed(words, dx[:, :EMBED])
+        parts = [np.repeat(dx[:, i * EMBED : (i + 1) * EMBED] / np.sqrt(counts)[:, None], counts, axis=0) for i, (_, counts) in enumerate(grams, 1)]
+        g["gram"] = _rows_summed(np.concatenate([buckets for buckets, _ in grams]), np.concatenate(parts))
         return g
 
     def window_logits(self, words: Words, picked: np.ndarray | None = None, most: int = 4096) -> np.ndarray:
         """Logits of all windows of the texts, or of those picked."""
-        inverse, word, gram, counts = words.distinct()
-        x, inverse = self.inputs(word, gram, counts), np.append(inverse, len(word))
+        inverse, word, grams = words.distinct()
+        x, inverse = self.inputs(word, grams), np.append(inverse, len(word))
         picked = np.arange(len(words.begin)) if picked is None else picked
         out = np.zeros(len(picked), np.float32)
         for i in range(0, len(picked), most):
@@ -188,13 +199,21 @@ def train(texts: list[str], toxic: np.ndarray, odds: float, seed: int = SEED) ->
     words = Words(*text_buffers(pa.array(texts, pa.string())))
     owner = np.repeat(np.arange(len(texts)), words.windows)
     first = np.cumsum(words.windows) - words.windows
+    # The first number of an embedding starts as the log-odds of the texts that have the word or gram.
     known, told, odds_of = _telling_windows(words, toxic, owner, first)
     for k in EMBEDDED:
         net.p[k][~known[k]] = 0
-    net.p["gram"][:, 0] += 0.5 * odds_of
+        net.p[k][:, 0] += 0.5 * odds_of[k]
     best = told
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
-    yes, no = np.flatnonzero(toxic), np.flatnonzero(~toxic)
+    # A fifth of the texts is kept for turning logits into chances, if there are enough.
+    judge = np.zeros(len(texts), bool)
+    for side in (toxic, ~toxic):
+        own = rng.permutation(np.flatnonzero(side))
+        judge[own[: len(own) // 5]] = True
+    yes, no = np.flatnonzero(toxic & ~judge), np.flatnonzero(~toxic & ~judge)
+    if (toxic & judge).sum() < 5:
+        judge[:] = True
     step = 0
     for _ in range(ROUNDS):
         for _ in range(STEPS):
@@ -204,13 +223,14 @@ def train(texts: list[str], toxic: np.ndarray, odds: float, seed: int = SEED) ->
             target = np.repeat([1.0, 0.0], [len(a), len(b) + len(c)]).astype(np.float32)
             at, there = _places(words, picked)
             used, number = np.unique(at[there], return_inverse=True)
-            inverse, word, gram, counts = words.distinct(used)
+            inverse, word, grams = words.distinct(used)
             local = np.full(at.shape, len(word))
             local[there] = inverse[number]
-            keep = (rng.random(len(word)) < 0.5).astype(np.float32)  # half the words are seen by their characters alone
+            # Words are often seen without one of their three parts, so that no part is needed.
+            keep = np.repeat((rng.random((len(word), 1 + len(GRAMS))) < KEEP).astype(np.float32), EMBED, axis=1)
             tape: dict = {}
-            logits = net.forward(net.inputs(word, gram, counts, keep), local, there, tape)
-            grads = net.backward(tape, local, there, ((_sigmoid(logits) - target) / len(target)).astype(np.float32), word, gram, counts, keep)
+            logits = net.forward(net.inputs(word, grams, keep), local, there, tape)
+            grads = net.backward(tape, local, there, ((_sigmoid(logits) - target) / len(target)).astype(np.float32), word, grams, keep)
             for k, g in grads.items():
                 rows = slice(None)
                 if k in EMBEDDED:
@@ -219,29 +239,36 @@ def train(texts: list[str], toxic: np.ndarray, odds: float, seed: int = SEED) ->
                 m, v = (moment[rows] for moment in moments[k])
                 m, v = m + 0.1 * (g - m), v + 0.01 * (g * g - v)
                 moments[k][0][rows], moments[k][1][rows] = m, v
-                net.p[k][rows] -= (RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+                net.p[k][rows] -= (RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8) + DECAY * net.p[k][rows]).astype(np.float32)
         logits = net.window_logits(words)
         best = np.lexsort((logits, owner))[first + words.windows - 1]
         # A toxic text of which nothing looks toxic yet keeps the window its grams told of.
         highest = best
         best = np.where(toxic & (logits[best] < 0), told, best)
-    net.scale, net.shift = _logistic(logits[highest].astype(np.float64), toxic, odds)
+    net.scale, net.shift = _logistic(logits[highest][judge].astype(np.float64), toxic[judge], odds)
     return net
 
 
-def _telling_windows(words: Words, toxic: np.ndarray, owner: np.ndarray, first: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-    """Which word and gram buckets enough texts have; for each text the window with the highest sum of the log-odds of its
-    words' most telling character grams; and these log-odds by bucket."""
-    inverse, word, gram, counts = words.distinct()
+def _telling_windows(words: Words, toxic: np.ndarray, owner: np.ndarray, first: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, dict[str, np.ndarray]]:
+    """Which word and gram buckets enough texts have; for each text the window with the highest sum of its words' most
+    telling log-odds, their own or of a gram; and these log-odds by bucket."""
+    inverse, word, grams = words.distinct()
     text = np.repeat(np.arange(len(words.counts)), words.counts)
-    seen = np.unique(np.stack([np.repeat(text, counts[inverse]), _grams_of(gram, counts, inverse)]), axis=1)
-    texts_with = [np.bincount(seen[1][toxic[seen[0]] == side], minlength=1 << BITS) for side in (True, False)]
-    odds = np.log((texts_with[0] + 0.5) / (toxic.sum() + 1)) - np.log((texts_with[1] + 0.5) / ((~toxic).sum() + 1))
-    with_word = np.bincount(np.unique(np.stack([text, word[inverse]]), axis=1)[1], minlength=1 << BITS)
-    known = {"word": with_word >= LEAST_TEXTS, "gram": texts_with[0] + texts_with[1] >= LEAST_TEXTS}
-    odds = np.where(known["gram"], np.clip(odds, -2, 6), 0).astype(np.float32)
-    telling = np.maximum.reduceat(odds[gram], np.cumsum(counts) - counts) if len(counts) else np.zeros(0)
-    value = np.append(0, np.cumsum(np.maximum(telling - 1, 0)[inverse]))
+    having = {
+        "word": np.unique(text << BITS | word[inverse]),
+        "gram": np.unique(np.concatenate([np.repeat(text, counts[inverse]) << BITS | _grams_of(buckets, counts, inverse) for buckets, counts in grams])),
+    }
+    known, odds = {}, {}
+    for k, pairs in having.items():
+        side, bucket = toxic[pairs >> BITS], pairs & ((1 << BITS) - 1)
+        with_it = [np.bincount(bucket[side == s], minlength=1 << BITS) for s in (True, False)]
+        known[k] = with_it[0] + with_it[1] >= LEAST_TEXTS
+        ratio = np.log((with_it[0] + 0.5) / (toxic.sum() + 1)) - np.log((with_it[1] + 0.5) / ((~toxic).sum() + 1))
+        odds[k] = np.where(known[k], np.clip(ratio, -2, 6), 0).astype(np.float32)
+    value = np.zeros(1)
+    if len(word):
+        telling = np.max([odds["word"][word], *(np.maximum.reduceat(odds["gram"][buckets], np.cumsum(counts) - counts) for buckets, counts in grams)], axis=0)
+        value = np.append(0, np.cumsum(np.maximum(telling - 1, 0)[inverse]))
     sums = value[words.begin + words.length] - value[words.begin]
     return known, np.lexsort((sums, owner))[first + words.windows - 1], odds
 
@@ -253,14 +280,15 @@ def _grams_of(gram: np.ndarray, counts: np.ndarray, inverse: np.ndarray) -> np.n
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, odds: float) -> tuple[float, float]:
-    """Scale and shift of a weighed, slightly damped logistic regression of y on x, by Newton's method."""
+    """Scale and shift of a weighed logistic regression of y on x, by Newton's method in short steps; scale is drawn to 1 and shift to 0."""
     weight = np.where(y, odds / max(y.sum(), 1), 1 / max((~y).sum(), 1)) * len(y) / (1 + odds)
     design, w = np.stack([x, np.ones_like(x)], axis=1), np.array([1.0, 0.0])
     for _ in range(50):
         p = _sigmoid(design @ w)
-        grad = design.T @ (weight * (p - y)) + 1e-2 * (w - [1.0, 0.0])
-        hess = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
-        w = w - np.linalg.solve(hess, grad)
+        grad = design.T @ (weight * (p - y)) + w - [1.0, 0.0]
+        hess = (design * (weight * p * (1 - p))[:, None]).T @ design + np.eye(2)
+        step = np.linalg.solve(hess, grad)
+        w = w - step / max(1.0, np.abs(step).max())
     return float(max(w[0], 1e-3)), float(w[1])
 
 
