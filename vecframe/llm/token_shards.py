@@ -107,11 +107,11 @@ def write_shards(docs: DataFrame, vocabulary: str, *, folder: str | None = None,
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
-                tokens = [_tokens(t, ranks.value) for t in piece.column("text").to_pylist()]
-                chunks = np.array([len(t) // sequence + 1 for t in tokens])
+                tokens = [np.array([*_tokens(t, ranks.value), end], "<u2") for t in piece.column("text").to_pylist()]
+                chunks = np.array([(len(t) - 1) // sequence + 1 for t in tokens])
                 chunk = np.arange(chunks.sum()) - np.repeat(np.cumsum(chunks) - chunks, chunks)
-                sizes = np.minimum(np.repeat([len(t) + 1 for t in tokens], chunks) - chunk * sequence, sequence)
-                body = [np.append(np.asarray(t, "<u2"), np.uint16(end))[c * sequence : (c + 1) * sequence].tobytes() for t, n in zip(tokens, chunks, strict=True) for c in range(n)]
+                sizes = np.minimum(np.repeat([len(t) for t in tokens], chunks) - chunk * sequence, sequence)
+                body = [t[c * sequence : (c + 1) * sequence].tobytes() for t, n in zip(tokens, chunks, strict=True) for c in range(n)]
                 slots = order.slots(offsets.get(part, 0) + done + np.arange(len(chunk)))
                 done += len(chunk)
                 id_ = piece.column("id").take(pa.array(np.repeat(np.arange(len(tokens)), chunks)))
