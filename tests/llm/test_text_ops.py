@@ -78,7 +78,7 @@ def test_decontamination_is_brute_force(spark, monkeypatch, block_words):
         assert (r["items"], r.n_items, r.contaminated, r.source) == (wanted, len(wanted), bool(wanted), source)
         covered = {p for k, item in items for s in (leaks(text, item) or []) for p in range(s, s + min(13, len(item.split())))}
         assert {p for a, b in zip(r.starts, r.ends, strict=True) for p in range(a, b)} == covered
-    assert sum(r.contaminated for r in got) > 20
+    assert sum(r.contaminated for r in got) > 10
     assert not any(r.contaminated for r in decontaminate.find_leaks(docs_of(spark, rows), benchmark.limit(0)).collect())
     assert decontaminate.find_leaks(docs_of(spark, []), benchmark).collect() == []
 
@@ -106,7 +106,7 @@ def kneser_ney(texts):
     for k, c in grams.items():
         n = Counter(c.values())
         y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
-        d[k] = [min(j, max(0.0, j - (j + 1) * y * n[j + 1] / n[j])) if n[j] else 0.0 for j in (1, 2, 3)]
+        d[k] = [min(j, max(0.1, j - (j + 1) * y * n[j + 1] / n[j])) if n[j] else 0.1 for j in (1, 2, 3)]
     total, less = {}, {}
     for k, c in grams.items():
         t, w = Counter(), Counter()
@@ -168,7 +168,7 @@ def test_quality_cases(spark):
 
 
 def test_toxicity_on_held_out_documents(spark):
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     got = QUERIES["op3_toxicity"](spark, folder).toPandas()
     labels = spark.read.parquet(f"{folder}/labels.parquet").toPandas()
     both = got.merge(labels, on="doc_id")
@@ -176,7 +176,7 @@ def test_toxicity_on_held_out_documents(spark):
     assert got.score.between(0, 1).all() and ((got.score >= 0.5) == (got.predicted == 1)).all()
     test = both[both.held_out]
     assert (test.predicted == test.toxic).mean() > 0.95
-    assert test[test.toxic == 1].predicted.mean() > 0.7 and test[test.toxic == 0].predicted.mean() < 0.03
+    assert test[test.toxic == 1].predicted.mean() > 0.85 and test[test.toxic == 0].predicted.mean() < 0.03
 
 
 def test_gradients():

@@ -23,6 +23,7 @@ MARGIN = 1.5
 #: Rows of the model in one shard. A shard is sent to every task; each shard is one more function over the documents.
 SHARD_ROWS = 4_000_000
 GRAMS_HELD = 4_000_000
+LEAST_DISCOUNT = 0.1
 #: Characters at the language's own rate that every text is taken to have besides its own, so that few characters do not condemn a text.
 PRIOR_CHARS = 100
 
@@ -79,12 +80,15 @@ def count_grams(texts: DataFrame) -> DataFrame:
 
 
 def discounts(grams: DataFrame) -> list[float]:
-    """The three discounts of modified Kneser-Ney from the counts of counts, between 0 and the count they lower."""
+    """The three discounts of modified Kneser-Ney from the counts of counts, between LEAST_DISCOUNT and the count they lower.
+
+    Where there is no such count, LEAST_DISCOUNT: something must be left for shorter contexts.
+    """
     n = [0, 0, 0, 0]
     for row in grams.where("n <= 4").groupBy("n").count().collect():
         n[row.n - 1] = row["count"]
     y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.0
-    return [min(float(k), max(0.0, k - (k + 1) * y * n[k] / n[k - 1])) if n[k - 1] else 0.0 for k in (1, 2, 3)]
+    return [min(float(k), max(LEAST_DISCOUNT, k - (k + 1) * y * n[k] / n[k - 1])) if n[k - 1] else LEAST_DISCOUNT for k in (1, 2, 3)]
 
 
 def fit_model(grams: DataFrame, purpose: str = "kneser-ney") -> DataFrame:
