@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vecframe.operators import ann, knn
+from vecframe.operators import ann, knn, vectors
 from vecframe.operators.evaluate import ndcg_at_k, recall_at_k, recall_per_query
 from vecframe.operators.rerank import mmr
 from vecframe.plans.queries import EMBEDDED
@@ -131,3 +131,25 @@ def test_mmr_equals_a_plain_loop(embeddings):
             left.remove(best)
             picked.append(best)
             assert got[query, len(picked)] == best.key
+
+
+def test_mmr_of_distances(spark):
+    hits = spark.createDataFrame([(1, i + 1, i, float(i), [1.0, float(i)]) for i in range(6)], "query_id int, rank int, key int, score double, vector array<float>")
+    got = [r.key for r in mmr(hits, 3, trade_off=1.0, metric="euclidean").orderBy("rank").collect()]
+    assert got == [0, 1, 2]
+
+
+def test_best_places_keep_the_order_of_a_full_sort():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 5, (300, 40)).astype(float)
+    for count in (1, 3, 10, 40):
+        assert (vectors._best_places(values, count) == np.argsort(-values, axis=1, kind="stable")[:, :count]).all()
+
+
+def test_cells_of_many_centroids_are_assigned_in_tiles(spark, embeddings):
+    centroids = np.random.default_rng(2).standard_normal((20_000, 64))
+    got = ann.assign_cells(embeddings, centroids, vector="embedding").select("embedding", "cell").collect()
+    for r in got[:50]:
+        x = np.array(r.embedding, np.float64)
+        x /= np.linalg.norm(x)
+        assert r.cell == np.argmax(x @ centroids.T - (centroids**2).sum(axis=1) / 2)

@@ -26,7 +26,7 @@ def test_grid_with_filters_and_own_k(embeddings):
 
 def test_two_merge_levels_change_nothing(embeddings, monkeypatch):
     one = rows(knn.knn_join(embeddings, embeddings, **EMBEDDED))
-    monkeypatch.setattr(knn, "MERGE_FAN_IN", 4)
+    monkeypatch.setattr(knn, "scan_tasks", lambda df: knn.MERGE_FAN_IN + 1)
     assert one == rows(knn.knn_join(embeddings, embeddings, **EMBEDDED))
 
 
@@ -38,6 +38,30 @@ def test_corpus_is_neither_shuffled_nor_broadcast(embeddings):
     assert "PushedFilters: [IsNotNull(label), EqualTo(label,3)]" in below
 
 
+def test_scan_keeps_its_splits(spark, embeddings, tmp_path):
+    """Every file split is a task of its own; none are folded together."""
+    embeddings.repartition(20).write.parquet(str(tmp_path / "many"))
+    many = spark.read.parquet(str(tmp_path / "many"))
+    assert "Coalesce" not in plan_of(knn.knn_join(many, embeddings, **EMBEDDED))
+
+
+@pytest.mark.parametrize("limit", [knn.BROADCAST_LIMIT, 10])
+def test_repeated_query_ids_are_refused(spark, limit):
+    corpus = small_table(spark, [("a", [1.0, 0.0])])
+    asked = spark.createDataFrame([(1, [5.0, 1.0]), (1, [0.0, 1.0])], "query_id int, vector array<double>")
+    with pytest.raises(ValueError, match="more than once"):
+        knn.knn_join(corpus, asked, broadcast_limit=limit)
+
+
+def test_a_batch_survives_items_that_cannot_be_answered(spark):
+    one = small_table(spark, [("a", [1.0, 0.0])])
+    schema = "query_id int, vector array<double>, collection string, metric string, k int, low double"
+    items = [(1, [1.0, 0.0], "one", "cosine", 1, None), (2, [1.0], "one", "cosine", 1, None), (3, [1.0, 0.0], "one", "odd", 1, None), (4, None, "one", "cosine", 1, None), (5, [1.0, 0.0], "one", "L2", 1, 0.5), (6, [1.0, 0.0], "none", "cosine", 1, None), (7, [1.0, 0.0], "one", "cosine", 0, None), (8, [1.0, 0.0], None, "cosine", 1, None)]
+    asked = spark.createDataFrame(items, schema)
+    got = knn.query_batch({"one": one}, asked, metric=F.col("metric"), top_k=F.col("k"), min_score=F.col("low")).collect()
+    assert sorted((r.query_id, r.key) for r in got) == [(1, "a"), *((i, None) for i in range(2, 9))]
+
+
 def test_merge_keeps_k_rows_per_query_before_the_shuffle(embeddings):
     plan = plan_of(knn.knn_join(embeddings, embeddings, **EMBEDDED))
     assert plan.count("WindowGroupLimit") == 2

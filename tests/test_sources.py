@@ -87,6 +87,20 @@ def test_listing(spark, tmp_path):
         check_files(file_listing(spark, str(tmp_path / "d")))
 
 
+def test_an_empty_file_among_others_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    (tmp_path / "b.csv").write_text('id,vector\n1,"[1]"\n')
+    with pytest.raises(ValueError, match="empty"):
+        read_vectors(spark, str(tmp_path), format="csv", schema="id long, vector array<float>")
+
+
+def test_a_refused_export_leaves_no_parts(spark, tmp_path):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0])], "id long, vector array<double>").coalesce(1)
+    with pytest.raises(Exception, match="elements"):
+        export(df, str(tmp_path / "out"))
+    assert not list((tmp_path / "out").glob("*.parquet")) and not (tmp_path / "out/_manifest.json").exists()
+
+
 def test_four_ways_in(spark):
     frame = pd.DataFrame({"key": ["a"], "vector": [[1.0, 2.0]]})
     inline = [{"id": "a", "vector": [1, 2], "metadata": {"color": "red", "n": 3}}]

@@ -135,3 +135,33 @@ def test_versions(spark, base, tmp_path):
     assert table.write(table.read().where("key > 1"), high_water=4) == 2
     assert set(content(table.read())) == {2, 3, 4}
     assert table.current() == {"version": 2, "high_water": 4}
+
+
+def test_keys_stay_unique_across_files(spark):
+    schema = "key long, seq long, source_file string, value string"
+    base = spark.createDataFrame([(1, 0, "a", "x"), (2, 0, "b", "y")], schema)
+    rows = spark.createDataFrame([(2, 1, "c", "new"), (3, 0, "c", "z"), (1, 5, "d", "skipped")], schema)
+    actions = spark.createDataFrame([("c", 1, "load"), ("d", 1, "skip")], "name string, size long, action string")
+    grown = tables.append_new_files(base, rows, actions)
+    assert sorted((r.key, r.value) for r in grown.collect()) == [(1, "x"), (2, "new"), (3, "z")]
+    swapped = tables.replace_file(base, "a", spark.createDataFrame([(2, 1, "n"), (4, 0, "m")], "key long, seq long, value string"))
+    assert sorted((r.key, r.source_file, r.value) for r in swapped.collect()) == [(2, "a", "n"), (4, "a", "m")]
+
+
+def test_a_key_asked_twice_is_answered_twice(spark):
+    table = spark.createDataFrame([(1, "x")], "key long, value string")
+    asked = spark.createDataFrame([(1,), (1,), (2,)], "key long")
+    assert sorted((r.key, r.found, r.value or "") for r in tables.fetch(table, asked).collect()) == [(1, True, "x"), (1, True, "x"), (2, False, "")]
+
+
+def test_the_log_is_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    base = spark.createDataFrame([(i, 0, "b") for i in range(10)], "key long, seq long, value string")
+    log = spark.createDataFrame([(i, 1, "l") for i in range(5)], "key long, seq long, value string").mapInArrow(count, "key long, seq long, value string")
+    assert tables.merge_on_read(base, log).count() == 10 and seen.value == 5

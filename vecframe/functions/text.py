@@ -26,8 +26,6 @@ SPECIAL_TOKENS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]"]
 MAX_TEXT = 800
 LOOK_BACK = 100
 
-MAX_VOCABULARY = 1_000_000
-
 
 def normalize_title(title: Column) -> Column:
     """Lower case, without punctuation, single spaces; null becomes the empty string."""
@@ -83,10 +81,8 @@ def count_tokens(df: DataFrame, text: str) -> DataFrame:
 def wordpiece_ids(text: Column, vocabulary: list[str]) -> Column:
     """Ids of the longest pieces, between [CLS] and [SEP], cut to 256 after adding both.
 
-    The vocabulary goes to every task, so its length is bounded.
+    The vocabulary goes to every task, so a task must be able to hold it.
     """
-    if len(vocabulary) > MAX_VOCABULARY:
-        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} entries")
     ids = {piece: i for i, piece in enumerate(vocabulary)}
     missing = [t for t in ("[UNK]", "[CLS]", "[SEP]") if t not in ids]
     if missing:
@@ -103,11 +99,16 @@ def wordpiece_ids(text: Column, vocabulary: list[str]) -> Column:
         # Where each text starts: in words, then in pieces.
         starts = words.offsets.to_numpy() - words.offsets[0].as_py()
         starts = np.concatenate([[0], np.cumsum(sizes[at])])[starts]
-        rows = [
-            np.concatenate([[first], flat[start : min(stop, start + MAX_TOKENS)], [last]])[:MAX_TOKENS]
-            for start, stop in zip(starts, starts[1:])
-        ]
-        return pa.array(rows, type=pa.list_(pa.int32()))
+        # The closing mark is cut off too where the pieces leave no room for it.
+        found = np.diff(starts)
+        kept, closed = np.minimum(found, MAX_TOKENS - 1), found < MAX_TOKENS - 1
+        ends = np.cumsum(kept + 1 + closed)
+        begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        out = np.full(int(ends[-1]) if len(ends) else 0, last, dtype=np.int32)
+        out[begins] = first
+        within = np.arange(kept.sum()) - np.repeat(np.cumsum(kept) - kept, kept)
+        out[np.repeat(begins + 1, kept) + within] = flat[np.repeat(starts[:-1], kept) + within]
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(out))
 
     return pieces(basic_tokens(F.coalesce(text, F.lit(""))))
 

@@ -21,11 +21,9 @@ from vecframe.operators.evaluate import recall_at_k
 from vecframe.operators.metrics import metric_name
 from vecframe.operators.topk import METRIC_CODES
 from vecframe.operators.vectors import l2_normalize, nearest_cells, pair_goodness, project
-from vecframe.session import task_slots
+from vecframe.session import scan_tasks, shuffle_tasks
 
-EXACT_BELOW = 50_000
 DEFAULT_TARGET_RECALL = 0.95
-MAX_CELLS = 65_536
 
 
 def _training_vectors(corpus: DataFrame, vector: str, metric: str) -> DataFrame:
@@ -110,7 +108,7 @@ def knn_pca(
         # most one per query.
         asking = candidates.groupBy("key").agg(F.collect_list("query_id").alias("asking"))
         hits = knn.scan_hits(rows.join(hint(asking), "key"), facts.rows, facts.dim)
-        return knn.merge_hits(hits, facts.k)
+        return knn.merge_hits(hits, facts.k, scan_tasks(corpus))
     pairs = rows.join(hint(candidates), "key").join(asked, F.col("query_id") == F.col("qid"))
     scored = pairs.withColumn("goodness", pair_goodness(F.col("qvec"), F.col("vec"), F.col("qmetric"), facts.dim))
     scored = scored.where(
@@ -124,23 +122,22 @@ def knn_pca(
 
 def fit_cells(
     corpus: DataFrame, n_cells: int | None = None, *, vector: str = "vector", metric: str = "cosine",
-    seed: int = 7, max_iter: int = 10, rows_per_cell: int = 256,
+    seed: int = 7, max_iter: int = 10, rows_per_cell: int | None = None,
 ) -> np.ndarray:
     """k-means centroids as a (cells x dimension) matrix; about sqrt(rows) cells by default.
 
-    Centroids are fitted on about ``rows_per_cell`` vectors per cell, since every iteration compares
-    each training vector with each centroid. Search always covers all rows.
+    All rows are used, unless ``rows_per_cell`` asks for a sample of about so many per cell. Centres start from random rows,
+    since the usual start picks candidates on the driver, which takes over with thousands of cells. Search always covers all rows.
     """
     rows = corpus.where(F.col(vector).isNotNull()).count()
     if n_cells is None:
-        n_cells = int(min(MAX_CELLS, max(2, math.sqrt(rows))))
-    if not 1 < n_cells <= MAX_CELLS:
-        raise ValueError(f"n_cells must lie between 2 and {MAX_CELLS}")
+        n_cells = max(2, int(math.sqrt(rows)))
+    if n_cells < 2:
+        raise ValueError("n_cells must be at least 2")
     training = _training_vectors(corpus, vector, metric_name(metric))
-    share = n_cells * rows_per_cell / max(1, rows)
-    if share < 1:
-        training = training.sample(share, seed=seed)
-    model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="features").fit(training)
+    if rows_per_cell is not None and n_cells * rows_per_cell < rows:
+        training = training.sample(n_cells * rows_per_cell / rows, seed=seed)
+    model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="features", initMode="random").fit(training)
     return np.array(model.clusterCenters())
 
 
@@ -151,12 +148,13 @@ def assign_cells(corpus: DataFrame, centroids: np.ndarray, *, vector: str = "vec
     return rows.withColumn("cell", nearest_cells(F.col(vector), centroids, 1, unit)[0])
 
 
-def write_cells(celled: DataFrame, path: str, *, key: str = "key") -> None:
+def write_cells(celled: DataFrame, path: str, *, key: str = "key", parts: int = 4) -> None:
     """Store by cell, so that a search reads only the cells it probes.
 
-    Ranges over (cell, key) keep each task to few cells and cut a large cell into several files.
+    A cell is dealt by hashes of its keys over ``parts`` tasks, so a large one does not end in one task, and rows are assigned once.
     """
-    celled.repartitionByRange("cell", key).write.mode("overwrite").partitionBy("cell").parquet(path)
+    placed = celled.repartition("cell", F.pmod(F.xxhash64(key), F.lit(parts)))
+    placed.write.mode("overwrite").partitionBy("cell").parquet(path)
 
 
 def knn_ivf(
@@ -203,7 +201,7 @@ def knn_ivf(
     else:
         hits = _cell_grid_hits(rows, asked, facts, broadcast_limit)
     return knn._finish(
-        knn.merge_hits(hits, facts.k), celled, asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit
+        knn.merge_hits(hits, facts.k, scan_tasks(celled)), celled, asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit
     )
 
 
@@ -219,7 +217,7 @@ def _cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: knn.Asked, limit:
     loads = dict(probing.groupBy("cell").count().collect())
     row_bytes = facts.bytes / facts.n
     cuts = {c: math.ceil(load * row_bytes / limit) for c, load in loads.items() if c in sizes}
-    share = sum(sizes[c] * n for c, n in cuts.items()) / (knn.TASKS_PER_SLOT * task_slots(spark))
+    share = sum(sizes[c] * n for c, n in cuts.items()) / (knn.TASKS_PER_SLOT * shuffle_tasks(spark))
     layout, total = [], 0
     for cell, n_rows in sorted(cuts.items()):
         n_columns = max(1, math.ceil(sizes[cell] / max(share, 1)))
@@ -246,8 +244,8 @@ def _cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: knn.Asked, limit:
 # --- choosing a method by recall ----------------------------------------------------------------
 
 # Settings tried, from cheap to dear: (share of the dimensions, candidate multiplier), share of the cells.
-PCA_SETTINGS = [(0.25, 10), (0.5, 10), (0.5, 20), (0.75, 10)]
-CELL_SHARES = [0.25, 0.5, 0.75]
+PCA_SETTINGS = [(0.125, 10), (0.25, 10), (0.5, 10), (0.5, 20), (0.75, 10)]
+CELL_SHARES = [0.01, 0.05, 0.25, 0.5, 0.75]
 
 
 def check_target_recall(target: float) -> float:
@@ -267,13 +265,13 @@ def tune_recall(
     query_vector: str = "vector",
     top_k: int = 10,
     metric: str = "cosine",
-    exact_below: int = EXACT_BELOW,
+    exact_below: int = 0,
     n_cells: int | None = None,
 ) -> tuple[dict, DataFrame]:
     """The cheapest setting whose measured recall meets the target, and the report behind it.
 
     ``queries`` is a sample that stands for the workload. Cost is the number of multiplications per
-    query, which does not vary from run to run. Below ``exact_below`` rows search stays exact, and
+    query, which does not vary from run to run. A caller may ask for exact search below ``exact_below`` rows;
     exact search is also the answer when no approximate setting reaches the target.
     """
     check_target_recall(target_recall)
@@ -305,8 +303,7 @@ def tune_recall(
         centroids = fit_cells(corpus, n_cells, vector=vector, metric=metric)
         celled = assign_cells(corpus, centroids, vector=vector, metric=metric).persist()
         sizes = celled.groupBy("cell").agg(F.count("*").alias("size"))
-        for share in CELL_SHARES:
-            nprobe = max(1, int(len(centroids) * share))
+        for nprobe in sorted({max(1, int(len(centroids) * share)) for share in CELL_SHARES}):
             hits = knn_ivf(celled, queries, centroids, nprobe=nprobe, **options)
             probed = queries.select(
                 F.explode(nearest_cells(F.col(query_vector), centroids, nprobe, metric == "cosine")).alias("cell")

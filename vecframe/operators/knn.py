@@ -5,9 +5,9 @@ The result columns are always ``query_id, rank, key, score``, then any payload a
 How the work is laid out:
 
 * A query table whose measured size fits ``broadcast_limit`` travels to the tasks; the corpus is
-  scanned in place, without a shuffle, and each task sends on at most ``k`` rows per query.
+  scanned in place, in its own splits and without a shuffle, and each task sends on at most ``k`` rows per query.
 * A larger query table is spread over a grid: ``rows`` of it so that each part of the queries fits
-  the same limit, ``columns`` of it so that all task slots are busy. Each cell streams its corpus
+  the same limit, ``columns`` of it so that all tasks of a shuffle are busy. Each cell streams its corpus
   rows past its queries, so memory does not grow with the corpus. A corpus row is copied once per
   grid row; against the ``limit / 4`` multiplications it takes part in per copy, that is small.
 
@@ -30,7 +30,7 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from vecframe.operators.metrics import METRIC_ALIASES, metric_column, metric_name
 from vecframe.operators.topk import EUCLIDEAN, METRIC_CODES, TopK
-from vecframe.session import task_slots
+from vecframe.session import scan_tasks, shuffle_tasks
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 TASKS_PER_SLOT = 3
@@ -87,7 +87,7 @@ def knn_join(
         hits = scan_hits(rows, facts.rows, facts.dim)
     else:
         hits = _grid_hits(rows, asked, facts, broadcast_limit)
-    ranked = merge_hits(hits, facts.k)
+    ranked = merge_hits(hits, facts.k, scan_tasks(corpus))
     return _finish(
         ranked, corpus, asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit
     )
@@ -110,24 +110,43 @@ def knn_single(corpus: DataFrame, vector: list[float], **options) -> DataFrame:
 def query_batch(
     collections: dict[str, DataFrame], queries: DataFrame, *, collection: str = "collection", **options
 ) -> DataFrame:
-    """Queries that each name their collection; an unknown collection gives an empty result."""
+    """Queries that each name their collection.
+
+    An item that cannot be answered gives an empty result and leaves the others alone: an unknown collection or metric, no
+    vector or one of another length than the collection's, a top_k below 1, or a bound that does not go with the metric.
+    """
     if not collections:
         raise ValueError("no collections given")
     options.setdefault("keep_empty", True)
-    parts = [
-        knn_join(df, queries.where(F.col(collection) == name), **options) for name, df in collections.items()
-    ]
+    parts, answerable = [], F.lit(False)
+    for name, df in collections.items():
+        sized = df.where(F.col(options.get("vector", "vector")).isNotNull()).select(F.size(options.get("vector", "vector"))).first()
+        sound = (F.col(collection) == name) & _sound(options, sized[0] if sized else None)
+        answerable = answerable | F.coalesce(sound, F.lit(False))
+        parts.append(knn_join(df, queries.where(sound), **options))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part, allowMissingColumns=True)
     if options["keep_empty"]:
-        known = F.col(collection).isin(list(collections))
-        lost = queries.where(~known | F.col(collection).isNull())
+        lost = queries.where(~answerable)
         lost = lost.select(F.col(options.get("query_id", "query_id")).alias("query_id"))
         result = result.unionByName(lost, allowMissingColumns=True)
     return result
 
 
+def _sound(options: dict, dimension: int | None) -> Column:
+    """Whether a query of a batch can be answered by a collection of that dimension."""
+    as_column = lambda x: x if isinstance(x, Column) else F.lit(x)
+    metric = options.get("metric", "cosine")
+    known = F.create_map(*[F.lit(x) for pair in METRIC_ALIASES.items() for x in pair])
+    resolved = F.try_element_at(known, metric) if isinstance(metric, Column) else F.lit(metric_name(metric))
+    unused = F.when(resolved == "euclidean", as_column(options.get("min_score"))).otherwise(as_column(options.get("max_distance")))
+    size = F.size(options.get("query_vector", "vector"))
+    right_size = size == dimension if dimension is not None else size > 0
+    top_k = F.coalesce(as_column(options.get("top_k", 10)), F.lit(10))
+    return right_size & resolved.isNotNull() & unused.isNull() & (top_k >= 1) & F.col(options.get("query_id", "query_id")).isNotNull()
+
+
 def where_equal(df: DataFrame, filter: dict[str, object] | None) -> DataFrame:
     """AND of scalar equalities, as plain predicates that reach the scan."""
     for name, value in (filter or {}).items():
@@ -204,12 +223,17 @@ def measure(asked: DataFrame, limit: int) -> Asked:
     if wide(*first) <= limit:
         rows = asked.toArrow()
         sizes = pc.list_value_length(rows.column("qvec"))
+        if pc.count_distinct(rows.column("qid"), mode="only_valid").as_py() < len(rows) - rows.column("qid").null_count:
+            raise ValueError("a query id occurs more than once")
         facts = (
             len(rows.column("qid")) - rows.column("qid").null_count, len(sizes) - sizes.null_count,
             pc.min(sizes).as_py(), pc.max(sizes).as_py(), pc.min(rows.column("qk")).as_py(), pc.max(rows.column("qk")).as_py(),
         )
     else:
         rows = None
+        repeated = asked.where("qid is not null").groupBy("qid").count().where("count > 1").limit(1).collect()
+        if repeated:
+            raise ValueError("a query id occurs more than once")
         facts = asked.agg(
             F.count("qid"), F.count("qvec"), F.min(F.size("qvec")), F.max(F.size("qvec")), F.min("qk"), F.max("qk")
         ).first()
@@ -268,9 +292,7 @@ def scan_hits(rows: DataFrame, asked: pa.Table, dim: int) -> DataFrame:
             yield best.result(keys.type)
 
     id_type = from_arrow_type(asked.schema.field("qid").type)
-    # Fewer, longer tasks: the rows sent on to the merge are queries x k per task.
-    few = rows.coalesce(TASKS_PER_SLOT * task_slots(spark))
-    return few.mapInArrow(search, _hit_schema(id_type, rows.schema["key"].dataType))
+    return rows.mapInArrow(search, _hit_schema(id_type, rows.schema["key"].dataType))
 
 
 def with_vectors_only(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -280,11 +302,8 @@ def with_vectors_only(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _grid_hits(rows: DataFrame, asked: DataFrame, facts: Asked, limit: int) -> DataFrame:
-    repeated = asked.groupBy("qid").count().where("count > 1").limit(1).collect()
-    if repeated:
-        raise ValueError(f"query id {repeated[0].qid!r} occurs more than once")
     grid_rows = math.ceil(facts.bytes / limit)
-    grid_columns = max(1, math.ceil(TASKS_PER_SLOT * task_slots(rows.sparkSession) / grid_rows))
+    grid_columns = max(1, math.ceil(TASKS_PER_SLOT * shuffle_tasks(rows.sparkSession) / grid_rows))
     row_of = F.pmod(F.xxhash64("qid"), F.lit(grid_rows))
     column_of = F.pmod(F.xxhash64("key"), F.lit(grid_columns))
     asked = asked.withColumn("column", F.explode(F.sequence(F.lit(0), F.lit(grid_columns - 1))))
@@ -341,20 +360,20 @@ def cell_hits(rows: DataFrame, asked: DataFrame, dim: int, cells: int) -> DataFr
         if best is not None:
             yield best.result(key_type)
 
-    tasks = min(cells, 4 * TASKS_PER_SLOT * task_slots(spark))
+    tasks = min(cells, 4 * TASKS_PER_SLOT * shuffle_tasks(spark))
     met = left.unionByName(right).repartitionById(tasks, F.pmod("cell", F.lit(tasks)))
     return met.sortWithinPartitions("cell", "side").mapInArrow(search, schema)
 
 
-def merge_hits(hits: DataFrame, k_max: int) -> DataFrame:
+def merge_hits(hits: DataFrame, k_max: int, tasks: int = 0) -> DataFrame:
     """Best k per query over all tasks: ``query_id, rank, key, score``.
 
     The bound ``k_max`` on every query's k lets Spark drop rows before each shuffle as well as after
-    it. With many tasks a level of ``MERGE_FAN_IN`` groups per query comes first, so no task sorts a
+    it. With many ``tasks`` behind ``hits`` a level of ``MERGE_FAN_IN`` groups per query comes first, so no task sorts a
     hit from every task.
     """
     order = [F.col("goodness").desc(), F.col("key").asc()]
-    if TASKS_PER_SLOT * task_slots(hits.sparkSession) > MERGE_FAN_IN:
+    if tasks > MERGE_FAN_IN:
         hits = hits.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(MERGE_FAN_IN)))
         partial = Window.partitionBy("query_id", "group").orderBy(*order)
         hits = hits.withColumn("place", F.row_number().over(partial))

@@ -13,6 +13,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vecframe.session import shared_dir
+
 # The names a file may have, and the name under which the log is listed.
 VALID_FILENAME = re.compile(r"^[a-zA-Z0-9._-]+$")
 LOG_NAME = "__wal__"
@@ -69,10 +71,10 @@ def merge_on_read(
 ) -> DataFrame:
     """Base rows under a log of operations: the newest operation per key wins, deletes shadow rows.
 
-    Operations may come in any order, and older ones than the base row lose to it. ``keep_deletes``
-    keeps deleted keys as rows marked in ``op``, so that a late, older write cannot bring them back.
+    Operations may come in any order, and older ones than the base row lose to it. The log is evaluated once: its
+    newest rows are written to the shared folder, where the joins read them. ``keep_deletes`` keeps deleted keys as rows marked in ``op``, so that a late, older write cannot bring them back.
     """
-    latest = newest(log, key, seq)
+    latest = _stored(newest(log, key, seq))
     stamps = travelling(latest.select(F.col(key).alias("_key"), F.col(seq).alias("_seq")))
     same_key = F.col(key) == F.col("_key")
     # One full scan of the base for the rows that stay, one of its keys for the rows that beat the log.
@@ -86,6 +88,12 @@ def merge_on_read(
     return kept.unionByName(winners, allowMissingColumns=True)
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    path = shared_dir(df.sparkSession, "newest")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def snapshot_at(base: DataFrame, log: DataFrame, high_water: int, *, key: str = "key", seq: str = "seq", **options) -> DataFrame:
     """The table as of sequence ``high_water``; later writes are left out."""
     upto = F.col(seq) <= F.lit(high_water)
@@ -140,10 +148,15 @@ def delete_file(base: DataFrame, name: str, *, source_file: str = "source_file")
     return base.where(~F.col(source_file).eqNullSafe(F.lit(name)))
 
 
-def replace_file(base: DataFrame, name: str, rows: DataFrame, *, source_file: str = "source_file") -> DataFrame:
-    """Exchange all rows of one existing file. Replacing always rewrites, even with equal content."""
+def replace_file(
+    base: DataFrame, name: str, rows: DataFrame, *, source_file: str = "source_file", key: str = "key", seq: str = "seq"
+) -> DataFrame:
+    """Exchange all rows of one existing file. Replacing always rewrites, even with equal content.
+
+    A key that other files hold too stays once: the higher ``seq`` wins.
+    """
     kept = delete_file(base, name, source_file=source_file)
-    return kept.unionByName(rows.withColumn(source_file, F.lit(name)), allowMissingColumns=True)
+    return upsert(kept, rows.withColumn(source_file, F.lit(name)), key=key, seq=seq)
 
 
 def file_actions(loaded: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -161,11 +174,15 @@ def file_actions(loaded: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def append_new_files(
-    base: DataFrame, rows: DataFrame, actions: DataFrame, *, source_file: str = "source_file"
+    base: DataFrame, rows: DataFrame, actions: DataFrame, *, source_file: str = "source_file", key: str = "key",
+    seq: str = "seq",
 ) -> DataFrame:
-    """Add the rows of files marked ``load``; skipped and conflicting files add nothing."""
+    """Add the rows of files marked ``load``; skipped and conflicting files add nothing.
+
+    A key that the table or several of the files hold stays once: the higher ``seq`` wins.
+    """
     names = actions.where("action = 'load'").select(F.col("name").alias(source_file))
-    return base.unionByName(rows.join(travelling(names), source_file, "left_semi"), allowMissingColumns=True)
+    return upsert(base, rows.join(travelling(names), source_file, "left_semi"), key=key, seq=seq)
 
 
 def list_files(
@@ -182,9 +199,12 @@ def list_files(
 
 
 def fetch(table: DataFrame, keys: DataFrame, *, key: str = "key") -> DataFrame:
-    """Every asked key with ``found`` and the row's columns; a missing key gives nulls, not an error."""
-    asked = keys.select(key).distinct()
-    rows = table.join(travelling(asked), key, "left_semi").withColumn("found", F.lit(True))
+    """Every asked key with ``found`` and the row's columns; a missing key gives nulls, not an error.
+
+    A key asked for twice is answered twice.
+    """
+    asked = keys.select(key)
+    rows = table.join(travelling(asked.distinct()), key, "left_semi").withColumn("found", F.lit(True))
     return asked.join(rows, key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 

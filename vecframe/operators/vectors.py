@@ -15,6 +15,8 @@ from vecframe.operators.topk import METRIC_CODES, exact_goodness, to_matrix
 
 FLOATS = T.ArrayType(T.FloatType())
 GROUPS_HELD = 10_000
+# Row times centroid products held at once when cells are assigned, 8 bytes each.
+CELL_TILE = 4_000_000
 
 
 def _lists(matrix: np.ndarray, value_type: pa.DataType) -> pa.Array:
@@ -131,18 +133,39 @@ def nearest_cells(column: Column, centroids: np.ndarray, count: int, unit: bool)
     """The ``count`` nearest centroids of each vector, nearest first, as ``array<int>``."""
     dim = centroids.shape[1]
     half = (centroids**2).sum(axis=1) / 2
+    tile = max(1, CELL_TILE // len(centroids))
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def nearest(vectors: pa.Array) -> pa.Array:
         x = to_matrix(vectors, dim).astype(np.float64)
         if unit:
             x = _unit(x)
-        closeness = x @ centroids.T - half
-        return _lists(np.argsort(-closeness, axis=1, kind="stable")[:, :count].astype(np.int32), pa.int32())
+        out = np.empty((len(x), min(count, len(centroids))), dtype=np.int32)
+        for at in range(0, len(x), tile):
+            closeness = x[at : at + tile] @ centroids.T
+            closeness -= half
+            out[at : at + tile] = _best_places(closeness, count)
+        return _lists(out, pa.int32())
 
     return nearest(column.cast(FLOATS))
 
 
+def _best_places(values: np.ndarray, count: int) -> np.ndarray:
+    """Places of the ``count`` largest values of each row, largest first, equal ones by place."""
+    if count == 1:
+        return values.argmax(axis=1)[:, None]
+    if count < values.shape[1]:
+        # Values equal to the last one taken may have come from a later place; those rows are sorted whole.
+        some = np.argpartition(-values, count - 1, axis=1)[:, :count]
+        some.sort(axis=1)
+        taken = np.take_along_axis(values, some, axis=1)
+        best = np.take_along_axis(some, np.argsort(-taken, axis=1, kind="stable"), axis=1)
+        tied = np.flatnonzero((values >= taken.min(axis=1)[:, None]).sum(axis=1) > count)
+        best[tied] = np.argsort(-values[tied], axis=1, kind="stable")[:, :count]
+        return best
+    return np.argsort(-values, axis=1, kind="stable")
+
+
 def pair_goodness(a: Column, b: Column, metric_code: Column, dim: int) -> Column:
     """Exact scores of aligned vectors in Arrow batches, larger is better; metric per row."""
 

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from vecframe.functions.encoders import Encoder
 from vecframe.functions.text import normalize_title, strip_text, truncate_text
 from vecframe.operators.knn import knn_join
-from vecframe.session import spread
+from vecframe.session import shared_dir, spread
 
 # Shape of the sample corpus.
 TOP_N = 5000
 MIN_TEXT = 200
 ID_FORMAT = "film-%05d"
-# The winners are sorted in one task and broadcast, about 100 bytes each.
-MAX_SELECTED = 500_000
+# Winners up to this many, about 100 bytes each, travel to the texts; more are joined by shuffle.
+BROADCAST_SELECTED = 500_000
 COLUMNS = ["id", "title", "year", "genre", "plot", "vector"]
 
 
@@ -41,9 +41,16 @@ def top_n(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
 
 
 def row_ids(df: DataFrame, order: list[Column], *, name: str = "id", id_format: str = ID_FORMAT) -> DataFrame:
-    """Dense ids in order. The rows pass one task, so this follows ``top_n``."""
-    number = F.row_number().over(Window.orderBy(*order)) - 1
-    return df.withColumn(name, F.format_string(id_format, number))
+    """Dense ids in order. Rows are ranged over tasks, which number their own after the counts of those before."""
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    path = shared_dir(df.sparkSession, "numbered")
+    placed.withColumns({"_part": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND((1 << 33) - 1)}).write.parquet(path)
+    placed = df.sparkSession.read.parquet(path)
+    # One row per task that has rows.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_part").count().select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    numbered = placed.join(F.broadcast(starts), "_part")
+    return numbered.withColumn(name, F.format_string(id_format, F.col("_start") + F.col("_at"))).drop("_part", "_start", "_at")
 
 
 def match_popularity(texts: DataFrame, popularity: DataFrame, *, position: str = "position") -> DataFrame:
@@ -77,13 +84,12 @@ def build_corpus(
     ``texts`` has ``title, year, genre, plot``, the ``group`` column and a unique ``position``. Matching
     and ranking move titles and positions only; the texts are read again for the n winners.
     """
-    if n > MAX_SELECTED:
-        raise ValueError(f"n must be at most {MAX_SELECTED}")
     wanted = corpus_filter(texts, title="title", year="year", text="plot", group=group, groups=groups)
     wanted = wanted.withColumn("year", F.col("year").cast("int"))
     order = [F.desc("popularity"), F.asc(position)]
     best = row_ids(top_n(match_popularity(wanted, popularity, position=position), n, order), order)
-    final = texts.join(F.broadcast(best.select("id", position)), position).select(
+    chosen = best.select("id", position)
+    final = texts.join(F.broadcast(chosen) if n <= BROADCAST_SELECTED else chosen, position).select(
         "id", strip_text(F.col("title")).alias("title"), F.col("year").cast("int").alias("year"),
         F.col("genre").cast("string").alias("genre"), truncate_text(F.col("plot")).alias("plot"),
     )

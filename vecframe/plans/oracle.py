@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from vecframe.functions.text import SPECIAL_TOKENS
 from vecframe.plans.corpus import TOP_N
-from vecframe.plans.queries import INTEGER_RANGES, VOCABULARY
+from vecframe.plans.queries import FEW, INTEGER_RANGES, LEAST_COUNT
 
 SIMILARITY = {
     "cosine": ("list_cosine_similarity", "DESC"),
@@ -63,15 +63,15 @@ WITH asked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id
     ORDER BY CASE WHEN metric = 'euclidean' THEN score ELSE -score END, "key") AS rank
   FROM pairs
-  WHERE (low IS NULL OR score >= low) AND (far IS NULL OR score <= far)
+  WHERE (low IS NULL OR score >= low) AND (far IS NULL OR score <= far) AND query_id % 7 NOT IN (3, 5)
 )
 SELECT a.vec_id AS query_id, CAST(rank AS INTEGER) AS rank, "key", round(score, 6) AS score
 FROM asked a LEFT JOIN (SELECT * FROM ranked WHERE rank <= k) r ON r.query_id = a.vec_id
 """
 
 FETCH = """
-SELECT d.doc_id AS vec_id, e.vec_id IS NOT NULL AS found, e.label, CAST(len(e.embedding) AS INTEGER) AS dimension
-FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id
+SELECT c.conv_id * 3 AS vec_id, e.vec_id IS NOT NULL AS found, e.label, CAST(len(e.embedding) AS INTEGER) AS dimension
+FROM conversations c LEFT JOIN embeddings e ON e.vec_id = c.conv_id * 3
 """
 
 SIGN_HITS = """
@@ -167,8 +167,8 @@ WHERE "key" IN (SELECT doc_id FROM labels WHERE toxic = 1) GROUP BY source_file
 """
 DELETE_FILE = FILES + "SELECT * FROM files WHERE source_file <> 'src3'"
 REPLACE_FILE = FILES + """
-SELECT * FROM files WHERE source_file <> 'src3'
-UNION ALL SELECT -page_id - 1, 1, length(html)::DOUBLE, 'src3' FROM pages
+SELECT * FROM files WHERE source_file <> 'src3' AND "key" NOT IN (SELECT page_id FROM pages)
+UNION ALL SELECT page_id, 1, length(html)::DOUBLE, 'src3' FROM pages
 """
 
 IDEMPOTENT_APPEND = """
@@ -182,6 +182,22 @@ SELECT i.name, i.size, CASE WHEN l.name IS NULL THEN 'load' WHEN l.size = i.size
 FROM incoming i LEFT JOIN loaded l ON l.name = i.name
 """
 
+APPEND_FILES = IDEMPOTENT_APPEND.rsplit("SELECT", 1)[0] + """, actions AS (
+  SELECT i.name, CASE WHEN l.name IS NULL THEN 'load' WHEN l.size = i.size THEN 'skip' ELSE 'conflict' END AS action
+  FROM incoming i LEFT JOIN loaded l ON l.name = i.name
+), turns AS (
+  SELECT conv_id AS "key", max(turn) AS seq, 0.0::DOUBLE AS value, 'turns' AS source_file, 0 AS late FROM conversations GROUP BY conv_id
+), rows AS (
+  SELECT doc_id AS "key", 0::BIGINT AS seq, n_chars::DOUBLE AS value, source || '-' || lang AS source_file FROM documents
+)
+SELECT "key", seq, value, source_file FROM (
+  SELECT *, row_number() OVER (PARTITION BY "key" ORDER BY seq DESC, late) AS place FROM (
+    SELECT * FROM turns
+    UNION ALL SELECT *, 0 FROM rows WHERE "key" IN (SELECT doc_id FROM labels) AND "key" NOT IN (SELECT "key" FROM turns)
+    UNION ALL SELECT *, 1 FROM rows WHERE source_file IN (SELECT name FROM actions WHERE action = 'load'))
+) WHERE place = 1
+"""
+
 NEWEST = """
 WITH newest AS (
   SELECT user_id AS "key", event_id AS seq, event_type AS op, value FROM (
@@ -285,7 +301,7 @@ WITH RECURSIVE tokens AS (
   UNION ALL SELECT 1, row_number() OVER (ORDER BY c), c FROM letters WHERE c <> ''
   UNION ALL SELECT 2, row_number() OVER (ORDER BY c), '##' || c FROM letters WHERE c <> ''
   UNION ALL SELECT * FROM (
-    SELECT 3, row_number() OVER (ORDER BY n DESC, token) AS r, token FROM counts) WHERE r <= {VOCABULARY}
+    SELECT 3, row_number() OVER (ORDER BY n DESC, token) AS r, token FROM counts WHERE n >= {LEAST_COUNT})
 ), vocabulary AS (
   SELECT piece, CAST(row_number() OVER (ORDER BY part, r) - 1 AS INTEGER) AS id
   FROM (SELECT *, row_number() OVER (PARTITION BY piece ORDER BY part, r) AS copy FROM pieces) WHERE copy = 1
@@ -376,13 +392,44 @@ def _matrix(format: str) -> str:
     return _elements("id", value, ROWS)
 
 
-EXPORT = """
-SELECT label, count(*) AS rows, max(vec_id) AS last, (SELECT count(*) FROM embeddings) AS vector_count,
-  (SELECT count(*) FROM embeddings) AS part_rows, (SELECT CAST(max(len(embedding)) AS INTEGER) FROM embeddings) AS input_dim,
-  (SELECT max(vec_id) FROM embeddings) AS high_water
-FROM embeddings GROUP BY label
+EXPORT = f"""
+WITH snapshot AS ({MERGE.format(where="WHERE event_id <= 5000")})
+SELECT "key" % 10 AS part, count(*) AS rows, max(seq) AS last, round(max(value::FLOAT::DOUBLE), 2) AS most,
+  (SELECT count(*) FROM snapshot) AS vector_count, (SELECT count(*) FROM snapshot) AS part_rows, 2 AS input_dim,
+  (SELECT max(seq) FROM snapshot) AS high_water
+FROM snapshot GROUP BY "key" % 10
 """
 
+
+def _few(sql: str) -> str:
+    return sql.replace(f"LIMIT {TOP_N}", f"LIMIT {FEW}")
+
+
+def _mmr(metric: str, trade_off: float) -> str:
+    """Five picks, each a step over the rows that are left."""
+    function, direction = SIMILARITY[metric]
+    sign = "-" if metric == "euclidean" else ""
+    steps = []
+    for n in range(1, 6):
+        worst = f"coalesce((SELECT max(list_cosine_similarity(p.v, h.v)) FROM picked{n - 1} p WHERE p.query_id = h.query_id), 0.0)"
+        value = f"{trade_off} * {sign}score - {1 - trade_off} * {worst}" if n > 1 else f"{trade_off} * {sign}score"
+        left = f'WHERE NOT EXISTS (SELECT 1 FROM picked{n - 1} p WHERE p.query_id = h.query_id AND p."key" = h."key")' if n > 1 else ""
+        before = f"SELECT * FROM picked{n - 1} UNION ALL " if n > 1 else ""
+        steps.append(
+            f"""picked{n} AS MATERIALIZED ({before}SELECT query_id, {n} AS place, "key", score, v FROM (
+            SELECT h.*, row_number() OVER (PARTITION BY query_id ORDER BY {value} DESC, rank) AS best FROM hits h {left}) WHERE best = 1)"""
+        )
+    return f"""
+    WITH hits AS MATERIALIZED (SELECT * FROM (
+      SELECT q.vec_id AS query_id, e.vec_id AS "key", e.embedding::DOUBLE[] AS v,
+        {function}(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS score,
+        row_number() OVER (PARTITION BY q.vec_id ORDER BY {function}(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) {direction}, e.vec_id) AS rank
+      FROM embeddings q, embeddings e) WHERE rank <= 20
+    ), {", ".join(steps)}
+    SELECT query_id, CAST(place AS INTEGER) AS rank, "key", round(score, 6) AS score FROM picked5
+    """
+
+
 ORACLE: dict[str, str] = {
     "knn_cosine": _knn(),
     "knn_dot": _knn("dot_product"),
@@ -396,6 +443,9 @@ ORACLE: dict[str, str] = {
     "knn_with_payload": _knn(columns=", label, round(list_sum(embedding::DOUBLE[]), 6) AS vector_sum"),
     "knn_ivf": _knn(),
     "knn_pca_full": _knn(),
+    "mmr": _mmr("cosine", 0.7),
+    "mmr_dot": _mmr("dot_product", 0.5),
+    "mmr_euclidean": _mmr("euclidean", 0.7),
     "fetch_keys": FETCH,
     "recall_at_k": RECALL,
     "ndcg_at_k": NDCG,
@@ -419,6 +469,7 @@ ORACLE: dict[str, str] = {
     "delete_file": DELETE_FILE,
     "replace_file": REPLACE_FILE,
     "idempotent_append": IDEMPOTENT_APPEND,
+    "append_files": APPEND_FILES,
     "list_files": LIST_FILES,
     "merge_on_read": MERGE.format(where=""),
     "snapshot_at": MERGE.format(where="WHERE event_id <= 5000"),
@@ -438,6 +489,9 @@ ORACLE: dict[str, str] = {
     "embed_hash": EMBED,
     "text_search": TEXT_SEARCH,
     "corpus_build": CORPUS,
+    "top_n_few": _few(TEXTS + "SELECT doc_id, popularity FROM best"),
+    "row_ids_few": _few(TEXTS + "SELECT format('film-{:05d}', n - 1) AS id, doc_id FROM best"),
+    "corpus_build_few": _few(CORPUS),
     "validate_corpus": VALIDATE,
     "read_csv_vectors": _elements("vec_id", "embedding", "embeddings"),
     "read_jsonl_vectors": _elements("vec_id", "embedding", "embeddings"),

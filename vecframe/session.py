@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +13,13 @@ SMALL_SHARE = 16 * 1024 * 1024
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can read and write.
 
-    Only a ``local`` master may leave the setting out; then a temporary folder is set for it.
+    Without that setting it is below the checkpoint folder of the session, else below its warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = known.get() if known.isDefined() else None
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="vecframe-")
-        spark.sparkContext.setCheckpointDir(base)
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -32,6 +27,16 @@ def task_slots(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    """Tasks of a shuffle as the session has it set; unlike the slots it does not depend on which executors are up."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def scan_tasks(df: DataFrame) -> int:
+    """About how many tasks scan the rows, by Spark's estimate of their size."""
+    return math.ceil(estimated_bytes(df) / (128 * 1024 * 1024))
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate, made without running anything."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

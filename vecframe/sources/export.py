@@ -39,17 +39,21 @@ def export(
     spark = df.sparkSession
     started = int(time.time() * 1000)
     size = F.when(F.col(vector).isNotNull(), F.size(vector))
+    if dimension is None:
+        first = df.where(F.col(vector).isNotNull()).select(F.size(vector)).first()
+        dimension = first[0] if first else None
+    # A vector of another length fails the write itself, so that nothing is left behind that looks whole.
+    wrong = F.raise_error(F.format_string("an exported vector has %d elements, expected %d", F.size(vector), F.lit(dimension)))
+    floats = F.col(vector).cast("array<float>")
+    checked = F.when(size != F.lit(dimension), wrong.cast("array<float>")).otherwise(floats)
     seen = Observation()
-    rows = df.withColumn(vector, F.col(vector).cast("array<float>")).observe(
+    rows = df.withColumn(vector, checked).observe(
         seen,
-        F.min(size).alias("low"),
         F.max(size).alias("high"),
         (F.max(seq) if seq else F.lit(None).cast("long")).alias("high_water"),
     )
     rows.write.mode("errorifexists").parquet(path)
     facts = seen.get
-    if facts["low"] != facts["high"] or (dimension is not None and facts["high"] not in (None, dimension)):
-        raise ValueError(f"exported vectors have {facts['low']} to {facts['high']} elements, expected {dimension or 'one length'}")
     parts = [row.asDict() for row in part_listing(spark, path).orderBy("filename").collect()]
     manifest = {
         "vector_count": sum(p["rows"] for p in parts),

@@ -53,10 +53,23 @@ def file_listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def refuse_empty(spark: SparkSession, paths: str | list[str]) -> None:
+    """Fail if a file has no bytes. Spark's own listing leaves such files out, so the file system is asked."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in [paths] if isinstance(paths, str) else paths:
+        pattern = hadoop.Path(path)
+        system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in system.globStatus(pattern) or []:
+            for status in system.listStatus(found.getPath()):
+                name = status.getPath().getName()
+                if status.isFile() and status.getLen() == 0 and name[0] not in "_.":
+                    raise ValueError(f"file {name!r} is empty")
+
+
 def check_files(listing: DataFrame) -> DataFrame:
     """The listing, refused when a file is badly named or nothing is in any file.
 
-    Spark lists no empty files.
+    Spark lists no empty files; ``refuse_empty`` finds those among others.
     """
     bad = listing.where("not name rlike '^[a-zA-Z0-9._-]+$'").limit(1).collect()
     if bad:
@@ -84,6 +97,7 @@ def read_vectors(
     format = FORMATS[format] if format else format_of(paths[0].rstrip("/"))
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
+    refuse_empty(spark, paths)
     if format == "parquet":
         reader = spark.read.schema(schema) if schema else spark.read
         return reader.parquet(*paths)
