@@ -11,6 +11,7 @@ from vecframe.llm.main_text import extract_main_text
 from vecframe.llm.mix_sources import mix_sources
 from vecframe.llm.near_vectors import near_vectors
 from vecframe.llm.ngram_join import ngram_join
+from vecframe.llm.oracle import ORACLE  # noqa: F401
 from vecframe.llm.quality import quality_filter
 from vecframe.llm.secrets import RULES, joined_spans, scan_documents
 from vecframe.llm.token_shards import write_shards
@@ -75,4 +76,4 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_quality": op10_quality,
 }
-ORACLE: dict[str, str] = {}
+

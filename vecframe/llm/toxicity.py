@@ -15,7 +15,7 @@ from vecframe.llm.shingles import shingle, span_hashes, word_spans
 WINDOW = 32
 STRIDE = 16
 #: Labelled rows of each class, by hash of their key, that the network is trained on at most.
-TRAIN_ROWS = 1500
+TRAIN_ROWS = 1200
 BITS = 18
 #: Lengths of character grams, a word's bounds included.
 GRAMS = (4, 7)
@@ -32,6 +32,8 @@ DECAY = 0.0005
 SEED = 3
 #: Words and grams that fewer training texts have are unknown, so that no text can be learned by heart from them.
 LEAST_TEXTS = 5
+#: Texts whose words and grams are counted at a time.
+TEXTS_COUNTED = 100
 #: Words are runs of letters and digits, taken bytewise; bytes from 0x80 on belong to letters.
 EMBEDDED = ("word", "gram")
 OTHER = np.ones(256, bool)
@@ -254,16 +256,22 @@ def _telling_windows(words: Words, toxic: np.ndarray, owner: np.ndarray, first:
     telling log-odds, their own or of a gram; and these log-odds by bucket."""
     inverse, word, grams = words.distinct()
     text = np.repeat(np.arange(len(words.counts)), words.counts)
-    having = {
-        "word": np.unique(text << BITS | word[inverse]),
-        "gram": np.unique(np.concatenate([np.repeat(text, counts[inverse]) << BITS | _grams_of(buckets, counts, inverse) for buckets, counts in grams])),
-    }
+    with_it = {k: np.zeros((2, 1 << BITS), np.int64) for k in EMBEDDED}
+    for at in range(0, len(words.counts), TEXTS_COUNTED):
+        low, high = np.searchsorted(text, [at, at + TEXTS_COUNTED])
+        # The distinct words of each text.
+        own, word_no = np.divmod(np.unique(text[low:high] * len(word) + inverse[low:high]), max(1, len(word)))
+        having = {
+            "word": np.unique(own << BITS | word[word_no]),
+            "gram": np.unique(np.concatenate([np.repeat(own, counts[word_no]) << BITS | _grams_of(buckets, counts, word_no) for buckets, counts in grams])),
+        }
+        for k, pairs in having.items():
+            for side in (0, 1):
+                with_it[k][side] += np.bincount((pairs & ((1 << BITS) - 1))[toxic[pairs >> BITS] == side], minlength=1 << BITS)
     known, odds = {}, {}
-    for k, pairs in having.items():
-        side, bucket = toxic[pairs >> BITS], pairs & ((1 << BITS) - 1)
-        with_it = [np.bincount(bucket[side == s], minlength=1 << BITS) for s in (True, False)]
-        known[k] = with_it[0] + with_it[1] >= LEAST_TEXTS
-        ratio = np.log((with_it[0] + 0.5) / (toxic.sum() + 1)) - np.log((with_it[1] + 0.5) / ((~toxic).sum() + 1))
+    for k, (harmless, bad) in with_it.items():
+        known[k] = harmless + bad >= LEAST_TEXTS
+        ratio = np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((harmless + 0.5) / ((~toxic).sum() + 1))
         odds[k] = np.where(known[k], np.clip(ratio, -2, 6), 0).astype(np.float32)
     value = np.zeros(1)
     if len(word):
