@@ -290,6 +290,17 @@ def test_permutation_is_one():
     assert (Permutation(1000, 5).slots(np.arange(1000)) != Permutation(1000, 6).slots(np.arange(1000))).any()
 
 
+def test_tokens_do_not_depend_on_the_faster_pattern():
+    from vecframe.llm.token_shards import _tokens
+
+    rng = random.Random(13)
+    with open(VOCABULARY, "rb") as file:
+        vocabulary = file.read()
+    for _ in range(3000):
+        text = "".join(rng.choice(["a", "Wort", "'s", "'", " ", "\n", "\t", "é", "12", "½", "!", "\u00a0", "\x1c", "\u3000", "日本"]) for _ in range(rng.randint(0, 12)))
+        assert _tokens(text, vocabulary) == encoder(vocabulary).encode_ordinary(text)
+
+
 def test_shards_round_trip(spark, small, tmp_path):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     extra = spark.createDataFrame([(None, None), (900, ""), (901, "é" * 3000), (901, "é" * 3000)], "doc_id long, text string")
