@@ -11,6 +11,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bins of one hash round; a signature has ``rounds * BINS`` values of 16 bits, four to a band.
 BINS = 16
+PIECE = 1 << 20
 
 
 def random_odd(n: int, seed: int) -> np.ndarray:
@@ -56,9 +57,17 @@ def word_spans(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = SPACE
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of the bytes of each span."""
-    if not len(starts):
-        return np.zeros(0, U64)
+    """A hash of the bytes of each span; spans are in order. Works through about PIECE bytes at a time, a long span whole."""
+    out, at = [np.zeros(0, U64)], 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + PIECE, "right")))
+        first, last = starts[at], ends[to - 1]
+        out.append(_hash_piece(data[first:last], starts[at:to] - first, ends[at:to] - first))
+        at = to
+    return np.concatenate(out)
+
+
+def _hash_piece(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     up, down = _powers(len(data))
     terms = BYTE[data] * up[: len(data)]
     sums = np.cumsum(terms, dtype=U64)

@@ -34,6 +34,8 @@ SEED = 3
 LEAST_TEXTS = 5
 #: Texts whose words and grams are counted at a time.
 TEXTS_COUNTED = 100
+#: Words whose grams are summed at a time.
+WORDS_SUMMED = 16_384
 #: Words are runs of letters and digits, taken bytewise; bytes from 0x80 on belong to letters.
 EMBEDDED = ("word", "gram")
 OTHER = np.ones(256, bool)
@@ -94,7 +96,12 @@ class Network:
         if len(words):
             x[:-1, :EMBED] = self.p["word"][words]
             for i, (buckets, counts) in enumerate(grams, 1):
-                x[:-1, i * EMBED : (i + 1) * EMBED] = np.add.reduceat(self.p["gram"][buckets], np.cumsum(counts) - counts, axis=0) / np.sqrt(counts)[:, None]
+                ends = np.cumsum(counts)
+                for at in range(0, len(words), WORDS_SUMMED):
+                    part = slice(at, at + WORDS_SUMMED)
+                    first = ends[at] - counts[at]
+                    sums = np.add.reduceat(self.p["gram"][buckets[first : ends[part][-1]]], ends[part] - counts[part] - first, axis=0)
+                    x[part.start : at + len(sums), i * EMBED : (i + 1) * EMBED] = sums / np.sqrt(counts[part])[:, None]
             if keep is not None:
                 x[:-1] *= keep
         return x
