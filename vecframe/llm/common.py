@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from vecframe.session import shared_dir
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+BATCH_ROWS = 1000
 #: Edges, 16 bytes each, that one task may join at once.
 FEW_EDGES = 500_000
 
@@ -20,6 +21,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Hand texts to Python at most BATCH_ROWS at a time from now on: a batch is held several times over."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, BATCH_ROWS)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The rows written to the shared folder and read again: cuts lineage and survives lost executors."""
     path = shared_dir(df.sparkSession, purpose)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import stored, text_chunks
+from vecframe.llm.common import modest_batches, stored, text_chunks
 from vecframe.llm.shingles import PLACES, mix, span_hashes, word_spans
 
 WINDOW = 13
@@ -112,6 +112,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", te
     Every window with up to ``window * (1 - similarity)`` replaced words shares a seed, so nothing is
     missed. Items go to the tasks in blocks of a fixed number of words; documents are not shuffled.
     """
+    modest_batches(docs.sparkSession)
     items = stored(benchmark.select(F.col(item_key).alias("item"), F.lower(F.coalesce(F.col(item_text), F.lit(""))).alias("text")).withColumn("words", F.size(F.split("text", r"[\x20\x09-\x0D]+"))), "leak-items")
     total = items.agg(F.sum("words")).first()[0] or 0
     none = F.array()

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import batch_of, small_side, stored
+from vecframe.llm.common import batch_of, modest_batches, small_side, stored
 
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -170,6 +170,7 @@ def extract_main_text(pages: DataFrame, *, key: str = "page_id", url: str = "url
     A null html is empty, an empty one has the text ''. A null or odd url has the host ''. Rows with equal keys are
     pages of their own. An empty table gives no rows. Other columns are not read.
     """
+    modest_batches(pages.sparkSession)
     rows = pages.select(F.col(key).alias("id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), F.coalesce(F.col(source), F.lit("")).alias("html"))
     votes = rows.select("host", "html").mapInArrow(_votes, "host string, path string").groupBy("host", "path").agg(F.count("*").alias("votes"))
     winners = votes.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("votes"), "path")).alias("best")).select(F.col("host").alias("of"), "best.path")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import batch_of, small_side, stored, text_chunks
+from vecframe.llm.common import modest_batches, small_side, stored, text_chunks
 from vecframe.llm.shingles import word_spans
 
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -23,6 +23,7 @@ SEED = 20_240_601
 
 def count_words(docs: DataFrame, text: str, out: str) -> DataFrame:
     """``docs`` with the number of runs other than space and 09 to 0D in place of the text."""
+    modest_batches(docs.sparkSession)
     rest = [c for c in docs.columns if c != text]
     schema = docs.select(*rest).withColumn(out, F.lit(0).cast("long")).schema
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import batch_of, components, small_side, stored, text_chunks, whole_runs
+from vecframe.llm.common import batch_of, components, modest_batches, small_side, stored, text_chunks, whole_runs
 from vecframe.llm.shingles import least_matches, signatures
 
 #: Classes in a block of a cell, and bytes of shingle sets in a block of a verifying cell.
@@ -42,6 +42,7 @@ def similar_classes(items: DataFrame, shingler: Shingler, *, rounds: int, thresh
     classes that links join.
     """
     classes = _classes(items, shingler, rounds, purpose)
+    modest_batches(items.sparkSession)
     wide = 16 * (rounds // 4)
     least = least_matches(threshold, tolerance, [4 * wide * (i + 1) // STEPS for i in range(STEPS)])
     drafts = components(_survivors(classes, least, purpose), f"{purpose}-drafts")

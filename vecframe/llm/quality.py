@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import batch_of, small_side, stored, text_chunks
+from vecframe.llm.common import batch_of, modest_batches, small_side, stored, text_chunks
 from vecframe.llm.shingles import mix, span_hashes, word_spans
 
 ORDER = 5
@@ -22,7 +22,7 @@ QUANTILE = 0.99
 MARGIN = 1.5
 #: Rows of the model in one shard. A shard is sent to every task; each shard is one more function over the documents.
 SHARD_ROWS = 4_000_000
-GRAMS_HELD = 4_000_000
+GRAMS_HELD = 2_000_000
 LEAST_DISCOUNT = 0.1
 #: Characters at the language's own rate that every text is taken to have besides its own, so that few characters do not condemn a text.
 PRIOR_CHARS = 100
@@ -244,6 +244,7 @@ def quality_filter(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", t
     are rows of their own; of several labels of a key the highest holds. An empty table gives no rows. Other columns
     are not read.
     """
+    modest_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"), *[F.col(c).alias(f"carried_{c}") for c in carry])
     good = stored(labels.where(F.col(trusted) == 1).select(F.col(key).alias("trusted_id")).distinct(), "quality-trusted")
     marked = rows.join(small_side(good, 8), rows.id == F.col("trusted_id"), "left")

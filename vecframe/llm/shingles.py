@@ -39,7 +39,7 @@ def _powers_of(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers_of(max(1 << 21, 1 << (n - 1).bit_length()))
+    return _powers_of(max(1 << 18, 1 << (n - 1).bit_length()))
 
 
 def word_spans(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import stored
+from vecframe.llm.common import modest_batches, stored
 from vecframe.llm.shingles import mix
 from vecframe.session import shared_dir
 
@@ -90,6 +90,7 @@ def write_shards(docs: DataFrame, vocabulary: str, *, folder: str | None = None,
     to write. So it should be a stored table; a partition that changes in between fails the job. Only counts per partition reach the driver.
     """
     spark = docs.sparkSession
+    modest_batches(spark)
     folder = folder or shared_dir(spark, "token-shards")
     with open(vocabulary, "rb") as file:
         ranks = spark.sparkContext.broadcast(file.read())

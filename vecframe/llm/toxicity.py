@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import small_side, stored, text_buffers, text_chunks
+from vecframe.llm.common import modest_batches, small_side, stored, text_buffers, text_chunks
 from vecframe.llm.shingles import shingle, span_hashes, word_spans
 
 WINDOW = 32
@@ -331,6 +331,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
 
 def score(docs: DataFrame, net: Network, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row (key, held_out, score, predicted) per document."""
+    modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)
     rows = docs.select(F.col(key).alias("id"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
     schema = rows.select("id", F.lit(0.0).cast("double").alias("score")).schema
