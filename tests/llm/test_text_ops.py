@@ -400,6 +400,32 @@ def test_main_text_of_a_page(html, text):
     assert Page(html or "").text(None) == text
 
 
+SENTENCE = "A sentence of the story goes on here. "
+
+
+@pytest.mark.parametrize(
+    ("html", "blocks"),
+    [
+        ("<body><article><h1>T</h1><div class=lead>{3}</div><div class=body>{7}</div></article></body>", ["T", 3, 7]),
+        ("<body><article><h1>T</h1><div class=lead>{1}</div><div class=body>{40}</div></article></body>", ["T", 1, 40]),
+        ("<body><article><p>{3}</p><blockquote>{7}</blockquote></article></body>", [3, 7]),
+        ("<body><article><p>{3}</p><table><tr><td>{7}</td></tr></table></article></body>", [3, 7]),
+        ("<body><main><div><p>{1}</p></div><div><div>{9}</div></div></main><div>box</div></body>", [1, 9]),
+        ("<body><main><h1>T</h1><article><p>{9}</p></article></main></body>", ["T", 9]),
+        ("<body><main><article><p>{9}</p></article><div>box</div></main></body>", [9]),
+        ("<body><div id=page><h1>T</h1><div><div class=text>{9}</div></div></div></body>", ["T", 9]),
+        ("<body><h1>T</h1><div class=text>{9}</div></body>", ["T", 9]),
+        ("<body><div class=lead>{3}</div><div class=text>{7}</div></body>", [3, 7]),
+        ("<h1>T</h1><div class=text>{9}</div>", ["T", 9]),
+        ("<body><div class=box>box</div><div class=text>{9}</div></body>", [9]),
+        ("<body><p>box</p><article><article>{9}</article><p>end</p></article></body>", [9, "end"]),
+    ],
+)
+def test_nested_main_text_is_whole(html, blocks):
+    html = re.sub(r"\{(\d+)\}", lambda m: SENTENCE * int(m[1]), html)
+    assert Page(html).text(None) == "\n".join(b if isinstance(b, str) else (SENTENCE * b).strip() for b in blocks)
+
+
 def test_hosts_vote(spark):
     page = lambda body, extra="": f"<body><div class='m1'>{extra}</div><div class='story s{len(body)}'><p>{body}</p></div></body>"
     rows = [(i, f"https://a.example.com/{i}", page("The story text goes on for a while here. " * 3, "short box")) for i in range(9)]
@@ -415,6 +441,12 @@ def test_hosts_vote(spark):
     assert extract_main_text(df.limit(0)).collect() == []
 
 
+def test_hosts_vote_for_whole_articles(spark):
+    pages = [(i, f"http://n.example.com/{i}", f"<body><article><h1>T{i}</h1><div class=lead>{SENTENCE * 3}</div><div class=body>{SENTENCE * 7}</div></article></body>") for i in range(5)]
+    got = extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"T{i}\n{(SENTENCE * 3).strip()}\n{(SENTENCE * 7).strip()}" for i in range(5)}
+
+
 def test_main_text_of_the_given_pages(spark, small):
     """The given pages have one article each; the text is that of its blocks."""
     import html as entities

@@ -26,6 +26,7 @@ NOISE_WORD = re.compile(
     r"|footer|masthead|site-?header|page-?header|comments?|commentlist|comment-?\w*|disqus|replies|respond|share|sharing|social|related|recommend\w*|more-?stories|login|signup|search|complementary|contentinfo|skip-?link|copyright|legal)(?:$|[\s_-])"
 )
 SHARE = 0.6
+NEARLY = 0.9
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
@@ -135,14 +136,41 @@ class Page:
                 return
 
     def best(self) -> int:
-        """The deepest container with a SHARE of the page's text outside links; the page itself if there is none."""
-        score = [0] * len(self.elements)
+        """The container of the main text; the page itself if there is none.
+
+        From the deepest container with a SHARE of the page's text outside links to every one around it that adds such
+        text, as far as the article, or the main element, that all of it is in. Around an article, a main element is
+        taken only for blocks of its own, such as a headline, or if less than NEARLY all were without it; around others, a body.
+        """
+        score, own = [0] * len(self.elements), [0] * len(self.elements)
         for holder, text, linked in self.blocks:
+            nearest = False
             while holder >= 0:
                 score[holder] += len(text) - linked
+                if not nearest and (self.elements[holder].tag in CONTAINER or not holder):
+                    nearest = True
+                    own[holder] += len(text) - linked
                 holder = self.elements[holder].parent
         found = [i for i, e in enumerate(self.elements) if e.tag in CONTAINER and score[i] > 0 and score[i] >= SHARE * score[0]]
-        return max(found, key=lambda i: (self.elements[i].path.count(">"), i)) if found else 0
+        if not found:
+            return 0
+        best = max(found, key=lambda i: (self.elements[i].path.count(">"), i))
+        around, at = [], best
+        while at >= 0 and self.elements[at].tag != "body":
+            around.append(at)
+            at = self.elements[at].parent
+        outer = [i for i in around if self.elements[i].tag == "article"]
+        mains = [i for i in around if self.elements[i].tag == "main"]
+        if outer:
+            best = outer[-1]
+            return next((i for i in mains if i < best and (own[i] or score[best] < NEARLY * score[i])), best)
+        if mains:
+            return mains[-1]
+        for i in around:
+            if i and self.elements[i].tag in CONTAINER and score[i] > score[best]:
+                best = i
+        page = max(at, 0)
+        return page if score[page] > score[best] and (own[page] or score[best] < NEARLY * score[page]) else best
 
     def text(self, path: str | None) -> str:
         """Blocks, in order, of the elements with that path; without one, of the page's own best container."""
@@ -161,8 +189,8 @@ def host_of(url):
 def extract_main_text(pages: DataFrame, *, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """One row (key, url, host, path, text) per page.
 
-    A page's containers are scored by the text they hold outside links; the deepest one with most of
-    it is the page's vote. Paths are tags with their classes, numbers made alike. A host's path is the one with most votes
+    A page's containers are scored by the text they hold outside links; the page's vote is the deepest one with most of
+    it, widened as far as its article or main element, or by whatever around it has more such text (see ``Page.best``). Paths are tags with their classes, numbers made alike. A host's path is the one with most votes
     (ties: the first by code point). Pages are read again by that path; a page without it by its own best container.
     Elements for menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles never count, by
     tag, class, id and role. Character references are decoded, white space within a block is one space, blocks are lines.
