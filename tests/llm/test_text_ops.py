@@ -426,6 +426,35 @@ def test_nested_main_text_is_whole(html, blocks):
     assert Page(html).text(None) == "\n".join(b if isinstance(b, str) else (SENTENCE * b).strip() for b in blocks)
 
 
+@pytest.mark.parametrize("name", ["content with-sidebar", "has-sidebar", "no-sidebar", "ad-free content", "no-comments", "comments-open post", "page_with_menu", "widget", "search", "sidebar-layout"])
+@pytest.mark.parametrize("inner", ["<article><h1>T</h1><p>{5}</p></article>", "<main><h1>T</h1><p>{5}</p></main>", "<h1>T</h1><p>{5}</p>"])
+def test_wrappers_are_not_noise(name, inner):
+    inner = inner.replace("{5}", SENTENCE * 5)
+    page = f"<body><nav>menu</nav><div class='{name}'>{inner}<div class=sidebar>side</div></div><footer>{SENTENCE * 9}</footer></body>"
+    assert Page(page).text(None) == f"T\n{(SENTENCE * 5).strip()}"
+
+
+@pytest.mark.parametrize(
+    ("html", "blocks"),
+    [
+        ("<form id=aspnetForm><div class=menu>m</div><article><p>{5}</p></article></form>", [5]),
+        ("<form><div><p>{5}</p></div></form>", [5]),
+        ("<article><p>{5}</p><div class=legal>{1}</div><div class=search>{1}</div><div class='social'>{1}</div><div class=related>{1}</div><div class=notice>{1}</div><div class=promo-lead>{1}</div><p>end</p></article>", [5, 1, 1, 1, 1, 1, 1, "end"]),
+        ("<article><p>{5}</p><div class=related>See <a href=x>another story</a></div></article>", [5]),
+        ("<article><h1>T</h1><div class=widget><p>{5}</p></div></article>", ["T", 5]),
+        ("<div class=story><p>{5}</p></div><div class=comments><article>{9}</article></div><div class=related><article>{2}</article><article>{2}</article></div>", [5]),
+        ("<article><p>{5}</p></article><aside><article>{9}</article></aside>", [5]),
+        ("<article><p>{1}</p></article><div class=related><article>teaser</article></div><div class=banner>{9}</div>", [1]),
+        ("<div class='ad has-image'>{1}</div><div class='ad-with-image'>{1}</div><div class=story><p>{5}</p></div>", [5]),
+        ("<article><p>A <span class=share>Share</span> b {5}</p></article>", ["A b " + (SENTENCE * 5).strip()]),
+        ("<div class=ad><b>x</b><article><p>{5}</p></article>", [5]),
+    ],
+)
+def test_noise_is_judged_by_the_whole_page(html, blocks):
+    html = re.sub(r"\{(\d+)\}", lambda m: SENTENCE * int(m[1]), html)
+    assert Page(html).text(None) == "\n".join(b if isinstance(b, str) else (SENTENCE * b).strip() for b in blocks)
+
+
 def test_hosts_vote(spark):
     page = lambda body, extra="": f"<body><div class='m1'>{extra}</div><div class='story s{len(body)}'><p>{body}</p></div></body>"
     rows = [(i, f"https://a.example.com/{i}", page("The story text goes on for a while here. " * 3, "short box")) for i in range(9)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 from collections.abc import Iterator
@@ -17,14 +18,21 @@ from vecframe.llm.common import batch_of, modest_batches, small_side, stored
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math object canvas select option button head".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-NOISE = frozenset("nav footer aside form menu dialog".split())
+#: Elements that are noise by their tag, but for a form that holds the page.
+NOISE = frozenset("nav footer aside menu dialog".split())
 #: A container must be one of these to be voted for.
 CONTAINER = frozenset("article main section div td body blockquote center".split())
 #: Words of class, id and role that mark what is not the article.
 NOISE_WORD = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|sidebar|side-?bar|rail|widget|menu|nav|navbar|navigation|topbar|breadcrumbs?|pagination|pager|toolbar"
-    r"|footer|masthead|site-?header|page-?header|comments?|commentlist|comment-?\w*|disqus|replies|respond|share|sharing|social|related|recommend\w*|more-?stories|login|signup|search|complementary|contentinfo|skip-?link|copyright|legal)(?:$|[\s_-])"
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|banner|popup|modal|overlay|newsletter|subscribe|sidebar|side-?bar|rail|widget|menu|nav|navbar|navigation|topbar|breadcrumbs?|pagination|pager|toolbar"
+    r"|footer|masthead|site-?header|page-?header|respond|share|sharing|more-?stories|login|signup|complementary|contentinfo|skip-?link|copyright)(?:$|[\s_-])"
 )
+#: Words of parts that are not the article however long they are.
+FOREIGN_WORD = re.compile(r"(?:^|[\s_-])(?:cookies?|consent|gdpr|comments?|commentlist|comment-?\w*|disqus|replies)(?:$|[\s_-])")
+#: Words that inside an article mark what is not part of it only if it is links for the most part.
+LINKS_WORD = re.compile(r"(?:^|[\s_-])(?:promo\w*|notices?|alert|social|related|recommend\w*|search|legal)(?:$|[\s_-])")
+#: Forms that tell the layout or state of what is around: no-sidebar, has-ads, with-menu, ad-free, comments-open.
+LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:no|non|has|have|with|without)[_-]\S*|[^\s_-]+[_-](?:free|open|closed|enabled|disabled)(?=$|[\s_-])")
 SHARE = 0.6
 NEARLY = 0.9
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
@@ -36,18 +44,30 @@ class Element:
     tag: str
     path: str
     parent: int
-    noise: bool
-    inside: bool  # of an article or main element
+    kind: str  # of noise, see Page._mark_noise
+    inside: bool  # of an article or main element, or one itself
+    noise: bool = False  # itself or by an element around it
     blocks: list[int] = field(default_factory=list)
 
 
+@functools.lru_cache(4096)
+def kind_of(words: str) -> str:
+    """What values of class, id and role say of an element."""
+    words = LAYOUT.sub("", words)
+    return "foreign" if FOREIGN_WORD.search(words) else "word" if NOISE_WORD.search(words) else "links" if LINKS_WORD.search(words) else ""
+
+
 class Page:
-    """Elements and text blocks of a page. A block knows the element that holds it, and how much of it is links."""
+    """Elements and text blocks of a page. A block knows the element that holds it, and how much of it is links.
+
+    ``blocks`` are those without noise. All text is kept in ``runs`` of (element, text, whether in a link) until the whole
+    page is read, since only then it is known what is noise.
+    """
 
     def __init__(self, source: str):
-        self.elements = [Element("", "", -1, False, False)]
-        self.blocks: list[tuple[int, str, int]] = []
-        self._stack, self._parts, self._linked, self._link = [0], [], 0, 0
+        self.elements = [Element("", "", -1, "", False)]
+        self.runs: list[tuple[int, list[tuple[int, str, bool]]]] = []
+        self._stack, self._parts, self._link = [0], [], 0
         at, skip = 0, None
         for match in TOKEN.finditer(source):
             if match.start() < at:
@@ -71,20 +91,68 @@ class Page:
                 self._open(tag, match[3], match[3].endswith("/"))
         self._text(source[at:])
         self._flush()
+        self._mark_noise()
+        self.blocks: list[tuple[int, str, int]] = []
+        for holder, parts in self.runs:
+            parts = [part for part in parts if not self.elements[part[0]].noise]
+            text = " ".join("".join(part[1] for part in parts).split())
+            if text:
+                self.blocks.append((holder, text, min(sum(len(part[1]) for part in parts if part[2]), len(text))))
 
     def _text(self, text: str) -> None:
-        if not self.elements[self._stack[-1]].noise:
-            text = html.unescape(text)
-            self._parts.append(text)
-            if self._link:
-                self._linked += len(text)
+        self._parts.append((self._stack[-1], html.unescape(text), self._link > 0))
 
     def _flush(self) -> None:
-        text = " ".join("".join(self._parts).split())
-        if text:
+        if self._parts:
             holder = next(i for i in reversed(self._stack) if i == 0 or self.elements[i].tag in BLOCK)
-            self.blocks.append((holder, text, min(self._linked, len(text))))
-        self._parts, self._linked = [], 0
+            self.runs.append((holder, self._parts))
+            self._parts = []
+
+    def _mark_noise(self) -> None:
+        """Settles which elements are noise.
+
+        Elements of a kind may be: "tag" and "word" by these, "foreign" by words of what is never the article, "links"
+        by words that count only if half of the text is links. What holds a main element is none. A "word" is none
+        if its articles have more text than those outside of such elements, and are one or more than half of the page; a
+        "tag" only if there are no others and it is more than half of the page. Nor is a "word" with more than half of the
+        page, in an article or if there is none outside. Text is that outside links.
+        """
+        elements = self.elements
+        if not any(e.kind for e in elements):
+            return
+        own, linked = [0] * len(elements), [0] * len(elements)
+        for _, parts in self.runs:
+            for i, text, link in parts:
+                (linked if link else own)[i] += len(text.strip())
+        plain, links = own.copy(), linked.copy()
+        for i in range(len(elements) - 1, 0, -1):
+            plain[elements[i].parent] += plain[i]
+            links[elements[i].parent] += links[i]
+        for i, e in enumerate(elements):
+            if e.kind == "links":
+                e.kind = "word" if not elements[e.parent].inside or links[i] >= plain[i] else ""
+        # Of each element: text, whether it holds a main element, number and text of the outermost articles.
+        size, main, count, article = own.copy(), [False] * len(elements), [0] * len(elements), [0] * len(elements)
+        for i in range(len(elements) - 1, 0, -1):
+            e = elements[i]
+            if e.tag == "article":
+                count[i], article[i] = int(size[i] > 0), size[i]
+            main[i] |= e.tag == "main" and size[i] > 0
+            if not main[i] and (e.kind == "foreign" or e.kind == "tag" and not count[i]):
+                continue
+            size[e.parent] += size[i]
+            main[e.parent] |= main[i]
+            count[e.parent] += count[i]
+            article[e.parent] += article[i]
+        clean, outside = [True] * len(elements), 0
+        for i, e in enumerate(elements[1:], 1):
+            clean[i] = clean[e.parent] and not e.kind
+            outside += own[i] if clean[i] and e.inside else 0
+        for i, e in enumerate(elements[1:], 1):
+            most = 2 * size[i] > size[0]
+            holds = main[i] or bool(count[i]) and (e.kind == "word" and article[i] > outside and (most or count[i] == 1) or e.kind == "tag" and most and not outside)
+            whole = e.kind == "word" and most and (elements[e.parent].inside or not outside)
+            e.noise = elements[e.parent].noise or bool(e.kind) and not holds and not whole
 
     def _open(self, tag: str, attributes: str, closed: bool) -> None:
         if tag in VOID:
@@ -105,11 +173,12 @@ class Page:
         named = {m[1].lower(): next(g for g in m.groups()[1:] if g is not None) for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
         words = " ".join(named.values()).lower()
         inside = parent.inside or tag in ("article", "main")
-        noise = parent.noise or tag in NOISE or tag == "header" and not parent.inside or bool(words and tag not in ("body", "html", "article", "main") and NOISE_WORD.search(words))
+        kind = "tag" if tag in NOISE or tag == "header" and not parent.inside else kind_of(words) if words and tag not in ("body", "html", "article", "main") else ""
+        kind = "word" if tag == "form" and kind != "foreign" else kind
         classes = ".".join(sorted(re.sub(r"\d+", "#", named.get("class", "").lower()).split()))
         path = f"{parent.path}>{tag}{'.' + classes if classes else ''}" if tag in BLOCK else parent.path
         self._stack.append(len(self.elements))
-        self.elements.append(Element(tag, path, self._stack[-2], noise, inside))
+        self.elements.append(Element(tag, path, self._stack[-2], kind, inside))
         self._link += tag == "a"
 
     def _close(self, tag: str) -> None:
@@ -192,8 +261,8 @@ def extract_main_text(pages: DataFrame, *, key: str = "page_id", url: str = "url
     A page's containers are scored by the text they hold outside links; the page's vote is the deepest one with most of
     it, widened as far as its article or main element, or by whatever around it has more such text (see ``Page.best``). Paths are tags with their classes, numbers made alike. A host's path is the one with most votes
     (ties: the first by code point). Pages are read again by that path; a page without it by its own best container.
-    Elements for menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles never count, by
-    tag, class, id and role. Character references are decoded, white space within a block is one space, blocks are lines.
+    Elements for menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles do not count, by
+    tag, class, id and role, unless the article is in them or they are most of the page (see ``Page._mark_noise``). Character references are decoded, white space within a block is one space, blocks are lines.
 
     A null html is empty, an empty one has the text ''. A null or odd url has the host ''. Rows with equal keys are
     pages of their own. An empty table gives no rows. Other columns are not read.
