@@ -143,6 +143,24 @@ def test_perplexity_is_brute_force(spark, shard_rows):
         assert got[i].logp == pytest.approx(wanted, rel=1e-4, abs=1e-4)
 
 
+@pytest.mark.parametrize("shard_rows", [10**7, 150])
+def test_no_two_characters_are_one(spark, monkeypatch, shard_rows):
+    folded = line_of
+    assert folded("日") == folded(chr(ord("日") - 4095))
+    monkeypatch.setitem(globals(), "line_of", lambda text: [0] * 4 + [0 if c == "\0" else ord(c) + 1 for c in text])
+    rng = random.Random(19)
+    # Of each letter, one that was the same modulo 4095, and one beyond 16 bits.
+    letters = "abc日本語" + "".join(chr(ord(c) + 4095) for c in "abc日本語") + "\U00020000\U0010ffff"
+    texts = [" ".join(f"{i}{rng.choice(letters)}{rng.choice(letters[:6])}{rng.choice(letters)}" for i in range(20)) for _ in range(20)]
+    model = quality.fit_model(quality.count_grams(spark.createDataFrame([(t,) for t in texts], "text string")))
+    p = kneser_ney(texts)
+    other = ["abc", "".join(chr(ord(c) + 4095) for c in "abc"), "日本", "".join(chr(ord(c) + 4095) for c in "日本"), "\U00020000 \U0010ffff"]
+    got = {r.id: r for r in quality.score_texts(spark.createDataFrame(list(enumerate(texts + other)), "id long, text string"), model, shard_rows).collect()}
+    for i, t in enumerate(texts + other):
+        line = line_of(t)
+        assert got[i].logp == pytest.approx(sum(math.log(p(tuple(line[j - 4 : j + 1]))) for j in range(4, len(line))), rel=1e-4, abs=1e-4)
+
+
 def test_quality_keeps_trusted_texts(spark, small):
     got = QUERIES["op10_quality"](spark, small).toPandas()
     labels = spark.read.parquet(f"{small}/labels.parquet").toPandas()

@@ -14,9 +14,11 @@ from vecframe.llm.common import batch_of, modest_batches, small_side, stored, te
 from vecframe.llm.shingles import mix, span_hashes, word_spans
 
 ORDER = 5
-#: A character is its code point modulo CLASSES - 1, plus 1; 0 stands before the text.
-BITS = 12
-CLASSES = 1 << BITS
+#: A character is its code point plus 1; 0 stands before the text. A gram is two longs: ``lo`` has its last two characters, ``hi`` those before.
+BITS = 21
+LAST = (1 << BITS) - 1
+#: A character that the model does not know at all has the probability 1 / CLASSES.
+CLASSES = 4096
 #: A document is kept up to MARGIN times the perplexity that a share QUANTILE of trusted texts of its language stay below.
 QUANTILE = 0.99
 MARGIN = 1.5
@@ -28,8 +30,26 @@ LEAST_DISCOUNT = 0.1
 PRIOR_CHARS = 100
 
 
-def characters(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends at each character, as an integer of ORDER x BITS bits, and each text's number of them.
+def ending(hi, lo, length: int):
+    """The last ``length`` characters of grams, in columns or arrays."""
+    masks = (1 << (BITS * max(length - 2, 0))) - 1, (1 << (BITS * min(length, 2))) - 1
+    return (hi.bitwiseAND(masks[0]), lo.bitwiseAND(masks[1])) if isinstance(hi, Column) else (hi & masks[0], lo & masks[1])
+
+
+def before_last(hi, lo):
+    """Grams without their last character, in columns or arrays."""
+    if isinstance(hi, Column):
+        return F.shiftright(hi, BITS), F.shiftright(lo, BITS).bitwiseOR(F.shiftleft(hi.bitwiseAND(LAST), BITS))
+    return hi >> BITS, lo >> BITS | (hi & LAST) << BITS
+
+
+def keys_of(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """64 bits of hash of grams of one length."""
+    return mix(mix(hi.astype(np.uint64)) ^ lo.astype(np.uint64))
+
+
+def characters(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-gram that ends at each character, as ``hi`` and ``lo``, and each text's number of them.
 
     White space between words is one space; a word that repeats the one before it is one character.
     """
@@ -52,31 +72,40 @@ def characters(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     codes[gaps] = 0x20
     owner = np.repeat(np.arange(texts), np.diff(limit))[keep]
     at = np.arange(len(owner)) + (ORDER - 1) * (owner + 1)
-    line = np.zeros(len(owner) + (ORDER - 1) * texts, np.uint64)
-    line[at] = codes[keep] % np.uint64(CLASSES - 1) + np.uint64(1)
-    grams = line.copy()
-    for k in range(1, ORDER):
-        grams[k:] |= line[:-k] << np.uint64(BITS * k)
-    return grams[at].astype(np.int64), np.bincount(owner, minlength=texts)
+    line = np.zeros(len(owner) + (ORDER - 1) * texts, np.int64)
+    line[at] = codes[keep].astype(np.int64) + 1
+    lo = line[at] | line[at - 1] << BITS
+    hi = line[at - 2]
+    for k in range(3, ORDER):
+        hi |= line[at - k] << (BITS * (k - 2))
+    return hi, lo, np.bincount(owner, minlength=texts)
+
+
+def _counted(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    hi, lo = (np.concatenate(part) for part in zip(*held, strict=True))
+    order = np.lexsort((lo, hi))
+    hi, lo = hi[order], lo[order]
+    first = np.flatnonzero(np.concatenate(([True], (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1]))))
+    return hi[first], lo[first], np.diff(np.append(first, len(hi)))
 
 
 def count_grams(texts: DataFrame) -> DataFrame:
-    """Rows (gram, n) of the n-grams of highest order in the column ``text``; tasks count before the shuffle."""
-    schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
+    """Rows (hi, lo, n) of the n-grams of highest order in the column ``text``; tasks count before the shuffle."""
+    schema = pa.schema([("hi", pa.int64()), ("lo", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             for _, data, bounds in text_chunks(batch.column("text")):
-                held.append(characters(data, bounds)[0])
-                size += len(held[-1])
+                held.append(characters(data, bounds)[:2])
+                size += len(held[-1][0])
                 if size > GRAMS_HELD:
-                    yield batch_of(schema, *np.unique(np.concatenate(held), return_counts=True))
+                    yield batch_of(schema, *_counted(held))
                     held, size = [], 0
         if size:
-            yield batch_of(schema, *np.unique(np.concatenate(held), return_counts=True))
+            yield batch_of(schema, *_counted(held))
 
-    return texts.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(count, "hi long, lo long, n long").groupBy("hi", "lo").agg(F.sum("n").alias("n"))
 
 
 def discounts(grams: DataFrame) -> list[float]:
@@ -92,7 +121,7 @@ def discounts(grams: DataFrame) -> list[float]:
 
 
 def fit_model(grams: DataFrame, purpose: str = "kneser-ney") -> DataFrame:
-    """Rows (length, gram, logp, back) of an interpolated modified Kneser-Ney model.
+    """Rows (length, hi, lo, logp, back) of an interpolated modified Kneser-Ney model.
 
     ``logp`` is the log of the interpolated probability of the gram's last character, ``back`` the log of the weight that
     the gram, as a context, gives to the next shorter one; either is null where the gram is not known as that. Below the highest order a count is the
@@ -100,27 +129,29 @@ def fit_model(grams: DataFrame, purpose: str = "kneser-ney") -> DataFrame:
     """
     counts = {ORDER: stored(grams, f"{purpose}-counts")}
     for k in range(ORDER - 1, 0, -1):
-        shorter = F.col("gram").bitwiseAND((1 << (BITS * k)) - 1)
-        counts[k] = stored(counts[k + 1].groupBy(shorter.alias("gram")).agg(F.count("*").alias("n")), f"{purpose}-counts")
+        hi, lo = ending(F.col("hi"), F.col("lo"), k)
+        counts[k] = stored(counts[k + 1].groupBy(hi.alias("hi"), lo.alias("lo")).agg(F.count("*").alias("n")), f"{purpose}-counts")
     lower: DataFrame | None = None
     rows = []
     for k in range(1, ORDER + 1):
         d = discounts(counts[k])
         less = F.element_at(F.array(*map(F.lit, d)), F.least("n", F.lit(3)).cast("int"))
-        at = counts[k].select("gram", "n", F.shiftright("gram", BITS).alias("context"), F.col("gram").bitwiseAND((1 << (BITS * (k - 1))) - 1).alias("suffix"), less.alias("less"))
-        contexts = stored(at.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("less") / F.sum("n")).alias("weight")), f"{purpose}-contexts")
-        base = at.join(contexts, "context")
+        hi, lo = F.col("hi"), F.col("lo")
+        pairs = zip(("context_hi", "context_lo", "suffix_hi", "suffix_lo"), (*before_last(hi, lo), *ending(hi, lo, k - 1)), strict=True)
+        at = counts[k].select("hi", "lo", "n", *[c.alias(name) for name, c in pairs], less.alias("less"))
+        contexts = stored(at.groupBy("context_hi", "context_lo").agg(F.sum("n").alias("total"), (F.sum("less") / F.sum("n")).alias("weight")), f"{purpose}-contexts")
+        base = at.join(contexts, ["context_hi", "context_lo"])
         if lower is None:
             base = base.withColumn("below", F.lit(1.0 / CLASSES))
         else:
-            base = base.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("below")), "suffix")
-        lower = stored(base.select("gram", ((F.col("n") - F.col("less")) / F.col("total") + F.col("weight") * F.col("below")).alias("p")), f"{purpose}-order")
-        rows.append(lower.select(F.lit(k).alias("length"), "gram", F.log("p").alias("logp"), F.lit(None).cast("double").alias("back")))
-        rows.append(contexts.select(F.lit(k - 1).alias("length"), F.col("context").alias("gram"), F.lit(None).cast("double").alias("logp"), F.log("weight").alias("back")))
+            base = base.join(lower.select(hi.alias("suffix_hi"), lo.alias("suffix_lo"), F.col("p").alias("below")), ["suffix_hi", "suffix_lo"])
+        lower = stored(base.select("hi", "lo", ((F.col("n") - F.col("less")) / F.col("total") + F.col("weight") * F.col("below")).alias("p")), f"{purpose}-order")
+        rows.append(lower.select(F.lit(k).alias("length"), "hi", "lo", F.log("p").alias("logp"), F.lit(None).cast("double").alias("back")))
+        rows.append(contexts.select(F.lit(k - 1).alias("length"), F.col("context_hi").alias("hi"), F.col("context_lo").alias("lo"), F.lit(None).cast("double").alias("logp"), F.log("weight").alias("back")))
     out = rows[0]
     for df in rows[1:]:
         out = out.unionByName(df)
-    return stored(out.groupBy("length", "gram").agg(F.max("logp").alias("logp"), F.max("back").alias("back")), f"{purpose}-model")
+    return stored(out.groupBy("length", "hi", "lo").agg(F.max("logp").alias("logp"), F.max("back").alias("back")), f"{purpose}-model")
 
 
 class Shard:
@@ -128,60 +159,63 @@ class Shard:
 
     def __init__(self, model: pa.Table, shard: int, shards: int):
         self.shard, self.shards = shard, shards
-        length, gram = model["length"].to_numpy(), model["gram"].to_numpy()
+        length, hi, lo = (model[c].to_numpy() for c in ("length", "hi", "lo"))
         logp, back = (model[c].to_numpy().astype(np.float32) for c in ("logp", "back"))
         self.keys, self.logp, self.back = [], [], []
         for k in range(ORDER + 1):
             own = np.flatnonzero(length == k)
-            own = own[np.argsort(gram[own])]
-            self.keys.append(gram[own])
-            self.logp.append(logp[own])
-            self.back.append(back[own])
+            keys = keys_of(hi[own], lo[own])
+            order = np.argsort(keys)
+            self.keys.append(keys[order])
+            self.logp.append(logp[own[order]])
+            self.back.append(back[own[order]])
 
     def prepare(self) -> Shard:
         """Fills the direct table; done once in a worker."""
         if not hasattr(self, "slots"):
             size = max(16, (4 * len(self.keys[ORDER])).bit_length())
             self.shift = np.uint64(64 - size)
-            self.slots, self.values = np.full(1 << size, -1, np.int64), np.zeros(1 << size, np.float32)
-            slot = self._slot(self.keys[ORDER])
+            self.slots, self.values = np.zeros(1 << size, np.uint64), np.zeros(1 << size, np.float32)
+            slot = self.keys[ORDER] >> self.shift
             self.slots[slot], self.values[slot] = self.keys[ORDER], self.logp[ORDER]
         return self
 
-    def _slot(self, grams: np.ndarray) -> np.ndarray:
-        return (grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ grams.view(np.uint64) >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> self.shift
-
-    def score(self, grams: np.ndarray) -> np.ndarray:
+    def score(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
         """The log-probability of the last character of each gram; 0 for grams of other shards."""
         self.prepare()
-        slot = self._slot(grams)
-        out = np.where(self.slots[slot] == grams, self.values[slot], np.float32(0))
-        rest = np.flatnonzero(self.slots[slot] != grams)
+        keys = keys_of(hi, lo)
+        slot = keys >> self.shift
+        direct = self.slots[slot] == keys
+        out = np.where(direct, self.values[slot], np.float32(0))
+        rest = np.flatnonzero(~direct)
         if self.shards > 1:
-            rest = rest[shard_of(grams[rest], self.shards) == self.shard]
+            rest = rest[shard_of(lo[rest] >> BITS, self.shards) == self.shard]
         for k in range(ORDER, 0, -1):
-            found, at = self._find(k, grams[rest] & ((1 << (BITS * k)) - 1), self.logp)
+            gram = ending(hi[rest], lo[rest], k)
+            found, at = self._find(k, keys_of(*gram), self.logp)
             out[rest[found]] += self.logp[k][at]
             rest = rest[~found]
             if not len(rest):
                 return out
-            found, at = self._find(k - 1, grams[rest] >> BITS & ((1 << (BITS * (k - 1))) - 1), self.back)
+            context = before_last(*ending(hi[rest], lo[rest], k))
+            found, at = self._find(k - 1, keys_of(*context), self.back)
             out[rest[found]] += self.back[k - 1][at]
         out[rest] -= np.float32(math.log(CLASSES))
         return out
 
-    def _find(self, k: int, grams: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def _find(self, k: int, wanted: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         keys = self.keys[k]
         if not len(keys):
-            return np.zeros(len(grams), bool), np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
-        found = (keys[at] == grams) & ~np.isnan(values[k][at])
+            return np.zeros(len(wanted), bool), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        found = (keys[at] == wanted) & ~np.isnan(values[k][at])
         return found, at[found]
 
 
-def shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
-    """The shard of a gram of length 2 or more: by the character before its last."""
-    return (mix((grams >> BITS & (CLASSES - 1)).astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+def shard_of(before, shards: int):
+    """The shard of a gram by the character before its last, in columns or arrays."""
+    spread = before * 40503
+    return (F.shiftright(spread, 8) if isinstance(before, Column) else spread >> 8) % shards
 
 
 def score_texts(rows: DataFrame, model: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -194,14 +228,13 @@ def score_texts(rows: DataFrame, model: DataFrame, shard_rows: int = SHARD_ROWS)
     shards = max(1, math.ceil(model.count() / shard_rows))
     out = rows.withColumns({"logp": F.lit(0.0), "chars": F.lit(0).cast("long")})
     # A context's last character is what stands before the last character of its grams; single characters go to all shards.
-    middle = F.when(F.col("logp").isNotNull(), F.shiftright("gram", BITS)).otherwise(F.col("gram")).bitwiseAND(CLASSES - 1)
+    last = F.col("lo").bitwiseAND(LAST)
+    middle = F.when(F.col("logp").isNotNull(), F.shiftright("lo", BITS)).otherwise(last)
     for shard in range(shards):
         part = model
         if shards > 1:
-            numbers = [shard_of(np.array([c << BITS]), shards)[0] for c in range(CLASSES)]
-            here = F.array(*[F.lit(c) for c in range(CLASSES) if numbers[c] == shard])
-            own = lambda c: F.array_contains(here, c.cast("int"))
-            part = model.where((F.col("length") <= 1) | own(middle) | ((F.col("length") < ORDER) & own(F.col("gram").bitwiseAND(CLASSES - 1))))
+            own = lambda c: shard_of(c, shards) == shard
+            part = model.where((F.col("length") <= 1) | own(middle) | ((F.col("length") < ORDER) & own(last)))
         shared = rows.sparkSession.sparkContext.broadcast(Shard(part.toArrow(), shard, shards))
         out = out.mapInArrow(_score(shared, rest, shard == shards - 1), out.schema)
     return out.select(*[c for c in known.names if c != "text"], "logp", "chars")
@@ -213,8 +246,8 @@ def _score(shared, rest: list[str], last: bool):
         for batch in batches:
             logp, chars = [np.zeros(0)], [np.zeros(0, np.int64)]
             for _, data, bounds in text_chunks(batch.column("text")):
-                grams, counts = characters(data, bounds)
-                sums = np.concatenate(([0.0], np.cumsum(model.score(grams), dtype=np.float64)))
+                hi, lo, counts = characters(data, bounds)
+                sums = np.concatenate(([0.0], np.cumsum(model.score(hi, lo), dtype=np.float64)))
                 ends = np.cumsum(counts)
                 logp.append(sums[ends] - sums[ends - counts])
                 chars.append(counts)
