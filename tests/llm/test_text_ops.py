@@ -288,6 +288,32 @@ def test_mix_meets_targets(spark, monkeypatch, block):
     assert mix_sources(docs_of(spark, [])).collect() == []
 
 
+def test_equal_rows_are_rounded_by_their_number(spark, monkeypatch):
+    from vecframe.llm import mix_sources as module
+
+    met, rounding = [], module._round
+
+    def round_(rows, blocks):
+        met.append(rows.groupBy("mark", "draw").count().agg(F.max("count")).first()[0])
+        return rounding(rows, blocks)
+
+    monkeypatch.setattr(module, "_round", round_)
+    monkeypatch.setattr(module, "BLOCK", 50)
+    rows = [(1, "one two three", "a", "en")] * 300 + [(i, "w " * (i % 7 + 1), "ab"[i % 2], "en") for i in range(2, 60)] + [(None, "x y", "b", "en")] * 3
+    got = mix_sources(docs_of(spark, rows)).collect()
+    assert max(met) == 1
+    assert Counter((r.doc_id, r["size"]) for r in got) == Counter((i, len(WHITE.findall(t))) for i, t, *_ in rows)
+    targets, taken = {}, Counter()
+    for r in got:
+        of = "a" if r.doc_id == 1 else "b" if r.doc_id is None else "ab"[r.doc_id % 2]
+        targets[of] = r.target
+        taken[of] += r.taken
+    assert all(abs(taken[s] - t) <= 1 for s, t in targets.items())
+    copies = Counter(r.copies for r in got if r.doc_id == 1)
+    share = next(r.target / r.source_size for r in got if r.doc_id == 1)
+    assert set(copies) <= {math.floor(share), math.floor(share) + 1} and abs(sum(k * n for k, n in copies.items()) - 300 * share) <= 1
+
+
 def test_pivotal_is_unbiased():
     rng = np.random.default_rng(11)
     parts, sizes = [0.2, 0.7, 0.5, 0.9, 0.3], [10, 3, 50, 7, 1]

@@ -71,7 +71,8 @@ def mix_sources(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sou
     ``size`` is the number of words. Each source gets a target (see ``source_targets``), so each of
     its documents should come target / source_size times. The whole part of that is given; the
     fractions are rounded by moving words between pairs of documents, at random and without bias, until one of the two
-    is whole. What is left of a block of documents meets the rests of other blocks, up to one document per
+    is whole. Equal rows are counted first, and only the rest of
+    their parts is rounded with others. What is left of a block of documents meets the rests of other blocks, up to one document per
     source, of which a last copy takes only the first ``tail_words`` words. So a source takes its
     target to within half a word. ``taken`` is copies x size + tail_words, at most ``most`` x size.
 
@@ -96,7 +97,8 @@ def mix_sources(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sou
     unit = F.pmod("draw", F.lit(1 << 40)) / float(1 << 40)
     settled = joined.where("size = 0 or part = 0").withColumn("part", F.when(F.col("part") > unit, 1.0).otherwise(0.0))
     open_ = joined.where("size > 0 and part > 0")
-    done = [settled]
+    whole, open_ = _without_repeats(open_)
+    done = [settled, whole]
     blocks = max(1, math.ceil((sources.agg(F.max("documents")).first()[0] or 0) / BLOCK))
     while True:
         rounded = stored(_round(open_, blocks), "mix-round")
@@ -114,6 +116,27 @@ def mix_sources(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sou
     return out.select(F.col("id").alias(key), "size", "source_size", "target", (F.col("copies") * F.col("size") + F.col("tail_words")).alias("taken"), "copies", "tail_words", "mark", "draw")
 
 
+def _without_repeats(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with part 0 or 1, and rows to be rounded, of which no two are equal.
+
+    Equal rows are counted before anything groups them. Their parts add up to a whole number, that many of them with
+    part 1, and a rest, which is the part of one more; the others have part 0. Nothing tells equal rows apart, so they are made from the count.
+    """
+    counted = stored(rows.groupBy(*rows.columns).agg(F.count("*").alias("rows")), "mix-equal")
+    total = F.col("rows") * F.col("part")
+    once = F.col("rows") == 1
+    sure = F.when(once, 0).when(F.abs(total - F.round(total)) < 1e-9, F.round(total)).otherwise(F.floor(total)).cast("long")
+    rest = F.when(once, F.col("part")).when(total - F.col("sure") < 1e-9, 0.0).otherwise(total - F.col("sure"))
+    split = counted.withColumn("sure", sure).withColumn("rest", rest)
+    none = F.col("rows") - F.col("sure") - (F.col("rest") > 0).cast("long")
+    made = split.where("rows > 1").select(*[c for c in rows.columns if c != "part"], F.explode(F.array(*[F.struct(n.alias("n"), F.lit(p).alias("part")) for n, p in ((F.col("sure"), 1.0), (none, 0.0))])).alias("of"))
+    # In pieces of BLOCK rows, dealt over the tasks.
+    pieces = made.where("of.n > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("of.n") - 1) / BLOCK)))).repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    items = F.array_repeat(F.lit(0), F.least(F.lit(BLOCK), F.col("of.n") - F.col("piece") * BLOCK).cast("int"))
+    whole = pieces.withColumn("item", F.explode(items)).withColumn("part", F.col("of.part")).select(*rows.columns)
+    return whole, split.where("rest > 0").withColumn("part", F.col("rest")).select(*rows.columns)
+
+
 def _round(rows: DataFrame, blocks: int) -> DataFrame:
     """``part`` of each row made 0 or 1, but for one row at most of each source and block."""
 
