@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecframe.session import shared_dir
+from vecframe.session import shared_dir, shuffle_tasks
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 BATCH_ROWS = 1000
@@ -40,6 +40,30 @@ def small_side(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> D
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def join_counted(rows: DataFrame, side: DataFrame, on: list[str], *, copies: str = "copies", row_bytes: int = 64) -> DataFrame:
+    """``rows`` joined with stored ``side``, one row per key, that counts in ``copies`` how many of ``rows`` have it.
+
+    A side that fits is broadcast. Else the keys with more than a quarter of a task's even share of rows are, of which there are at most four
+    a task since their rows add up, and the others meet by shuffle; so no key makes a task long.
+    """
+    facts = side.agg(F.count("*").alias("keys"), F.sum(copies).alias("rows")).first()
+    if facts.keys * row_bytes <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(side), on)
+    share = facts.rows // (4 * shuffle_tasks(side.sparkSession))
+    hot = F.broadcast(side.where(F.col(copies) > share))
+    rest = rows.join(hot.select(*on), on, "left_anti").join(side.where(F.col(copies) <= share), on)
+    return rows.join(hot, on).unionByName(rest)
+
+
+def bucketed(df: DataFrame, keys: list[str], purpose: str) -> str:
+    """The rows as a table bucketed by ``keys`` in the shared folder; joins on these keys do not move them. Returns its name, for the caller to drop."""
+    spark, tasks = df.sparkSession, shuffle_tasks(df.sparkSession)
+    path = shared_dir(spark, purpose)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    df.repartition(tasks, *keys).write.format("parquet").bucketBy(tasks, *keys).option("path", path).saveAsTable(name)
+    return name
+
+
 def content_keys(text: Column) -> list[Column]:
     """128 bits of hash of a text as two longs; a null text has the keys of an empty one."""
     whole = F.coalesce(text, F.lit(""))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vecframe.llm.balanced_shards import document_shards
+from vecframe.llm.centroid_clusters import described_clusters
 from vecframe.llm.common import table
 from vecframe.llm.decontaminate import find_leaks
 from vecframe.llm.line_dedup import line_dedup
@@ -16,6 +18,7 @@ from vecframe.llm.quality import quality_filter
 from vecframe.llm.secrets import RULES, joined_spans, scan_documents
 from vecframe.llm.token_shards import write_shards
 from vecframe.llm.toxicity import toxicity
+from vecframe.llm.vector_codes import described_codes
 
 #: The rank file of a public byte-level tokenizer; it is read, never copied.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -64,6 +67,18 @@ def op10_quality(spark, folder):
     return quality_filter(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_balanced_shards(spark, folder):
+    return document_shards(table(spark, folder, "documents"))
+
+
+def op12_centroid_clusters(spark, folder):
+    return described_clusters(table(spark, folder, "embeddings"))
+
+
+def op13_vector_codes(spark, folder):
+    return described_codes(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_near_vectors": op2_near_vectors,
@@ -75,5 +90,8 @@ QUERIES = {
     "op8_main_text": op8_main_text,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality": op10_quality,
+    "op11_balanced_shards": op11_balanced_shards,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_vector_codes": op13_vector_codes,
 }
 
