@@ -81,7 +81,7 @@ def test_recall_rises_with_cells(celled, embeddings, centroids, truth):
 
 
 def test_tuning_small_tables_stays_exact(embeddings):
-    choice, report = ann.tune_recall(embeddings, embeddings, **EMBEDDED)
+    choice, report = ann.tune_recall(embeddings, embeddings, exact_below=50_000, **EMBEDDED)
     assert choice["method"] == "exact" and report.count() == 1
 
 

@@ -7,6 +7,7 @@ array, and end in an exact score, so only the set of candidates is approximate.
 from __future__ import annotations
 
 import math
+import time
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
@@ -63,11 +64,15 @@ def knn_pca(
     vector: str = "vector",
     query_id: str = "query_id",
     query_vector: str = "vector",
-    top_k: int = 10,
+    top_k: int | Column = 10,
     metric: str = "cosine",
-    min_score: float | None = None,
-    max_distance: float | None = None,
+    min_score: float | Column | None = None,
+    max_distance: float | Column | None = None,
     filter: dict[str, object] | None = None,
+    filter_on: dict[str, str] | None = None,
+    metadata: list[str] | bool = False,
+    with_vectors: bool = False,
+    keep_empty: bool = False,
     broadcast_limit: int = knn.BROADCAST_LIMIT,
 ) -> DataFrame:
     """Candidates (``candidate_multiplier x top_k``) by reduced vectors, then exact scores.
@@ -76,31 +81,51 @@ def knn_pca(
     fly. The projection does not subtract the mean, so candidates of cosine and euclidean rank by
     distance, which a shift does not change.
     """
-    if candidate_multiplier < 1:
-        raise ValueError("candidate_multiplier must be at least 1")
     metric = metric_name(metric)
     if reduced is None:
         reduced = reduce_vectors(corpus, components, vector=vector, metric=metric)
+    return rescored(
+        corpus, queries, reduced, reduce_vectors(queries, components, vector=query_vector, metric=metric),
+        candidate_metric="dot_product" if metric == "dot_product" else "euclidean", candidate_multiplier=candidate_multiplier,
+        key=key, vector=vector, reduced_vector=vector, query_id=query_id, query_vector=query_vector, top_k=top_k, metric=metric,
+        min_score=min_score, max_distance=max_distance, filter=filter, filter_on=filter_on, metadata=metadata,
+        with_vectors=with_vectors, keep_empty=keep_empty, broadcast_limit=broadcast_limit,
+    )
+
+
+def rescored(
+    corpus: DataFrame, queries: DataFrame, reduced: DataFrame, reduced_queries: DataFrame, *, candidate_metric: str,
+    candidate_multiplier: int, key: str, vector: str, reduced_vector: str, query_id: str, query_vector: str, top_k: int | Column,
+    metric: str, min_score, max_distance, filter, filter_on, metadata, with_vectors: bool, keep_empty: bool, broadcast_limit: int,
+) -> DataFrame:
+    """Candidates by the reduced vectors, and the best of them by the exact score.
+
+    ``reduced`` holds the corpus columns that filters use, and ``reduced_vector``; ``reduced_queries`` the reduced vector in place of the query's own.
+    """
+    if candidate_multiplier < 1:
+        raise ValueError("candidate_multiplier must be at least 1")
+    asked = knn.query_table(
+        queries, query_id=query_id, query_vector=query_vector, top_k=top_k, metric=metric,
+        min_score=min_score, max_distance=max_distance, filter_on=None,
+    )
+    facts = knn.measure(asked, broadcast_limit)
+    finish = lambda ranked: knn._finish(ranked, corpus, asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit)
+    if facts.n == 0:
+        return finish(knn.merge_hits(knn._no_hits(asked, corpus.select(F.col(key).alias("key"))), 1))
     candidates = knn.knn_join(
         reduced,
-        reduce_vectors(queries, components, vector=query_vector, metric=metric),
+        reduced_queries,
         key=key,
-        vector=vector,
+        vector=reduced_vector,
         query_id=query_id,
         query_vector=query_vector,
-        top_k=top_k * candidate_multiplier,
-        metric="dot_product" if metric == "dot_product" else "euclidean",
+        top_k=(F.coalesce(top_k, F.lit(10)) if isinstance(top_k, Column) else top_k) * candidate_multiplier,
+        metric=candidate_metric,
         filter=filter,
+        filter_on=filter_on,
         broadcast_limit=broadcast_limit,
     ).select("query_id", "key")
-    asked = knn.query_table(
-        queries, query_id=query_id, query_vector=query_vector, top_k=top_k, metric=metric,
-        min_score=min_score, max_distance=max_distance, filter_on=None,
-    )
-    facts = knn.measure(asked, broadcast_limit)
-    if facts.n == 0:
-        return knn.merge_hits(knn._no_hits(asked, corpus.select(F.col(key).alias("key"))), 1)
-    few = facts.n * top_k * candidate_multiplier * 64 <= broadcast_limit
+    few = facts.n * facts.k * candidate_multiplier * 64 <= broadcast_limit
     hint = F.broadcast if few else lambda df: df
     rows = corpus.select(F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("vec"))
     if facts.rows is not None:
@@ -108,13 +133,13 @@ def knn_pca(
         # most one per query.
         asking = candidates.groupBy("key").agg(F.collect_list("query_id").alias("asking"))
         hits = knn.scan_hits(rows.join(hint(asking), "key"), facts.rows, facts.dim)
-        return knn.merge_hits(hits, facts.k, scan_tasks(corpus))
+        return finish(knn.merge_hits(hits, facts.k, scan_tasks(corpus)))
     pairs = rows.join(hint(candidates), "key").join(asked, F.col("query_id") == F.col("qid"))
     scored = pairs.withColumn("goodness", pair_goodness(F.col("qvec"), F.col("vec"), F.col("qmetric"), facts.dim))
     scored = scored.where(
         ~F.isnan("goodness") & (F.col("qfloor").isNull() | (F.col("goodness") >= F.col("qfloor")))
     )
-    return knn.merge_hits(scored.select("query_id", "key", "goodness", "qk", "qmetric"), facts.k)
+    return finish(knn.merge_hits(scored.select("query_id", "key", "goodness", "qk", "qmetric"), facts.k))
 
 
 # --- inverted-file cells ------------------------------------------------------------------------
@@ -163,48 +188,74 @@ def knn_ivf(
     centroids: np.ndarray,
     *,
     nprobe: int = 8,
+    query_vector: str = "vector",
+    metric: str = "cosine",
+    **options,
+) -> DataFrame:
+    """Exact scores within the ``nprobe`` cells nearest to each query; all cells give exact search. Options as in ``knn_join``."""
+    if nprobe < 1:
+        raise ValueError("nprobe must be at least 1")
+    metric = metric_name(metric)
+    nprobe = min(nprobe, len(centroids))
+    qcells = nearest_cells(F.col(query_vector), centroids, nprobe, metric == "cosine")
+    return knn_in_cells(celled, queries, qcells, prune=nprobe < len(centroids), query_vector=query_vector, metric=metric, **options)
+
+
+def knn_in_cells(
+    celled: DataFrame,
+    queries: DataFrame,
+    qcells: Column,
+    *,
+    cell: str = "cell",
+    prune: bool = True,
+    shelf_of: dict[int, int] | None = None,
     key: str = "key",
     vector: str = "vector",
     query_id: str = "query_id",
     query_vector: str = "vector",
     top_k: int | Column = 10,
-    metric: str = "cosine",
+    metric: str | Column = "cosine",
     min_score: float | Column | None = None,
     max_distance: float | Column | None = None,
     filter: dict[str, object] | None = None,
+    filter_on: dict[str, str] | None = None,
     metadata: list[str] | bool = False,
     with_vectors: bool = False,
     keep_empty: bool = False,
     broadcast_limit: int = knn.BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Exact scores within the ``nprobe`` cells nearest to each query; all cells give exact search."""
-    if nprobe < 1:
-        raise ValueError("nprobe must be at least 1")
-    metric = metric_name(metric)
+    """Exact scores within the cells that each query names in ``qcells``.
+
+    With ``prune`` the scan is narrowed to the cells that any query names; ``shelf_of`` tells the folder ``_shelf`` of each cell, if there are any.
+    """
     celled = knn.where_equal(celled, filter)
-    nprobe = min(nprobe, len(centroids))
     asked = knn.query_table(
         queries, query_id=query_id, query_vector=query_vector, top_k=top_k, metric=metric,
-        min_score=min_score, max_distance=max_distance, filter_on=None,
-        extra=[nearest_cells(F.col(query_vector), centroids, nprobe, metric == "cosine").alias("qcells")],
+        min_score=min_score, max_distance=max_distance, filter_on=filter_on, extra=[qcells.alias("qcells")],
     )
     facts = knn.measure(asked, broadcast_limit)
-    rows = celled.select("cell", F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("vec"))
-    if facts.n == 0:
-        hits = knn._no_hits(asked, rows)
-    elif facts.rows is not None:
-        table = facts.rows
-        if nprobe < len(centroids):
-            probed = sorted(set(table.column("qcells").combine_chunks().flatten().to_pylist()))
-            rows = rows.where(F.col("cell").isin(probed))
-        hits = knn.scan_hits(rows, table, facts.dim)
-    else:
-        hits = _cell_grid_hits(rows, asked, facts, broadcast_limit)
+    hits = cell_search_hits(celled, asked, facts, cell=cell, prune=prune, shelf_of=shelf_of, key=key, vector=vector, filter_on=filter_on, limit=broadcast_limit)
     return knn._finish(
         knn.merge_hits(hits, facts.k, scan_tasks(celled)), celled, asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit
     )
 
 
+def cell_search_hits(celled, asked, facts, *, cell, prune, shelf_of, key, vector, filter_on, limit) -> DataFrame:
+    """Best rows per task or grid cell, before they are merged."""
+    wanted = [F.col(c).alias(f"f_{i}") for i, c in enumerate(filter_on or {})]
+    pick = lambda df: df.select(F.col(cell).alias("cell"), F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("vec"), *wanted)
+    if facts.n == 0:
+        return knn._no_hits(asked, pick(celled))
+    if facts.rows is None:
+        return _cell_grid_hits(pick(celled), asked, facts, limit)
+    if prune:
+        probed = sorted(set(facts.rows.column("qcells").combine_chunks().flatten().to_pylist()))
+        if shelf_of is not None:
+            celled = celled.where(F.col("_shelf").isin(sorted({shelf_of[c] for c in probed})))
+        celled = celled.where(F.col(cell).isin(probed))
+    return knn.scan_hits(pick(celled), facts.rows, facts.dim)
+
+
 def _cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: knn.Asked, limit: int) -> DataFrame:
     """Join on the cell, with each cell cut into its own grid.
 
@@ -246,6 +297,8 @@ def _cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: knn.Asked, limit:
 # Settings tried, from cheap to dear: (share of the dimensions, candidate multiplier), share of the cells.
 PCA_SETTINGS = [(0.125, 10), (0.25, 10), (0.5, 10), (0.5, 20), (0.75, 10)]
 CELL_SHARES = [0.01, 0.05, 0.25, 0.5, 0.75]
+# Queries that tuning asks at most.
+SAMPLE_QUERIES = 1000
 
 
 def check_target_recall(target: float) -> float:
@@ -267,59 +320,55 @@ def tune_recall(
     metric: str = "cosine",
     exact_below: int = 0,
     n_cells: int | None = None,
+    sample_queries: int = SAMPLE_QUERIES,
 ) -> tuple[dict, DataFrame]:
     """The cheapest setting whose measured recall meets the target, and the report behind it.
 
-    ``queries`` is a sample that stands for the workload. Cost is the number of multiplications per
-    query, which does not vary from run to run. A caller may ask for exact search below ``exact_below`` rows;
-    exact search is also the answer when no approximate setting reaches the target.
+    ``queries`` stands for the workload; at most ``sample_queries`` of them, by a hash of their ids, are asked exactly and with each setting.
+    Cost is the seconds that took, with what a search can store beforehand (reduced vectors, cells) stored. A caller may ask for exact search below ``exact_below`` rows;
+    exact search is also the answer when no approximate setting reaches the target. ``tuning.keep_target`` keeps a choice with an index.
     """
     check_target_recall(target_recall)
     metric = metric_name(metric)
     names = {"key": key, "vector": vector, "query_id": query_id, "query_vector": query_vector}
     options = {**names, "top_k": top_k, "metric": metric}
-    rows = corpus.count()
-    dim = corpus.where(F.col(vector).isNotNull()).select(F.size(vector)).first()
-    dim = dim[0] if dim else 0
-    tried = [{"method": "exact", "params": {}, "recall": 1.0, "cost": float(rows * dim)}]
-    if rows >= exact_below and rows > 0:
-        truth = knn.knn_join(corpus, queries, **options).persist()
-        measure = lambda hits: recall_at_k(hits, truth, top_k).first().recall or 0.0
+    facts = corpus.where(F.col(vector).isNotNull()).agg(F.count("*").alias("rows"), F.max(F.size(vector)).alias("dim")).first()
+    tried = [{"method": "exact", "params": {}, "recall": 1.0, "cost": 0.0}]
+    if facts.rows >= exact_below and facts.rows > 0:
+        asked = queries.orderBy(F.xxhash64(query_id), query_id).limit(sample_queries).persist()
+        truth = knn.knn_join(corpus, asked, **options).persist()
+        truth.count()
+
+        def measured(search) -> tuple[float, float]:
+            start = time.perf_counter()
+            hits = search().persist()
+            hits.count()
+            seconds = time.perf_counter() - start
+            recall = recall_at_k(hits, truth, top_k).first().recall or 0.0
+            hits.unpersist()
+            return recall, seconds
+
+        tried[0]["cost"] = measured(lambda: knn.knn_join(corpus, asked, **options))[1]
         # Components come in order of variance, so the widest fit holds all narrower ones.
-        widest = max(1, int(dim * max(share for share, _ in PCA_SETTINGS)))
+        widest = max(1, int(facts.dim * max(share for share, _ in PCA_SETTINGS)))
         components = fit_pca(corpus, widest, vector=vector, metric=metric)
         for share, multiplier in PCA_SETTINGS:
-            reduced_dimensions = max(1, int(dim * share))
+            reduced_dimensions = max(1, int(facts.dim * share))
             narrow = components[:, :reduced_dimensions]
-            hits = knn_pca(corpus, queries, narrow, candidate_multiplier=multiplier, **options)
-            tried.append(
-                {
-                    "method": "pca",
-                    "params": {"reduced_dimensions": reduced_dimensions, "candidate_multiplier": multiplier},
-                    "recall": measure(hits),
-                    "cost": float(rows * reduced_dimensions + top_k * multiplier * dim),
-                }
-            )
+            reduced = reduce_vectors(corpus, narrow, vector=vector, metric=metric).persist()
+            reduced.count()
+            recall, seconds = measured(lambda: knn_pca(corpus, asked, narrow, reduced=reduced, candidate_multiplier=multiplier, **options))
+            reduced.unpersist()
+            params = {"reduced_dimensions": reduced_dimensions, "candidate_multiplier": multiplier}
+            tried.append({"method": "pca", "params": params, "recall": recall, "cost": seconds})
         centroids = fit_cells(corpus, n_cells, vector=vector, metric=metric)
         celled = assign_cells(corpus, centroids, vector=vector, metric=metric).persist()
-        sizes = celled.groupBy("cell").agg(F.count("*").alias("size"))
+        celled.count()
         for nprobe in sorted({max(1, int(len(centroids) * share)) for share in CELL_SHARES}):
-            hits = knn_ivf(celled, queries, centroids, nprobe=nprobe, **options)
-            probed = queries.select(
-                F.explode(nearest_cells(F.col(query_vector), centroids, nprobe, metric == "cosine")).alias("cell")
-            )
-            scored = probed.groupBy("cell").count().join(sizes, "cell")
-            total = scored.agg(F.sum(F.col("count") * F.col("size")).alias("pairs")).first().pairs or 0
-            tried.append(
-                {
-                    "method": "ivf",
-                    "params": {"n_cells": len(centroids), "nprobe": nprobe},
-                    "recall": measure(hits),
-                    "cost": float(dim * (len(centroids) + total / max(1, queries.count()))),
-                }
-            )
-        celled.unpersist()
-        truth.unpersist()
+            recall, seconds = measured(lambda: knn_ivf(celled, asked, centroids, nprobe=nprobe, **options))
+            tried.append({"method": "ivf", "params": {"n_cells": len(centroids), "nprobe": nprobe}, "recall": recall, "cost": seconds})
+        for held in (celled, truth, asked):
+            held.unpersist()
     choice = min((t for t in tried if t["recall"] >= target_recall), key=lambda t: (t["cost"], t["method"]))
     return choice, _report(corpus.sparkSession, tried, choice)
 
@@ -351,13 +400,21 @@ INDEX_ALIASES = {"pca": "pca", "ivf": "ivf", "hnsw": "ivf"}
 
 def search(
     corpus: DataFrame, queries: DataFrame, *, use_index: str | None = None,
-    index_params: dict[str, int] | None = None, **options,
+    index_params: dict[str, int] | None = None, index_path: str | None = None, target_recall: float | None = None, **options,
 ) -> DataFrame:
-    """kNN join by exact scan or by a named index, fitted on the corpus for this call."""
-    if use_index is None:
+    """kNN join by exact scan or by a named index.
+
+    With ``index_path`` the index is kept in that folder: built by the first call, opened by later ones, and refused (``StaleIndex``) once
+    the corpus has changed. With ``target_recall`` too, the setting is the one tuned for that target, see ``tuning.keep_target``.
+    Without a folder the index is fitted for this call alone.
+    """
+    if use_index is None and index_path is None:
         if index_params is not None:
             raise ValueError("index_params requires use_index")
+        if target_recall is not None:
+            raise ValueError("target_recall requires index_path, where the choice is kept")
         return knn.knn_join(corpus, queries, **options)
+    use_index = use_index or "ivf"
     if use_index not in INDEX_ALIASES:
         raise ValueError(f"use_index {use_index!r} is not one of {sorted(INDEX_ALIASES)}")
     index, params = INDEX_ALIASES[use_index], dict(index_params or {})
@@ -365,6 +422,17 @@ def search(
     if unknown:
         raise ValueError(f"unknown parameters for {use_index!r}: {sorted(unknown)}")
     fitting = {"vector": options.get("vector", "vector"), "metric": options.get("metric", "cosine")}
+    if index_path is not None:
+        from vecframe.operators import index as kept, tuning  # they build on this module
+
+        own = {name: options.pop(name) for name in ("key", "vector", "metric") if name in options}
+        fixed = {name: params.pop(name) for name in ("n_cells", "reduced_dimensions") if name in params}
+        opened = kept.open_or_build(corpus, index_path, "pca" if index == "pca" else "cells", **own, **fixed)
+        if target_recall is not None:
+            return tuning.keep_target(opened, queries, index_path, target_recall=target_recall, **options)
+        return opened.search(queries, **params, **options)
+    if target_recall is not None:
+        raise ValueError("target_recall requires index_path, where the choice is kept")
     if index == "pca":
         components = fit_pca(corpus, params.pop("reduced_dimensions", 64), **fitting)
         return knn_pca(corpus, queries, components, **params, **options)

@@ -120,10 +120,18 @@ def query_batch(
     options.setdefault("keep_empty", True)
     parts, answerable = [], F.lit(False)
     for name, df in collections.items():
-        sized = df.where(F.col(options.get("vector", "vector")).isNotNull()).select(F.size(options.get("vector", "vector"))).first()
-        sound = (F.col(collection) == name) & _sound(options, sized[0] if sized else None)
+        # A collection is a table, or an index of one, which knows its own key, vector, metric and dimension.
+        indexed = not isinstance(df, DataFrame)
+        own = {n: v for n, v in options.items() if n not in ("key", "vector", "metric")} | {"metric": df.metric} if indexed else options
+        if indexed:
+            dimension = df.dim
+        else:
+            sized = df.where(F.col(options.get("vector", "vector")).isNotNull()).select(F.size(options.get("vector", "vector"))).first()
+            dimension = sized[0] if sized else None
+        sound = (F.col(collection) == name) & _sound(own, dimension)
         answerable = answerable | F.coalesce(sound, F.lit(False))
-        parts.append(knn_join(df, queries.where(sound), **options))
+        asked = queries.where(sound)
+        parts.append(df.search(asked, **{n: v for n, v in own.items() if n != "metric"}) if indexed else knn_join(df, asked, **own))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part, allowMissingColumns=True)

@@ -443,6 +443,13 @@ ORACLE: dict[str, str] = {
     "knn_with_payload": _knn(columns=", label, round(list_sum(embedding::DOUBLE[]), 6) AS vector_sum"),
     "knn_ivf": _knn(),
     "knn_pca_full": _knn(),
+    "knn_index_cells": _knn(columns=", label"),
+    "knn_index_filtered": _knn(join="e.label = q.label"),
+    "knn_index_pca": _knn("dot_product"),
+    "knn_exact_pruned": _knn(),
+    "knn_exact_pruned_dot": _knn("dot_product"),
+    "knn_exact_pruned_l2": _knn("euclidean"),
+    "search_target": "SELECT true AS reached, count(*) AS queries FROM embeddings",
     "mmr": _mmr("cosine", 0.7),
     "mmr_dot": _mmr("dot_product", 0.5),
     "mmr_euclidean": _mmr("euclidean", 0.7),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vecframe.functions.encoders import HashEncoder, embed
 from vecframe.functions.text import SPECIAL_TOKENS, count_tokens, normalize_title, truncate_text, wordpiece_ids
-from vecframe.operators import ann, evaluate, knn, rerank, schema, tables, vectors
+from vecframe.operators import ann, evaluate, index, knn, rerank, schema, tables, vectors
 from vecframe.plans import corpus as corpora
 from vecframe.plans.staging import stage_files
 from vecframe.session import pieces, shared_dir, spread
@@ -144,6 +144,51 @@ def knn_ivf(spark, folder):
     return rounded(ann.knn_ivf(celled, e, centroids, nprobe=IVF_CELLS, **EMBEDDED))
 
 
+ASKING = {"query_id": "vec_id", "query_vector": "embedding"}
+
+
+def _built(spark, folder, kind: str = "cells", **options) -> index.Index:
+    """An index of the embeddings, built in one call and opened by another."""
+    e, path = table(spark, folder, "embeddings"), shared_dir(spark, "index")
+    index.build_index(e, path, kind, key="vec_id", vector="embedding", **options)
+    return index.open_index(spark, path, e)
+
+
+def knn_index_cells(spark, folder):
+    """A stored index of two-level cells, all of them probed, which must equal exact search; with payload."""
+    hits = _built(spark, folder).search(table(spark, folder, "embeddings"), nprobe=index.MOST_CELLS, metadata=["label"], **ASKING)
+    return rounded(hits)
+
+
+def knn_index_filtered(spark, folder):
+    """Neighbours with the query's own label, by a stored index."""
+    hits = _built(spark, folder).search(table(spark, folder, "embeddings"), nprobe=index.MOST_CELLS, filter_on={"label": "label"}, **ASKING)
+    return rounded(hits)
+
+
+def knn_index_pca(spark, folder):
+    """A stored index of reduced vectors for the dot product, at full width (one more than the dimension)."""
+    built = _built(spark, folder, "pca", metric="dot_product", reduced_dimensions=65)
+    return rounded(built.search(table(spark, folder, "embeddings"), candidate_multiplier=2, **ASKING))
+
+
+def knn_exact_pruned(metric: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Exact search that skips cells by their bounds."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return rounded(_built(spark, folder, metric=metric).exact(table(spark, folder, "embeddings"), **ASKING))
+
+    return query
+
+
+def search_target(spark, folder):
+    """A recall target kept with an index: tuned by the first search, applied by the second, whose recall is measured."""
+    e, path = table(spark, folder, "embeddings"), shared_dir(spark, "index")
+    search = lambda: ann.search(e, e, index_path=path, target_recall=0.9, **EMBEDDED)
+    search()
+    return evaluate.recall_at_k(search(), knn.knn_join(e, e, **EMBEDDED), 10).select((F.col("recall") >= 0.9).alias("reached"), "queries")
+
+
 def tune_recall(spark, folder):
     e = table(spark, folder, "embeddings")
     _, report = ann.tune_recall(e, e, exact_below=0, n_cells=IVF_CELLS, **EMBEDDED)
@@ -586,6 +631,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_pca": knn_pca,
     "knn_pca_full": knn_pca_full,
     "knn_ivf": knn_ivf,
+    "knn_index_cells": knn_index_cells,
+    "knn_index_filtered": knn_index_filtered,
+    "knn_index_pca": knn_index_pca,
+    "knn_exact_pruned": knn_exact_pruned("cosine"),
+    "knn_exact_pruned_dot": knn_exact_pruned("dot_product"),
+    "knn_exact_pruned_l2": knn_exact_pruned("euclidean"),
+    "search_target": search_target,
     "tune_recall": tune_recall,
     "mmr": mmr("cosine", 0.7),
     "mmr_dot": mmr("dot_product", 0.5),
