@@ -8,12 +8,15 @@ filtered by the changed keys, which travel to it when their measured size allows
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vecframe.session import shared_dir
+from vecframe.sources import storage
 
 # The names a file may have, and the name under which the log is listed.
 VALID_FILENAME = re.compile(r"^[a-zA-Z0-9._-]+$")
@@ -227,38 +230,57 @@ def collection_stats(collections: dict[str, DataFrame], *, vector: str = "vector
 
 
 class VersionedTable:
-    """A table whose every write is a new folder, named by a row in a small version list.
+    """A table whose every write is a new folder, named by a small file in a list of versions.
 
-    Spark cannot overwrite what it is reading; here a job reads version n and writes n + 1. A
-    version counts once its row is in the list, so a failed write leaves the old one in force.
+    Spark cannot overwrite what it is reading; here a job reads version n and writes n + 1. A version counts once its file is in
+    the list, so a failed write leaves the old one in force, and of two writers of one version the second fails. The list is read without a job.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
+    def versions(self) -> list[int]:
+        return sorted(int(n.split(".")[0]) for n in storage.names(self.spark, f"{self.path}/_versions") if n.endswith(".json") and not n.startswith("."))
+
     def current(self) -> dict | None:
-        try:
-            versions = self.spark.read.schema("version long, high_water long").json(f"{self.path}/_versions")
-            rows = versions.orderBy(F.desc("version")).limit(1).collect()
-        except Exception as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            rows = []
-        return rows[0].asDict() if rows else None
+        latest = self._latest()
+        return {name: latest[name] for name in ("version", "high_water")} if latest else None
+
+    def _latest(self) -> dict | None:
+        known = self.versions()
+        return json.loads(storage.read_text(self.spark, self._entry(known[-1]))) if known else None
+
+    def _entry(self, version: int) -> str:
+        return f"{self.path}/_versions/{version:010d}.json"
 
     def exists(self) -> bool:
-        return self.current() is not None
+        return bool(self.versions())
 
     def read(self) -> DataFrame:
-        latest = self.current()
+        latest = self._latest()
         if latest is None:
             raise FileNotFoundError(f"no version of the table at {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v={latest['version']}")
+        return self._open(latest)
 
     def write(self, df: DataFrame, high_water: int | None = None) -> int:
-        latest = self.current()
-        version = latest["version"] + 1 if latest else 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        entry = self.spark.createDataFrame([(version, high_water)], "version long, high_water long")
-        entry.coalesce(1).write.mode("append").json(f"{self.path}/_versions")
-        return version
+        latest = self._latest()
+        entry = {"version": latest["version"] + 1 if latest else 1, "high_water": high_water, "folder": f"v-{uuid.uuid4().hex}"}
+        entry |= self._save(df, f"{self.path}/{entry['folder']}")
+        storage.write_text(self.spark, self._entry(entry["version"]), json.dumps(entry))
+        return entry["version"]
+
+    def drop_old(self, keep: int = 1) -> list[int]:
+        """Remove all but the last ``keep`` versions, and return their numbers. Their readers must have ended."""
+        old = self.versions()[: -max(1, keep)]
+        for version in old:
+            folder = json.loads(storage.read_text(self.spark, self._entry(version)))["folder"]
+            storage.remove(self.spark, self._entry(version))
+            storage.remove(self.spark, f"{self.path}/{folder}")
+        return old
+
+    def _open(self, entry: dict) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{entry['folder']}")
+
+    def _save(self, df: DataFrame, folder: str) -> dict:
+        df.write.parquet(folder)
+        return {}

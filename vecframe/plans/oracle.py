@@ -478,11 +478,17 @@ ORACLE: dict[str, str] = {
     "idempotent_append": IDEMPOTENT_APPEND,
     "append_files": APPEND_FILES,
     "list_files": LIST_FILES,
+    "stored_update": UPDATE,
+    "stored_delete": DELETE_IDS,
+    "stored_delete_file": DELETE_FILE,
+    "stored_replace_file": REPLACE_FILE,
+    "stored_files": f"SELECT *, CASE WHEN NOT is_wal THEN true END AS has_size, NOT is_wal AS has_time FROM ({LIST_FILES})",
     "merge_on_read": MERGE.format(where=""),
     "snapshot_at": MERGE.format(where="WHERE event_id <= 5000"),
     "wal_net_count": NEWEST.format(where="") + "SELECT count(*) AS vector_count FROM newest WHERE op <> 'error'",
     "collection_stats": STATS,
     "stream_merge": NEWEST.format(where="") + "SELECT \"key\", seq, value FROM newest WHERE op <> 'error'",
+    "stream_replay": NEWEST.format(where="") + "SELECT \"key\", seq, value FROM newest WHERE op <> 'error'",
     "corpus_filter": TEXTS + "SELECT doc_id, year, lang AS origin FROM wanted",
     "dedup_keep_first": DEDUP,
     "corpus_join": TEXTS + "SELECT doc_id, year, popularity FROM joined",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vecframe.functions.encoders import HashEncoder, embed
 from vecframe.functions.text import SPECIAL_TOKENS, count_tokens, normalize_title, truncate_text, wordpiece_ids
 from vecframe.operators import ann, evaluate, index, knn, rerank, schema, tables, vectors
+from vecframe.operators.filed import FiledTable
 from vecframe.plans import corpus as corpora
 from vecframe.plans.staging import stage_files
 from vecframe.session import pieces, shared_dir, spread
@@ -422,16 +423,70 @@ def collection_stats(spark, folder):
     return tables.collection_stats({"embeddings": e, "unlabelled": e.where("label is null")}, vector="embedding")
 
 
+def _filed(spark, folder) -> FiledTable:
+    return FiledTable(spark, shared_dir(spark, "filed")).create(_files(spark, folder))
+
+
+def stored_update(spark, folder):
+    """A table kept by source file; only files with changed rows are written again."""
+    stored = _filed(spark, folder)
+    stored.update_rows(_order_changes(spark, folder))
+    return stored.read()
+
+
+def stored_delete(spark, folder):
+    stored = _filed(spark, folder)
+    stored.delete_ids(_toxic(spark, folder))
+    return stored.read()
+
+
+def stored_delete_file(spark, folder):
+    stored = _filed(spark, folder)
+    stored.delete_file("src3")
+    return stored.read()
+
+
+def stored_replace_file(spark, folder):
+    pages = table(spark, folder, "pages").select(
+        F.col("page_id").alias("key"), F.lit(1).cast("long").alias("seq"),
+        F.length("html").cast("double").alias("value"),
+    )
+    stored = _filed(spark, folder)
+    stored.replace_file("src3", pages)
+    return stored.read()
+
+
+def stored_files(spark, folder):
+    """The listing of a stored table with its log; sizes and times are the file system's, so only that they are there is compared."""
+    listed = _filed(spark, folder).files(_log_ops(spark, folder))
+    return listed.select("name", "vector_count", "is_wal", (F.col("size") > 0).alias("has_size"), F.col("modified").isNotNull().alias("has_time"))
+
+
 def stream_merge(spark, folder):
-    """Events as a stream of operations in several micro-batches, then folded."""
+    """Events as a stream of operations in several micro-batches, in two runs that are each folded; the second brings operations older than those of the first."""
     staged, target = shared_dir(spark, "ops"), shared_dir(spark, "streamed")
     ops = _log_ops(spark, folder)
     files = pieces(ops, least=4)
-    ops.repartitionByRange(files, "seq").write.parquet(staged)
-    stream = spark.readStream.schema(ops.schema).option("maxFilesPerTrigger", math.ceil(files / 4)).parquet(staged)
     streamed = StreamedTable(spark, target)
-    streamed.start(stream).awaitTermination()
+    for run in (0, 1):
+        ops.where(F.col("seq") % 2 == run).repartitionByRange(files, "seq").write.mode("append").parquet(staged)
+        stream = spark.readStream.schema(ops.schema).option("maxFilesPerTrigger", math.ceil(files / 4)).parquet(staged)
+        streamed.start(stream).awaitTermination()
+        streamed.fold()
+    streamed.compact()
+    return streamed.read().select("key", "seq", "value")
+
+
+def stream_replay(spark, folder):
+    """Batches delivered again, before and after they were folded, change nothing."""
+    ops, streamed = _log_ops(spark, folder), StreamedTable(spark, shared_dir(spark, "streamed"))
+    early, late = (ops.where(F.col("seq") % 2 == run) for run in (1, 0))
+    streamed.append(early, 0)
+    streamed.append(early, 0)
     streamed.fold()
+    streamed.append(late, 1)
+    streamed.append(early, 0)
+    streamed.append(late, 1)
     return streamed.read().select("key", "seq", "value")
 
 
@@ -663,11 +718,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "idempotent_append": idempotent_append,
     "append_files": append_files,
     "list_files": list_files,
+    "stored_update": stored_update,
+    "stored_delete": stored_delete,
+    "stored_delete_file": stored_delete_file,
+    "stored_replace_file": stored_replace_file,
+    "stored_files": stored_files,
     "merge_on_read": merge_on_read,
     "snapshot_at": snapshot_at,
     "wal_net_count": wal_net_count,
     "collection_stats": collection_stats,
     "stream_merge": stream_merge,
+    "stream_replay": stream_replay,
     "corpus_filter": corpus_filter,
     "dedup_keep_first": dedup_keep_first,
     "corpus_join": corpus_join,

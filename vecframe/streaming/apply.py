@@ -2,7 +2,7 @@
 
 Each micro-batch is written under its own batch number with overwrite, so a batch that is replayed
 after a failure replaces itself. Folding merges the batches written so far into a new version of
-the table; deleted keys stay in it as marked rows, so late operations still meet the newer one.
+the table; deleted keys stay in it as marked rows, so late operations still meet the newer one. Compaction removes what was folded.
 """
 
 from __future__ import annotations
@@ -11,18 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vecframe.operators.tables import VersionedTable, log_net_count, merge_on_read, newest
+from vecframe.operators.bucketed import BucketedTable
+from vecframe.operators.tables import log_net_count
+from vecframe.sources import storage
 
 
 class StreamedTable:
-    """A ``VersionedTable`` with an operation log: columns ``key``, ``seq``, ``op`` and any others."""
+    """A ``BucketedTable`` with an operation log: columns ``key``, ``seq``, ``op`` and any others."""
 
     def __init__(
         self, spark: SparkSession, path: str, *, key: str = "key", seq: str = "seq", op: str = "op",
-        delete: str = "delete",
+        delete: str = "delete", buckets: int | None = None,
     ):
         self.spark, self.path = spark, path.rstrip("/")
-        self.base = VersionedTable(spark, f"{self.path}/base")
+        self.base = BucketedTable(spark, f"{self.path}/base", key=key, buckets=buckets)
         self.names = {"key": key, "seq": seq, "op": op, "delete": delete}
 
     def append(self, batch: DataFrame, batch_id: int) -> None:
@@ -34,49 +36,48 @@ class StreamedTable:
         writer = writer.option("checkpointLocation", checkpoint or f"{self.path}/checkpoint")
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
-    def log(self) -> DataFrame | None:
-        """Operations not folded yet; the batch number is a partition, so folded batches are not read."""
-        try:
-            log = self.spark.read.option("basePath", f"{self.path}/log").parquet(f"{self.path}/log")
-        except Exception as missing:
-            if "PATH_NOT_FOUND" in str(missing) or "UNABLE_TO_INFER_SCHEMA" in str(missing):
-                return None
-            raise
+    def batches(self) -> list[int]:
+        """Numbers of the batches in the log that were written whole, folded or not."""
+        found = [n for n in storage.names(self.spark, f"{self.path}/log") if n.startswith("batch_id=")]
+        return sorted(int(n.split("=")[1]) for n in found if storage.exists(self.spark, f"{self.path}/log/{n}/_SUCCESS"))
+
+    def _folded(self) -> int:
         latest = self.base.current()
-        if latest is not None and latest["high_water"] is not None:
-            log = log.where(F.col("batch_id") > latest["high_water"])
-        return log
+        return latest["high_water"] if latest and latest["high_water"] is not None else -1
 
-    def _merged(self) -> DataFrame:
-        log = self.log()
-        base = self.base.read() if self.base.exists() else None
-        if log is None:
-            if base is None:
-                raise FileNotFoundError(f"nothing was written at {self.path}")
-            return base
-        log = log.drop("batch_id")
-        if base is None:
-            return newest(log, self.names["key"], self.names["seq"])
-        return merge_on_read(base, log, keep_deletes=True, **self.names)
+    def log(self, last: int | None = None) -> DataFrame | None:
+        """Operations not folded yet, up to batch ``last``; folded batches are not even listed."""
+        folded = self._folded()
+        new = [b for b in self.batches() if b > folded and (last is None or b <= last)]
+        if not new:
+            return None
+        return self.spark.read.option("basePath", f"{self.path}/log").parquet(*[f"{self.path}/log/batch_id={b}" for b in new])
 
     def read(self) -> DataFrame:
         """The live rows: base under the log, without deleted keys."""
-        op, delete = self.names["op"], self.names["delete"]
-        return self._merged().where(F.col(op).isNull() | (F.col(op) != delete))
+        op, delete, log = self.names["op"], self.names["delete"], self.log()
+        if log is None and not self.base.exists():
+            raise FileNotFoundError(f"nothing was written at {self.path}")
+        rows = self.base.read() if log is None else self.base.merged(log.drop("batch_id"), seq=self.names["seq"])
+        return rows.where(F.col(op).isNull() | (F.col(op) != delete))
 
     def fold(self) -> int | None:
         """Merge the log into a new version of the base; returns the version, None if nothing is new."""
-        log = self.log()
-        upto = log.agg(F.max("batch_id").alias("last")).first().last if log is not None else None
-        if upto is None:
+        folded = self._folded()
+        new = [b for b in self.batches() if b > folded]
+        if not new:
             return None
-        return self.base.write(self._upto(int(upto)), high_water=int(upto))
+        return self.base.write(self.base.merged(self.log(new[-1]).drop("batch_id"), seq=self.names["seq"]), high_water=new[-1])
+
+    def compact(self, keep_versions: int = 1) -> dict[str, int]:
+        """Remove folded batches, and all but the last versions of the base; returns how many of each. Readers of what goes must have ended.
 
-    def _upto(self, last: int) -> DataFrame:
-        log = self.log().where(F.col("batch_id") <= last).drop("batch_id")
-        if not self.base.exists():
-            return newest(log, self.names["key"], self.names["seq"])
-        return merge_on_read(self.base.read(), log, keep_deletes=True, **self.names)
+        A folded batch that a stream writes again afterwards is not read: its number is not above the last one folded.
+        """
+        folded = [b for b in self.batches() if b <= self._folded()]
+        for batch in folded:
+            storage.remove(self.spark, f"{self.path}/log/batch_id={batch}")
+        return {"batches": len(folded), "versions": len(self.base.drop_old(keep_versions))}
 
     def pending(self) -> DataFrame:
         """Net rows held in the log."""
