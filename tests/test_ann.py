@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vecframe.operators import ann, knn, vectors
+from vecframe.operators import ann, knn, lsh, vectors
 from vecframe.operators.evaluate import ndcg_at_k, recall_at_k, recall_per_query
 from vecframe.operators.rerank import mmr
 from vecframe.plans.queries import EMBEDDED
@@ -153,3 +153,31 @@ def test_cells_of_many_centroids_are_assigned_in_tiles(spark, embeddings):
         x = np.array(r.embedding, np.float64)
         x /= np.linalg.norm(x)
         assert r.cell == np.argmax(x @ centroids.T - (centroids**2).sum(axis=1) / 2)
+
+
+@pytest.mark.parametrize("k", [1, 10])
+def test_hashed_search(spark, embeddings, k):
+    truth = knn.knn_join(embeddings, embeddings, top_k=k, metric="euclidean", **EMBEDDED)
+    hits = lsh.knn_lsh(embeddings, embeddings, top_k=k, **EMBEDDED).persist()
+    assert hits.columns == truth.columns and hits.groupBy("query_id").count().where(f"count <> {k}").count() == 0
+    assert recall_at_k(hits, truth, k).first().recall >= 0.9
+    exact = {(r.query_id, r.key): r.score for r in knn.knn_join(embeddings, embeddings, top_k=500, metric="euclidean", **EMBEDDED).collect()}
+    assert all(abs(r.score - exact[r.query_id, r.key]) < 1e-9 for r in hits.collect())
+
+
+def test_hashed_search_of_lonely_queries(spark):
+    """Queries far from all rows find nothing by hash and are searched exactly; equal rows rank by key."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.standard_normal((300, 6)), np.zeros((5, 6))])
+    table = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "key long, vector array<float>")
+    asked = table.union(spark.createDataFrame([(1000, [50.0] * 6), (1001, [-90.0] * 6)], table.schema))
+    options = {"query_id": "key", "top_k": 4}
+    assert rows(lsh.knn_lsh(table, asked, miss=1e-9, **options)) == rows(knn.knn_join(table, asked, metric="euclidean", **options))
+    assert lsh.knn_lsh(table, asked.where("false"), **options).count() == 0
+
+
+def test_chance_of_a_shared_bucket():
+    rng = np.random.default_rng(1)
+    for ratio in (0.5, 1.0, 2.0, 4.0):
+        shift, move = rng.random(200_000), rng.standard_normal(200_000) / ratio
+        assert abs((np.floor(shift + move) == 0).mean() - lsh.collision(1.0, ratio)) < 0.01

@@ -75,6 +75,22 @@ def test_wordpieces(awkward):
         texts.wordpiece_ids(F.col("t"), ["[CLS]", "[SEP]"])
 
 
+@pytest.mark.parametrize("limit", [texts.BROADCAST_BYTES, 0])
+def test_wordpieces_of_a_vocabulary_table(spark, awkward, limit):
+    """With 0 nothing is small: the vocabulary is joined by shuffle, and only very frequent tokens travel."""
+    df, data = awkward
+    letters = sorted({c for t in data[::2] for w in brute_tokens(t) for c in w})
+    pieces = [*texts.SPECIAL_TOKENS, *letters, *["##" + c for c in letters[::3]], "word", "pl", "##ain", "y" * 100]
+    ids = {piece: i for i, piece in enumerate(pieces)}
+    vocabulary = spark.createDataFrame(list(ids.items()), "piece string, id int")
+    extra = spark.createDataFrame([(-1, None), (-2, "plain word"), (-2, "plain word")], "i int, t string")
+    got = texts.wordpiece_join(df.unionByName(extra), vocabulary, key="i", text="t", broadcast_limit=limit).collect()
+    wanted = [(i, brute_pieces(t, ids)) for i, t in enumerate(data)] + [(-1, [2, 3])] + 2 * [(-2, brute_pieces("plain word", ids))]
+    assert sorted((r.i, r.ids) for r in got) == sorted(wanted)
+    with pytest.raises(ValueError, match="lacks"):
+        texts.wordpiece_join(df, vocabulary.where("piece <> '[UNK]'"), key="i", text="t")
+
+
 def test_titles(awkward):
     df, data = awkward
     plain = lambda t: re.sub(r"\s+", " ", re.sub(r"[^\w\s]", "", t.lower())).strip()

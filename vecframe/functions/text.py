@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecframe.session import spread
+from vecframe.operators.joins import BROADCAST_BYTES, join_counted
+from vecframe.session import shared_dir, spread
 
 # Character classes spelled out, since the engines' shorthands differ in scope.
 SPACES = r"[\s\x1C-\x1F\x85\p{Z}]+"
@@ -55,6 +56,10 @@ def _decompose(texts: pa.Array) -> pa.Array:
     return pa.array(parts, type=pa.string())
 
 
+# The marks for a token that cannot be split, and for the begin and end of a text.
+MARKS = ("[UNK]", "[CLS]", "[SEP]")
+
+
 def fold_text(text: Column) -> Column:
     """Lower case without accents and control characters.
 
@@ -78,13 +83,63 @@ def count_tokens(df: DataFrame, text: str) -> DataFrame:
     return tokens.where(F.col("token").isNotNull()).groupBy("token").agg(F.count("*").alias("n"))
 
 
+def wordpiece_join(
+    texts: DataFrame, vocabulary: DataFrame, *, key: str, text: str, broadcast_limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Rows (key, ids) as ``wordpiece_ids`` makes them, under a vocabulary of any size: a stored table (piece, id) with unique pieces.
+
+    Each distinct token is split once: all its substrings that could be pieces are joined with the vocabulary, and the longest at each start are
+    chained. Ids go back to the texts by a join on the token, in which very frequent tokens travel. Only the first 256 tokens of a
+    text are looked at, since each has a piece at least and no more are returned. Nothing but the ids of the three marks reaches the driver.
+    """
+    spark = texts.sparkSession
+    marks = {r.piece: r.id for r in vocabulary.where(F.col("piece").isin(*MARKS)).collect()}
+    if missing := [t for t in MARKS if t not in marks]:
+        raise ValueError(f"the vocabulary lacks {missing}")
+    unknown, first, last = (F.array(F.lit(marks[t]).cast("int")) for t in MARKS)
+    tokens = F.slice(basic_tokens(F.coalesce(F.col(text), F.lit(""))), 1, MAX_TOKENS)
+    rows = _stored(spread(texts.select(key, text)).select(F.col(key).alias("_key"), tokens.alias("_tokens"), F.monotonically_increasing_id().alias("_row")), "tokens")
+    placed = rows.select("_row", F.posexplode("_tokens").alias("place", "token"))
+    counted = _stored(placed.groupBy("token").agg(F.count("*").alias("copies")), "distinct-tokens")
+
+    longest = vocabulary.agg(F.max(F.length("piece"))).first()[0]
+    short = counted.where(F.length("token") <= MAX_WORD).select("token", F.length("token").alias("length"))
+    starts = short.select("token", "length", F.explode(F.sequence(F.lit(1), F.col("length"))).alias("start"))
+    sizes = F.sequence(F.lit(1), F.least(F.col("length") - F.col("start") + 1, F.lit(longest)))
+    spans = starts.select("token", "start", F.explode(sizes).alias("size"))
+    lead = F.when(F.col("start") > 1, "##").otherwise("")
+    pieces = spans.withColumn("piece", F.concat(lead, F.substring("token", F.col("start"), F.col("size"))))
+    known = vocabulary.select("piece", "id")
+    few = known.agg(F.sum(F.length("piece") + 32)).first()[0] <= broadcast_limit
+    matched = pieces.join(F.broadcast(known) if few else known, "piece")
+    best = matched.groupBy("token", "start").agg(F.max(F.struct("size", "id")).alias("best"))
+    found = best.groupBy("token").agg(F.array_sort(F.collect_list(F.struct("start", "best"))).alias("found"))  # at most 100 a token
+    begin = F.struct(F.lit(1).alias("next"), F.expr("cast(array() as array<int>)").alias("ids"))
+    step = lambda at, x: F.when(
+        x["start"] == at["next"], F.struct((at["next"] + x["best"]["size"]).alias("next"), F.concat(at["ids"], F.array(x["best"]["id"].cast("int"))).alias("ids"))
+    ).otherwise(at)
+    walked = found.withColumn("walk", F.aggregate("found", begin, step))
+    whole = walked.where(F.col("walk")["next"] == F.length("token") + 1).select("token", F.col("walk")["ids"].alias("ids"))
+    split = _stored(counted.join(whole, "token", "left").select("token", "copies", F.coalesce("ids", unknown).alias("ids")), "split-tokens")
+
+    coded = join_counted(placed, split, ["token"], row_bytes=120, limit=broadcast_limit).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("coded"))
+    ids = F.concat(first, F.coalesce(F.flatten(F.col("coded.ids")), F.expr("cast(array() as array<int>)")), last)
+    return rows.join(coded, "_row", "left").select(F.col("_key").alias(key), F.slice(ids, 1, MAX_TOKENS).alias("ids"))
+
+
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def wordpiece_ids(text: Column, vocabulary: list[str]) -> Column:
     """Ids of the longest pieces, between [CLS] and [SEP], cut to 256 after adding both.
 
     The vocabulary goes to every task, so a task must be able to hold it.
     """
     ids = {piece: i for i, piece in enumerate(vocabulary)}
-    missing = [t for t in ("[UNK]", "[CLS]", "[SEP]") if t not in ids]
+    missing = [t for t in MARKS if t not in ids]
     if missing:
         raise ValueError(f"the vocabulary lacks {missing}")
     first, last, unknown = ids["[CLS]"], ids["[SEP]"], ids["[UNK]"]

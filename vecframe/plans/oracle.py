@@ -449,6 +449,9 @@ ORACLE: dict[str, str] = {
     "knn_exact_pruned": _knn(),
     "knn_exact_pruned_dot": _knn("dot_product"),
     "knn_exact_pruned_l2": _knn("euclidean"),
+    "knn_lsh_l2": f"""
+    SELECT query_id, count(*) AS hits, min("key") FILTER (rank = 1) AS first, true AS exact, true AS reached FROM ({_knn("euclidean")}) GROUP BY query_id
+    """,
     "search_target": "SELECT true AS reached, count(*) AS queries FROM embeddings",
     "mmr": _mmr("cosine", 0.7),
     "mmr_dot": _mmr("dot_product", 0.5),

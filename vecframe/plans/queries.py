@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecframe.functions.encoders import HashEncoder, embed
-from vecframe.functions.text import SPECIAL_TOKENS, count_tokens, normalize_title, truncate_text, wordpiece_ids
-from vecframe.operators import ann, evaluate, index, knn, rerank, schema, tables, vectors
+from vecframe.functions.text import SPECIAL_TOKENS, count_tokens, normalize_title, truncate_text, wordpiece_join
+from vecframe.operators import ann, evaluate, index, knn, lsh, rerank, schema, tables, vectors
 from vecframe.operators.filed import FiledTable
 from vecframe.plans import corpus as corpora
 from vecframe.plans.staging import stage_files
@@ -182,6 +182,17 @@ def knn_exact_pruned(metric: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+def knn_lsh_l2(spark, folder):
+    """Search by p-stable hashing: what every query finds, that scores are exact, and that recall passes the gate."""
+    e = table(spark, folder, "embeddings")
+    hits, truth = _written(lsh.knn_lsh(e, e, **EMBEDDED), "hashed"), knn.knn_join(e, e, metric="euclidean", **EMBEDDED)
+    recall = evaluate.recall_at_k(hits, truth, 10).first().recall
+    pairs = hits.join(e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("a")), "query_id").join(e.select(F.col("vec_id").alias("key"), F.col("embedding").alias("b")), "key")
+    distance = vectors.pair_score(F.col("a"), F.col("b"), "euclidean", 64)
+    each = pairs.groupBy("query_id").agg(F.count("*").alias("hits"), F.min_by("key", "rank").alias("first"), F.bool_and(F.abs(F.col("score") - distance) < 1e-9).alias("exact"))
+    return each.withColumn("reached", F.lit(recall >= 0.9))
+
+
 def search_target(spark, folder):
     """A recall target kept with an index: tuned by the first search, applied by the second, whose recall is measured."""
     e, path = table(spark, folder, "embeddings"), shared_dir(spark, "index")
@@ -562,17 +573,32 @@ def token_counts(spark, folder):
     return count_tokens(table(spark, folder, "documents"), "text")
 
 
-def wordpieces(spark, folder):
-    """Ids under a vocabulary of all tokens that occur twice or more and all single characters."""
-    path = shared_dir(spark, "tokens")
-    token_counts(spark, folder).write.parquet(path)
-    counts = spark.read.parquet(path)
-    words = [r.token for r in counts.where(F.col("n") >= LEAST_COUNT).orderBy(F.desc("n"), "token").collect()]
+def vocabulary(spark, folder) -> DataFrame:
+    """All tokens that occur twice or more and all single characters, with and without ``##``, after the special tokens: a stored table (piece, id)."""
+    counts = _written(token_counts(spark, folder), "tokens")
     letters = counts.select(F.explode(F.split("token", "")).alias("c")).where("c != ''").distinct()
-    letters = sorted(r.c for r in letters.collect())
-    seen = dict.fromkeys([*SPECIAL_TOKENS, *letters, *["##" + c for c in letters], *words])
-    ids = wordpiece_ids(F.col("text"), list(seen))
-    rows = spread(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", ids.alias("ids"))
+    special = spark.createDataFrame(list(enumerate(SPECIAL_TOKENS)), "place long, piece string")
+    parts = [
+        special.select(F.lit(0).alias("part"), "place", "piece"),
+        letters.select(F.lit(1), F.lit(0).cast("long"), "c"),
+        letters.select(F.lit(2), F.lit(0).cast("long"), F.concat(F.lit("##"), "c")),
+        counts.where(F.col("n") >= LEAST_COUNT).select(F.lit(3), -F.col("n"), "token"),
+    ]
+    pieces_of = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    order = [F.asc("part"), F.asc("place"), F.asc("piece")]
+    numbered = corpora.row_ids(corpora.keep_first(pieces_of, ["piece"], order), order, id_format="%d")
+    return _written(numbered.select("piece", F.col("id").cast("int").alias("id")), "vocabulary")
+
+
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def wordpieces(spark, folder):
+    """Ids under a vocabulary counted from the texts, which is a table throughout."""
+    rows = wordpiece_join(table(spark, folder, "documents"), vocabulary(spark, folder), key="doc_id", text="text")
     return rows.select("doc_id", F.size("ids").alias("n_ids"), F.array_join("ids", " ").alias("ids"))
 
 
@@ -692,6 +718,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_exact_pruned": knn_exact_pruned("cosine"),
     "knn_exact_pruned_dot": knn_exact_pruned("dot_product"),
     "knn_exact_pruned_l2": knn_exact_pruned("euclidean"),
+    "knn_lsh_l2": knn_lsh_l2,
     "search_target": search_target,
     "tune_recall": tune_recall,
     "mmr": mmr("cosine", 0.7),
