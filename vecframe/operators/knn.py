@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
 from vecframe.operators.metrics import METRIC_ALIASES, metric_column, metric_name
+from vecframe.operators.points import MOST_PUSHED, among
 from vecframe.operators.topk import EUCLIDEAN, METRIC_CODES, TopK
 from vecframe.session import scan_tasks, shuffle_tasks
 
@@ -84,7 +85,7 @@ def knn_join(
     if facts.n == 0:
         hits = _no_hits(asked, rows)
     elif facts.rows is not None:
-        hits = scan_hits(rows, facts.rows, facts.dim)
+        hits = scan_hits(_wanted_rows(rows, facts.rows), facts.rows, facts.dim)
     else:
         hits = _grid_hits(rows, asked, facts, broadcast_limit)
     ranked = merge_hits(hits, facts.k, scan_tasks(corpus))
@@ -303,6 +304,15 @@ def scan_hits(rows: DataFrame, asked: pa.Table, dim: int) -> DataFrame:
     return rows.mapInArrow(search, _hit_schema(id_type, rows.schema["key"].dataType))
 
 
+def _wanted_rows(rows: DataFrame, asked: pa.Table) -> DataFrame:
+    """Rows with a value of each filter column that some query asks for, where these are few and no query leaves it open: the scan skips the rest."""
+    for name in [c for c in rows.columns if c.startswith("f_")]:
+        values = pc.unique(asked.column(name).combine_chunks())
+        if not values.null_count and len(values) <= MOST_PUSHED:
+            rows = rows.where(among(F.col(name), values.to_pylist()))
+    return rows
+
+
 def with_vectors_only(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Rows without a vector are dropped here: a filter on a computed vector would compute it twice."""
     vectors = batch.column("vec")

@@ -123,6 +123,17 @@ SELECT 'detected' AS state, 'vec_id' AS id_field, 'embedding' AS vector_field,
 FROM embeddings HAVING count(DISTINCT vec_id) = count(*) AND min(len(embedding)) = max(len(embedding))
 """
 
+_GROWN = [("embeddings", "vec_id", "embedding", key) for key in ("vec_id % 2 = 0", "true")] + [("documents", "doc_id", None, key) for key in ("doc_id % 2 = 0", "true")]
+PROFILE_FILES = " UNION ALL ".join(
+    f"""
+    SELECT CASE WHEN keys AND vectors THEN 'detected' ELSE 'analyzing' END AS state, CASE WHEN keys THEN '{key}' END AS id_field,
+           CASE WHEN vectors THEN '{vector}' END AS vector_field, CASE WHEN vectors THEN dimension END AS dimension, n AS samples_analyzed, {int(rows != 'true')}::BIGINT AS pending_count
+    FROM (SELECT count({key}) = count(*) AND count(DISTINCT {key}) >= 0.9 * count(*) AS keys, {f"min(len({vector})) = max(len({vector}))" if vector else "false"} AS vectors,
+                 CAST({f"max(len({vector}))" if vector else "NULL"} AS INTEGER) AS dimension, count(*) AS n FROM {name} WHERE {rows})
+    """
+    for name, key, vector, rows in _GROWN
+)
+
 MIRROR_ID = """
 SELECT vec_id AS "key", CASE WHEN label = 0 THEN 'own' ELSE CAST(vec_id AS VARCHAR) END AS id,
   CASE WHEN label BETWEEN 1 AND 4 THEN CAST(label AS VARCHAR) END AS label,
@@ -457,6 +468,7 @@ ORACLE: dict[str, str] = {
     "mmr_dot": _mmr("dot_product", 0.5),
     "mmr_euclidean": _mmr("euclidean", 0.7),
     "fetch_keys": FETCH,
+    "fetch_stored_keys": FETCH.replace("c.conv_id * 3", "c.item_id * 20").replace("FROM conversations c", "FROM benchmark c"),
     "recall_at_k": RECALL,
     "ndcg_at_k": NDCG,
     "coerce_vectors": _elements(
@@ -465,6 +477,7 @@ ORACLE: dict[str, str] = {
     "normalize_vectors": NORMALIZED,
     "vector_mean": VECTOR_MEAN,
     "profile_schema": PROFILE,
+    "profile_files": PROFILE_FILES,
     "confirm_schema": """SELECT vec_id AS "key", label, CAST(len(embedding) AS INTEGER) AS dimension,
         embedding[-1]::DOUBLE AS last FROM embeddings""",
     "remap_schema": """SELECT vec_id AS item, label, CAST(len(embedding) AS INTEGER) AS dimension,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vecframe.functions.encoders import HashEncoder, embed
 from vecframe.functions.text import SPECIAL_TOKENS, count_tokens, normalize_title, truncate_text, wordpiece_join
-from vecframe.operators import ann, evaluate, index, knn, lsh, rerank, schema, tables, vectors
+from vecframe.operators import ann, evaluate, index, knn, lsh, points, profiles, rerank, schema, tables, vectors
 from vecframe.operators.filed import FiledTable
 from vecframe.plans import corpus as corpora
 from vecframe.plans.staging import stage_files
@@ -189,7 +189,8 @@ def knn_lsh_l2(spark, folder):
     recall = evaluate.recall_at_k(hits, truth, 10).first().recall
     pairs = hits.join(e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("a")), "query_id").join(e.select(F.col("vec_id").alias("key"), F.col("embedding").alias("b")), "key")
     distance = vectors.pair_score(F.col("a"), F.col("b"), "euclidean", 64)
-    each = pairs.groupBy("query_id").agg(F.count("*").alias("hits"), F.min_by("key", "rank").alias("first"), F.bool_and(F.abs(F.col("score") - distance) < 1e-9).alias("exact"))
+    pairs = pairs.withColumn("same", F.abs(F.col("score") - distance) < 1e-9)
+    each = pairs.groupBy("query_id").agg(F.count("*").alias("hits"), F.min_by("key", "rank").alias("first"), F.bool_and("same").alias("exact"))
     return each.withColumn("reached", F.lit(recall >= 0.9))
 
 
@@ -225,6 +226,15 @@ def fetch_keys(spark, folder):
     return found.select("vec_id", "found", "label", F.size("embedding").alias("dimension"))
 
 
+def fetch_stored_keys(spark, folder):
+    """The keys of the benchmark's items, from a table laid out by key."""
+    path = shared_dir(spark, "keyed")
+    points.write_keyed(table(spark, folder, "embeddings"), path, "vec_id")
+    keys = table(spark, folder, "benchmark").select((F.col("item_id") * 20).alias("vec_id"))
+    found = points.fetch_stored(spark, path, keys, key="vec_id")
+    return found.select("vec_id", "found", "label", F.size("embedding").alias("dimension"))
+
+
 def _signs_and_truth(spark, folder) -> tuple[DataFrame, DataFrame]:
     e = table(spark, folder, "embeddings")
     signs = e.withColumn("embedding", F.transform("embedding", lambda x: F.when(x >= 0, 1.0).otherwise(-1.0)))
@@ -266,6 +276,21 @@ def profile_schema(spark, folder):
     return schema.profile_schema(table(spark, folder, "embeddings"))
 
 
+def profile_files(spark, folder):
+    """Two tables profiled file by file, before and after a file is added to each."""
+    out = []
+    for name, key in (("embeddings", "vec_id"), ("documents", "doc_id")):
+        rows, path = table(spark, folder, name), shared_dir(spark, "growing")
+        known = profiles.FileProfiles(spark, shared_dir(spark, "profiles"))
+        rows.where(F.col(key) % 2 == 0).coalesce(1).write.parquet(path)
+        known.add(spark.read.parquet(path))
+        rows.where(F.col(key) % 2 == 1).coalesce(1).write.mode("append").parquet(path)
+        out.append(known.profile(spark.read.parquet(path)))
+        known.add(spark.read.parquet(path))
+        out.append(known.profile(spark.read.parquet(path)))
+    return out[0].union(out[1]).union(out[2]).union(out[3])
+
+
 def confirm_schema(spark, folder):
     e = table(spark, folder, "embeddings")
     confirmed = schema.confirm_schema(e, id_field="vec_id", vector_field="embedding", dimension=64)
@@ -725,12 +750,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mmr_dot": mmr("dot_product", 0.5),
     "mmr_euclidean": mmr("euclidean", 0.7),
     "fetch_keys": fetch_keys,
+    "fetch_stored_keys": fetch_stored_keys,
     "recall_at_k": recall_at_k,
     "ndcg_at_k": ndcg_at_k,
     "coerce_vectors": coerce_vectors,
     "normalize_vectors": normalize_vectors,
     "vector_mean": vector_mean,
     "profile_schema": profile_schema,
+    "profile_files": profile_files,
     "confirm_schema": confirm_schema,
     "remap_schema": remap_schema,
     "mirror_id": mirror_id,
