@@ -334,6 +334,26 @@ def test_permutation_is_one():
     assert (Permutation(1000, 5).slots(np.arange(1000)) != Permutation(1000, 6).slots(np.arange(1000))).any()
 
 
+def test_ids_come_back_from_token_lengths():
+    from vecframe.llm.common import text_buffers
+    from vecframe.llm.token_shards import vocabulary_of
+
+    with open(VOCABULARY, "rb") as file:
+        ranks = file.read()
+    rng, known = random.Random(8), vocabulary_of(ranks)
+    pool = list("abcdefgh  \n\t'é中😀0123.,") + ["the ", " house", "\u2003", "don't "]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.choice([0, 1, 30, 3000]))) for _ in range(200)] + ["", "x" * 50_000, " "]
+    ids = [encoder(ranks).encode_ordinary(t) for t in texts]
+    counts, widths = np.array([len(i) for i in ids]), known.widths[np.concatenate([np.array(i, int) for i in ids])]
+    data, bounds = text_buffers(pa.array(texts))
+    assert known.ids(data, bounds, counts, widths).tolist() == [x for i in ids for x in i]
+    every = np.flatnonzero(known.widths)
+    whole = np.frombuffer(b"".join(encoder(ranks).decode_single_token_bytes(int(i)) for i in every), np.uint8)
+    assert known.ids(whole, np.array([0, len(whole)]), np.array([len(every)]), known.widths[every]).tolist() == every.tolist()
+    with pytest.raises(ValueError, match="must not change"):
+        known.ids(data, bounds + np.arange(len(bounds)), counts, widths)
+
+
 def test_tokens_do_not_depend_on_the_faster_pattern():
     from vecframe.llm.token_shards import _tokens
 

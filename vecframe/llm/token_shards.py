@@ -16,14 +16,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import modest_batches, stored
-from vecframe.llm.shingles import mix
+from vecframe.llm.common import modest_batches, stored, text_buffers
+from vecframe.llm.shingles import mix, span_hashes
 from vecframe.session import shared_dir
 
 SEQUENCE = 256
 SHARD_SEQUENCES = 65_536
 KEY = 20_240_601
 ROUNDS = 6
+#: Texts whose token lengths are kept together, and the bits of a hash that the table of tokens leaves out.
+PIECE_ROWS = 256
+FIRST_BITS = np.uint64(42)
 #: Splits a text before the merges; the pattern that belongs to the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -86,8 +89,9 @@ def write_shards(docs: DataFrame, vocabulary: str, *, folder: str | None = None,
     Null and empty texts are one sequence of end marks with one token. Rows with equal keys are documents of their own. Null
     keys stay null. An empty table gives no rows and no files but the manifest. Other columns are not read.
 
-    ``docs`` is read twice: once to count sequences, for the permutation needs their number, and once
-    to write. So it should be a stored table; a partition that changes in between fails the job. Only counts per partition reach the driver.
+    ``docs`` is read twice: once to tokenise it and count sequences, for the permutation needs their number, and once
+    to write. So it should be a stored table; a partition that changes in between fails the job. Only counts per partition reach the driver. What the first reading
+    leaves for the second, in the shared folder, are the lengths of the tokens, a file per partition, a fifth of the size of the ids: with them the ids are looked up.
     """
     spark = docs.sparkSession
     modest_batches(spark)
@@ -98,10 +102,22 @@ def write_shards(docs: DataFrame, vocabulary: str, *, folder: str | None = None,
     if end > 0xFFFF:
         raise ValueError("ids do not fit 16 bits")
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    aside = shared_dir(spark, "token-lengths")
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = sum(len(_tokens(t, ranks.value)) // sequence + 1 for batch in batches for t in batch.column("text").to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total], pa.int64())], names=["part", "sequences"])
+        part, attempt, total, widths = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, vocabulary_of(ranks.value).widths
+        system, inner = _file_system(aside)
+        system.create_dir(inner, recursive=True)
+        with system.open_output_stream(f"{inner}/.{part}-{attempt}") as file, pa.CompressedOutputStream(file, "zstd") as out:
+            for batch in batches:
+                for at in range(0, batch.num_rows, PIECE_ROWS):
+                    ids = [np.array(_tokens(t, ranks.value), np.int64) for t in batch.column("text").slice(at, PIECE_ROWS).to_pylist()]
+                    counts = np.array([len(i) for i in ids], "<u4")
+                    out.write(np.array([len(ids)], "<u4").tobytes() + counts.tobytes())
+                    out.write(widths[np.concatenate(ids)].tobytes())
+                    total += int((counts // sequence + 1).sum())
+        system.move(f"{inner}/.{part}-{attempt}", f"{inner}/{part}")
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([total], pa.int64())], names=["part", "sequences"])
 
     counts = {r.part: r.sequences for r in rows.mapInArrow(lengths, "part long, sequences long").collect()}
     offsets, total = {}, 0
@@ -110,11 +126,16 @@ def write_shards(docs: DataFrame, vocabulary: str, *, folder: str | None = None,
     order = Permutation(total, order_key)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, done = TaskContext.get().partitionId(), 0
+        part, done, known, source = TaskContext.get().partitionId(), 0, vocabulary_of(ranks.value), None
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
-                tokens = [np.array([*_tokens(t, ranks.value), end], "<u2") for t in piece.column("text").to_pylist()]
+            if source is None:
+                system, inner = _file_system(aside)
+                source = KeptLengths(pa.CompressedInputStream(system.open_input_stream(f"{inner}/{part}"), "zstd"))
+            for at in range(0, batch.num_rows, PIECE_ROWS):
+                piece = batch.slice(at, PIECE_ROWS)
+                kept, widths = source.take(piece.num_rows)
+                ids = known.ids(*text_buffers(piece.column("text")), kept, widths)
+                tokens = [np.append(t, np.uint16(end)) for t in np.split(ids, np.cumsum(kept)[:-1])]
                 chunks = np.array([(len(t) - 1) // sequence + 1 for t in tokens])
                 chunk = np.arange(chunks.sum()) - np.repeat(np.cumsum(chunks) - chunks, chunks)
                 sizes = np.minimum(np.repeat([len(t) for t in tokens], chunks) - chunk * sequence, sequence)
@@ -156,6 +177,66 @@ def write_shards(docs: DataFrame, vocabulary: str, *, folder: str | None = None,
     return index.withColumnRenamed("id", key)
 
 
+class Vocabulary:
+    """The tokens of a rank file: their lengths in bytes, and their ids by a hash of their bytes."""
+
+    def __init__(self, ranks: bytes):
+        pairs = sorted((int(b), base64.b64decode(a)) for a, b in map(bytes.split, ranks.splitlines()) if a)
+        self.widths = np.zeros(pairs[-1][0] + 1, np.uint8)
+        if max(len(t) for _, t in pairs) > 255:
+            raise ValueError("a token of more than 255 bytes")
+        numbers = np.array([n for n, _ in pairs])
+        self.widths[numbers] = [len(t) for _, t in pairs]
+        ends = np.cumsum([len(t) for _, t in pairs])
+        hashes = span_hashes(np.frombuffer(b"".join(t for _, t in pairs), np.uint8), ends - self.widths[numbers], ends)
+        order = np.argsort(hashes)
+        self.hashes, self.numbers = hashes[order], numbers[order].astype(np.uint16)
+        if (self.hashes[1:] == self.hashes[:-1]).any():
+            raise ValueError("two tokens have one hash")
+        # Most tokens are found by the first bits of their hash; where two share these, by search.
+        first = self.hashes >> FIRST_BITS
+        self.table = np.full(1 << (64 - int(FIRST_BITS)), -1, np.int32)
+        self.table[first.astype(np.int64)] = self.numbers
+        self.table[first[1:][first[1:] == first[:-1]].astype(np.int64)] = -1
+
+    def ids(self, data: np.ndarray, bounds: np.ndarray, counts: np.ndarray, widths: np.ndarray) -> np.ndarray:
+        """Ids of texts one after the other (bytes and bounds), from the number of tokens of each and the length of each token."""
+        ends = np.cumsum(widths, dtype=np.int64)
+        if len(counts) != len(bounds) - 1 or not np.array_equal(np.append(0, ends)[np.cumsum(counts)], bounds[1:]):
+            raise ValueError("the texts are not those that were tokenised: the table must not change while it is read twice")
+        hashes = span_hashes(data, ends - widths, ends)
+        found = self.table[(hashes >> FIRST_BITS).astype(np.int64)]
+        rare = np.flatnonzero(found < 0)
+        if len(rare):
+            at = np.minimum(np.searchsorted(self.hashes, hashes[rare]), len(self.hashes) - 1)
+            if (self.hashes[at] != hashes[rare]).any():
+                raise ValueError("the texts are not those that were tokenised: the table must not change while it is read twice")
+            found[rare] = self.numbers[at]
+        return found.astype("<u2")
+
+
+class KeptLengths:
+    """Reads what the first reading left: blocks of a number of texts, their numbers of tokens, and the tokens' lengths."""
+
+    def __init__(self, source):
+        self.source, self.counts, self.widths = source, np.zeros(0, np.int64), np.zeros(0, np.uint8)
+
+    def take(self, texts: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.counts) < texts and (head := self.source.read(4)):
+            counts = np.frombuffer(self.source.read(4 * int(np.frombuffer(head, "<u4")[0])), "<u4").astype(np.int64)
+            self.counts = np.concatenate([self.counts, counts])
+            self.widths = np.concatenate([self.widths, np.frombuffer(self.source.read(int(counts.sum())), np.uint8)])
+        counts, self.counts = self.counts[:texts], self.counts[texts:]
+        n = int(counts.sum())
+        widths, self.widths = self.widths[:n], self.widths[n:]
+        return counts, widths
+
+
+@functools.lru_cache(maxsize=4)
+def vocabulary_of(ranks: bytes) -> Vocabulary:
+    return Vocabulary(ranks)
+
+
 def _tokens(text: str, vocabulary: bytes) -> list[int]:
     pattern = PATTERN if MEETING_SPACES.search(text) else PATTERN.replace(LOOK_AHEAD, "")
     return encoder(vocabulary, pattern).encode_ordinary(text)
