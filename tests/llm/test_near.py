@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from vecframe.llm import line_dedup as line_dedup_module
 from vecframe.llm import near, near_vectors as vectors
 from vecframe.llm.common import components, text_chunks
 from vecframe.llm.line_dedup import line_dedup
@@ -152,27 +153,33 @@ def test_line_dedup_is_brute_force(spark):
     docs = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 8)))) for i in range(60)]
     rows = [(i, t, "s", 0, "") for i, t in docs] + [(7, docs[7][1], "t", 1, ""), (500, None, "s", 0, ""), (None, pool[0], "s", 0, "")]
     got = line_dedup(spark.createDataFrame(rows, DOCS)).collect()
-    lines = [((i is not None, i or 0), n, l.strip(" ")) for i, t in {(r[0], r[1]) for r in rows if r[1] is not None} for n, l in enumerate(t.split("\n"))]
-    lines.sort()
+    by_key = sorted(range(len(rows)), key=lambda x: (rows[x][0] is not None, rows[x][0] or 0, x))
+    lines = [(x, n, l.strip(" ")) for x in by_key if rows[x][1] is not None for n, l in enumerate(rows[x][1].split("\n"))]
     sets = [{l[i : i + 7] for i in range(max(1, len(l) - 6))} if l else set() for _, _, l in lines]
     root = joined(similar_pairs(sets), len(lines))
     dropped = collections.defaultdict(list)
     for x, (i, n, _) in enumerate(lines):
         if root[x] != x:
             dropped[i].append(n)
-    assert len(got) == len(rows)
-    for r in got:
-        i = (r.doc_id is not None, r.doc_id or 0)
-        if r.doc_id == 500:
-            assert (r.n_lines, r.n_kept, r.dropped, r.text) == (0, 0, [], None)
-            continue
-        text = pool[0] if r.doc_id is None else docs[r.doc_id][1]
-        parts = text.split("\n")
-        assert (r.dropped, r.n_lines, r.n_kept) == (dropped[i], len(parts), len(parts) - len(dropped[i]))
-        assert r.text == "\n".join(p for n, p in enumerate(parts) if n not in dropped[i])
+    wanted = []
+    for x, (i, text, *_) in enumerate(rows):
+        parts = text.split("\n") if text is not None else []
+        left = "\n".join(p for n, p in enumerate(parts) if n not in dropped[x]) if text is not None else None
+        wanted.append((i, len(parts), len(parts) - len(dropped[x]), tuple(dropped[x]), left))
+    assert collections.Counter((r.doc_id, r.n_lines, r.n_kept, tuple(r.dropped), r.text) for r in got) == collections.Counter(wanted)
     assert line_dedup(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_a_line_of_repeated_rows_stays_once(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup_module, "COPIES", 3)
+    long = "a very long line " * 20_000
+    rows = [(1, "one line of text\n\n tail", "s", 0, "")] * 11 + [(2, "one line of text", "s", 0, ""), (None, None, "s", 0, ""), (None, None, "s", 0, ""), (3, long, "s", 0, ""), (4, long, "s", 0, "")]
+    got = line_dedup(spark.createDataFrame(rows, DOCS).repartition(5)).collect()
+    wanted = [(1, (), rows[0][1])] + [(1, (0, 2), "")] * 10 + [(2, (0,), ""), (None, (), None), (None, (), None), (3, (), long), (4, (0,), "")]
+    assert collections.Counter((r.doc_id, tuple(r.dropped), r.text) for r in got) == collections.Counter(wanted)
+    assert sum(r.n_kept for r in got) == 3 + 10 + 1
+
+
 def test_char_shingles_count_code_points():
     for _, data, bounds in text_chunks(pa.array(["ééé", "", "abcdefgh", None, "日本語日本語日本語"])):
         assert char_shingles(data, bounds, 7)[1].tolist() == [1, 0, 2, 0, 3]

@@ -15,6 +15,8 @@ CHARACTERS = 7
 THRESHOLD = 0.8
 ROUNDS = 4
 TOLERANCE = 1e-8
+#: Copies of one row that one task makes at a time.
+COPIES = 100_000
 SPACES = " \t\n\v\f\r"
 
 
@@ -34,8 +36,8 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", char
     line number stays; ``dropped`` are the numbers of the other lines, from 0, and ``text`` is the text without them.
 
     Blank lines are alike to nothing and stay. A null text stays null, with no lines; an empty text
-    has one blank line. Rows of equal key and text are one document in this: they keep and drop the same lines. A null
-    key comes first. An empty table gives no rows. Other columns are not read.
+    has one blank line. Rows of equal key and text are documents of their own, one after the other: all but one of them lose every line that is not
+    blank. A null key comes first. An empty table gives no rows. Other columns are not read.
 
     See ``near`` for how pairs are found: 16 bands of four values, so a pair at 0.8 is missed with a
     chance of about 2e-4; what is found is verified exactly.
@@ -53,6 +55,21 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", char
     drops = stored(drops, "line-dedup-dropped")
     size = drops.agg(F.sum(F.size("dropped") * 4 + 64)).first()[0] or 0
     marked = read.join(F.broadcast(drops) if size <= BROADCAST_BYTES else drops, ["d1", "d2"], "left").withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
+    repeated = stored(read.where(F.col("text").isNotNull()).groupBy("d1", "d2").agg(F.count("*").alias("rows")).where("rows > 1"), "line-dedup-repeated")
+    if repeated.isEmpty():
+        return _result(marked, key)
+    # Of equal rows one stays as the lines above say; it is taken out once, and the others follow from it and their number.
+    few = small_side(repeated, 40)
+    firsts = stored(marked.join(few.select("d1", "d2"), ["d1", "d2"], "left_semi").dropDuplicates(["d1", "d2"]), "line-dedup-firsts")
+    parts = F.transform(F.split("text", "\n", -1), lambda line, i: F.when(F.btrim(line, F.lit(SPACES)) != "", i))
+    copies = firsts.join(repeated, ["d1", "d2"]).withColumn("dropped", F.filter(parts, lambda i: i.isNotNull())).withColumn("more", F.col("rows") - 1)
+    # In steps, so that a row that is a third of the table is not multiplied in one task.
+    steps = copies.withColumn("step", F.explode(F.expr(f"sequence(0, (more - 1) div {COPIES})"))).repartition("d1", "d2", "step")
+    others = steps.withColumn("copy", F.explode(F.sequence(F.col("step") * COPIES, F.least((F.col("step") + 1) * COPIES, "more") - 1)))
+    return _result(marked.join(few.select("d1", "d2"), ["d1", "d2"], "left_anti"), key).unionByName(_result(firsts, key)).unionByName(_result(others, key))
+
+
+def _result(marked: DataFrame, key: str) -> DataFrame:
     parts = F.split("text", "\n", -1)
     kept = F.when(F.size("dropped") == 0, F.col("text")).otherwise(F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("dropped", i)), "\n"))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts))
