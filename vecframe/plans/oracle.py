@@ -448,6 +448,7 @@ ORACLE: dict[str, str] = {
     "knn_single": KNN_SINGLE,
     "knn_filtered": _knn(join="e.label = 3"),
     "knn_filter_id": KNN_FILTER_ID,
+    "knn_typed_filter": _knn(join="e.label = 3 AND e.vec_id % 2 = 0", columns=', CAST("key" AS VARCHAR) AS id, label'),
     "knn_min_score": _knn(keep="score >= 0.25"),
     "knn_join": _knn(join="e.label = q.label"),
     "knn_mixed": KNN_MIXED,

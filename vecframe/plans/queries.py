@@ -15,6 +15,7 @@ from vecframe.operators.filed import FiledTable
 from vecframe.plans import corpus as corpora
 from vecframe.plans.staging import stage_files
 from vecframe.session import pieces, shared_dir, spread
+from vecframe.sources import typed
 from vecframe.sources.export import export
 from vecframe.sources.files import read_vectors
 from vecframe.streaming.apply import StreamedTable
@@ -76,6 +77,14 @@ def knn_filter_id(spark, folder):
     return rounded(knn.knn_join(e, asked, filter_on={"vec_id": "wanted"}, keep_empty=True, **EMBEDDED))
 
 
+def knn_typed_filter(spark, folder):
+    """Metadata kept in its types and filtered by them, with the key mirrored into it."""
+    e = table(spark, folder, "embeddings").withColumn("even", F.col("vec_id") % 2 == 0)
+    rows = typed.mirrored(typed.with_typed_metadata(e, ["label", "even"]), key="vec_id")
+    hits = knn.knn_join(typed.where_metadata(rows, {"label": 3, "even": True}), e, metadata=["metadata"], **EMBEDDED)
+    return rounded(hits.withColumns({"id": typed.value("id", "string"), "label": typed.value("label", "int")}).drop("metadata"))
+
+
 def knn_min_score(spark, folder):
     e = table(spark, folder, "embeddings")
     return rounded(knn.knn_join(e, e, min_score=0.25, **EMBEDDED))
@@ -730,6 +739,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_single": knn_single,
     "knn_filtered": knn_filtered,
     "knn_filter_id": knn_filter_id,
+    "knn_typed_filter": knn_typed_filter,
     "knn_min_score": knn_min_score,
     "knn_join": knn_join,
     "knn_mixed": knn_mixed,
