@@ -483,6 +483,7 @@ ORACLE: dict[str, str] = {
         embedding[-1]::DOUBLE AS last FROM embeddings""",
     "remap_schema": """SELECT vec_id AS item, label, CAST(len(embedding) AS INTEGER) AS dimension,
         1 AS files_rewritten FROM embeddings""",
+    "remap_stored": "SELECT vec_id AS item, label, CAST(len(embedding) AS INTEGER) AS dimension, 1 AS files_rewritten FROM embeddings",
     "mirror_id": MIRROR_ID,
     "promote_key": PROMOTE_KEY,
     "upsert_rows": UPSERT,

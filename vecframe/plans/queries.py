@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vecframe.functions.encoders import HashEncoder, embed
 from vecframe.functions.text import SPECIAL_TOKENS, count_tokens, normalize_title, truncate_text, wordpiece_join
-from vecframe.operators import ann, evaluate, index, knn, lsh, points, profiles, rerank, schema, tables, vectors
+from vecframe.operators import ann, evaluate, index, knn, lsh, points, profiles, remap, rerank, schema, tables, vectors
 from vecframe.operators.filed import FiledTable
 from vecframe.plans import corpus as corpora
 from vecframe.plans.staging import stage_files
@@ -319,6 +319,17 @@ def remap_schema(spark, folder):
     )
 
 
+def remap_stored(spark, folder):
+    """Files of which half have the new names already; only the others are written again."""
+    e, path = table(spark, folder, "embeddings"), shared_dir(spark, "remap")
+    old, new = e.where(F.col("vec_id") % 2 == 0), e.where(F.col("vec_id") % 2 == 1)
+    old.coalesce(1).write.parquet(path)
+    new.withColumnsRenamed({"vec_id": "item", "embedding": "features"}).coalesce(1).write.mode("append").parquet(path)
+    report = remap.remap_files(spark, path, current=("vec_id", "embedding"), id_field="item", vector_field="features", reprocess=True)
+    rows = spark.read.option("mergeSchema", "true").parquet(path)
+    return rows.select("item", "label", F.size("features").alias("dimension"), F.lit(report["files_rewritten"]).alias("files_rewritten"))
+
+
 def mirror_id(spark, folder):
     e = table(spark, folder, "embeddings")
     own = F.when(F.col("label") == 0, F.create_map(F.lit("id"), F.lit("own"))).when(
@@ -770,6 +781,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_files": profile_files,
     "confirm_schema": confirm_schema,
     "remap_schema": remap_schema,
+    "remap_stored": remap_stored,
     "mirror_id": mirror_id,
     "promote_key": promote_key,
     "upsert_rows": upsert_rows,

@@ -49,3 +49,13 @@ def read_text(spark: SparkSession, path: str) -> str:
     text = spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
     source.close()
     return text
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Move a file, unless it was moved before; a target that is there is an error."""
+    system, at = _opened(spark, path)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not system.exists(at) and system.exists(to):
+        return
+    if not system.rename(at, to):
+        raise FileExistsError(target)
