@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -260,18 +261,27 @@ class Index:
 
         return cells(column.cast(FLOATS))
 
-    def query_gap(self, queries: DataFrame, query_vector: str = "vector") -> float:
-        """How far queries are from what the index knows, on average: the distance to the nearest centre, or what the components leave of the vector."""
-        shipped, dim, space, cells = self.spark.sparkContext.broadcast(self.model), self.dim, self.space, self.entry["kind"] == "cells"
+    def query_facts(self, queries: DataFrame, query_vector: str = "vector") -> dict:
+        """Where queries lie, seen from the index: how many, the mean distance to the nearest centre (or of what the components leave of a vector), and their mean.
 
-        @F.arrow_udf(T.DoubleType())
-        def gap(vectors: pa.Array) -> pa.Array:
-            q, model = to_matrix(vectors, dim), shipped.value
-            p = space.of_queries(q)
-            near = model.fine[model.probe(q, 1)[:, 0]] if cells else (p @ model) @ model.T
-            return pa.array(np.sqrt(((p - near) ** 2).sum(axis=1)))
+        Tasks add up their queries; what comes back is a number per dimension.
+        """
+        shipped, dim, space, cells = self.spark.sparkContext.broadcast(self.model), self.dim, self.space, self.entry["kind"] == "cells"
 
-        return queries.select(gap(F.col(query_vector).cast(FLOATS)).alias("gap")).agg(F.avg("gap")).first()[0] or 0.0
+        def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n, far, sums = 0, 0.0, np.zeros(space.width)
+            for batch in batches:
+                q, model = to_matrix(batch.column("q"), dim), shipped.value
+                p = space.of_queries(q)
+                near = model.fine[model.probe(q, 1)[:, 0]] if cells else (p @ model) @ model.T
+                n, far, sums = n + len(p), far + np.sqrt(((p - near) ** 2).sum(axis=1)).sum(), sums + p.sum(axis=0)
+            # Places -1 and -2 hold the number of queries and their distances.
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-2, len(sums)), pa.int32()), pa.array(np.concatenate([[far, n], sums]))], names=["place", "total"])
+
+        vectors = queries.where(F.col(query_vector).isNotNull()).select(F.col(query_vector).cast(FLOATS).alias("q"))
+        totals = {r.place: r.total for r in vectors.mapInArrow(add_up, "place int, total double").groupBy("place").agg(F.sum("total").alias("total")).collect()}
+        n = totals.get(-1, 0.0)
+        return {"queries": int(n), "gap": totals.get(-2, 0.0) / n if n else 0.0, "mean": [totals.get(i, 0.0) / n if n else 0.0 for i in range(space.width)]}
 
     def _celled(self) -> DataFrame:
         return self.stored_rows()

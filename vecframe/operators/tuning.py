@@ -18,10 +18,10 @@ from vecframe.operators.index import Index
 FIRST_SAMPLE, MOST_SAMPLE = 64, 4096
 #: One-sided, 95 %.
 Z = 1.645
-#: Queries that lie farther from, or nearer to, the index by this share than those it was tuned on are tuned anew.
+#: Queries whose distance from the index has changed by this share, or whose mean has moved by this share of it, are tuned anew.
 DRIFT = 0.1
 MULTIPLIERS = [1, 2, 4, 8, 16, 32, 64]
-CHOICES = "number long, build string, target double, top_k int, method string, setting int, recall double, low double, sample int, seconds double, exact_seconds double, gap double"
+CHOICES = "number long, build string, target double, top_k int, method string, setting int, recall double, low double, sample int, seconds double, exact_seconds double, queries long, gap double, mean array<double>"
 
 
 @dataclass
@@ -85,7 +85,7 @@ def tune(
         sample.unpersist()
         if choice is None:
             size = min(2 * size, most_sample, available)
-    facts = {"target": float(target_recall), "top_k": top_k, "build": index.entry["build"], "gap": index.query_gap(queries, query_vector)}
+    facts = {"target": float(target_recall), "top_k": top_k, "build": index.entry["build"]} | index.query_facts(queries, query_vector)
     if choice is None or exact_seconds <= choice.seconds:
         seconds = exact_seconds if measured else 0.0
         return facts | {"method": "exact", "setting": 0, "recall": 1.0, "low": 1.0, "sample": size, "seconds": seconds, "exact_seconds": seconds}, measured
@@ -113,6 +113,15 @@ def kept_choice(index: Index, path: str, target_recall: float, top_k: int) -> di
     return last.asDict() if last else None
 
 
+def drifted(before: dict, now: dict, drift: float = DRIFT) -> bool:
+    """Whether queries lie elsewhere than those of a choice, by more than chance moves the mean of so few."""
+    if not now["queries"]:
+        return False
+    chance = 3 * math.sqrt(1 / now["queries"] + 1 / max(1, before["queries"]))
+    moved = math.dist(before["mean"], now["mean"])
+    return abs(now["gap"] - before["gap"]) > drift * before["gap"] + 1e-12 or moved > (drift + chance) * before["gap"] + 1e-12
+
+
 def keep_target(
     index: Index, queries: DataFrame, path: str, *, target_recall: float, top_k: int = 10, drift: float = DRIFT,
     first_sample: int = FIRST_SAMPLE, most_sample: int = MOST_SAMPLE, **options,
@@ -121,8 +130,7 @@ def keep_target(
     names = {n: options[n] for n in ("query_id", "query_vector") if n in options}
     choice = kept_choice(index, path, target_recall, top_k)
     if choice is not None:
-        now = index.query_gap(queries, options.get("query_vector", "vector"))
-        if abs(now - choice["gap"]) > drift * max(choice["gap"], 1e-12):
+        if drifted(choice, index.query_facts(queries, options.get("query_vector", "vector")), drift):
             choice = {"number": choice["number"], "stale": True}
     if choice is None or choice.get("stale"):
         number = (choice["number"] if choice else 0) + 1
