@@ -121,6 +121,11 @@ class Cells:
     def __post_init__(self):
         self.starts = np.searchsorted(self.parent, np.arange(len(self.coarse) + 1))
 
+    def plain(self) -> dict:
+        """The model as arrays and numbers alone, for broadcasting: tasks need not be able to import this module."""
+        space = {"metric": self.space.metric, "dim": self.space.dim, "longest": self.space.longest}
+        return {"space": space, "coarse": self.coarse, "fine": self.fine, "parent": self.parent, "radius": self.radius}
+
     def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(cell, distance to its centre) of rows; looks at the coarse centres and those of one coarse cell."""
         p = self.space.of_rows(x)
@@ -164,6 +169,13 @@ class Cells:
         return np.where(self.radius < 0, -np.inf, self.space.best(q, gap))
 
 
+def received(model):
+    """A broadcast model in a task: cells from their plain form, anything else as it is."""
+    if isinstance(model, dict):
+        return Cells(**(model | {"space": Space(**model["space"])}))
+    return model
+
+
 def fit_two_level(
     corpus: DataFrame, *, key: str = "key", vector: str = "vector", metric: str = "cosine", n_cells: int | None = None,
     rows_per_cell: int = ROWS_PER_CELL, max_iter: int = 10, seed: int = 7,
@@ -228,12 +240,13 @@ def _fit_one(max_iter: int, seed: int):
 
 def assigned(corpus: DataFrame, cells: Cells, vector: str) -> DataFrame:
     """``corpus`` with ``_cell``, ``_gap`` (the distance to the centre of the cell) and ``_shelf`` (the coarse cell)."""
-    shipped = corpus.sparkSession.sparkContext.broadcast(cells)
+    shipped = corpus.sparkSession.sparkContext.broadcast(cells.plain())
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def place(vectors: pa.Array) -> pa.Array:
-        cell, gap = shipped.value.assign(to_matrix(vectors, shipped.value.space.dim))
-        shelf = np.where(cell < 0, -1, shipped.value.parent[np.maximum(cell, 0)])
+        model = received(shipped.value)
+        cell, gap = model.assign(to_matrix(vectors, model.space.dim))
+        shelf = np.where(cell < 0, -1, model.parent[np.maximum(cell, 0)])
         return _lists(np.column_stack([cell, gap, shelf]), pa.float64())
 
     placed = corpus.where(F.col(vector).isNotNull()).withColumn("_place", place.asNondeterministic()(F.col(vector).cast(FLOATS)))

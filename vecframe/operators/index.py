@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecframe.operators import ann, knn
-from vecframe.operators.cells import MODEL_SCHEMA, MOST_CELLS, ODD, Cells, Space, assigned, fit_two_level, in_space, measured_space, model_of, model_rows
+from vecframe.operators.cells import MODEL_SCHEMA, MOST_CELLS, ODD, Cells, Space, assigned, fit_two_level, in_space, measured_space, model_of, model_rows, received
 from vecframe.operators.metrics import metric_name
 from vecframe.operators.topk import to_matrix
 from vecframe.operators.vectors import FLOATS, _lists
@@ -231,11 +231,11 @@ class Index:
         return found, visits.select(F.col("qid").alias("query_id"), "first", F.size("qcells").alias("later"), F.lit(n + self.entry["odd"]).alias("cells"))
 
     def _later(self, vector, floor, seen):
-        shipped, dim, odd = self.spark.sparkContext.broadcast(self.model), self.dim, self.entry["odd"]
+        shipped, dim, odd = self._shipped(), self.dim, self.entry["odd"]
 
         @F.arrow_udf(T.ArrayType(T.IntegerType()))
         def cells(vectors: pa.Array, floors: pa.Array, seen: pa.Array) -> pa.Array:
-            q, model = to_matrix(vectors, dim), shipped.value
+            q, model = to_matrix(vectors, dim), received(shipped.value)
             low = floors.to_numpy(zero_copy_only=False).astype(np.float64)
             out, step = [], max(1, 4_000_000 // len(model.fine))
             for at in range(0, len(q), step):
@@ -250,11 +250,11 @@ class Index:
         return cells(vector, floor, seen)
 
     def _cells_of(self, column, pick):
-        shipped, dim, odd = self.spark.sparkContext.broadcast(self.model), self.dim, self.entry["odd"]
+        shipped, dim, odd = self._shipped(), self.dim, self.entry["odd"]
 
         @F.arrow_udf(T.ArrayType(T.IntegerType()))
         def cells(vectors: pa.Array) -> pa.Array:
-            found = pick(shipped.value, to_matrix(vectors, dim))
+            found = pick(received(shipped.value), to_matrix(vectors, dim))
             if odd:  # rows that no distance places are always looked at
                 found = np.column_stack([found, np.full(len(found), ODD)])
             return _lists(found.astype(np.int32), pa.int32())
@@ -266,12 +266,12 @@ class Index:
 
         Tasks add up their queries; what comes back is a number per dimension.
         """
-        shipped, dim, space, cells = self.spark.sparkContext.broadcast(self.model), self.dim, self.space, self.entry["kind"] == "cells"
+        shipped, dim, space, cells = self._shipped(), self.dim, self.space, self.entry["kind"] == "cells"
 
         def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n, far, sums = 0, 0.0, np.zeros(space.width)
             for batch in batches:
-                q, model = to_matrix(batch.column("q"), dim), shipped.value
+                q, model = to_matrix(batch.column("q"), dim), received(shipped.value)
                 p = space.of_queries(q)
                 near = model.fine[model.probe(q, 1)[:, 0]] if cells else (p @ model) @ model.T
                 n, far, sums = n + len(p), far + np.sqrt(((p - near) ** 2).sum(axis=1)).sum(), sums + p.sum(axis=0)
@@ -283,6 +283,9 @@ class Index:
         n = totals.get(-1, 0.0)
         return {"queries": int(n), "gap": totals.get(-2, 0.0) / n if n else 0.0, "mean": [totals.get(i, 0.0) / n if n else 0.0 for i in range(space.width)]}
 
+    def _shipped(self):
+        return self.spark.sparkContext.broadcast(self.model.plain() if isinstance(self.model, Cells) else self.model)
+
     def _celled(self) -> DataFrame:
         return self.stored_rows()
 
