@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import BROADCAST_BYTES, content_keys, small_side, stored
+from vecframe.llm.common import BROADCAST_BYTES, content_keys, join_counted, small_side, stored
 from vecframe.llm.near import similar_classes
 from vecframe.llm.shingles import char_shingles
 
@@ -43,15 +43,16 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", char
     chance of about 2e-4; what is found is verified exactly.
     """
     read = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(key, text).alias("d1"), F.xxhash64(F.lit(7), text, key).alias("d2"))
-    lines = _lines(read)
+    lines = stored(_lines(read), "line-dedup-split")
     classes = similar_classes(lines, functools.partial(char_shingles, size=characters), rounds=ROUNDS, threshold=threshold, tolerance=TOLERANCE, purpose="line-dedup")
     # Only groups of more than one line matter from here on.
-    sizes = classes.groupBy("root").agg(F.sum("copies").alias("members"))
-    groups = stored(classes.join(sizes.where("members > 1"), "root").select("c1", "c2", "root"), "line-dedup-groups")
+    classes = stored(classes, "line-dedup-roots")
+    sizes = stored(classes.groupBy("root").agg(F.sum("copies").alias("members"), F.count("*").alias("rows")).where("members > 1").drop("members"), "line-dedup-sizes")
+    groups = stored(join_counted(classes, sizes, ["root"], copies="rows", row_bytes=16).select("c1", "c2", "root"), "line-dedup-groups")
     grouped = stored(lines.select("id", "d1", "d2", "line_no", "c1", "c2").join(small_side(groups, 40), ["c1", "c2"]).select("id", "d1", "d2", "line_no", "root"), "line-dedup-lines")
     place = F.struct("id", "d1", "d2", "line_no")
-    firsts = grouped.groupBy("root").agg(F.min(place).alias("first"))
-    drops = grouped.join(firsts, "root").where(~place.eqNullSafe(F.col("first"))).groupBy("d1", "d2").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
+    firsts = stored(grouped.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("rows")), "line-dedup-least")
+    drops = join_counted(grouped, firsts, ["root"], copies="rows").where(~place.eqNullSafe(F.col("first"))).groupBy("d1", "d2").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
     drops = stored(drops, "line-dedup-dropped")
     size = drops.agg(F.sum(F.size("dropped") * 4 + 64)).first()[0] or 0
     marked = read.join(F.broadcast(drops) if size <= BROADCAST_BYTES else drops, ["d1", "d2"], "left").withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
