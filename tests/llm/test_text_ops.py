@@ -540,6 +540,41 @@ def test_hosts_vote_for_whole_articles(spark):
     assert {r.page_id: r.text for r in got} == {i: f"T{i}\n{(SENTENCE * 3).strip()}\n{(SENTENCE * 7).strip()}" for i in range(5)}
 
 
+@pytest.mark.parametrize(
+    "html, blocks",
+    [
+        ("<div class='recipe cookies'><h1>T</h1><p>{5}</p></div>", ["T", 5]),
+        ("<h1>T</h1><div id=comment-policy><p>{5}</p></div>", ["T", 5]),
+        ("<div class='recipe cookies'><div class=cookies-body><h1>T</h1><p>{5}</p></div></div>", ["T", 5]),
+        ("<div class=story><p>{1}</p></div><div class=comments><p>{9}</p><p>{9}</p></div>", [1]),
+        ("<article><h1>T</h1><p>{1}</p></article><div id=comments><h1>C</h1><p>{9}</p></div>", ["T", 1]),
+        ("<div class='cookies recipe'><h1>T</h1><p>{5}</p><div class=comments><p>{1}</p></div></div>", ["T", 5]),
+        ("<article><p>{9}</p><div class=promo>Buy our book</div><div class=notice>Shut today.</div><p>{9}</p></article>", [9, 9]),
+        ("<article><div class='notice board'><p>{9}</p></div><p>{1}</p></article>", [9, 1]),
+    ],
+)
+def test_foreign_parts_and_notices(html, blocks):
+    for n in (1, 5, 9):
+        html = html.replace(f"{{{n}}}", SENTENCE * n)
+    assert Page(f"<body>{html}</body>").text(None) == "\n".join((SENTENCE * b).strip() if isinstance(b, int) else b for b in blocks)
+
+
+def test_a_teaser_at_the_path_of_the_host_is_not_the_text():
+    story = "<article>Short teaser.</article><div class=longread><p>" + SENTENCE * 12 + "</p></div>"
+    assert (SENTENCE * 12).strip() in Page(f"<body>{story}</body>").text(">body>article")
+    short = f"<article>{SENTENCE * 3}</article><div class=box><p>{SENTENCE * 12}</p></div>"
+    assert Page(f"<body>{short}</body>").text(">body>article") == (SENTENCE * 3).strip()
+
+
+def test_deep_and_tied_pages(spark):
+    deep = "<div class=a>" * 40_000 + "<p>" + SENTENCE * 3
+    page = Page(deep)
+    assert page.text(None) == (SENTENCE * 3).strip() and len(page.paths) == 40_002
+    rows = [(i, "http://t.org", f"<body><div class={c}><p>{SENTENCE}</p></div><div class=z><a href=x>{SENTENCE}</a></div></body>") for i, c in enumerate("abab")]
+    got = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.path for r in got} == {">body>div.a"} and {r.text for r in got} == {SENTENCE.strip()}
+
+
 def test_main_text_of_the_given_pages(spark, small):
     """The given pages have one article each; the text is that of its blocks."""
     import html as entities

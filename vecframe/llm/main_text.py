@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,14 +28,19 @@ NOISE_WORD = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|banner|popup|modal|overlay|newsletter|subscribe|sidebar|side-?bar|rail|widget|menu|nav|navbar|navigation|topbar|breadcrumbs?|pagination|pager|toolbar"
     r"|footer|masthead|site-?header|page-?header|respond|share|sharing|more-?stories|login|signup|complementary|contentinfo|skip-?link|copyright)(?:$|[\s_-])"
 )
-#: Words of parts that are not the article however long they are.
+#: Words of parts that are not the article, however long they are, if there is another one.
 FOREIGN_WORD = re.compile(r"(?:^|[\s_-])(?:cookies?|consent|gdpr|comments?|commentlist|comment-?\w*|disqus|replies)(?:$|[\s_-])")
-#: Words that inside an article mark what is not part of it only if it is links for the most part.
-LINKS_WORD = re.compile(r"(?:^|[\s_-])(?:promo\w*|notices?|alert|social|related|recommend\w*|search|legal)(?:$|[\s_-])")
+#: Words that inside an article mark what is not part of it only if it is links for the most part; the first group also if it is a small part.
+LINKS_WORD = re.compile(r"(?:^|[\s_-])(?:(promo\w*|notices?|alert)|social|related|recommend\w*|search|legal)(?:$|[\s_-])")
 #: Forms that tell the layout or state of what is around: no-sidebar, has-ads, with-menu, ad-free, comments-open.
 LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:no|non|has|have|with|without)[_-]\S*|[^\s_-]+[_-](?:free|open|closed|enabled|disabled)(?=$|[\s_-])")
 SHARE = 0.6
 NEARLY = 0.9
+#: A notice or advert in an article is less than this share of it.
+ASIDE = 0.05
+#: A page's own container is taken if the host's path holds less than this share of what that has.
+TEASER = 0.05
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
@@ -42,7 +48,7 @@ ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'
 @dataclass
 class Element:
     tag: str
-    path: str
+    path: int  # see Page.paths
     parent: int
     kind: str  # of noise, see Page._mark_noise
     inside: bool  # of an article or main element, or one itself
@@ -54,21 +60,25 @@ class Element:
 def kind_of(words: str) -> str:
     """What values of class, id and role say of an element."""
     words = LAYOUT.sub("", words)
-    return "foreign" if FOREIGN_WORD.search(words) else "word" if NOISE_WORD.search(words) else "links" if LINKS_WORD.search(words) else ""
+    links = LINKS_WORD.search(words)
+    return "foreign" if FOREIGN_WORD.search(words) else "word" if NOISE_WORD.search(words) else "" if not links else "notice" if links[1] else "links"
 
 
 class Page:
     """Elements and text blocks of a page. A block knows the element that holds it, and how much of it is links.
 
     ``blocks`` are those without noise. All text is kept in ``runs`` of (element, text, whether in a link) until the whole
-    page is read, since only then it is known what is noise.
+    page is read, since only then it is known what is noise. ``paths`` are the number of the path above, the last part, and how many
+    parts there are; ``steps`` finds the number of a path by these, so that a page is read in time and space that grow with its length.
     """
 
     def __init__(self, source: str):
-        self.elements = [Element("", "", -1, "", False)]
+        self.paths: list[tuple[int, str, int]] = [(-1, "", 0)]
+        self.steps: dict[tuple[int, str], int] = {}
+        self.elements = [Element("", 0, -1, "", False)]
         self.runs: list[tuple[int, list[tuple[int, str, bool]]]] = []
-        self._stack, self._parts, self._link = [0], [], 0
-        at, skip = 0, None
+        self._stack, self._parts, self._opened = [0], [], Counter()
+        at, endless = 0, set()
         for match in TOKEN.finditer(source):
             if match.start() < at:
                 continue
@@ -82,7 +92,9 @@ class Page:
             if match[1]:
                 self._close(tag)
             elif tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
+                end = None if tag in endless else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
+                if not end:
+                    endless.add(tag)
                 # A raw element that is never closed ends with its own tag, so that it swallows nothing.
                 at = end.end() if end else at
                 if tag in BLOCK:
@@ -100,7 +112,7 @@ class Page:
                 self.blocks.append((holder, text, min(sum(len(part[1]) for part in parts if part[2]), len(text))))
 
     def _text(self, text: str) -> None:
-        self._parts.append((self._stack[-1], html.unescape(text), self._link > 0))
+        self._parts.append((self._stack[-1], html.unescape(text), self._opened["a"] > 0))
 
     def _flush(self) -> None:
         if self._parts:
@@ -111,8 +123,8 @@ class Page:
     def _mark_noise(self) -> None:
         """Settles which elements are noise.
 
-        Elements of a kind may be: "tag" and "word" by these, "foreign" by words of what is never the article, "links"
-        by words that count only if half of the text is links. What holds a main element is none. A "word" is none
+        Elements of a kind may be: "tag" and "word" by these, "foreign" by words of what is not the article unless nothing else is (see ``_rescue``), "links"
+        by words that count in an article only if half of the text is links, "notice" by those that count there also if it is a small part. What holds a main element is none. A "word" is none
         if its articles have more text than those outside of such elements, and are one or more than half of the page; a
         "tag" only if there are no others and it is more than half of the page. Nor is a "word" with more than half of the
         page, in an article or if there is none outside. Text is that outside links.
@@ -128,9 +140,14 @@ class Page:
         for i in range(len(elements) - 1, 0, -1):
             plain[elements[i].parent] += plain[i]
             links[elements[i].parent] += links[i]
+        outer = list(range(len(elements)))  # the outermost article or main element around each
+        for i, e in enumerate(elements[1:], 1):
+            outer[i] = outer[e.parent] if elements[e.parent].inside else i
         for i, e in enumerate(elements):
-            if e.kind == "links":
-                e.kind = "word" if not elements[e.parent].inside or links[i] >= plain[i] else ""
+            if e.kind in ("links", "notice"):
+                small = e.kind == "notice" and plain[i] < ASIDE * plain[outer[i]]
+                e.kind = "word" if not elements[e.parent].inside or links[i] >= plain[i] or small else ""
+        self._rescue(own, plain)
         # Of each element: text, whether it holds a main element, number and text of the outermost articles.
         size, main, count, article = own.copy(), [False] * len(elements), [0] * len(elements), [0] * len(elements)
         for i in range(len(elements) - 1, 0, -1):
@@ -154,6 +171,35 @@ class Page:
             whole = e.kind == "word" and most and (elements[e.parent].inside or not outside)
             e.noise = elements[e.parent].noise or bool(e.kind) and not holds and not whole
 
+    def _rescue(self, own: list[int], plain: list[int]) -> None:
+        """Foreign elements that are the article after all lose their kind.
+
+        Such a one is the outermost of its kind, and nothing but headings has text outside of it and of noise; or it holds an h1 and
+        more than half of the page's text, and no article or main element has text outside. So do those within it that hold all of its text.
+        """
+        elements = self.elements
+        if not any(e.kind == "foreign" for e in elements):
+            return
+        clean, heading, titled = [True] * len(elements), [False] * len(elements), [False] * len(elements)
+        rest = articles = 0
+        for i, e in enumerate(elements[1:], 1):
+            clean[i] = clean[e.parent] and not e.kind
+            heading[i] = heading[e.parent] or e.tag in HEADING
+            rest += own[i] if clean[i] and not heading[i] else 0
+            articles += own[i] if clean[i] and e.inside else 0
+        rest += own[0]
+        for i in range(len(elements) - 1, 0, -1):
+            titled[i] |= elements[i].tag == "h1" and plain[i] > 0
+            titled[elements[i].parent] |= titled[i]
+        whole = {0: plain[0]}  # of rescued elements, their text
+        for i, e in enumerate(elements[1:], 1):
+            if e.kind == "foreign" and plain[i]:
+                first = clean[e.parent] and (not rest or titled[i] and not articles and 2 * plain[i] > plain[0])
+                if first or whole.get(e.parent) == plain[i] and e.parent:
+                    e.kind, whole[i] = "", plain[i]
+            elif e.parent and whole.get(e.parent) == plain[i]:
+                whole[i] = plain[i]
+
     def _open(self, tag: str, attributes: str, closed: bool) -> None:
         if tag in VOID:
             if tag == "br":
@@ -163,7 +209,7 @@ class Page:
             return
         if tag in BLOCK:
             self._flush()
-            if any(self.elements[i].tag == "p" for i in self._stack):
+            if self._opened["p"]:
                 self._pop_to("p")
             if tag in ("li", "dt", "dd", "tr", "td", "th"):
                 self._pop_sibling(tag)
@@ -175,28 +221,35 @@ class Page:
         inside = parent.inside or tag in ("article", "main")
         kind = "tag" if tag in NOISE or tag == "header" and not parent.inside else kind_of(words) if words and tag not in ("body", "html", "article", "main") else ""
         kind = "word" if tag == "form" and kind != "foreign" else kind
-        classes = ".".join(sorted(re.sub(r"\d+", "#", named.get("class", "").lower()).split()))
-        path = f"{parent.path}>{tag}{'.' + classes if classes else ''}" if tag in BLOCK else parent.path
+        classes = ".".join(sorted(re.sub(r"\d+|>", "#", named.get("class", "").lower()).split()))
+        path = parent.path
+        if tag in BLOCK:
+            step = (path, f"{tag}.{classes}" if classes else tag)
+            path = self.steps.setdefault(step, len(self.paths))
+            if path == len(self.paths):
+                self.paths.append((*step, self.paths[step[0]][2] + 1))
         self._stack.append(len(self.elements))
         self.elements.append(Element(tag, path, self._stack[-2], kind, inside))
-        self._link += tag == "a"
+        self._opened[tag] += 1
 
     def _close(self, tag: str) -> None:
         if tag in BLOCK:
             self._flush()
-        if any(self.elements[i].tag == tag for i in self._stack):
+        if self._opened[tag]:
             self._pop_to(tag)
 
     def _pop_to(self, tag: str) -> None:
         while len(self._stack) > 1:
             top = self.elements[self._stack.pop()].tag
-            self._link -= top == "a"
+            self._opened[top] -= 1
             if top == tag:
                 return
 
     def _pop_sibling(self, tag: str) -> None:
         ends = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",)}.get(tag, ("table", "tbody", "thead", "tfoot") if tag == "tr" else ("tr", "table"))
         same = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, (tag,))
+        if not any(self._opened[t] for t in same):
+            return
         for i in reversed(self._stack):
             if self.elements[i].tag in ends:
                 return
@@ -211,19 +264,15 @@ class Page:
         text, as far as the article, or the main element, that all of it is in. Around an article, a main element is
         taken only for blocks of its own, such as a headline, or if less than NEARLY all were without it; around others, a body.
         """
-        score, own = [0] * len(self.elements), [0] * len(self.elements)
+        score, own, nearest = self._scores(), [0] * len(self.elements), list(range(len(self.elements)))
+        for i, e in enumerate(self.elements[1:], 1):
+            nearest[i] = i if e.tag in CONTAINER else nearest[e.parent]
         for holder, text, linked in self.blocks:
-            nearest = False
-            while holder >= 0:
-                score[holder] += len(text) - linked
-                if not nearest and (self.elements[holder].tag in CONTAINER or not holder):
-                    nearest = True
-                    own[holder] += len(text) - linked
-                holder = self.elements[holder].parent
+            own[nearest[holder]] += len(text) - linked
         found = [i for i, e in enumerate(self.elements) if e.tag in CONTAINER and score[i] > 0 and score[i] >= SHARE * score[0]]
         if not found:
             return 0
-        best = max(found, key=lambda i: (self.elements[i].path.count(">"), i))
+        best = max(found, key=lambda i: (self.paths[self.elements[i].path][2], i))
         around, at = [], best
         while at >= 0 and self.elements[at].tag != "body":
             around.append(at)
@@ -241,13 +290,39 @@ class Page:
         page = max(at, 0)
         return page if score[page] > score[best] and (own[page] or score[best] < NEARLY * score[page]) else best
 
-    def text(self, path: str | None) -> str:
-        """Blocks, in order, of the elements with that path; without one, of the page's own best container."""
-        roots = {i for i, e in enumerate(self.elements) if i and e.tag in BLOCK and e.path == path} if path else set()
-        roots = roots or {self.best()}
+    def _scores(self) -> list[int]:
+        """Text outside links in each element."""
+        score = [0] * len(self.elements)
+        for holder, text, linked in self.blocks:
+            score[holder] += len(text) - linked
+        for i in range(len(self.elements) - 1, 0, -1):
+            score[self.elements[i].parent] += score[i]
+        return score
+
+    def path_of(self, i: int) -> str:
+        parts, at = [], self.elements[i].path
+        while at:
+            parts.append(self.paths[at][1])
+            at = self.paths[at][0]
+        return "".join(f">{part}" for part in reversed(parts))
+
+    def _held(self, roots: set[int]) -> list[bool]:
         held = [False] * len(self.elements)
         for i, e in enumerate(self.elements):
             held[i] = i in roots or e.parent >= 0 and held[e.parent]
+        return held
+
+    def text(self, path: str | None) -> str:
+        """Blocks, in order, of the elements with that path; of the page's own best container without one, or if it has less than TEASER of that one's text."""
+        number = 0
+        for part in path.split(">")[1:] if path else []:
+            number = self.steps.get((number, part), -1)
+        roots = {i for i, e in enumerate(self.elements) if i and e.tag in BLOCK and e.path == number} if number > 0 else set()
+        own = self.best()
+        held = self._held(roots or {own})
+        if roots and not roots == {own}:
+            there = sum(len(text) - linked for holder, text, linked in self.blocks if held[holder])
+            held = self._held({own}) if there < TEASER * self._scores()[own] else held
         return "\n".join(text for holder, text, _ in self.blocks if held[holder])
 
 
@@ -260,9 +335,9 @@ def extract_main_text(pages: DataFrame, *, key: str = "page_id", url: str = "url
 
     A page's containers are scored by the text they hold outside links; the page's vote is the deepest one with most of
     it, widened as far as its article or main element, or by whatever around it has more such text (see ``Page.best``). Paths are tags with their classes, numbers made alike. A host's path is the one with most votes
-    (ties: the first by code point). Pages are read again by that path; a page without it by its own best container.
+    (ties: the first by code point). Pages are read again by that path; a page without it, or with next to nothing there, by its own best container.
     Elements for menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles do not count, by
-    tag, class, id and role, unless the article is in them or they are most of the page (see ``Page._mark_noise``). Character references are decoded, white space within a block is one space, blocks are lines.
+    tag, class, id and role, unless the article is in them or they are most of the page (see ``Page._mark_noise``). Character references are decoded, white space within a block is one space, blocks are lines. Formulas as ``math`` elements are markup and go.
 
     A null html is empty, an empty one has the text ''. A null or odd url has the host ''. Rows with equal keys are
     pages of their own. An empty table gives no rows. Other columns are not read.
@@ -278,7 +353,7 @@ def extract_main_text(pages: DataFrame, *, key: str = "page_id", url: str = "url
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("host", pa.string()), ("path", pa.string())])
     for batch in batches:
-        voted = [(host, page.elements[best].path) for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True) if (best := (page := Page(source)).best())]
+        voted = [(host, page.path_of(best)) for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True) if (best := (page := Page(source)).best())]
         yield batch_of(schema, [h for h, _ in voted], [p for _, p in voted])
 
 
