@@ -83,6 +83,32 @@ def test_decontamination_is_brute_force(spark, monkeypatch, block_words):
     assert decontaminate.find_leaks(docs_of(spark, []), benchmark).collect() == []
 
 
+def test_leaks_do_not_depend_on_the_filter(spark, monkeypatch):
+    rng = random.Random(3)
+    word = lambda: rng.choice("abcdefgh") + rng.choice("xyz")
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([6, 9, 13, 25, 40])] + [(7, items_text) for items_text in ["same words in two items of the benchmark , one key or not , are found for both"]] * 2
+    rows = [(i, " ".join([word() for _ in range(30)] + (items[i % 7][1].split() if i % 3 else [])), "s", "en") for i in range(40)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    facts = lambda: sorted((r.doc_id, r["items"], r.starts, r.ends) for r in decontaminate.find_leaks(docs_of(spark, rows), benchmark).collect())
+    wide = facts()
+    monkeypatch.setattr(decontaminate, "FILTER_BYTES", 1)
+    monkeypatch.setattr(decontaminate, "BATCH_WINDOWS", 7)
+    assert facts() == wide
+    assert [i for i, found, _, _ in wide if found] == [i for i, text, _, _ in rows if any(leaks(text, t) for _, t in items)]
+
+
+def test_short_items_and_long_documents(spark):
+    items = [(1, "only four words here"), (2, "Yes"), (3, " "), (4, " ".join(f"w{i}" for i in range(30)))]
+    filler = " ".join(f"f{i % 977}" for i in range(200_000))
+    rows = [(1, "there are ONLY four words here", "s", "en"), (2, "only four other words here", "s", "en"), (3, "yes", "s", "en"), (4, filler + " " + items[3][1] + " " + filler, "s", "en"), (5, filler, "s", "en")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of(spark, rows).withColumns({c: F.lit(None).cast("string") for c in ("row", "at", "words", "length", "spot", "item")})
+    got = {r.doc_id: r for r in decontaminate.find_leaks(docs, benchmark, least_words=1, carry=("row", "words")).collect()}
+    assert {i: r["items"] for i, r in got.items()} == {1: [1], 2: [], 3: [2], 4: [4], 5: []}
+    assert (got[1].starts, got[1].ends, got[4].starts, got[4].ends) == ([2], [6], [200_000], [200_030])
+    assert {r.doc_id: r["items"] for r in decontaminate.find_leaks(docs, benchmark).collect()} == {1: [], 2: [], 3: [], 4: [4], 5: []}
+
+
 # --- quality ------------------------------------------------------------------------------------
 
 
