@@ -255,6 +255,54 @@ def test_windows_cover_all_words():
         assert seen == set(range(n)) and words.windows[1] >= 1 and (words.length[own] > 0).all() == (n > 0)
 
 
+def test_toxicity_scores_are_plain_loops():
+    rng = random.Random(5)
+    net = toxicity.Network(3)
+    net.scale, net.shift = 1.3, -0.2
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    texts = ["", "one", "two words", " ".join(rng.choice(["ab", "cde", "fghij", "k"]) for _ in range(3 * toxicity.WINDOW))]
+    words = toxicity.Words(*text_buffers(pa.array(texts)))
+    inverse, word, grams = words.distinct()
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    hidden, embed = toxicity.HIDDEN, toxicity.EMBED
+
+    def vector(number):
+        out = list(p["word"][word[number]])
+        for buckets, counts in grams:
+            first = sum(counts[:number])
+            own = [p["gram"][b] for b in buckets[first : first + counts[number]]]
+            out += [sum(row[i] for row in own) / math.sqrt(len(own)) for i in range(embed)]
+        return out
+
+    def dot(row, matrix, column):
+        return sum(v * matrix[i][column] for i, v in enumerate(row))
+
+    def states_of(rows, d):
+        h, out = [0.0] * hidden, []
+        for x in rows:
+            gates = [dot(x, p[f"x{d}"], j) + p[f"c{d}"][j] for j in range(3 * hidden)]
+            back = [dot(h, p[f"h{d}"], j) for j in range(3 * hidden)]
+            z = [sigmoid(gates[j] + back[j]) for j in range(hidden)]
+            r = [sigmoid(gates[hidden + j] + back[hidden + j]) for j in range(hidden)]
+            c = [math.tanh(gates[2 * hidden + j] + r[j] * back[2 * hidden + j]) for j in range(hidden)]
+            h = [z[j] * h[j] + (1 - z[j]) * c[j] for j in range(hidden)]
+            out.append(h)
+        return out
+
+    def logit(rows):
+        both = [f + b for f, b in zip(states_of(rows, "f"), states_of(rows[::-1], "b")[::-1], strict=True)]
+        looks = [math.exp(sum(v * q for v, q in zip(s, p["query"], strict=True))) for s in both]
+        pooled = [sum(a * s[j] for a, s in zip(looks, both, strict=True)) / sum(looks) for j in range(2 * hidden)] if rows else [0.0] * (2 * hidden)
+        return sum(v * o for v, o in zip(pooled, p["out"], strict=True)) + p["bias"][0]
+
+    wanted, window = [], 0
+    for n in words.windows:
+        best = max(logit([vector(inverse[i]) for i in range(words.begin[w], words.begin[w] + words.length[w])]) for w in range(window, window + n))
+        wanted.append(sigmoid(net.scale * best + net.shift))
+        window += n
+    assert net.scores(words) == pytest.approx(wanted, abs=1e-4)
+
+
 def test_toxicity_cases(spark):
     rows = [(i, "plain words here " + ("awfulword " if i % 3 == 0 else "") + str(i), "s", "en") for i in range(60)] + [(100, "", "s", "en"), (101, None, "s", "en"), (None, "plain", "s", None), (102, "long text " * 40_000 + "awfulword", "s", "en"), (3, rows_text := "plain words here awfulword 3", "s", "en")]
     labels = spark.createDataFrame([(i, int(i % 3 == 0), "e") for i in range(60)] + [(None, 1, "x"), (4, None, "y")], "doc_id long, toxic int, text string")
