@@ -10,10 +10,11 @@ import math
 import time
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +22,8 @@ from vecframe.operators import knn
 from vecframe.operators.evaluate import recall_at_k
 from vecframe.operators.metrics import metric_name
 from vecframe.operators.topk import METRIC_CODES
-from vecframe.operators.vectors import l2_normalize, nearest_cells, pair_goodness, project
-from vecframe.session import scan_tasks, shuffle_tasks
+from vecframe.operators.vectors import l2_normalize, nearest_cells, project
+from vecframe.session import scan_tasks
 
 DEFAULT_TARGET_RECALL = 0.95
 
@@ -83,9 +84,10 @@ def knn_pca(
     """
     metric = metric_name(metric)
     if reduced is None:
-        reduced = reduce_vectors(corpus, components, vector=vector, metric=metric)
+        reduced = reduce_vectors(corpus.withColumn("_whole", F.col(vector)), components, vector=vector, metric=metric)
+    reduced_queries = queries.withColumn("_whole", F.col(query_vector))
     return rescored(
-        corpus, queries, reduced, reduce_vectors(queries, components, vector=query_vector, metric=metric),
+        corpus, queries, reduced, reduce_vectors(reduced_queries, components, vector=query_vector, metric=metric),
         candidate_metric="dot_product" if metric == "dot_product" else "euclidean", candidate_multiplier=candidate_multiplier,
         key=key, vector=vector, reduced_vector=vector, query_id=query_id, query_vector=query_vector, top_k=top_k, metric=metric,
         min_score=min_score, max_distance=max_distance, filter=filter, filter_on=filter_on, metadata=metadata,
@@ -100,7 +102,8 @@ def rescored(
 ) -> DataFrame:
     """Candidates by the reduced vectors, and the best of them by the exact score.
 
-    ``reduced`` holds the corpus columns that filters use, and ``reduced_vector``; ``reduced_queries`` the reduced vector in place of the query's own.
+    ``reduced`` holds the corpus columns that filters use, and ``reduced_vector``; ``reduced_queries`` the reduced vector in place of the query's own,
+    and that as ``_whole``. If ``reduced`` holds the rows' own vectors as ``_whole`` too, they are not looked up by key.
     """
     if candidate_multiplier < 1:
         raise ValueError("candidate_multiplier must be at least 1")
@@ -112,6 +115,22 @@ def rescored(
     finish = lambda ranked: knn._finish(ranked, corpus, asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit)
     if facts.n == 0:
         return finish(knn.merge_hits(knn._no_hits(asked, corpus.select(F.col(key).alias("key"))), 1))
+    first_k = (F.coalesce(top_k, F.lit(10)) if isinstance(top_k, Column) else top_k) * candidate_multiplier
+    if facts.rows is None:
+        filters = filter_on or {}
+        first = knn.query_table(
+            reduced_queries, query_id=query_id, query_vector=query_vector, top_k=first_k, metric=candidate_metric, min_score=None, max_distance=None,
+            filter_on=filter_on, extra=[F.col("_whole").cast("array<float>").alias("qwhole")],
+        )
+        rows = knn.where_equal(reduced, filter)
+        if "_whole" not in rows.columns:
+            wholes = corpus.where(F.col(vector).isNotNull()).select(F.col(key).alias("_key"), F.col(vector).alias("_whole"))
+            rows = rows.join(wholes, F.col(key) == F.col("_key"))
+        rows = rows.select(
+            F.col(key).alias("key"), F.col(reduced_vector).cast("array<float>").alias("vec"),
+            *[F.col(c).alias(f"f_{i}") for i, c in enumerate(filters)], F.col("_whole").cast("array<float>").alias("whole"),
+        )
+        return finish(_rescored_in_grid(rows, first, asked, facts, metric, broadcast_limit))
     candidates = knn.knn_join(
         reduced,
         reduced_queries,
@@ -119,7 +138,7 @@ def rescored(
         vector=reduced_vector,
         query_id=query_id,
         query_vector=query_vector,
-        top_k=(F.coalesce(top_k, F.lit(10)) if isinstance(top_k, Column) else top_k) * candidate_multiplier,
+        top_k=first_k,
         metric=candidate_metric,
         filter=filter,
         filter_on=filter_on,
@@ -128,18 +147,24 @@ def rescored(
     few = facts.n * facts.k * candidate_multiplier * 64 <= broadcast_limit
     hint = F.broadcast if few else lambda df: df
     rows = corpus.select(F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("vec"))
-    if facts.rows is not None:
-        # The query vectors travel once per task; a candidate row brings the ids that ask for it, at
-        # most one per query.
-        asking = candidates.groupBy("key").agg(F.collect_list("query_id").alias("asking"))
-        hits = knn.scan_hits(rows.join(hint(asking), "key"), facts.rows, facts.dim)
-        return finish(knn.merge_hits(hits, facts.k, scan_tasks(corpus)))
-    pairs = rows.join(hint(candidates), "key").join(asked, F.col("query_id") == F.col("qid"))
-    scored = pairs.withColumn("goodness", pair_goodness(F.col("qvec"), F.col("vec"), F.col("qmetric"), facts.dim))
-    scored = scored.where(
-        ~F.isnan("goodness") & (F.col("qfloor").isNull() | (F.col("goodness") >= F.col("qfloor")))
-    )
-    return finish(knn.merge_hits(scored.select("query_id", "key", "goodness", "qk", "qmetric"), facts.k))
+    # The query vectors travel once per task; a candidate row brings the ids that ask for it, at
+    # most one per query.
+    asking = candidates.groupBy("key").agg(F.collect_list("query_id").alias("asking"))
+    hits = knn.scan_hits(rows.join(hint(asking), "key"), facts.rows, facts.dim)
+    return finish(knn.merge_hits(hits, facts.k, scan_tasks(corpus)))
+
+
+def _rescored_in_grid(rows: DataFrame, first: DataFrame, asked: DataFrame, facts: knn.Asked, metric: str, limit: int) -> DataFrame:
+    """Candidates of many queries: whole vectors travel beside the reduced ones, and a candidate gets its exact score in the task that finds it, so that no pair is joined to its vectors."""
+    reduced = knn.measure(first, limit)
+    both = knn.Asked(reduced.n, reduced.dim, reduced.k, reduced.bytes + 4 * facts.dim * reduced.n)
+    found = knn._grid_hits(rows, first, both, limit, (facts.dim, METRIC_CODES[metric]))
+    order = Window.partitionBy("query_id").orderBy(F.col("goodness").desc(), F.col("key").asc())
+    found = found.withColumn("place", F.row_number().over(order))
+    found = found.where((F.col("place") <= both.k) & (F.col("place") <= F.col("qk"))).select("query_id", "key", F.col("whole").alias("goodness"))
+    scored = found.join(asked.select("qid", "qk", "qfloor", "qmetric"), F.col("query_id") == F.col("qid"))
+    scored = scored.where(~F.isnan("goodness") & (F.col("qfloor").isNull() | (F.col("goodness") >= F.col("qfloor"))))
+    return knn.merge_hits(scored.select("query_id", "key", "goodness", "qk", "qmetric"), facts.k)
 
 
 # --- inverted-file cells ------------------------------------------------------------------------
@@ -247,7 +272,10 @@ def cell_search_hits(celled, asked, facts, *, cell, prune, shelf_of, key, vector
     if facts.n == 0:
         return knn._no_hits(asked, pick(celled))
     if facts.rows is None:
-        return _cell_grid_hits(pick(celled), asked, facts, limit)
+        if not prune:
+            # Every query looks into every cell, so cells need not be kept together.
+            return knn._grid_hits(pick(celled).drop("cell"), asked.drop("qcells"), facts, limit)
+        return cell_grid_hits(pick(celled), asked, facts, limit)
     if prune:
         probed = sorted(set(facts.rows.column("qcells").combine_chunks().flatten().to_pylist()))
         if shelf_of is not None:
@@ -256,40 +284,68 @@ def cell_search_hits(celled, asked, facts, *, cell, prune, shelf_of, key, vector
     return knn.scan_hits(pick(celled), facts.rows, facts.dim)
 
 
-def _cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: knn.Asked, limit: int) -> DataFrame:
-    """Join on the cell, with each cell cut into its own grid.
+def cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: knn.Asked, limit: int, apart: int | None = None) -> DataFrame:
+    """Rows and queries meet in a grid whose columns hold whole cells, with their neighbours by number, up to an equal share of the work.
 
-    A cell that many queries probe is cut into grid rows, one that holds many vectors into grid
-    columns, so neither a hot cell nor a popular one ends in a single task.
+    A query travels once to a column, with the cells it names there, and not once per cell. The work of a cell is its rows times the queries that name it; one with more
+    than a share is dealt over columns of its own by a hash of the keys. ``apart``: cells of different multiples of that number share no column.
     """
     spark = rows.sparkSession
-    probing = asked.withColumn("cell", F.explode("qcells")).drop("qcells")
     sizes = dict(rows.groupBy("cell").count().collect())
-    loads = dict(probing.groupBy("cell").count().collect())
-    row_bytes = facts.bytes / facts.n
-    cuts = {c: math.ceil(load * row_bytes / limit) for c, load in loads.items() if c in sizes}
-    share = sum(sizes[c] * n for c, n in cuts.items()) / (knn.TASKS_PER_SLOT * shuffle_tasks(spark))
-    layout, total = [], 0
-    for cell, n_rows in sorted(cuts.items()):
-        n_columns = max(1, math.ceil(sizes[cell] / max(share, 1)))
-        layout.append((cell, total, n_rows, n_columns))
-        total += n_rows * n_columns
-    if not layout:
+    loads = dict(asked.select(F.explode("qcells").alias("cell")).groupBy("cell").count().collect())
+    n_rows, n_columns = knn.grid_shape(rows, facts, limit)
+    places, total = _columns({c: sizes[c] * n for c, n in loads.items() if c in sizes}, n_columns, apart)
+    if not places:
         return knn._no_hits(asked, rows)
-    # At most one layout row per centroid.
-    places = F.broadcast(spark.createDataFrame(layout, "cell int, base int, n_rows int, n_columns int"))
-    row_of, column_of = F.pmod(F.xxhash64("qid"), F.col("n_rows")), F.pmod(F.xxhash64("key"), F.col("n_columns"))
-    series = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    place = lambda row, column: (F.col("base") + row * F.col("n_columns") + column).cast("int")
-    extra = ["base", "n_rows", "n_columns", "at"]
-    left = probing.join(places, "cell").withColumn("at", series("n_columns"))
-    right = rows.join(places, "cell").withColumn("at", series("n_rows"))
-    return knn.cell_hits(
-        right.withColumn("cell", place(F.col("at"), column_of)).drop(*extra),
-        left.withColumn("cell", place(row_of, F.col("at"))).drop(*extra),
-        facts.dim,
-        total,
-    )
+    # At most one row per cell.
+    layout = F.broadcast(spark.createDataFrame([(c, *place) for c, place in places.items()], "cell int, first int, parts int"))
+    met = rows.join(layout, "cell").withColumn("column", (F.col("first") + F.pmod(F.xxhash64("key"), F.col("parts"))).cast("int")).drop("first", "parts")
+    routed = asked.withColumn("route", F.explode(_routes(places)("qcells"))).withColumn("column", F.col("route.column")).withColumn("qcells", F.col("route.cells")).drop("route")
+    return knn.grid_hits(met, routed, facts.dim, n_rows, total)
+
+
+def _columns(work: dict[int, int], n_columns: int, apart: int | None) -> tuple[dict[int, tuple[int, int]], int]:
+    """(first column, number of columns) of each cell, and the number of columns."""
+    share = max(1.0, sum(work.values()) / n_columns)
+    places, column, filled, last = {}, -1, math.inf, None
+    for cell, load in sorted(work.items()):
+        group = cell // apart if apart else None
+        parts = math.ceil(load / share)
+        if parts > 1 or filled + load > share or group != last:
+            column, filled = column + 1, 0
+        places[cell] = (column, max(1, parts))
+        if parts > 1:
+            column, filled = column + parts - 1, math.inf
+        else:
+            filled += load
+        last = group
+    return places, column + 1
+
+
+def _routes(places: dict[int, tuple[int, int]]):
+    """For a query's cells the columns they lie in, each with its own of them."""
+    cells = np.array(sorted(places), np.int64)
+    first, parts = np.array([places[c] for c in cells.tolist()], np.int64).T
+
+    @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("column", T.IntegerType()), T.StructField("cells", T.ArrayType(T.IntegerType()))])))
+    def route(lists: pa.Array) -> pa.Array:
+        owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        named = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.minimum(np.searchsorted(cells, named), len(cells) - 1)
+        known = cells[at] == named  # a cell without rows has no column
+        owner, named, at = owner[known], named[known], at[known]
+        again = parts[at]
+        nth = np.arange(again.sum()) - np.repeat(np.cumsum(again) - again, again)
+        owner, named, column = np.repeat(owner, again), np.repeat(named, again), np.repeat(first[at], again) + nth
+        order = np.lexsort((named, column, owner))
+        owner, named, column = owner[order], named[order], column[order]
+        starts = np.flatnonzero(np.r_[True, (np.diff(owner) != 0) | (np.diff(column) != 0)]) if len(owner) else np.zeros(0, np.int64)
+        held = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(owner)], pa.int32()), pa.array(named, pa.int32()))
+        routes = pa.StructArray.from_arrays([pa.array(column[starts], pa.int32()), held], names=["column", "cells"])
+        ends = np.cumsum(np.bincount(owner[starts], minlength=len(lists)))
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), routes)
+
+    return route
 
 
 # --- choosing a method by recall ----------------------------------------------------------------

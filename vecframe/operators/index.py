@@ -312,8 +312,9 @@ class Index:
         } | self._visible(options)
         options["metric"] = self.metric
         rows = self.stored_rows()
-        reduced = queries.withColumn(options["query_vector"], _reduced(options["query_vector"], self.space, self.model, rows=False))
-        return ann.rescored(rows.drop("_reduced"), queries, rows, reduced, candidate_metric="euclidean", candidate_multiplier=candidate_multiplier, reduced_vector="_reduced", **options)
+        whole = lambda df, column: df.withColumn("_whole", F.col(column))
+        reduced = whole(queries, options["query_vector"]).withColumn(options["query_vector"], _reduced(options["query_vector"], self.space, self.model, rows=False))
+        return ann.rescored(rows.drop("_reduced"), queries, whole(rows, self.entry["vector"]), reduced, candidate_metric="euclidean", candidate_multiplier=candidate_multiplier, reduced_vector="_reduced", **options)
 
     def _kept(self, df: DataFrame, purpose: str) -> DataFrame:
         path = shared_dir(self.spark, purpose)

@@ -6,10 +6,10 @@ How the work is laid out:
 
 * A query table whose measured size fits ``broadcast_limit`` travels to the tasks; the corpus is
   scanned in place, in its own splits and without a shuffle, and each task sends on at most ``k`` rows per query.
-* A larger query table is spread over a grid: ``rows`` of it so that each part of the queries fits
-  the same limit, ``columns`` of it so that all tasks of a shuffle are busy. Each cell streams its corpus
-  rows past its queries, so memory does not grow with the corpus. A corpus row is copied once per
-  grid row; against the ``limit / 4`` multiplications it takes part in per copy, that is small.
+* A larger query table is spread over a grid of as many cells as keep all tasks busy. Each cell streams its corpus
+  rows past its queries, so memory does not grow with the corpus. A corpus row is copied once per row of the grid, a query and
+  its hits once per column, so the grid has the shape that moves least, with each part of the queries within
+  the same limit. Until that limit asks for more rows, what moves grows in proportion to both tables.
 
 Filters are applied before scoring, so ``k`` counts matching rows only.
 """
@@ -31,11 +31,15 @@ from pyspark.sql.pandas.types import from_arrow_type
 from vecframe.operators.metrics import METRIC_ALIASES, metric_column, metric_name
 from vecframe.operators.points import MOST_PUSHED, among
 from vecframe.operators.topk import EUCLIDEAN, METRIC_CODES, TopK
-from vecframe.session import scan_tasks, shuffle_tasks
+from vecframe.session import estimated_bytes, scan_tasks, shuffle_tasks, task_slots
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 TASKS_PER_SLOT = 3
 MERGE_FAN_IN = 64
+# Cells of a grid, on however small a cluster, if a shuffle has so many tasks.
+LEAST_CELLS = 48
+# About the bytes of a hit on its way to the merge.
+HIT_BYTES = 48
 
 
 def knn_join(
@@ -224,11 +228,13 @@ def measure(asked: DataFrame, limit: int) -> Asked:
     The row count and one row decide whether it fits, so that queries that are costly to compute,
     such as embedded texts, are computed once.
     """
-    first = asked.select(F.size("qvec"), "qk").first()
+    listed = F.size("qcells") if "qcells" in asked.columns else F.lit(0)
+    first = asked.select(F.size("qvec"), "qk", listed.alias("listed")).first()
     if first is None:
         return Asked(0, 0, 1, 0)
+    *first, listed = first
     n = asked.count()
-    wide = lambda dim, k: n * (4 * max(dim or 0, 0) + 24 * k + 64)
+    wide = lambda dim, k: n * (4 * max(dim or 0, 0) + 24 * k + 4 * max(listed or 0, 0) + 64)
     if wide(*first) <= limit:
         rows = asked.toArrow()
         sizes = pc.list_value_length(rows.column("qvec"))
@@ -319,53 +325,75 @@ def with_vectors_only(batch: pa.RecordBatch) -> pa.RecordBatch:
     return batch.filter(vectors.is_valid()) if vectors.null_count else batch
 
 
-def _grid_hits(rows: DataFrame, asked: DataFrame, facts: Asked, limit: int) -> DataFrame:
-    grid_rows = math.ceil(facts.bytes / limit)
-    grid_columns = max(1, math.ceil(TASKS_PER_SLOT * shuffle_tasks(rows.sparkSession) / grid_rows))
-    row_of = F.pmod(F.xxhash64("qid"), F.lit(grid_rows))
-    column_of = F.pmod(F.xxhash64("key"), F.lit(grid_columns))
-    asked = asked.withColumn("column", F.explode(F.sequence(F.lit(0), F.lit(grid_columns - 1))))
-    rows = rows.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(grid_rows - 1))))
+def grid_shape(rows: DataFrame, facts: Asked, limit: int) -> tuple[int, int]:
+    """(rows, columns) of a grid that moves least: corpus rows travel to every grid row, queries and their hits to and from every column."""
+    spark = rows.sparkSession
+    cells = max(TASKS_PER_SLOT * task_slots(spark), min(shuffle_tasks(spark), LEAST_CELLS))
+    of_queries = facts.n * (4 * facts.dim + 64 + HIT_BYTES * facts.k)
+    balanced = math.sqrt(cells * of_queries / max(1, estimated_bytes(rows)))
+    n_rows = max(math.ceil(facts.bytes / limit), min(cells, round(balanced)), 1)
+    return n_rows, max(1, math.ceil(cells / n_rows))
+
+
+def _grid_hits(rows: DataFrame, asked: DataFrame, facts: Asked, limit: int, whole: tuple[int, int] | None = None) -> DataFrame:
+    n_rows, n_columns = grid_shape(rows, facts, limit)
+    asked = asked.withColumn("column", F.explode(F.sequence(F.lit(0), F.lit(n_columns - 1))))
+    rows = rows.withColumn("column", F.pmod(F.xxhash64("key"), F.lit(n_columns)).cast("int"))
+    return grid_hits(rows, asked, facts.dim, n_rows, n_columns, whole)
+
+
+def grid_hits(rows: DataFrame, asked: DataFrame, dim: int, n_rows: int, n_columns: int, whole: tuple[int, int] | None = None) -> DataFrame:
+    """Best rows per cell of a grid: queries and corpus rows have the ``column`` (0 and up) where they meet, queries are dealt over its rows."""
+    row_of = F.pmod(F.xxhash64("qid"), F.lit(n_rows))
+    rows = rows.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))))
     return cell_hits(
-        rows.withColumn("cell", (F.col("row") * grid_columns + column_of).cast("int")).drop("row"),
-        asked.withColumn("cell", (row_of * grid_columns + F.col("column")).cast("int")).drop("column"),
-        facts.dim,
-        grid_rows * grid_columns,
+        rows.withColumn("at", (F.col("row") * n_columns + F.col("column")).cast("int")).drop("row", "column"),
+        asked.withColumn("at", (row_of * n_columns + F.col("column")).cast("int")).drop("column"),
+        dim,
+        n_rows * n_columns,
+        whole,
     )
 
 
-def cell_hits(rows: DataFrame, asked: DataFrame, dim: int, cells: int) -> DataFrame:
-    """Best rows per cell: queries and corpus rows meet where their ``cell`` (0..cells-1) is equal.
+def cell_hits(rows: DataFrame, asked: DataFrame, dim: int, cells: int, whole: tuple[int, int] | None = None) -> DataFrame:
+    """Best rows per grid cell: queries and corpus rows meet where their ``at`` (0..cells-1) is equal.
 
-    Within a partition each cell's queries come first and are held; its corpus rows stream past.
+    Within a partition each cell's queries come first and are held; its corpus rows stream past. If rows have a ``cell`` of an index and
+    queries their ``qcells``, rows meet only the queries that name their cell. With ``whole``, the dimension and metric of a second vector
+    of rows (``whole``) and queries (``qwhole``), hits also have the exact score by that one.
     """
     spark = rows.sparkSession
     filters = [c for c in rows.columns if c.startswith("f_")]
+    by_cell = "cell" in rows.columns
     schema = _hit_schema(asked.schema["qid"].dataType, rows.schema["key"].dataType)
+    if whole is not None:
+        schema = schema.add("whole", T.DoubleType())
     null = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
     left = asked.select(
-        "cell", F.lit(0).alias("side"), "qid", null(rows, "key"), F.col("qvec").alias("vec"),
+        "at", F.lit(0).alias("side"), "qid", null(rows, "key"), F.col("qvec").alias("vec"),
         "qk", "qfloor", "qmetric", *[F.col(f).cast(rows.schema[f].dataType).alias(f) for f in filters],
+        *(["qcells", null(rows, "cell")] if by_cell else []), *([F.col("qwhole").alias("whole")] if whole else []),
     )
     right = rows.select(
-        "cell", F.lit(1).alias("side"), null(asked, "qid"), "key", "vec",
+        "at", F.lit(1).alias("side"), null(asked, "qid"), "key", "vec",
         null(asked, "qk"), null(asked, "qfloor"), null(asked, "qmetric"), *filters,
+        *([null(asked, "qcells"), "cell"] if by_cell else []), *(["whole"] if whole else []),
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held, best = None, [], None
         for batch in batches:
             batch = with_vectors_only(batch)
-            cell = batch.column("cell").to_numpy(zero_copy_only=False).astype(np.int64)
+            at = batch.column("at").to_numpy(zero_copy_only=False).astype(np.int64)
             side = batch.column("side").to_numpy(zero_copy_only=False)
             key_type = batch.column("key").type
-            turns = np.flatnonzero(np.r_[True, np.diff(cell * 2 + side) != 0])
-            for start, stop in zip(turns, np.r_[turns[1:], len(cell)]):
+            turns = np.flatnonzero(np.r_[True, np.diff(at * 2 + side) != 0])
+            for start, stop in zip(turns, np.r_[turns[1:], len(at)]):
                 run = batch.slice(start, stop - start)
-                if cell[start] != current:
+                if at[start] != current:
                     if best is not None:
                         yield best.result(key_type)
-                    current, held, best = cell[start], [], None
+                    current, held, best = at[start], [], None
                 if side[start] == 0:
                     held.append(run)
                     continue
@@ -373,18 +401,21 @@ def cell_hits(rows: DataFrame, asked: DataFrame, dim: int, cells: int) -> DataFr
                     if not held:
                         continue
                     table = pa.Table.from_batches(held)
-                    best = TopK(table.rename_columns(["qvec" if c == "vec" else c for c in table.column_names]), dim)
-                best.add(run.column("key"), run.column("vec"), {f: run.column(f) for f in filters})
+                    best = TopK(table.rename_columns([{"vec": "qvec", "whole": "qwhole"}.get(c, c) for c in table.column_names]), dim, whole)
+                best.add(
+                    run.column("key"), run.column("vec"), {f: run.column(f) for f in filters},
+                    run.column("cell").to_numpy(zero_copy_only=False) if by_cell else None, run.column("whole") if whole else None,
+                )
         if best is not None:
             yield best.result(key_type)
 
-    tasks = min(cells, 4 * TASKS_PER_SLOT * shuffle_tasks(spark))
-    met = left.unionByName(right).repartitionById(tasks, F.pmod("cell", F.lit(tasks)))
-    return met.sortWithinPartitions("cell", "side").mapInArrow(search, schema)
+    tasks = min(cells, 4 * TASKS_PER_SLOT * max(shuffle_tasks(spark), task_slots(spark)))
+    met = left.unionByName(right).repartitionById(tasks, F.pmod("at", F.lit(tasks)))
+    return met.sortWithinPartitions("at", "side", *(["cell"] if by_cell else [])).mapInArrow(search, schema)
 
 
-def merge_hits(hits: DataFrame, k_max: int, tasks: int = 0) -> DataFrame:
-    """Best k per query over all tasks: ``query_id, rank, key, score``.
+def merge_hits(hits: DataFrame, k_max: int, tasks: int = 0, *, repeated: bool = False) -> DataFrame:
+    """Best k per query over all tasks: ``query_id, rank, key, score``. A key that tasks may have found several times counts once with ``repeated``.
 
     The bound ``k_max`` on every query's k lets Spark drop rows before each shuffle as well as after
     it. With many ``tasks`` behind ``hits`` a level of ``MERGE_FAN_IN`` groups per query comes first, so no task sorts a
@@ -396,6 +427,10 @@ def merge_hits(hits: DataFrame, k_max: int, tasks: int = 0) -> DataFrame:
         partial = Window.partitionBy("query_id", "group").orderBy(*order)
         hits = hits.withColumn("place", F.row_number().over(partial))
         hits = hits.where((F.col("place") <= k_max) & (F.col("place") <= F.col("qk"))).drop("place", "group")
+    if repeated:
+        # A dense rank is the same for equal hits; grouping by query needs no second shuffle.
+        place = F.dense_rank().over(Window.partitionBy("query_id").orderBy(*order))
+        hits = hits.withColumn("place", place).where(F.col("place") <= k_max).dropDuplicates(["query_id", "place"]).drop("place")
     by_query = Window.partitionBy("query_id").orderBy(*order)
     score = F.when(F.col("qmetric") == EUCLIDEAN, F.abs("goodness")).otherwise(F.col("goodness"))
     return (

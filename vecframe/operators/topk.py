@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 COSINE, DOT, EUCLIDEAN = 0, 1, 2
 METRIC_CODES = {"cosine": COSINE, "dot_product": DOT, "euclidean": EUCLIDEAN}
 TILE_CELLS = 2_000_000
+# Rough scores below this cannot have overflowed.
+SAFE_SCORE = 1e37
 BUFFER_ROWS = 400_000
 UNCONSTRAINED = -2
 
@@ -58,9 +60,10 @@ class TopK:
 
     ``queries`` is a table with columns ``qid, qvec, qk, qfloor, qmetric`` (floor in "larger is
     better" terms, null for none), ``f_<name>`` per filter column and, for cell search, ``qcells``.
+    With ``whole``, the dimension and metric of a second vector ``qwhole``, every kept row also gets its exact score by that one.
     """
 
-    def __init__(self, queries: pa.Table, dim: int):
+    def __init__(self, queries: pa.Table, dim: int, whole: tuple[int, int] | None = None):
         queries = queries.combine_chunks()
         column = lambda name: _one_array(queries.column(name))
         self.ids = column("qid")
@@ -71,6 +74,9 @@ class TopK:
         self.floor = np.where(np.isnan(floors), -np.inf, floors)
         self.metric = column("qmetric").to_numpy(zero_copy_only=False).astype(np.int64)
         self.q_norm = _norms(self.q)
+        self.whole = whole
+        if whole is not None:
+            self.q_whole = to_matrix(column("qwhole"), whole[0])
         self.unit_q = np.divide(
             self.q, self.q_norm[:, None], out=np.zeros(self.q.shape), where=self.q_norm[:, None] != 0
         ).astype(np.float32)
@@ -94,17 +100,21 @@ class TopK:
         n = len(self.ids)
         self.kth = np.full(n, -np.inf)
         self.found = np.zeros(n, dtype=np.int64)
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
         self.buffered = 0
         self.kept = 0
 
-    def add(self, keys: pa.Array, vectors: pa.Array, filters: dict[str, pa.Array], cells=None) -> None:
+    def add(self, keys: pa.Array, vectors: pa.Array, filters: dict[str, pa.Array], cells=None, wholes: pa.Array | None = None) -> None:
         if keys.null_count:
             raise ValueError("a row without a key cannot be searched")
         if len(self.ids) == 0 or len(keys) == 0:
             return
         x = to_matrix(vectors, self.dim)
         key_values = keys.to_numpy(zero_copy_only=False)
+        if self.whole is not None:
+            # The place of a row stands for its key until the batch is done, so that the second vector is found.
+            self.x_whole, self.x_keys = to_matrix(wholes, self.whole[0]), key_values
+            key_values = np.arange(len(keys))
         codes = {}
         for name, (values, _) in self.filters.items():
             found = pc.index_in(filters[name].cast(values.type), value_set=values)
@@ -146,9 +156,11 @@ class TopK:
                 out = np.zeros(x.shape)
                 with np.errstate(invalid="ignore"):
                     right = np.divide(x, x_norm[:, None], out=out, where=x_norm[:, None] != 0).astype(np.float32)
+            widest = self.q_norm[of_metric].max()
+            safe = len(finite) == len(x) and (widest + longest) ** 2 < SAFE_SCORE
             step = max(1, TILE_CELLS // len(x))
             for at in range(0, len(of_metric), step):
-                self._add_tile(of_metric[at : at + step], metric, keys, x, right, x_norm, longest, codes)
+                self._add_tile(of_metric[at : at + step], metric, keys, x, right, x_norm, longest, codes, safe)
 
     def _bounds(self, qs, metric, right, x_norm, longest):
         """Scores in a monotone form, and how far from the true value each query's may be."""
@@ -164,33 +176,35 @@ class TopK:
                 reach = reach + half_q + longest**2 / 2
         return rough, reach * (self.dim + 16) * 2.0**-22 + 1e-30
 
-    def _add_tile(self, qs, metric, keys, x, right, x_norm, longest, codes) -> None:
+    def _add_tile(self, qs, metric, keys, x, right, x_norm, longest, codes, safe) -> None:
         with np.errstate(over="ignore", invalid="ignore"):
             rough, slack = self._bounds(qs, metric, right, x_norm, longest)
             bar = np.maximum(self.kth[qs], self.floor[qs])
             if metric == EUCLIDEAN:
                 bar = np.where(np.isneginf(bar), bar, -(bar**2) / 2)
-            unsure = ~np.isfinite(rough)
+            unsure = None if safe else ~np.isfinite(rough)
         allowed = None
         for name, row_codes in codes.items():
             wanted = self.filters[name][1][qs]
             same = (wanted[:, None] == row_codes[None, :]) | (wanted == UNCONSTRAINED)[:, None]
             allowed = same if allowed is None else allowed & same
         settled = rough
-        if allowed is not None or unsure.any():
+        if unsure is not None:
             drop = unsure if allowed is None else unsure | ~allowed
             settled = np.where(drop, np.float32(-np.inf), rough)
+        elif allowed is not None:
+            settled = np.where(allowed, rough, np.float32(-np.inf))
         k_max = int(self.k[qs].max())
-        if (self.found[qs] < self.k[qs]).any() and settled.shape[1] > k_max:
-            in_batch = np.partition(settled, -k_max, axis=1)[:, -k_max].astype(np.float64) - slack
-            bar = np.maximum(bar, in_batch)
-        hopeful = settled >= (bar - slack)[:, None]
-        hopeful &= ~np.isneginf(settled)
-        if unsure.any():
+        # A k-th place found among few rows is a poor bar for many, so a wide block gives its own.
+        if settled.shape[1] > 16 * k_max or settled.shape[1] > k_max and (self.found[qs] < self.k[qs]).any():
+            bar = np.maximum(bar, _kth_or_less(settled, k_max).astype(np.float64) - slack)
+        hopeful = settled >= _at_most(bar - slack)[:, None]
+        if unsure is not None:
+            hopeful &= ~np.isneginf(settled)
             hopeful |= unsure
         if allowed is not None:
             hopeful &= allowed
-        at_q, at_x = np.nonzero(hopeful)
+        at_q, at_x = np.divmod(np.flatnonzero(hopeful.reshape(-1)), hopeful.shape[1])
         self._score(qs[at_q], keys, x, at_x, metric)
 
     def _score(self, q_rows, keys, x, x_rows, metric) -> None:
@@ -202,7 +216,11 @@ class TopK:
                 good = exact_goodness(self.q[q_part], x[x_part], metric)
                 # Scores equal to the k-th still compete: the key decides.
                 keep = (good >= self.floor[q_part]) & (good >= self.kth[q_part]) & ~np.isnan(good)
-            self.parts.append((q_part[keep], good[keep], keys[x_part[keep]]))
+                part = (q_part[keep], good[keep], keys[x_part[keep]])
+                if self.whole is not None:
+                    places = part[2]
+                    part = (*part[:2], self.x_keys[places], exact_goodness(self.q_whole[part[0]], self.x_whole[places], self.whole[1]))
+            self.parts.append(part)
             self.buffered += int(keep.sum())
             if self.buffered > BUFFER_ROWS + 2 * self.kept:
                 self._compact()
@@ -222,8 +240,8 @@ class TopK:
     def _compact(self) -> None:
         if not self.parts:
             return
-        q, good, keys = (np.concatenate(column) for column in zip(*self.parts))
-        table = pd.DataFrame({"q": q, "good": good, "key": keys})
+        columns = [np.concatenate(column) for column in zip(*self.parts)]
+        table = pd.DataFrame(dict(zip(["q", "good", "key", "whole"], columns)))
         table = table.sort_values(["q", "good", "key"], ascending=[True, False, True], kind="stable")
         place = table.groupby("q").cumcount().to_numpy()
         table = table[place < self.k[table["q"].to_numpy()]]
@@ -232,26 +250,45 @@ class TopK:
         last = table.groupby("q")["good"].min()
         full = self.found[last.index] >= self.k[last.index]
         self.kth[last.index[full]] = last.to_numpy()[full]
-        self.parts = [(q, table["good"].to_numpy(), table["key"].to_numpy())]
+        self.parts = [(q, *(table[name].to_numpy() for name in table.columns[1:]))]
         self.kept = self.buffered = len(table)
 
     def result(self, key_type: pa.DataType) -> pa.RecordBatch:
-        """Columns ``query_id, key, goodness, qk, qmetric`` of the best rows seen."""
+        """Columns ``query_id, key, goodness, qk, qmetric`` of the best rows seen, and ``whole``, the score by the second vector."""
         self._compact()
         if self.parts:
-            q, good, keys = self.parts[0]
+            q, good, keys, *whole = self.parts[0]
         else:
-            q, good, keys = np.array([], dtype=np.int64), np.array([]), []
-        return pa.RecordBatch.from_arrays(
-            [
-                self.ids.take(pa.array(q, type=pa.int64())),
-                pa.array(keys, type=key_type),
-                pa.array(good, type=pa.float64()),
-                pa.array(self.k[q], type=pa.int32()),
-                pa.array(self.metric[q], type=pa.int32()),
-            ],
-            names=["query_id", "key", "goodness", "qk", "qmetric"],
-        )
+            q, good, keys, whole = np.array([], dtype=np.int64), np.array([]), [], [np.array([])]
+        columns = {
+            "query_id": self.ids.take(pa.array(q, type=pa.int64())),
+            "key": pa.array(keys, type=key_type),
+            "goodness": pa.array(good, type=pa.float64()),
+            "qk": pa.array(self.k[q], type=pa.int32()),
+            "qmetric": pa.array(self.metric[q], type=pa.int32()),
+        }
+        if self.whole is not None:
+            columns["whole"] = pa.array(whole[0], type=pa.float64())
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def _kth_or_less(scores: np.ndarray, k: int) -> np.ndarray:
+    """A value per row that at least ``k`` of its scores reach, the k-th best or a little less.
+
+    The k-th best of the maxima of disjoint groups of columns is one, and much cheaper than that of all columns.
+    """
+    n, width = scores.shape
+    deep = min(width // (8 * k), 64)
+    if deep > 1:
+        scores = scores[:, : width // deep * deep].reshape(n, deep, -1).max(axis=1)
+    return np.partition(scores, -k, axis=1)[:, -k]
+
+
+def _at_most(values: np.ndarray) -> np.ndarray:
+    """Doubles as floats that are not larger."""
+    with np.errstate(over="ignore"):
+        floats = values.astype(np.float32)
+    return np.where(floats > values, np.nextafter(floats, np.float32(-np.inf)), floats)
 
 
 def _one_array(column) -> pa.Array:
