@@ -3,9 +3,10 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.feature import BucketedRandomProjectionLSHModel
 from pyspark.sql import functions as F
 
-from vecframe.operators import ann, index, knn, topk
+from vecframe.operators import ann, index, knn, lsh, topk
 
 NAMES = {"key": "id", "vector": "v", "query_id": "id", "query_vector": "v"}
 
@@ -85,3 +86,12 @@ def test_many_candidates_are_scored_where_they_are_found(points, stored):
     assert rows(many) == rows(ann.knn_pca(points, points, components, **options))
     # No pair of a query and a candidate is joined to the vectors.
     assert many._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 1 + stored
+
+
+def test_hashing_builds_no_pairs(points, monkeypatch):
+    def refused(*_):
+        raise AssertionError("pairs joined")
+
+    monkeypatch.setattr(BucketedRandomProjectionLSHModel, "approxSimilarityJoin", refused)
+    truth = rows(knn.knn_join(points, points, metric="euclidean", top_k=5, **NAMES))
+    assert rows(lsh.knn_lsh(points, points, top_k=5, miss=1e-9, **NAMES)) == truth

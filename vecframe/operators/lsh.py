@@ -6,12 +6,12 @@ import math
 
 import numpy as np
 from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.operators import knn
-from vecframe.session import scan_tasks, shared_dir
+from vecframe.operators import ann, knn
+from vecframe.session import shared_dir
 
 SAMPLE_QUERIES = 200
 #: A pair as far apart as most k-th neighbours is to be missed with at most this chance.
@@ -19,6 +19,8 @@ MISS = 0.01
 MOST_TABLES = 16
 #: The bucket length as a multiple of that distance.
 LENGTHS = 2.0
+#: Numbers for the buckets of a table.
+BUCKETS = 512
 
 
 def collision(distance: float, length: float) -> float:
@@ -39,7 +41,7 @@ def knn_lsh(
 
     The distance to look within is the largest but for 5 % of the k-th distances of at most ``sample_queries`` queries, by a hash of their ids; the bucket length is a multiple of
     it, and tables are added until a pair at that distance is missed with a chance of ``miss`` at most. Pairs that share a bucket of a table and lie within the
-    distance are candidates (``approxSimilarityJoin``); they are scored again in double precision. A query with fewer than ``top_k`` of them
+    distance are candidates. Buckets are the cells of a grid in which rows stream past queries, so no pair is a row of a join; scores are exact. A query with fewer than ``top_k`` of them
     is searched exactly, so every query has its full number of hits. Vectors must be finite.
     """
     asked = knn.query_table(queries, query_id=query_id, query_vector=query_vector, top_k=top_k, metric="euclidean", min_score=None, max_distance=None, filter_on=None)
@@ -52,18 +54,17 @@ def knn_lsh(
         return knn.knn_join(corpus, queries, **names)
     length = lengths * reach
     tables = min(MOST_TABLES, max(1, math.ceil(math.log(miss) / math.log(1 - collision(reach, length)))))
-    features = lambda df, c: array_to_vector(F.col(c).cast("array<float>").cast("array<double>")).alias("features")
-    left = asked.select("qid", features(asked, "qvec"))
-    right = corpus.where(F.col(vector).isNotNull()).select(F.col(key).alias("key"), features(corpus, vector))
-    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=length, numHashTables=tables, seed=seed).fit(left)
-    near = model.approxSimilarityJoin(left, right, reach, "distance")
-    pairs = near.select(F.col("datasetA.qid").alias("query_id"), F.col("datasetB.key").alias("key"))
-    rows = corpus.select(F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("vec"))
-    scored = pairs.join(rows, "key").join(asked, F.col("query_id") == F.col("qid"))
-    # Spark's own array functions keep the score in the JVM; the distance is that of the float vectors in double.
-    gap = F.sqrt(F.aggregate(F.zip_with("qvec", "vec", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda t, x: t + x))
-    hits = scored.select("query_id", "key", (-gap).alias("goodness"), "qk", "qmetric")
-    found = _kept(knn.merge_hits(hits, facts.k, scan_tasks(corpus)), "lsh-hits")
+    features = lambda c: array_to_vector(F.col(c).cast("array<float>").cast("array<double>")).alias("features")
+    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=length, numHashTables=tables, seed=seed).fit(asked.select(features("qvec")))
+    # Buckets so many lengths apart share a number; they are farther apart than what is looked for.
+    bucket = lambda t: (F.pmod(vector_to_array(F.col("hashes")[t])[0].cast("long"), F.lit(BUCKETS)) + t * BUCKETS).cast("int")
+    buckets = F.array(*[bucket(t) for t in range(tables)])
+    hashed = lambda df, c: model.transform(df.withColumn("features", features(c)))
+    rows = hashed(corpus.where(F.col(vector).isNotNull()).select(F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("vec")), "vec")
+    within = F.greatest(F.coalesce("qfloor", F.lit(-reach)), F.lit(-reach))
+    queries_in = hashed(asked, "qvec").withColumn("qcells", buckets).withColumn("qfloor", within).drop("features", "hashes")
+    hits = ann.cell_grid_hits(rows.select("key", "vec", F.explode(buckets).alias("cell")), queries_in, facts, broadcast_limit, apart=BUCKETS)
+    found = _kept(knn.merge_hits(hits, facts.k, repeated=True), "lsh-hits")
     short = asked.select("qid").join(found.groupBy("query_id").count().where(F.col("count") >= top_k).select(F.col("query_id").alias("qid")), "qid", "left_anti")
     rest = _kept(queries.join(short.withColumnRenamed("qid", "_short"), F.col(query_id) == F.col("_short"), "left_semi"), "short-queries")
     exact = knn.knn_join(corpus, rest, **names)
