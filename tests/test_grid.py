@@ -95,3 +95,24 @@ def test_hashing_builds_no_pairs(points, monkeypatch):
     monkeypatch.setattr(BucketedRandomProjectionLSHModel, "approxSimilarityJoin", refused)
     truth = rows(knn.knn_join(points, points, metric="euclidean", top_k=5, **NAMES))
     assert rows(lsh.knn_lsh(points, points, top_k=5, miss=1e-9, **NAMES)) == truth
+
+
+def test_grid_of_pruned_search_does_not_grow_with_the_cells(points, tmp_path, monkeypatch):
+    """Queries carry no lists of the cells they look into, so neither what travels nor what is stored grows with the number of cells."""
+    shapes, stored, shape, kept = [], [], knn.grid_shape, index.Index._kept
+    monkeypatch.setattr(knn, "grid_shape", lambda rows, facts, limit: shapes.append(facts.bytes) or shape(rows, facts, limit))
+    monkeypatch.setattr(index.Index, "_kept", lambda self, df, purpose: stored.append((purpose, kept(self, df, purpose))) or stored[-1][1])
+    asking = {"query_id": "id", "query_vector": "v", "top_k": 5, "broadcast_limit": 20_000}
+    truth = rows(knn.knn_join(points, points, metric="dot_product", top_k=5, **NAMES))
+    late, whole = [], []
+    for cells in (4, 40):
+        built = index.build_index(points, str(tmp_path / str(cells)), key="id", vector="v", metric="dot_product", n_cells=cells)
+        assert rows(built.exact(points, **asking)) == truth
+        late.append(shapes[-1])
+        assert rows(built.search(points, nprobe=index.MOST_CELLS, **asking)) == truth
+        whole.append(shapes[-1])
+    # At most a few queries more look into no further cell.
+    assert late[1] <= late[0] * 1.05 and whole[1] == whole[0]
+    visits = [df for purpose, df in stored if purpose == "later-cells"]
+    assert all(df.agg(F.max(F.size("qcells"))).first()[0] <= index.FIRST_CELLS + 1 for df in visits)
+    assert visits[1].agg(F.max("later")).first()[0] > 4

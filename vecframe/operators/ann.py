@@ -265,8 +265,8 @@ def knn_in_cells(
     )
 
 
-def cell_search_hits(celled, asked, facts, *, cell, prune, shelf_of, key, vector, filter_on, limit) -> DataFrame:
-    """Best rows per task or grid cell, before they are merged."""
+def cell_search_hits(celled, asked, facts, *, cell, prune, shelf_of, key, vector, filter_on, limit, reach=None) -> DataFrame:
+    """Best rows per task or grid cell, before they are merged. ``reach``: see ``cell_grid_hits``; queries that fit the limit need their ``qcells`` nevertheless."""
     wanted = [F.col(c).alias(f"f_{i}") for i, c in enumerate(filter_on or {})]
     pick = lambda df: df.select(F.col(cell).alias("cell"), F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("vec"), *wanted)
     if facts.n == 0:
@@ -274,8 +274,8 @@ def cell_search_hits(celled, asked, facts, *, cell, prune, shelf_of, key, vector
     if facts.rows is None:
         if not prune:
             # Every query looks into every cell, so cells need not be kept together.
-            return knn._grid_hits(pick(celled).drop("cell"), asked.drop("qcells"), facts, limit)
-        return cell_grid_hits(pick(celled), asked, facts, limit)
+            return knn._grid_hits(pick(celled).drop("cell"), asked.drop("qcells"), knn.without_lists(facts), limit)
+        return cell_grid_hits(pick(celled), asked, facts, limit, reach=reach)
     if prune:
         probed = sorted(set(facts.rows.column("qcells").combine_chunks().flatten().to_pylist()))
         if shelf_of is not None:
@@ -284,15 +284,20 @@ def cell_search_hits(celled, asked, facts, *, cell, prune, shelf_of, key, vector
     return knn.scan_hits(pick(celled), facts.rows, facts.dim)
 
 
-def cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: knn.Asked, limit: int, apart: int | None = None) -> DataFrame:
+def cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: knn.Asked, limit: int, apart: int | None = None, reach=None) -> DataFrame:
     """Rows and queries meet in a grid whose columns hold whole cells, with their neighbours by number, up to an equal share of the work.
 
     A query travels once to a column, with the cells it names there, and not once per cell. The work of a cell is its rows times the queries that name it; one with more
     than a share is dealt over columns of its own by a hash of the keys. ``apart``: cells of different multiples of that number share no column.
+    With ``reach`` queries do not name cells: it tells from the queries how many look into each cell (``loads``), in which columns they meet them (``columns``),
+    and in the task itself which of them look into a cell (``probing``), so that what travels does not grow with the number of cells.
     """
     spark = rows.sparkSession
     sizes = dict(rows.groupBy("cell").count().collect())
-    loads = dict(asked.select(F.explode("qcells").alias("cell")).groupBy("cell").count().collect())
+    if reach is None:
+        loads = dict(asked.select(F.explode("qcells").alias("cell")).groupBy("cell").count().collect())
+    else:
+        facts, loads = knn.without_lists(facts), reach.loads(asked)
     n_rows, n_columns = knn.grid_shape(rows, facts, limit)
     places, total = _columns({c: sizes[c] * n for c, n in loads.items() if c in sizes}, n_columns, apart)
     if not places:
@@ -300,6 +305,8 @@ def cell_grid_hits(rows: DataFrame, asked: DataFrame, facts: knn.Asked, limit: i
     # At most one row per cell.
     layout = F.broadcast(spark.createDataFrame([(c, *place) for c, place in places.items()], "cell int, first int, parts int"))
     met = rows.join(layout, "cell").withColumn("column", (F.col("first") + F.pmod(F.xxhash64("key"), F.col("parts"))).cast("int")).drop("first", "parts")
+    if reach is not None:
+        return knn.grid_hits(met, asked.withColumn("column", F.explode(reach.columns(places, total))), facts.dim, n_rows, total, probing=reach.probing())
     routed = asked.withColumn("route", F.explode(_routes(places)("qcells"))).withColumn("column", F.col("route.column")).withColumn("qcells", F.col("route.cells")).drop("route")
     return knn.grid_hits(met, routed, facts.dim, n_rows, total)
 

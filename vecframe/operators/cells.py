@@ -161,12 +161,17 @@ class Cells:
             out[at : at + tile] = _best_places(closeness, count)
         return out
 
-    def bounds(self, q: np.ndarray) -> np.ndarray:
-        """(queries, cells): no row of the cell has a better score, by the triangle inequality; -inf for cells without rows."""
-        p, fine = self.space.of_queries(q), self.fine.astype(np.float64)
+    def bounds(self, q: np.ndarray, some: slice = slice(None)) -> np.ndarray:
+        """(queries, ``some`` of the cells): no row of the cell has a better score, by the triangle inequality; -inf for cells without rows."""
+        p, fine, radius = self.space.of_queries(q), self.fine[some].astype(np.float64), self.radius[some]
         square = (p * p).sum(axis=1)[:, None] - 2 * (p @ fine.T) + (fine * fine).sum(axis=1)
-        gap = np.maximum(np.sqrt(np.maximum(square, 0)) - self.radius, 0)
-        return np.where(self.radius < 0, -np.inf, self.space.best(q, gap))
+        gap = np.maximum(np.sqrt(np.maximum(square, 0)) - radius, 0)
+        return np.where(radius < 0, -np.inf, self.space.best(q, gap))
+
+    def reached(self, q: np.ndarray, floor: np.ndarray, some: slice = slice(None)) -> np.ndarray:
+        """Whether a row of the cell may have a score of the query's floor or better."""
+        reach = self.bounds(q, some) >= floor[:, None]
+        return reach & (self.radius[some] >= 0)
 
 
 def received(model):

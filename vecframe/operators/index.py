@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +34,8 @@ MANIFEST = "number long, build string, kind string, key string, vector string, m
 OWN = {"_cell", "_gap", "_shelf", "_reduced"}
 #: Cells that pruned exact search looks into before it bounds the others.
 FIRST_CELLS = 2
+#: Cells that a task bounds for its queries at once.
+PROBED_AT_ONCE = 16
 #: About the bytes of vectors in one file of an index.
 FILE_BYTES = 128 * 1024 * 1024
 
@@ -217,37 +220,20 @@ class Index:
         table = knn.query_table(queries, query_id=query_id, query_vector=query_vector, top_k=top_k, metric=self.metric, min_score=min_score, max_distance=max_distance, filter_on=filter_on, extra=[near.alias("qcells")])
         asked = self._kept(table, "asked")
         facts = knn.measure(asked, broadcast_limit)
-        hits_in = lambda some, facts: ann.cell_search_hits(corpus, some, facts, prune=True, key=key, vector=vector, filter_on=filter_on, limit=broadcast_limit, **self._layout())
+        hits_in = lambda some, facts, reach=None: ann.cell_search_hits(corpus, some, facts, prune=True, key=key, vector=vector, filter_on=filter_on, limit=broadcast_limit, reach=reach, **self._layout())
         early = self._kept(_best_hits(hits_in(asked, facts), facts.k), "early-hits")  # at most k rows a query
         floors = early.groupBy("query_id").agg(F.count("*").alias("found"), F.min("goodness").alias("kth"))
         floored = asked.join(floors, F.col("qid") == F.col("query_id"), "left").withColumn("qfloor", F.when(F.col("found") >= F.col("qk"), F.greatest("kth", "qfloor")).otherwise(F.col("qfloor")))
-        later = self._later(F.col("qvec"), F.col("qfloor"), F.col("qcells"))
-        visits = self._kept(floored.withColumn("first", F.size("qcells")).withColumn("qcells", later).drop("query_id", "found", "kth"), "later-cells")
-        again = visits.where(F.size("qcells") > 0).drop("first")
-        late_facts = knn.measure(again, broadcast_limit)
-        late = hits_in(again, late_facts)
+        # How many cells a query looks into is kept, not which: a task that has the queries and a cell can tell.
+        reach = _Reach(self)
+        visits = self._kept(floored.withColumns({"first": F.size("qcells"), "later": reach.count()}).drop("query_id", "found", "kth"), "later-cells")
+        again = visits.where("later > 0").drop("first", "later")
+        named = again.withColumn("qcells", reach.cells())
+        late_facts = knn.measure(named, broadcast_limit)
+        late = hits_in(named if late_facts.rows is not None or not late_facts.n else again, late_facts, reach)
         ranked = knn.merge_hits(early.unionByName(late), facts.k)
         found = knn._finish(ranked, corpus.drop(*OWN), asked, facts, key, vector, metadata, with_vectors, keep_empty, broadcast_limit)
-        return found, visits.select(F.col("qid").alias("query_id"), "first", F.size("qcells").alias("later"), F.lit(n + self.entry["odd"]).alias("cells"))
-
-    def _later(self, vector, floor, seen):
-        shipped, dim, odd = self._shipped(), self.dim, self.entry["odd"]
-
-        @F.arrow_udf(T.ArrayType(T.IntegerType()))
-        def cells(vectors: pa.Array, floors: pa.Array, seen: pa.Array) -> pa.Array:
-            q, model = to_matrix(vectors, dim), received(shipped.value)
-            low = floors.to_numpy(zero_copy_only=False).astype(np.float64)
-            out, step = [], max(1, 4_000_000 // len(model.fine))
-            for at in range(0, len(q), step):
-                reach = model.bounds(q[at : at + step]) >= np.where(np.isnan(low), -np.inf, low)[at : at + step, None]
-                reach &= model.radius >= 0
-                for i, row in enumerate(reach):
-                    taken = seen[at + i].values.to_numpy()
-                    row[taken[taken >= 0]] = False
-                    out.append(np.flatnonzero(row).astype(np.int32))
-            return pa.array(out, pa.list_(pa.int32()))
-
-        return cells(vector, floor, seen)
+        return found, visits.select(F.col("qid").alias("query_id"), "first", "later", F.lit(n + self.entry["odd"]).alias("cells"))
 
     def _cells_of(self, column, pick):
         shipped, dim, odd = self._shipped(), self.dim, self.entry["odd"]
@@ -322,6 +308,96 @@ class Index:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+class _Reach:
+    """The cells that queries (qvec, qfloor) look into beside those they have seen (qcells), by the bounds of the cells."""
+
+    def __init__(self, index: Index):
+        self.shipped, self.dim = index._shipped(), index.dim
+
+    def _tiles(self):
+        """A function of vectors, floors and seen cells that gives, tile by tile, whether each query looks into each cell."""
+        shipped, dim = self.shipped, self.dim
+
+        def tiles(vectors: pa.Array, floors: pa.Array, seen: pa.Array) -> Iterator[np.ndarray]:
+            q, model = to_matrix(vectors, dim), received(shipped.value)
+            low = floors.to_numpy(zero_copy_only=False).astype(np.float64)
+            low = np.where(np.isnan(low), -np.inf, low)
+            step = max(1, 4_000_000 // len(model.fine))
+            for at in range(0, len(q), step):
+                reach = model.reached(q[at : at + step], low[at : at + step])
+                part = seen.slice(at, step)
+                owner, taken = np.repeat(np.arange(len(part)), pc.list_value_length(part).to_numpy()), part.flatten().to_numpy()
+                reach[owner[taken >= 0], taken[taken >= 0]] = False
+                yield reach
+
+        return tiles
+
+    def _of_queries(self, kind: T.DataType, made):
+        tiles = self._tiles()
+
+        @F.arrow_udf(kind)
+        def of_queries(vectors: pa.Array, floors: pa.Array, seen: pa.Array) -> pa.Array:
+            return pa.concat_arrays([made(np.zeros((0, 0), bool)), *(made(reach) for reach in tiles(vectors, floors, seen))])
+
+        return of_queries("qvec", "qfloor", "qcells")
+
+    def count(self) -> Column:
+        return self._of_queries(T.IntegerType(), lambda reach: pa.array(reach.sum(axis=1), pa.int32()))
+
+    def cells(self) -> Column:
+        return self._of_queries(T.ArrayType(T.IntegerType()), _places)
+
+    def columns(self, places: dict[int, tuple[int, int]], total: int) -> Column:
+        """The columns of a grid that hold the cells a query looks into; ``places`` has the first column of a cell and their number."""
+        cells = np.array(sorted(places))
+        held = np.zeros((len(cells), total), np.float32)
+        for i, c in enumerate(cells.tolist()):
+            held[i, places[c][0] : sum(places[c])] = 1
+        return self._of_queries(T.ArrayType(T.IntegerType()), lambda reach: _places(reach[:, cells] @ held > 0 if len(reach) else reach))
+
+    def loads(self, asked: DataFrame) -> dict[int, int]:
+        """How many queries look into each cell; tasks add up their own."""
+        tiles = self._tiles()
+
+        def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0
+            for batch in batches:
+                for reach in tiles(*batch.columns):
+                    total = total + reach.sum(axis=0)
+            cells = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(np.atleast_1d(total)[cells], pa.int64())], names=["cell", "n"])
+
+        parts = asked.select("qvec", "qfloor", "qcells").mapInArrow(add_up, "cell int, n long")
+        return dict(parts.groupBy("cell").agg(F.sum("n")).collect())
+
+    def probing(self):
+        shipped = self.shipped
+        return lambda best: _Probes(received(shipped.value), best.q, best.floor, best.probes)
+
+
+class _Probes:
+    """In a task: which of its queries look into a cell. Cells are asked for in order of their number, so a few are worked out at a time."""
+
+    def __init__(self, model: Cells, q: np.ndarray, floor: np.ndarray, seen: dict[int, np.ndarray]):
+        self.model, self.q, self.floor, self.seen, self.known = model, q, floor, seen, {}
+
+    def get(self, cell: int) -> np.ndarray | None:
+        if cell not in self.known:
+            end = min(cell + PROBED_AT_ONCE, len(self.model.fine))
+            reach = self.model.reached(self.q, self.floor, slice(cell, end))
+            self.known = {}
+            for c in range(cell, end):
+                reach[self.seen.get(c, []), c - cell] = False
+                self.known[c] = np.flatnonzero(reach[:, c - cell])
+        return self.known[cell]
+
+
+def _places(mask: np.ndarray) -> pa.Array:
+    """The places of the true values of each row."""
+    ends = np.cumsum(mask.sum(axis=1))
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(np.nonzero(mask)[1], pa.int32()))
+
+
 def _best_hits(hits: DataFrame, k_max: int) -> DataFrame:
     """The best k of each query, unranked, in the layout of hits."""
     order = Window.partitionBy("query_id").orderBy(F.desc("goodness"), F.asc("key"))

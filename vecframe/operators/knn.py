@@ -17,8 +17,8 @@ Filters are applied before scoring, so ``k`` counts matching rows only.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -220,6 +220,8 @@ class Asked:
     k: int
     bytes: int
     rows: pa.Table | None = None
+    #: Of the bytes, those of the lists of cells.
+    listed: int = 0
 
 
 def measure(asked: DataFrame, limit: int) -> Asked:
@@ -261,7 +263,12 @@ def measure(asked: DataFrame, limit: int) -> Asked:
         raise ValueError("the query vector must not be empty")
     if k_low < 1:
         raise ValueError("top_k must be at least 1")
-    return Asked(n, low, k_high, wide(low, k_high), rows if wide(low, k_high) <= limit else None)
+    return Asked(n, low, k_high, wide(low, k_high), rows if wide(low, k_high) <= limit else None, n * 4 * max(listed or 0, 0))
+
+
+def without_lists(facts: Asked) -> Asked:
+    """The measure of queries that leave their lists of cells behind, so that a grid does not grow with the number of cells."""
+    return replace(facts, bytes=facts.bytes - facts.listed, listed=0)
 
 
 def _hit_schema(id_type: T.DataType, key_type: T.DataType) -> T.StructType:
@@ -342,7 +349,7 @@ def _grid_hits(rows: DataFrame, asked: DataFrame, facts: Asked, limit: int, whol
     return grid_hits(rows, asked, facts.dim, n_rows, n_columns, whole)
 
 
-def grid_hits(rows: DataFrame, asked: DataFrame, dim: int, n_rows: int, n_columns: int, whole: tuple[int, int] | None = None) -> DataFrame:
+def grid_hits(rows: DataFrame, asked: DataFrame, dim: int, n_rows: int, n_columns: int, whole: tuple[int, int] | None = None, probing: Callable | None = None) -> DataFrame:
     """Best rows per cell of a grid: queries and corpus rows have the ``column`` (0 and up) where they meet, queries are dealt over its rows."""
     row_of = F.pmod(F.xxhash64("qid"), F.lit(n_rows))
     rows = rows.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))))
@@ -352,15 +359,17 @@ def grid_hits(rows: DataFrame, asked: DataFrame, dim: int, n_rows: int, n_column
         dim,
         n_rows * n_columns,
         whole,
+        probing,
     )
 
 
-def cell_hits(rows: DataFrame, asked: DataFrame, dim: int, cells: int, whole: tuple[int, int] | None = None) -> DataFrame:
+def cell_hits(rows: DataFrame, asked: DataFrame, dim: int, cells: int, whole: tuple[int, int] | None = None, probing: Callable | None = None) -> DataFrame:
     """Best rows per grid cell: queries and corpus rows meet where their ``at`` (0..cells-1) is equal.
 
     Within a partition each cell's queries come first and are held; its corpus rows stream past. If rows have a ``cell`` of an index and
     queries their ``qcells``, rows meet only the queries that name their cell. With ``whole``, the dimension and metric of a second vector
-    of rows (``whole``) and queries (``qwhole``), hits also have the exact score by that one.
+    of rows (``whole``) and queries (``qwhole``), hits also have the exact score by that one. ``probing`` makes of the queries of a task (a ``TopK``)
+    what tells, cell by cell, which of them look into it, in place of their ``qcells``.
     """
     spark = rows.sparkSession
     filters = [c for c in rows.columns if c.startswith("f_")]
@@ -402,6 +411,8 @@ def cell_hits(rows: DataFrame, asked: DataFrame, dim: int, cells: int, whole: tu
                         continue
                     table = pa.Table.from_batches(held)
                     best = TopK(table.rename_columns([{"vec": "qvec", "whole": "qwhole"}.get(c, c) for c in table.column_names]), dim, whole)
+                    if probing is not None:
+                        best.probes = probing(best)
                 best.add(
                     run.column("key"), run.column("vec"), {f: run.column(f) for f in filters},
                     run.column("cell").to_numpy(zero_copy_only=False) if by_cell else None, run.column("whole") if whole else None,
