@@ -44,7 +44,7 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", char
     """
     read = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(key, text).alias("d1"), F.xxhash64(F.lit(7), text, key).alias("d2"))
     lines = stored(_lines(read), "line-dedup-split")
-    classes = similar_classes(lines, functools.partial(char_shingles, size=characters), rounds=ROUNDS, threshold=threshold, tolerance=TOLERANCE, purpose="line-dedup")
+    classes = similar_classes(lines, functools.partial(char_shingles, size=characters), rounds=ROUNDS, threshold=threshold, tolerance=TOLERANCE, purpose="line-dedup", counted=False)
     # Only groups of more than one line matter from here on.
     classes = stored(classes, "line-dedup-roots")
     sizes = stored(classes.groupBy("root").agg(F.sum("copies").alias("members"), F.count("*").alias("rows")).where("members > 1").drop("members"), "line-dedup-sizes")

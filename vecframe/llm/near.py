@@ -30,23 +30,26 @@ from vecframe.llm.shingles import least_matches, signatures
 BLOCK = 1024
 BLOCK_BYTES = 24 * 1024 * 1024
 STEPS = 4
-SMALL_CELL = 8
+#: Pairs of cells of up to so many rows are looked at together, about so many pairs, or elements of their sets, at a time.
+SMALL_CELL = 64
+PAIRS, ELEMENTS = 500_000, 4_000_000
 
 Shingler = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def similar_classes(items: DataFrame, shingler: Shingler, *, rounds: int, threshold: float, tolerance: float, purpose: str) -> DataFrame:
+def similar_classes(items: DataFrame, shingler: Shingler, *, rounds: int, threshold: float, tolerance: float, purpose: str, counted: bool = True) -> DataFrame:
     """``items`` are rows (c1, c2, text). Gives (c1, c2, copies, links, root), one row per text with shingles.
 
     ``links`` counts the rows of other texts that are similar, ``root`` is a number shared by all
-    classes that links join.
+    classes that links join. Without ``counted`` two texts that others have joined need not be compared,
+    and ``links`` only tells whether there are any.
     """
     classes = _classes(items, shingler, rounds, purpose)
     modest_batches(items.sparkSession)
     wide = 16 * (rounds // 4)
     least = least_matches(threshold, tolerance, [4 * wide * (i + 1) // STEPS for i in range(STEPS)])
     drafts = components(_survivors(classes, least, purpose), f"{purpose}-drafts")
-    found = stored(_verified(items, classes, drafts, shingler, rounds, least, threshold, purpose), f"{purpose}-verified")
+    found = stored(_verified(items, classes, drafts, shingler, rounds, least, threshold, purpose, counted), f"{purpose}-verified")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), f"{purpose}-links")
     known = links.join(roots, links.rep == roots.node, "left").select("rep", "links", F.coalesce("root", "rep").alias("root"))
@@ -93,15 +96,13 @@ def _survivors(classes: DataFrame, least: list[int], purpose: str) -> DataFrame:
         for rows, bounds in whole_runs(batches, "cell"):
             rep, side, mixed = (rows.column(c).to_numpy() for c in ("rep", "side", "mixed"))
             values = _values(rows.column("sig"), len(sig))
-            pairs = bounds[:-1][np.diff(bounds) == 2]
-            together = _pairs_alike(values, pairs, least)
-            edges = [np.stack([rep[together + 1], rep[together]])]
-            for start, end in zip(bounds[:-1], bounds[1:], strict=True):
-                if end - start <= 2:
-                    continue
+            together = [_pairs_alike(values, a, b, least) for a, b in _small_pairs(bounds, side, mixed)]
+            edges = [np.stack([rep, rep[_labels(len(rep), together)]])]
+            for start, end in _large_cells(bounds):
                 forest = Forest(end - start)
                 for i in range(start, end - 1):
-                    near = _alike(values, i, _partners(i, end, side, mixed), least)
+                    others = _partners(i, end, side, mixed)
+                    near = _alike(values, i, others[forest.apart(i - start, others - start)], least)
                     forest.join(i - start, near - start)
                 edges.append(np.stack([rep[start:end], rep[start + forest.label]]))
             both = np.concatenate(edges, axis=1)
@@ -147,7 +148,7 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(schema, np.full(len(held), held_key), held, (place + np.arange(len(held))) // BLOCK)
 
 
-def _verified(items, classes, drafts, shingler, rounds, least, threshold, purpose) -> DataFrame:
+def _verified(items, classes, drafts, shingler, rounds, least, threshold, purpose, counted) -> DataFrame:
     """Rows (rep, links, root) of each verifying cell; ``root`` is the smallest class its links reach there."""
     drafted = stored(drafts.join(classes, drafts.node == classes.rep).select("rep", F.col("root").alias("draft"), "c1", "c2", "copies", "n"), f"{purpose}-drafted")
     blocks = drafted.groupBy("draft").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
@@ -172,11 +173,17 @@ def _verified(items, classes, drafts, shingler, rounds, least, threshold, purpos
             offsets = np.concatenate(([0], np.cumsum(counts)))
             values = signatures(hashes, counts, rounds).view(np.uint16)
             rep, side, mixed, copies = (rows.column(c).to_numpy() for c in ("rep", "side", "mixed", "copies"))
-            links, root = np.zeros(len(rep), np.int64), rep.copy()
-            for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+            links, linked = np.zeros(len(rep), np.int64), []
+            for a, b in _small_pairs(bounds, side, mixed):
+                a, b = _verify_pairs(*_pairs_alike(values, a, b, least), hashes, counts, threshold)
+                np.add.at(links, a, copies[b])
+                np.add.at(links, b, copies[a])
+                linked.append((a, b))
+            root = rep[_labels(len(rep), linked)]
+            for start, end in _large_cells(bounds):
                 cell = slice(start, end)
                 sets = [hashes[a:b] for a, b in zip(offsets[start:end], offsets[start + 1 : end + 1], strict=True)]
-                links[cell], label = _verify_cell(sets, values[cell], side[cell], mixed[cell], copies[cell], least, threshold)
+                links[cell], label = _verify_cell(sets, values[cell], side[cell], mixed[cell], copies[cell], least, threshold, counted)
                 root[cell] = rep[start + label]
             yield batch_of(schema, rep, links, root)
 
@@ -189,16 +196,42 @@ def _once_per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield batch.take(pa.array([i for i, r in enumerate(batch.column("rep").to_pylist()) if not (r in seen or seen.add(r))], pa.int64()))
 
 
-def _verify_cell(sets, values, side, mixed, copies, least, threshold) -> tuple[np.ndarray, np.ndarray]:
+def _verify_pairs(a: np.ndarray, b: np.ndarray, hashes: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs of rows (a, b) whose sets of hashes reach the threshold. ``hashes`` are the rows' own, ``counts`` of each."""
+    if not len(a):
+        return a, b
+    used = np.zeros(len(counts), bool)
+    used[a] = used[b] = True
+    names, place = np.unique(hashes[np.repeat(used, counts)], return_inverse=True)
+    # A number per row and different hash: sorted, so that a row's are together and any can be looked up.
+    members = np.unique(np.repeat(np.flatnonzero(used), counts[used]) * len(names) + place)
+    first = np.searchsorted(members, np.arange(len(counts) + 1) * len(names))
+    sizes = np.diff(first)
+    less, more = np.where(sizes[a] <= sizes[b], a, b), np.where(sizes[a] <= sizes[b], b, a)
+    ends, at, shared = np.cumsum(sizes[less]), 0, np.zeros(len(a), np.int64)
+    while at < len(a):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + ELEMENTS)))
+        many = sizes[less[at:to]]
+        starts = np.cumsum(many) - many
+        own = members[np.repeat(first[less[at:to]] - starts, many) + np.arange(many.sum())]
+        wanted = own + np.repeat((more[at:to] - less[at:to]) * len(names), many)
+        found = members[np.minimum(np.searchsorted(members, wanted), len(members) - 1)] == wanted
+        shared[at:to] = np.add.reduceat(found, starts, dtype=np.int64)
+        at = to
+    similar = shared >= threshold * (sizes[a] + sizes[b] - shared) - 1e-9
+    return a[similar], b[similar]
+
+
+def _verify_cell(sets, values, side, mixed, copies, least, threshold, counted) -> tuple[np.ndarray, np.ndarray]:
     """How many rows each member links to, and the labels of the components of these links."""
     n = len(sets)
-    links, forest = np.zeros(n, np.int64), Forest(n)
-    near = [_alike(values, i, _partners(i, n, side, mixed), least) for i in range(n - 1)]
-    used = {int(x) for i, others in enumerate(near) if len(others) for x in (i, *others)}
-    unique = {i: np.unique(sets[i]) for i in used}
-    for i, others in enumerate(near):
+    links, forest, unique = np.zeros(n, np.int64), Forest(n), {}
+    for i in range(n - 1):
+        others = _partners(i, n, side, mixed)
+        others = _alike(values, i, others if counted else others[forest.apart(i, others)], least)
         if len(others):
-            shared = np.array([len(np.intersect1d(unique[i], unique[j], assume_unique=True)) for j in others.tolist()]) if n <= SMALL_CELL else _shared(unique, i, others)
+            unique |= {j: np.unique(sets[j]) for j in (i, *others.tolist()) if j not in unique}
+            shared = _shared(unique, i, others)
             sizes = np.array([len(unique[j]) for j in others.tolist()])
             others = others[shared >= threshold * (len(unique[i]) + sizes - shared) - 1e-9]
             links[i] += copies[others].sum()
@@ -221,6 +254,10 @@ class Forest:
     def __init__(self, n: int):
         self.label = np.arange(n)
 
+    def apart(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Which of ``others`` nothing has joined with i."""
+        return self.label[others] != self.label[i]
+
     def join(self, i: int, others: np.ndarray) -> None:
         if len(others):
             old = np.unique(np.append(self.label[others], self.label[i]))
@@ -237,14 +274,46 @@ def _partners(i: int, end: int, side: np.ndarray, mixed: np.ndarray) -> np.ndarr
     return later[side[i + 1 : end] != side[i]] if mixed[i] else later
 
 
-def _pairs_alike(values: np.ndarray, first: np.ndarray, least: list[int]) -> np.ndarray:
-    """Of pairs of rows (i, i + 1) those that no step of the comparison has dropped."""
+def _small_pairs(bounds: np.ndarray, side: np.ndarray, mixed: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows (a, b), a before b, to compare in cells of at most SMALL_CELL rows, about PAIRS at a time."""
+    sizes = np.diff(bounds)
+    for size in np.unique(sizes[(sizes > 1) & (sizes <= SMALL_CELL)]).tolist():
+        i, j = np.triu_indices(size, 1)
+        starts, step = bounds[:-1][sizes == size], max(1, PAIRS // len(i))
+        for at in range(0, len(starts), step):
+            a, b = ((starts[at : at + step, None] + x).ravel() for x in (i, j))
+            meet = ~mixed[a] | (side[a] != side[b])
+            yield a[meet], b[meet]
+
+
+def _large_cells(bounds: np.ndarray) -> list[tuple[int, int]]:
+    return [(start, end) for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True) if end - start > SMALL_CELL]
+
+
+def _labels(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """For each of n rows the first row of its component by the pairs."""
+    label = np.arange(n)
+    if not pairs:
+        return label
+    a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    while True:
+        low, before = np.minimum(label[a], label[b]), label.copy()
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
+def _pairs_alike(values: np.ndarray, a: np.ndarray, b: np.ndarray, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of rows (a, b) those that no step of the comparison has dropped."""
     step = values.shape[1] // len(least)
-    equal = np.zeros(len(first), np.int64)
+    equal = np.zeros(len(a), np.int64)
     for s, need in enumerate(least):
-        equal += np.count_nonzero(values[first, s * step : (s + 1) * step] == values[first + 1, s * step : (s + 1) * step], axis=1)
-        first, equal = first[equal >= need], equal[equal >= need]
-    return first
+        equal += np.count_nonzero(values[a, s * step : (s + 1) * step] == values[b, s * step : (s + 1) * step], axis=1)
+        keep = equal >= need
+        a, b, equal = a[keep], b[keep], equal[keep]
+    return a, b
 
 
 def _alike(values: np.ndarray, i: int, others: np.ndarray, least: list[int]) -> np.ndarray:
