@@ -26,9 +26,14 @@ ROUNDS = random_odd(64, 14)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64."""
-    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
+    # In two arrays: memory that is new to the process costs more than the arithmetic.
+    out, part = x >> U64(30), np.empty_like(x)
+    out ^= x
+    out *= U64(0xBF58476D1CE4E5B9)
+    out ^= np.right_shift(out, U64(27), out=part)
+    out *= U64(0x94D049BB133111EB)
+    out ^= np.right_shift(out, U64(31), out=part)
+    return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -80,9 +85,9 @@ def shingle(units: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarra
     ``counts`` are the units of each text, in order. A text with fewer units has one shingle of all
     of them, a text with none has none.
     """
-    sums = units * PLACES[0]
+    sums, part = units * PLACES[0], np.empty_like(units)
     for k in range(1, size):
-        sums[:-k] += units[k:] * PLACES[k]
+        sums[:-k] += np.multiply(units[k:], PLACES[k], out=part[:-k])
     ends = np.cumsum(counts)
     valid = np.ones(len(units), bool)
     tails = (ends[:, None] - 1 - np.arange(size - 1))[counts[:, None] > np.arange(size - 1)]
@@ -100,9 +105,9 @@ def word_shingles(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.n
 
 
 def char_shingles(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32).astype(U64)
-    firsts = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-    return shingle(codes + U64(1), np.diff(firsts[bounds]), size)
+    codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
+    firsts = np.searchsorted(np.flatnonzero((data & 0xC0) != 0x80), bounds)
+    return shingle(np.add(codes, U64(1), dtype=U64), np.diff(firsts), size)
 
 
 def signatures(hashes: np.ndarray, counts: np.ndarray, rounds: int) -> np.ndarray:
@@ -115,10 +120,15 @@ def signatures(hashes: np.ndarray, counts: np.ndarray, rounds: int) -> np.ndarra
     texts = len(counts)
     owner = np.repeat(np.arange(texts, dtype=np.int64) * BINS, counts)
     out = np.zeros((rounds // 4, texts, BINS, 4), np.uint16)
+    x, at, value = np.empty_like(hashes), np.empty(len(hashes), np.int64), np.empty(len(hashes), np.uint32)
     for r in range(rounds):
-        x = hashes * ROUNDS[r]
+        np.multiply(hashes, ROUNDS[r], out=x)
+        np.right_shift(x, U64(60), out=at.view(U64))
+        at += owner
+        x >>= U64(24)
+        value[:] = x
         low = np.full(texts * BINS, 0xFFFFFFFF, np.uint32)
-        np.minimum.at(low, owner + (x >> U64(60)).astype(np.int64), (x >> U64(24)).astype(np.uint32))
+        np.minimum.at(low, at, value)
         low = _fill(low.reshape(texts, BINS), r)
         out[r // 4, :, :, r % 4] = low & np.uint32(0xFFFF)
     out[:, counts == 0] = 0
