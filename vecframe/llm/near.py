@@ -148,7 +148,7 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(schema, np.full(len(held), held_key), held, (place + np.arange(len(held))) // BLOCK)
 
 
-def _verified(items, classes, drafts, shingler, rounds, least, threshold, purpose, counted) -> DataFrame:
+def _verified(items, classes, drafts, shingler, rounds, least, threshold, purpose, counted=True) -> DataFrame:
     """Rows (rep, links, root) of each verifying cell; ``root`` is the smallest class its links reach there."""
     drafted = stored(drafts.join(classes, drafts.node == classes.rep).select("rep", F.col("root").alias("draft"), "c1", "c2", "copies", "n"), f"{purpose}-drafted")
     blocks = drafted.groupBy("draft").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
