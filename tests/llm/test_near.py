@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from vecframe.llm import line_dedup as line_dedup_module
 from vecframe.llm import near, near_vectors as vectors
-from vecframe.llm.common import components, text_chunks
+from vecframe.llm.common import components, modest_batches, number_batches, text_chunks
 from vecframe.llm.line_dedup import line_dedup
 from vecframe.llm.ngram_join import ngram_join
-from vecframe.llm.shingles import char_shingles, least_matches, signatures, word_shingles
+from vecframe.llm.shingles import BINS, ROUNDS, _donors, char_shingles, least_matches, signatures, word_shingles
 
 DOCS = "doc_id long, text string, source string, rep int, draft string"
 
@@ -232,3 +232,61 @@ def test_lattice_recall(spark, small):
     close = (units[0] * units[1]).sum(axis=1) >= 0.98
     found = np.array([len(np.intersect1d(a, b)) > 0 for a, b in zip(*keys, strict=True)])
     assert found[close].mean() > 0.99
+
+
+def test_line_dedup_reads_each_document_twice(spark):
+    """Once to split it, once for the result; rows that are equal are found among the stored lines."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    rows = [(i, None if i == 3 else f"line number {i} of its own\n\nthe line that all have", "s", 0, "") for i in range(10)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("text", F.udf(seen).asNondeterministic()("text"))
+    assert {r.doc_id: (r.n_lines, r.n_kept, r.dropped) for r in line_dedup(docs).collect()} == {i: (0, 0, []) if i == 3 else (3, 3, []) if i == 0 else (3, 2, [2]) for i in range(10)}
+    assert read.value == 2 * len(rows)
+
+
+def test_every_space_at_the_ends_of_lines_is_cut(spark):
+    line = "one line, with \t spaces inside"
+    rows = [(0, line, "s", 0, "")] + [(i, t, "s", 0, "") for i, t in enumerate([s + line for s in " \t\v\f\r"] + [line + s for s in " \t\v\f\r"] + [" \r" + line + "\t \r", "\xa0"], 1)]
+    got = {r.doc_id: (r.n_lines, tuple(r.dropped)) for r in line_dedup(spark.createDataFrame(rows, DOCS), threshold=1.0).collect()}
+    assert got == {i: (1, () if i in (0, len(rows) - 1) else (0,)) for i in range(len(rows))}
+
+
+def test_rows_of_numbers_go_to_python_in_large_batches(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+    counted = lambda: [r.n for r in spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long").collect()]
+    modest_batches(spark)
+    with number_batches(spark):
+        assert counted() == [5000]
+    assert counted() == [1000] * 5
+    with pytest.raises(KeyError), number_batches(spark):
+        raise KeyError
+    assert counted() == [1000] * 5
+
+
+def test_signatures_are_those_of_plain_loops():
+    rng = random.Random(9)
+    texts = ["", "a", "abcdefgh", "日本語日本語日本語", "", *("".join(rng.choice("abcé ") for _ in range(n)) for n in (9, 15, 40, 300))]
+    whole = pa.array(texts)
+    parts = [(data, bounds) for _, data, bounds in text_chunks(whole, 16)]
+    assert len(parts) > 3
+    small = np.concatenate([signatures(*char_shingles(data, bounds, 7), 8) for data, bounds in parts])
+    [(_, data, bounds)] = text_chunks(whole)
+    hashes, counts = char_shingles(data, bounds, 7)
+    assert (signatures(hashes, counts, 8) == small).all()
+    wanted = np.zeros((len(texts), 2, BINS, 4), np.uint16)
+    ends = np.cumsum(counts)
+    for t, r in ((t, r) for t in range(len(texts)) if counts[t] for r in range(8)):
+        bins = {}
+        for h in hashes[ends[t] - counts[t] : ends[t]].tolist():
+            x = h * int(ROUNDS[r]) % 2**64
+            bins[x >> 60] = min(bins.get(x >> 60, 2**32), x >> 24 & 0xFFFFFFFF)
+        for b in range(BINS):
+            wanted[t, r // 4, b, r % 4] = bins[b if b in bins else next(d for d in _donors(r)[b].tolist() if d in bins)] & 0xFFFF
+    assert (small.view(np.uint16).reshape(wanted.shape) == wanted).all()

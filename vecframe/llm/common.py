@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,8 @@ from vecframe.session import shared_dir, shuffle_tasks
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 BATCH_ROWS = 1000
+#: Rows of numbers, without texts, that are handed to Python at a time.
+NUMBER_ROWS = 20_000
 #: Edges, 16 bytes each, that one task may join at once.
 FEW_EDGES = 500_000
 
@@ -28,6 +31,18 @@ def modest_batches(spark: SparkSession) -> None:
         spark.conf.set(setting, BATCH_ROWS)
 
 
+@contextlib.contextmanager
+def number_batches(spark: SparkSession) -> Iterator[None]:
+    """Inside, Python gets up to NUMBER_ROWS rows at a time, for steps whose rows hold a few numbers: small batches cost more than their rows."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, NUMBER_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The rows written to the shared folder and read again: cuts lineage and survives lost executors."""
     path = shared_dir(df.sparkSession, purpose)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import functools
+import operator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecframe.llm.common import BROADCAST_BYTES, content_keys, join_counted, small_side, stored
@@ -23,10 +24,15 @@ SPACES = " \t\n\v\f\r"
 def _lines(docs: DataFrame) -> DataFrame:
     """Rows (id, d1, d2, line_no, c1, c2, text): lines by number, without white space at the ends, with the keys of document and line."""
     split = docs.select("id", "d1", "d2", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
-    line = F.btrim("raw", F.lit(SPACES))
+    # Trimming characters of a list looks at every character, so only lines that need it are trimmed.
+    line = F.when(_padded(F.col("raw")), F.btrim("raw", F.lit(SPACES))).otherwise(F.col("raw"))
     return split.select("id", "d1", "d2", "line_no", *content_keys(line), line.alias("text"))
 
 
+def _padded(line: Column) -> Column:
+    return functools.reduce(operator.or_, [end(F.lit(space)) for space in SPACES for end in (line.startswith, line.endswith)])
+
+
 def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", characters: int = CHARACTERS, threshold: float = THRESHOLD) -> DataFrame:
     """One row (key, n_lines, n_kept, dropped, text) per document.
 
@@ -45,8 +51,8 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", char
     read = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(key, text).alias("d1"), F.xxhash64(F.lit(7), text, key).alias("d2"))
     lines = stored(_lines(read), "line-dedup-split")
     classes = similar_classes(lines, functools.partial(char_shingles, size=characters), rounds=ROUNDS, threshold=threshold, tolerance=TOLERANCE, purpose="line-dedup", counted=False)
-    # Only groups of more than one line matter from here on.
-    classes = stored(classes, "line-dedup-roots")
+    # Only groups of more than one line matter from here on: those with a link or with copies.
+    classes = stored(classes.where("links > 0 or copies > 1"), "line-dedup-roots")
     sizes = stored(classes.groupBy("root").agg(F.sum("copies").alias("members"), F.count("*").alias("rows")).where("members > 1").drop("members"), "line-dedup-sizes")
     groups = stored(join_counted(classes, sizes, ["root"], copies="rows", row_bytes=16).select("c1", "c2", "root"), "line-dedup-groups")
     grouped = stored(lines.select("id", "d1", "d2", "line_no", "c1", "c2").join(small_side(groups, 40), ["c1", "c2"]).select("id", "d1", "d2", "line_no", "root"), "line-dedup-lines")
@@ -56,7 +62,8 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", char
     drops = stored(drops, "line-dedup-dropped")
     size = drops.agg(F.sum(F.size("dropped") * 4 + 64)).first()[0] or 0
     marked = read.join(F.broadcast(drops) if size <= BROADCAST_BYTES else drops, ["d1", "d2"], "left").withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
-    repeated = stored(read.where(F.col("text").isNotNull()).groupBy("d1", "d2").agg(F.count("*").alias("rows")).where("rows > 1"), "line-dedup-repeated")
+    # Every text that is not null has a first line.
+    repeated = stored(lines.where("line_no = 0").groupBy("d1", "d2").agg(F.count("*").alias("rows")).where("rows > 1"), "line-dedup-repeated")
     if repeated.isEmpty():
         return _result(marked, key)
     # Of equal rows one stays as the lines above say; it is taken out once, and the others follow from it and their number.
@@ -73,5 +80,5 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", char
 def _result(marked: DataFrame, key: str) -> DataFrame:
     parts = F.split("text", "\n", -1)
     kept = F.when(F.size("dropped") == 0, F.col("text")).otherwise(F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("dropped", i)), "\n"))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
     return marked.select(F.col("id").alias(key), n_lines.cast("long").alias("n_lines"), (n_lines - F.size("dropped")).cast("long").alias("n_kept"), "dropped", kept.alias("text"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import batch_of, components, modest_batches, small_side, stored, text_chunks, whole_runs
+from vecframe.llm.common import batch_of, components, modest_batches, number_batches, small_side, stored, text_chunks, whole_runs
 from vecframe.llm.shingles import least_matches, signatures
 
 #: Classes in a block of a cell, and bytes of shingle sets in a block of a verifying cell.
@@ -33,6 +33,8 @@ STEPS = 4
 #: Pairs of cells of up to so many rows are looked at together, about so many pairs, or elements of their sets, at a time.
 SMALL_CELL = 64
 PAIRS, ELEMENTS = 500_000, 4_000_000
+#: Bytes of text that are hashed and signed together: larger arrays are new memory each time, which costs more than the arithmetic.
+TEXT_BYTES = 1 << 16
 
 Shingler = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -48,10 +50,12 @@ def similar_classes(items: DataFrame, shingler: Shingler, *, rounds: int, thresh
     modest_batches(items.sparkSession)
     wide = 16 * (rounds // 4)
     least = least_matches(threshold, tolerance, [4 * wide * (i + 1) // STEPS for i in range(STEPS)])
-    drafts = components(_survivors(classes, least, purpose), f"{purpose}-drafts")
+    with number_batches(items.sparkSession):
+        drafts = components(_survivors(classes, least, purpose), f"{purpose}-drafts")
     found = stored(_verified(items, classes, drafts, shingler, rounds, least, threshold, purpose, counted), f"{purpose}-verified")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), f"{purpose}-links")
+    with number_batches(items.sparkSession):
+        roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), f"{purpose}-links")
     known = links.join(roots, links.rep == roots.node, "left").select("rep", "links", F.coalesce("root", "rep").alias("root"))
     return (
         classes.select("c1", "c2", "copies", "rep")
@@ -66,7 +70,7 @@ def _classes(items: DataFrame, shingler: Shingler, rounds: int, purpose: str) ->
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, data, bounds in text_chunks(batch.column("text")):
+            for row, data, bounds in text_chunks(batch.column("text"), TEXT_BYTES):
                 hashes, counts = shingler(data, bounds)
                 some = counts > 0
                 part = batch.slice(row, len(counts)).filter(pa.array(some))
@@ -168,10 +172,10 @@ def _verified(items, classes, drafts, shingler, rounds, least, threshold, purpos
             # A class's text can come from several tasks.
             first = np.flatnonzero(np.concatenate(([True], (rep[1:] != rep[:-1]) | (rows.column("cell").to_numpy()[1:] != rows.column("cell").to_numpy()[:-1]))))
             bounds, rows = np.searchsorted(first, bounds), rows.take(pa.array(first))
-            hashes, counts = zip(*[shingler(data, ends) for _, data, ends in text_chunks(rows.column("text").combine_chunks())], strict=True)
+            hashes, counts = zip(*[shingler(data, ends) for _, data, ends in text_chunks(rows.column("text").combine_chunks(), TEXT_BYTES)], strict=True)
+            values = np.concatenate([signatures(h, n, rounds) for h, n in zip(hashes, counts, strict=True)]).view(np.uint16)
             hashes, counts = np.concatenate(hashes), np.concatenate(counts)
             offsets = np.concatenate(([0], np.cumsum(counts)))
-            values = signatures(hashes, counts, rounds).view(np.uint16)
             rep, side, mixed, copies = (rows.column(c).to_numpy() for c in ("rep", "side", "mixed", "copies"))
             links, linked = np.zeros(len(rep), np.int64), []
             for a, b in _small_pairs(bounds, side, mixed):
@@ -193,7 +197,13 @@ def _verified(items, classes, drafts, shingler, rounds, least, threshold, purpos
 def _once_per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     for batch in batches:
-        yield batch.take(pa.array([i for i, r in enumerate(batch.column("rep").to_pylist()) if not (r in seen or seen.add(r))], pa.int64()))
+        yield batch.take(pa.array([i for i, r in enumerate(batch.column("rep").to_numpy().tolist()) if not (r in seen or seen.add(r))], pa.int64()))
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The different values, sorted. ``np.unique`` hashes them first, which takes many times as long."""
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
 
 
 def _verify_pairs(a: np.ndarray, b: np.ndarray, hashes: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -202,10 +212,15 @@ def _verify_pairs(a: np.ndarray, b: np.ndarray, hashes: np.ndarray, counts: np.n
         return a, b
     used = np.zeros(len(counts), bool)
     used[a] = used[b] = True
-    names, place = np.unique(hashes[np.repeat(used, counts)], return_inverse=True)
+    wanted = hashes[np.repeat(used, counts)]
+    order = np.argsort(wanted)
+    ranks = wanted[order]
+    place = np.empty(len(wanted), np.int64)
+    place[order] = np.cumsum(np.concatenate(([False], ranks[1:] != ranks[:-1])))
+    names = place[order[-1]] + 1
     # A number per row and different hash: sorted, so that a row's are together and any can be looked up.
-    members = np.unique(np.repeat(np.flatnonzero(used), counts[used]) * len(names) + place)
-    first = np.searchsorted(members, np.arange(len(counts) + 1) * len(names))
+    members = _distinct(np.repeat(np.flatnonzero(used), counts[used]) * names + place)
+    first = np.searchsorted(members, np.arange(len(counts) + 1) * names)
     sizes = np.diff(first)
     less, more = np.where(sizes[a] <= sizes[b], a, b), np.where(sizes[a] <= sizes[b], b, a)
     ends, at, shared = np.cumsum(sizes[less]), 0, np.zeros(len(a), np.int64)
@@ -214,7 +229,7 @@ def _verify_pairs(a: np.ndarray, b: np.ndarray, hashes: np.ndarray, counts: np.n
         many = sizes[less[at:to]]
         starts = np.cumsum(many) - many
         own = members[np.repeat(first[less[at:to]] - starts, many) + np.arange(many.sum())]
-        wanted = own + np.repeat((more[at:to] - less[at:to]) * len(names), many)
+        wanted = own + np.repeat((more[at:to] - less[at:to]) * names, many)
         found = members[np.minimum(np.searchsorted(members, wanted), len(members) - 1)] == wanted
         shared[at:to] = np.add.reduceat(found, starts, dtype=np.int64)
         at = to
@@ -230,7 +245,7 @@ def _verify_cell(sets, values, side, mixed, copies, least, threshold, counted) -
         others = _partners(i, n, side, mixed)
         others = _alike(values, i, others if counted else others[forest.apart(i, others)], least)
         if len(others):
-            unique |= {j: np.unique(sets[j]) for j in (i, *others.tolist()) if j not in unique}
+            unique |= {j: _distinct(sets[j]) for j in (i, *others.tolist()) if j not in unique}
             shared = _shared(unique, i, others)
             sizes = np.array([len(unique[j]) for j in others.tolist()])
             others = others[shared >= threshold * (len(unique[i]) + sizes - shared) - 1e-9]
@@ -260,7 +275,7 @@ class Forest:
 
     def join(self, i: int, others: np.ndarray) -> None:
         if len(others):
-            old = np.unique(np.append(self.label[others], self.label[i]))
+            old = _distinct(np.append(self.label[others], self.label[i]))
             if len(old) > 1:
                 self.label[np.isin(self.label, old)] = old[0]
 

@@ -11,6 +11,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bins of one hash round; a signature has ``rounds * BINS`` values of 16 bits, four to a band.
 BINS = 16
+EMPTY = np.uint32(0xFFFFFFFF)
 PIECE = 1 << 20
 
 
@@ -119,7 +120,7 @@ def signatures(hashes: np.ndarray, counts: np.ndarray, rounds: int) -> np.ndarra
     """
     texts = len(counts)
     owner = np.repeat(np.arange(texts, dtype=np.int64) * BINS, counts)
-    out = np.zeros((rounds // 4, texts, BINS, 4), np.uint16)
+    low = np.full((rounds, texts * BINS), EMPTY)
     x, at, value = np.empty_like(hashes), np.empty(len(hashes), np.int64), np.empty(len(hashes), np.uint32)
     for r in range(rounds):
         np.multiply(hashes, ROUNDS[r], out=x)
@@ -127,12 +128,11 @@ def signatures(hashes: np.ndarray, counts: np.ndarray, rounds: int) -> np.ndarra
         at += owner
         x >>= U64(24)
         value[:] = x
-        low = np.full(texts * BINS, 0xFFFFFFFF, np.uint32)
-        np.minimum.at(low, at, value)
-        low = _fill(low.reshape(texts, BINS), r)
-        out[r // 4, :, :, r % 4] = low & np.uint32(0xFFFF)
-    out[:, counts == 0] = 0
-    return np.ascontiguousarray(out.transpose(1, 0, 2, 3)).view(np.int64).reshape(texts, -1)
+        np.minimum.at(low[r], at, value)
+    out = (_fill(low) & np.uint32(0xFFFF)).astype(np.uint16).reshape(rounds // 4, 4, texts, BINS).transpose(2, 0, 3, 1)
+    out = np.ascontiguousarray(out)
+    out[counts == 0] = 0
+    return out.view(np.int64).reshape(texts, rounds // 4 * BINS)
 
 
 @functools.lru_cache(maxsize=64)
@@ -141,17 +141,21 @@ def _donors(round_: int) -> np.ndarray:
     return np.stack([rng.permutation([b for b in range(BINS) if b != own]) for own in range(BINS)])
 
 
-def _fill(low: np.ndarray, round_: int) -> np.ndarray:
-    empty = low == 0xFFFFFFFF
-    row, own = np.nonzero(empty)
-    out = low.copy()
+def _fill(low: np.ndarray) -> np.ndarray:
+    """Each row holds the bins of all texts in one round; empty ones take their donors' values, in all rounds together."""
+    rounds, wide = low.shape
+    donors = np.stack([_donors(r) for r in range(rounds)]).reshape(rounds * BINS, BINS - 1)
+    low = low.ravel()
+    empty, out = low == EMPTY, low.copy()
+    at = np.flatnonzero(empty)
+    first, own = at - at % BINS, at // wide * BINS + at % BINS
     for k in range(BINS - 1):
-        if not len(row):
+        if not len(at):
             break
-        donor = _donors(round_)[own, k]
-        out[row, own] = low[row, donor]
-        left = empty[row, donor]
-        row, own = row[left], own[left]
+        donor = first + donors[own, k]
+        out[at] = low[donor]
+        left = empty[donor]
+        at, first, own = at[left], first[left], own[left]
     return out
 
 
